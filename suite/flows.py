@@ -294,37 +294,42 @@ def sync_registry(spark, sf):
 # --- streams --------------------------------------------------------------------------
 
 
-def _landed(spark, df, column, files=4):
-    """Rows landed as one file per range of ``column``, as a log shipper would."""
-    path = fresh_folder(spark, "landing")
+def _polled(spark, df, column, start, polls=3):
+    """Rows landed by range of ``column``; after each range the stream polls once.
+
+    What has landed by a poll is one micro-batch, so ranges are taken in order.
+    """
+    path, checkpoint = fresh_folder(spark, "landing"), fresh_folder(spark, "stream")
     low, high = df.agg(F.min(column), F.max(column)).first()
-    width = (high - low) // files + 1
-    part = F.floor((F.col(column) - low) / width).cast("int")
-    df.withColumn("part", part).repartition("part").sortWithinPartitions("part").write.partitionBy(
-        "part"
-    ).parquet(path)
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    return stream.select(*df.columns)
+    width = (high - low) // polls + 1
+    for poll in range(polls):
+        first = low + poll * width
+        landed = df.filter((F.col(column) >= first) & (F.col(column) < first + width))
+        landed.write.mode("append").parquet(path)
+        start(spark.readStream.schema(df.schema).parquet(path), checkpoint).awaitTermination()
 
 
 def stream_wal(spark, sf):
-    """The log applied as a stream of several micro-batches equals one batch apply."""
+    """The log applied by several polls of a stream equals one batch apply."""
     store = _target(spark, sf, "fx_target_users", "pkid", buckets=4)
-    lines = _landed(spark, table(spark, sf, "fx_wal_lines"), "lsn")
-    query = streams.stream_wal(
-        lines, _source(spark, sf), USERS, store, "data", fresh_folder(spark, "stream"), {"pkid": "bigint"}
-    )
-    query.awaitTermination()
+    source = _source(spark, sf)
+    types = {"pkid": "bigint"}
+
+    def start(lines, checkpoint):
+        return streams.stream_wal(lines, source, USERS, store, "data", checkpoint, types)
+
+    _polled(spark, table(spark, sf, "fx_wal_lines"), "lsn", start)
     return store.read()
 
 
 def stream_cdc(spark, sf):
     store = _target(spark, sf, "fx_target_orders", "pkid", buckets=4)
     rows = table(spark, sf, "fx_source_orders").filter(F.col("db_update_date") > F.lit(W).cast("timestamp_ntz"))
-    query = streams.stream_cdc(
-        _landed(spark, rows, "pkid"), ["pkid"], "db_update_date", store, fresh_folder(spark, "stream")
-    )
-    query.awaitTermination()
+
+    def start(changed, checkpoint):
+        return streams.stream_cdc(changed, ["pkid"], "db_update_date", store, checkpoint)
+
+    _polled(spark, rows, "pkid", start)
     return store.read()
 
 

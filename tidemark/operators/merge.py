@@ -41,18 +41,17 @@ def has_duplicate_keys(df: DataFrame, keys: Sequence[str]) -> bool:
 def _without(target: DataFrame, doomed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key is not in ``doomed``; rows with NULL key parts all stay.
 
-    All NULL keys hash alike, so they would meet in one shuffle partition. They
-    can match nothing: ``_spread`` sends each to a partition of its own choice.
+    NULL keys match nothing but hash alike, so in the join they would meet in one
+    partition. They go around it: the second read of the target skips every row
+    group without NULL keys by its statistics.
     """
-    spread = F.when(any_null(keys), F.xxhash64(*target.columns)).otherwise(F.lit(0))
-    left = target.withColumn("_spread", spread)
-    right = doomed.select(*keys).filter(~any_null(keys)).withColumn("_spread", F.lit(0).cast("bigint"))
-    return left.join(right, [*keys, "_spread"], "left_anti").drop("_spread")
+    keyed = target.filter(~any_null(keys)).join(doomed.select(*keys), list(keys), "left_anti")
+    return keyed.select(*target.columns).unionByName(target.filter(any_null(keys)))
 
 
 def delete_by_keys(target: DataFrame, doomed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target without the rows whose key is in ``doomed``."""
-    return _without(target, doomed, keys).select(*target.columns)
+    return _without(target, doomed, keys)
 
 
 def rows_by_keys(source: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -88,7 +87,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     if not keys:
         raise ValueError("merge needs at least one key column")
     rows = _shaped(source, target, keys)
-    return _without(target, source, keys).select(*target.columns).unionByName(rows)
+    return _without(target, source, keys).unionByName(rows)
 
 
 def apply_changes(
@@ -112,4 +111,4 @@ def apply_changes(
     else:
         replaced = net.select(*keys)
     rows = _shaped(fetched, target, keys)
-    return _without(target, replaced, keys).select(*target.columns).unionByName(rows)
+    return _without(target, replaced, keys).unionByName(rows)

@@ -10,7 +10,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict, dataclass, replace
+from dataclasses import asdict, dataclass, field, replace
 from datetime import datetime, timezone
 from typing import Any
 
@@ -28,12 +28,12 @@ from pyspark.sql.types import (
 )
 
 from tidemark import schemas as s
-from tidemark.functions import any_null, key_list
+from tidemark.functions import any_null
 from tidemark.operators import evolution, wal
 from tidemark.operators.merge import LOADED_AT, add_load_timestamp
 from tidemark.plans import control
 from tidemark.plans.store import SnapshotTable, Warehouse, buckets_for
-from tidemark.sources.changelog import changelog_read, committed_position
+from tidemark.sources.changelog import changelog_head, changelog_read, committed_position
 from tidemark.sources.scans import Source, TableSpec, scan_auto, scan_incremental
 
 CONTROL = "_control"
@@ -250,6 +250,24 @@ class TableRun:
         return self.error is None
 
 
+@dataclass
+class _Probe:
+    """One table to sync: its registry rows, and what its source and target look like."""
+
+    database: Row
+    row: Row
+    source: Source | None = None
+    spec: TableSpec | None = None
+    target: SnapshotTable | None = None
+    columns: list[tuple[str, str]] = field(default_factory=list)
+    target_columns: list[str] = field(default_factory=list)
+    error: str | None = None
+
+    @property
+    def table_id(self) -> str:
+        return self.row["table_id"]
+
+
 class RegistrySync:
     """Syncs the tables of the registries and logs each run.
 
@@ -316,7 +334,11 @@ class RegistrySync:
         rows = chosen.orderBy("table_id").collect()  # plan rows: one per registered table
         active = {r["database_id"]: r for r in self.databases.read().filter("is_active").collect()}
         jobs = [(active[r["database_id"]], r) for r in rows if r["database_id"] in active]
-        runs = in_parallel(self.spark, jobs, self._run_one, self.parallelism)
+        probes = in_parallel(self.spark, jobs, self._probe, self.parallelism)
+        plans = self._plan(probes)
+        runs = in_parallel(
+            self.spark, probes, lambda p: self._run_one(p, plans.get(p.table_id)), self.parallelism
+        )
         self._log_runs(runs)
         return runs
 
@@ -350,101 +372,120 @@ class RegistrySync:
         self.consolidated.append(self.spark.createDataFrame([(top,)], "log_id bigint"))
         return updated
 
-    def _run_one(self, job: tuple[Row, Row]) -> TableRun:
+    def _probe(self, job: tuple[Row, Row]) -> _Probe:
+        """What planning needs to know of one table's source and target."""
         database, row = job
-        started = time.monotonic()
-        method = (row["sync_method"] or s.DEFAULT_METHOD).lower()
-        run = TableRun(row["table_id"], method)
+        probe = _Probe(database, row)
         try:
-            run = self._sync(database, row, run)
-            seconds = time.monotonic() - started
-            rate = int(run.row_count / seconds) if seconds > 0 and run.row_count > 0 else 0
-            text = (
-                f"SUCCESS [{run.message.partition('|')[0].strip()}]: {row['source_table']} -> "
-                f"{row['target_table']}: {run.row_count:,} rows in {seconds:.1f}s ({rate:,} rows/sec)"
-            )
-            note = run.message.partition("|")[2].strip()
-            return replace(run, message=f"{text} | {note}" if note else text, seconds=seconds)
-        except Exception as error:  # the run is reported, the other tables go on
-            return replace(
-                run,
-                error=str(error),
-                message=f"ERROR: {row['source_table']}: {str(error)[:200]}",
-                seconds=time.monotonic() - started,
+            probe.source = self.source_of(database)
+            probe.spec = TableSpec.of(
+                row["source_table"], row["primary_key_column"], cdc_column=row["cdc_column"]
             )
-
-    def _sync(self, database: Row, row: Row, run: TableRun) -> TableRun:
-        source = self.source_of(database)
-        spec = TableSpec.of(
-            row["source_table"], row["primary_key_column"], cdc_column=row["cdc_column"]
+            probe.target = self.warehouse.table(row["target_schema"], row["target_table"])
+            probe.columns = probe.source.columns(probe.spec)
+            probe.target_columns = probe.target.columns()
+        except Exception as error:  # reported as this table's run, the other tables go on
+            probe.error = str(error)
+        return probe
+
+    def _plan(self, probes: Sequence[_Probe]) -> dict[str, Row]:
+        """Method and schema decision of every table, as one query over the registry."""
+        reached = [p for p in probes if p.error is None]
+        if not reached:
+            return {}
+        catalog = "table_id string, ordinal int, column_name string, data_type string"
+        source = [
+            (p.table_id, i, name, kind) for p in reached for i, (name, kind) in enumerate(p.columns)
+        ]
+        target = [
+            (p.table_id, i, name, None) for p in reached for i, name in enumerate(p.target_columns)
+        ]
+        known = [(p.table_id, bool(p.target_columns)) for p in reached]
+        registry = self.tables.read().join(
+            self.spark.createDataFrame(known, "table_id string, target_exists boolean"), "table_id"
         )
-        table = self.warehouse.table(row["target_schema"], row["target_table"])
-        changed, version, fingerprint, note = self._evolution(source, spec, table, row)
-        force = changed or not table.exists()
-        slot = row["wal_slot_name"] or "default"
-        if run.method == "wal" and spec.keys and not force and self.changelog_of:
-            committed = committed_position(self.commits.read(), slot, row["table_id"])
+        decision = evolution.schema_decision(
+            registry,
+            self.spark.createDataFrame(source, catalog),
+            self.spark.createDataFrame(target, catalog),
+        ).withColumnRenamed("force_full", "schema_changed")
+        planned = plan_method(registry.join(decision.select("table_id", "schema_changed"), "table_id"))
+        return {r["table_id"]: r for r in planned.join(decision, "table_id").collect()}
+
+    def _run_one(self, probe: _Probe, plan: Row | None) -> TableRun:
+        row, started = probe.row, time.monotonic()
+        declared = (row["sync_method"] or s.DEFAULT_METHOD).lower()
+        run = TableRun(probe.table_id, declared)
+        error = probe.error
+        if error is None:
+            try:
+                done = self._load(probe, plan)
+                seconds = time.monotonic() - started
+                rate = int(done.row_count / seconds) if seconds > 0 and done.row_count > 0 else 0
+                text = (
+                    f"SUCCESS [{done.mode}]: {row['source_table']} -> {row['target_table']}: "
+                    f"{done.row_count:,} rows in {seconds:.1f}s ({rate:,} rows/sec)"
+                )
+                note = plan["message"]
+                return replace(
+                    run,
+                    method=plan["method"],
+                    message=text if note == "Schema unchanged" else f"{text} | {note}",
+                    row_count=done.row_count,
+                    seconds=seconds,
+                    new_watermark=done.watermark,
+                    schema_fingerprint=plan["fingerprint"],
+                    schema_version=plan["schema_version"],
+                    position=done.position,
+                    slot=self._slot(row),
+                )
+            except Exception as failure:  # reported in the log, the other tables go on
+                error = str(failure)
+        return replace(
+            run,
+            error=error,
+            message=f"ERROR: {row['source_table']}: {error[:200]}",
+            seconds=time.monotonic() - started,
+        )
+
+    @staticmethod
+    def _slot(row: Row) -> str:
+        return row["wal_slot_name"] or "default"
+
+    def _load(self, probe: _Probe, plan: Row) -> Outcome:
+        row, source, spec, table = probe.row, probe.source, probe.spec, probe.target
+        declared = (row["sync_method"] or s.DEFAULT_METHOD).lower()
+        log = self.changelog_of if declared == "wal" else None
+        lines = log(probe.database, self._slot(row)) if log else None
+        if plan["method"] == "wal" and lines is not None:
             done = sync_wal(
-                self.changelog_of(database, slot),
+                lines,
                 source,
                 spec,
                 table,
                 row["source_schema"] or s.DEFAULT_SOURCE_SCHEMA,
-                committed_lsn=committed,
+                committed_lsn=committed_position(
+                    self.commits.read(), self._slot(row), row["table_id"]
+                ),
                 limit=self.changelog_limit,
                 policy=self.policy,
             )
-        elif run.method == "cdc" and spec.keys and spec.cdc_column and not force:
+        elif plan["method"] == "cdc":
             done = sync_cdc(source, spec, table, row["last_watermark"])
         else:
-            declared = run.method
-            mode = "FULL"
-            if force and declared == "cdc":
-                mode = "FULL (schema change)" if changed else "FULL (initial)"
             # The position is taken before the reload: later lines are applied again.
-            head = None
-            if declared == "wal" and self.changelog_of:
-                head = self.changelog_of(database, slot).agg(F.max("lsn")).first()[0]
+            head = None if lines is None else changelog_head(lines)
             done = sync_full(
                 source,
                 spec,
                 table,
                 row["batch_size"] or s.DEFAULT_BATCH_SIZE,
                 with_watermark=declared == "cdc",
-                mode=mode,
+                mode=plan["mode"] if plan["method"] == "full" else "FULL",
             )
             done = replace(done, position=head)
-            run = replace(run, method="full")
         table.prune()
-        return replace(
-            run,
-            message=f"{done.mode} | {note}" if note else done.mode,
-            row_count=done.row_count,
-            new_watermark=done.watermark,
-            schema_fingerprint=fingerprint,
-            schema_version=version,
-            position=done.position,
-            slot=slot,
-        )
-
-    def _evolution(
-        self, source: Source, spec: TableSpec, table: SnapshotTable, row: Row
-    ) -> tuple[bool, int, str, str]:
-        columns = source.columns(spec)
-        fingerprint = evolution.fingerprint_of(columns)
-        old, version = row["schema_fingerprint"], row["schema_version"] or 0
-        if not old:
-            return False, version, fingerprint, "Schema fingerprint initialized"
-        if old == fingerprint:
-            return False, version, fingerprint, ""
-        have = {c.upper() for c in table.columns()}
-        new = {c.upper() for c, _ in columns}
-        added = sorted(new - have) if have else []
-        removed = sorted(have - new) if have else []
-        parts = [f"+[{','.join(added)}]"] if added else []
-        parts += [f"-[{','.join(removed)}]"] if removed else []
-        text = " ".join(parts) or "column type changes"
-        return bool(added), version + 1, fingerprint, f"Schema evolved v{version}->v{version + 1}: {text}"
+        return done
 
     def _log_runs(self, runs: Sequence[TableRun]) -> None:
         """One append for all runs, then the applied log positions."""

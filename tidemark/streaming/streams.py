@@ -3,6 +3,11 @@
 Each micro-batch runs the batch operators, so a stream ends with the same target
 as one batch over the same input. The checkpoint holds the log position. A batch
 that is run again after a failure changes nothing, as applies are idempotent.
+
+Inside a micro-batch the order of lines does not matter. Between micro-batches it
+does: a source must hand out log ranges in order. ``DbApiSource.changelog`` does
+so by offset. A file stream does when each poll takes all that has landed, which
+is its default; do not split a poll with ``maxFilesPerTrigger``.
 """
 
 from __future__ import annotations
