@@ -278,18 +278,19 @@ ORACLES = {
     ),
     "log_latest_per_table": oracle("SELECT * FROM {fx_log_latest}"),
     "consolidate_log": _CONSOLIDATED,
-    # Either half's newest watermark and cdc rows are kept where the other has none.
+    # The newest row of the first half counts where the newest row of all has no value.
     "consolidate_log_twice": oracle(
         f"""SELECT {", ".join(f"r.{c}" for c in s.TABLE_REGISTRY.names if c not in ("last_watermark", "last_cdc_rows"))},
-                   coalesce(r.last_watermark, h.new_watermark) AS last_watermark,
+                   coalesce(l.new_watermark, h.new_watermark, t.last_watermark) AS last_watermark,
                    coalesce(r.last_cdc_rows, h.cdc_rows) AS last_cdc_rows
-            FROM (SELECT t.*, l.new_watermark AS seen FROM {{fx_registry_run}} t
-                  LEFT JOIN {{fx_log_latest}} l ON t.table_id = l.table_id) AS r
-            LEFT JOIN (SELECT table_id, arg_max(new_watermark, log_id) AS new_watermark,
-                              arg_max(cdc_rows, log_id) AS cdc_rows
-                       FROM {{fx_sync_log}}
+            FROM {{fx_registry_run}} r
+            JOIN {{fx_table_registry}} t ON r.table_id = t.table_id
+            LEFT JOIN {{fx_log_latest}} l ON r.table_id = l.table_id
+            LEFT JOIN (SELECT table_id, new_watermark, cdc_rows FROM {{fx_sync_log}}
                        WHERE log_id <= (SELECT max(log_id) // 2 FROM {{fx_sync_log}})
-                       GROUP BY table_id) AS h ON r.table_id = h.table_id"""
+                       QUALIFY row_number() OVER (PARTITION BY table_id
+                                                  ORDER BY logged_at DESC, log_id DESC) = 1
+                      ) AS h ON r.table_id = h.table_id"""
     ),
     "state_upsert": _state("r.watermark", "r.row_count", "failed", "r.error[1:4000]"),
     "state_mark_running": _state("s.last_sync_value", "coalesce(s.rows_synced, 0)", "running", "s.error_message"),
