@@ -51,7 +51,7 @@ def _sides(source: DataFrame, target: DataFrame) -> DataFrame:
         F.collect_set(F.when(F.col("_new"), upper)).alias("_source_names"),
         F.collect_set(F.when(~F.col("_new"), upper)).alias("_target_names"),
     )
-    known = F.size("_target") > 0
+    known = F.size("_target_names") > 0
     nothing = F.array().cast("array<string>")
 
     def difference(a: str, b: str) -> Column:

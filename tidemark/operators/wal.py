@@ -62,13 +62,15 @@ def _raw_field(name: str, lead: str) -> Column:
 
 def _typed(raw: Column, key_type: str) -> Column:
     """A printed value unquoted and cast; NULL when absent, null or not castable."""
-    text = F.replace(F.regexp_replace(raw, r"^B?'|'$", ""), F.lit("''"), F.lit("'"))
-    return F.when((raw != "") & (raw != "null"), text).try_cast(key_type)
+    inside = F.replace(F.regexp_replace(raw, r"^B?'|'$", ""), F.lit("''"), F.lit("'"))
+    text = F.when(raw.endswith("'"), inside).when((raw != "") & (raw != "null"), raw)
+    return text.try_cast(key_type)
 
 
 def parse_keys(lines: DataFrame, keys: Mapping[str, str]) -> DataFrame:
     """Add every key column (name to type) and ``old_key``, set when the key changed."""
-    is_key_change = F.col("op") == UPDATE
+    # A cheap test first: the pattern runs only on lines that may hold an old key.
+    is_key_change = (F.col("op") == UPDATE) & F.col("data").contains(_OLD)
     raw = lines.withColumns(
         {f"_new_{k}": _raw_field(k, _NEW) for k in keys}
         | {f"_old_{k}": F.when(is_key_change, _raw_field(k, _OLD)) for k in keys}

@@ -117,15 +117,18 @@ def sync_cdc(
 ) -> Outcome:
     """Merge the rows above the watermark. The new watermark is the batch's own maximum."""
     staged = table.stage(prepare(scan_incremental(source, spec, watermark, lookback)))
-    row = staged.agg(F.count("*").alias("rows"), F.max(spec.cdc_column).alias("top")).first()
-    if row["rows"] == 0:
-        return Outcome(0, "CDC (no changes)", watermark, 0)
-    newest = row["top"] if watermark is None else max(row["top"] or watermark, watermark)
     if table.exists():
-        table.merge(staged)
-        return Outcome(row["rows"], "CDC (merge)", newest)
-    table.overwrite(staged, spec.keys, buckets_for(row["rows"]))
-    return Outcome(row["rows"], "CDC (initial)", newest)
+        mode = "CDC (merge)"
+        rows, top = table.merge(staged, spec.cdc_column)
+    else:
+        mode = "CDC (initial)"
+        rows, top = staged.agg(F.count("*"), F.max(spec.cdc_column)).first()
+        if rows:
+            table.overwrite(staged, spec.keys, buckets_for(rows))
+    if not rows:
+        return Outcome(0, "CDC (no changes)", watermark, 0)
+    newest = top if watermark is None else max(top or watermark, watermark)
+    return Outcome(rows, mode, newest)
 
 
 def sync_wal(
@@ -173,14 +176,12 @@ def apply_lines(
     net = table.stage(wal.net_changes(watched, keys, policy))
     rejected = seen.get.get("rejected", 0)
     fetched = table.stage(source.read_keys(spec, net.filter(F.col("op") != wal.DELETE)))
-    upserts = fetched.count()
-    if not table.exists():
-        if upserts:
-            table.overwrite(fetched, keys, buckets_for(upserts))
-        deletes = 0
-    else:
+    upserts, deletes = fetched.count(), 0
+    if table.exists():
         deletes = net.filter(F.col("op") == wal.DELETE).count()
         table.apply(fetched, net, policy)
+    elif upserts:
+        table.overwrite(fetched, keys, buckets_for(upserts))
     mode = f"WAL ({upserts} upserts, {deletes} deletes)" if upserts + deletes else "WAL (no changes)"
     return Outcome(
         upserts + deletes, mode, None, 1, upserts, deletes, rejected, position
@@ -691,10 +692,7 @@ class ConfigSync:
             loading = time.monotonic()
             log("LOAD_START", f"Starting {load} load")
             if merging:
-                top = F.max(spec.cdc_column)
-                rows, newest = df.agg(F.count("*"), top).first()
-                if rows:
-                    table.merge(df)
+                rows, newest = table.merge(df, spec.cdc_column)
                 newest = max(newest or watermark, watermark)
             else:
                 table.overwrite(df, spec.keys, buckets_for(count))

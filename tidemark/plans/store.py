@@ -22,12 +22,13 @@ import json
 import threading
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.functions import bucket_of, key_list
+from tidemark.functions import any_null, bucket_of, key_list
 from tidemark.operators import merge
 from tidemark.sources.scans import fresh_folder
 
@@ -230,12 +231,10 @@ class SnapshotTable:
                 parts.setdefault(b, []).append(number)
             self._commit(Version(number, old.schema, old.keys, old.buckets, parts))
 
-    def _rewrite(self, touched: DataFrame, change: Callable[[DataFrame], DataFrame]) -> None:
-        """Replace the buckets that the keys in ``touched`` fall in by ``change`` of them."""
-        old = self._require()
-        bucket = bucket_of(old.keys, old.buckets) if old.buckets > 1 else F.lit(0)
-        # At most one row per bucket comes to the driver.
-        hit = [r[0] for r in touched.select(bucket.alias(BUCKET)).distinct().collect()]
+    def _rewrite(
+        self, old: Version, hit: Sequence[int], change: Callable[[DataFrame], DataFrame]
+    ) -> None:
+        """Replace the buckets ``hit`` by ``change`` of their rows."""
         if not hit:
             return
         number = self._next(old)
@@ -244,39 +243,62 @@ class SnapshotTable:
         parts.update({b: [number] for b in written})
         self._commit(Version(number, old.schema, old.keys, old.buckets, parts))
 
+    def _facts(self, version: Version, batch: DataFrame, cdc_column: str | None = None) -> Row:
+        """Rows, highest watermark, most copies of one key, and buckets of a batch.
+
+        One job. The buckets are the only list, and there are ``version.buckets`` at most.
+        """
+        keys = version.keys
+        bucket = bucket_of(keys, version.buckets) if version.buckets > 1 else F.lit(0)
+        top = F.max(cdc_column) if cdc_column else F.max(F.lit(None))
+        per_key = batch.groupBy(*keys).agg(F.count("*").alias("rows"), top.alias("top"))
+        return per_key.agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+            F.max("top").alias("top"),
+            F.max(F.when(~any_null(keys), F.col("rows"))).alias("copies"),
+            F.collect_set(bucket).alias("hit"),
+        ).first()
+
     def stage(self, df: DataFrame) -> DataFrame:
         """The rows written to the shared folder once, so every later step sees the same."""
         folder = fresh_folder(self.spark, "stage")
         df.write.parquet(folder)
         return self.spark.read.schema(df.schema).parquet(folder)
 
-    def merge(self, staged: DataFrame) -> None:
-        """MERGE staged rows by the table's keys; refuses a batch with repeated keys."""
+    def merge(self, staged: DataFrame, cdc_column: str | None = None) -> tuple[int, Any]:
+        """MERGE staged rows by the table's keys; their number and highest ``cdc_column``.
+
+        A batch with repeated keys is refused. An empty one writes nothing.
+        """
         with self._lock:
-            keys = self._require().keys
-            if merge.has_duplicate_keys(staged, keys):
-                raise DuplicateKeyError(f"{self.path}: batch repeats a key of {keys}")
-            typed = self._typed_keys(staged)
-            self._rewrite(typed, lambda rows: merge.merge_upsert(rows, typed, keys))
+            old = self._require()
+            batch = self._typed_keys(old, staged)
+            facts = self._facts(old, batch, cdc_column)
+            if (facts["copies"] or 0) > 1:
+                raise DuplicateKeyError(f"{self.path}: batch repeats a key of {old.keys}")
+            self._rewrite(old, facts["hit"], lambda r: merge.merge_upsert(r, batch, old.keys))
+            return facts["rows"], facts["top"]
 
     def delete(self, doomed: DataFrame) -> None:
         with self._lock:
-            keys = self._require().keys
-            typed = self._typed_keys(doomed.select(*keys))
-            self._rewrite(typed, lambda rows: merge.delete_by_keys(rows, typed, keys))
+            old = self._require()
+            gone = self._typed_keys(old, doomed.select(*old.keys))
+            hit = self._facts(old, gone)["hit"]
+            self._rewrite(old, hit, lambda r: merge.delete_by_keys(r, gone, old.keys))
 
     def apply(self, fetched: DataFrame, net: DataFrame, policy: str = "last_change") -> None:
         """Apply staged net changes with the staged current rows of their keys."""
         with self._lock:
-            keys = self._require().keys
-            net, fetched = self._typed_keys(net), self._typed_keys(fetched)
+            old = self._require()
+            net, fetched = self._typed_keys(old, net), self._typed_keys(old, fetched)
+            hit = self._facts(old, net)["hit"]
             self._rewrite(
-                net, lambda rows: merge.apply_changes(rows, fetched, net, keys, policy)
+                old, hit, lambda r: merge.apply_changes(r, fetched, net, old.keys, policy)
             )
 
-    def _typed_keys(self, df: DataFrame) -> DataFrame:
+    @staticmethod
+    def _typed_keys(version: Version, df: DataFrame) -> DataFrame:
         """Key columns in the table's types, so equal keys hash to equal buckets."""
-        version = self._require()
         return df.withColumns({k: F.col(k).cast(version.schema[k].dataType) for k in version.keys})
 
     def truncate(self) -> None:

@@ -86,12 +86,9 @@ def stream_cdc(
 
     def merge(batch: DataFrame, _: int) -> None:
         staged = table.stage(newest_per_key(batch, keys, cdc_column))
-        count = staged.count()
-        if not count:
-            return
         if table.exists():
             table.merge(staged)
-        else:
+        elif count := staged.count():
             table.overwrite(staged, keys, buckets_for(count))
         table.prune()
 
