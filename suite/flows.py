@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from suite.fixtures import RUN, W, oracle, table
 from suite.merging import MERGED_ORDERS, applied
 from tidemark.operators import merge
-from tidemark.plans import flows
+from tidemark.plans import config_sync, flows, registry_sync
 from tidemark.plans.store import SnapshotTable, Warehouse
 from tidemark.sources.scans import FrameSource, TableSpec, fresh_folder
 from tidemark.streaming import streams
@@ -57,13 +57,13 @@ def sink_append(spark, sf):
 def sink_merge(spark, sf):
     """A merge that rewrites only the buckets its keys fall in."""
     store = _target(spark, sf, "fx_target_orders", "pkid", buckets=32)
-    store.merge(store.stage(table(spark, sf, "fx_source_orders").filter("pkid % 1000 = 7")))
+    store.merge_rows(table(spark, sf, "fx_source_orders").filter("pkid % 1000 = 7"))
     return store.read()
 
 
 def sink_delete(spark, sf):
     store = _target(spark, sf, "fx_target_orders", "pkid", buckets=8)
-    store.delete(store.stage(table(spark, sf, "fx_source_orders").filter("pkid % 2 = 0").select("pkid")))
+    store.delete_keys(table(spark, sf, "fx_source_orders").filter("pkid % 2 = 0").select("pkid"))
     return store.read()
 
 
@@ -184,7 +184,7 @@ def _config(*names):
         {"name": "orders", "primary_key": ["pkid"], "cdc_column": "db_update_date"},
         {"name": "users", "primary_key": ["pkid"]},
     ]
-    return flows.SyncConfig.of(
+    return config_sync.SyncConfig.of(
         {
             "source": {"databases": [{"name": n, "tables": tables} for n in names]},
             "target": {"schema_pattern": "{source_db}_RAW"},
@@ -204,7 +204,7 @@ def _config_sync(spark, sf, *names):
             raise ConnectionError("no such host")
         return FrameSource(whole if grown["now"] else whole | {"orders": old})
 
-    sync = flows.ConfigSync(
+    sync = config_sync.ConfigSync(
         _config(*names),
         Warehouse(spark, fresh_folder(spark, "warehouse")),
         source_of,
@@ -252,7 +252,7 @@ def sync_registry(spark, sf):
     half = lines.agg(F.max("lsn")).first()[0] // 2
     source = _source(spark, sf)
     seen = {"lines": lines.filter(F.col("lsn") <= half)}
-    sync = flows.RegistrySync(
+    sync = registry_sync.RegistrySync(
         warehouse,
         source_of=lambda database: source,
         changelog_of=lambda database, slot: seen["lines"],

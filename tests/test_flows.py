@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans import flows
+from tidemark.plans import config_sync, flows, registry_sync
 from tidemark.plans.store import SnapshotTable, Warehouse
 from tidemark.sources import changelog
 from tidemark.sources.scans import FrameSource, TableSpec, fresh_folder
@@ -141,7 +141,7 @@ def world(spark):
 
 @pytest.fixture
 def sync(spark, world):
-    sync = flows.RegistrySync(
+    sync = registry_sync.RegistrySync(
         Warehouse(spark, fresh_folder(spark, "warehouse")),
         lambda database: FrameSource(world.frames),
         world.lines,
@@ -250,7 +250,7 @@ CONFIG = {
 
 
 def test_config_defaults(tmp_path):
-    config = flows.SyncConfig.of(CONFIG)
+    config = config_sync.SyncConfig.of(CONFIG)
     assert config.driver == "psycopg2" and config.large_table_rows == 50_000
     assert config.databases[0].tables[0].num_partitions == 4
     assert config.databases[1].tables[0].num_partitions == 9
@@ -258,13 +258,13 @@ def test_config_defaults(tmp_path):
     assert config.target_schema("one") == "ONE_RAW"
     path = tmp_path / "config.json"
     path.write_text(json.dumps(CONFIG))
-    assert flows.SyncConfig.load(str(path)) == config
+    assert config_sync.SyncConfig.load(str(path)) == config
 
 
 def test_config_runs(spark, values):
     frames = {"now": source(spark, (1, "a", day(1)), (2, "b", day(2)))}
-    sync = flows.ConfigSync(
-        flows.SyncConfig.of(CONFIG),
+    sync = config_sync.ConfigSync(
+        config_sync.SyncConfig.of(CONFIG),
         Warehouse(spark, fresh_folder(spark, "warehouse")),
         lambda name: frames["now"],
         clock=lambda: day(30),
@@ -296,8 +296,8 @@ def test_config_runs(spark, values):
 
 def test_config_duplicate_keys_fail_the_table(spark):
     frames = {"now": source(spark, (1, "a", day(1)))}
-    sync = flows.ConfigSync(
-        flows.SyncConfig.of(CONFIG),
+    sync = config_sync.ConfigSync(
+        config_sync.SyncConfig.of(CONFIG),
         Warehouse(spark, fresh_folder(spark, "warehouse")),
         lambda name: frames["now"],
     )

@@ -45,7 +45,7 @@ def test_overwrite_while_reading(spark, table):
 def test_merge_rewrites_touched_buckets_only(spark, table):
     table.overwrite(rows(spark, 0, 1000), "k", buckets=16)
     before = folders(table)
-    table.merge(table.stage(rows(spark, 5, 6, "b")))
+    table.merge_rows(rows(spark, 5, 6, "b"))
     after = folders(table)
     changed = [b for b in after if after[b] != before[b]]
     assert len(changed) == 1
@@ -55,24 +55,24 @@ def test_merge_rewrites_touched_buckets_only(spark, table):
 
 def test_emptied_bucket_disappears(spark, table):
     table.overwrite(rows(spark, 0, 40), "k", buckets=8)
-    table.delete(table.stage(rows(spark, 0, 40).select("k")))
+    table.delete_keys(rows(spark, 0, 40).select("k"))
     assert table.count() == 0 and folders(table) == {}
-    table.merge(table.stage(rows(spark, 3, 5)))
+    table.merge_rows(rows(spark, 3, 5))
     assert table.count() == 2
 
 
 def test_merge_finds_keys_of_another_integer_type(spark, table):
     table.overwrite(rows(spark, 0, 100), "k", buckets=8)
-    table.merge(table.stage(spark.range(0, 100).selectExpr("CAST(id AS INT) AS K", "'b' AS v")))
+    table.merge_rows(spark.range(0, 100).selectExpr("CAST(id AS INT) AS K", "'b' AS v"))
     assert table.count() == 100
     assert table.read().filter("v = 'b'").count() == 100
 
 
 def test_batch_with_repeated_key_is_refused(spark, table):
     table.overwrite(rows(spark, 0, 10), "k")
-    batch = table.stage(rows(spark, 0, 2).unionByName(rows(spark, 1, 3)))
+    batch = rows(spark, 0, 2).unionByName(rows(spark, 1, 3))
     with pytest.raises(DuplicateKeyError):
-        table.merge(batch)
+        table.merge_rows(batch)
     assert table.count() == 10
 
 
@@ -123,7 +123,7 @@ def test_truncate_and_drop(spark, table):
 def test_prune_keeps_what_is_named(spark, table):
     for i in range(4):
         table.overwrite(rows(spark, 0, 10 + i), "k", buckets=2)
-    table.merge(table.stage(rows(spark, 0, 1, "b")))
+    table.merge_rows(rows(spark, 0, 1, "b"))
     table.prune(keep=1)
     assert table.count() == 13
     assert len(table._versions.names()) == 1

@@ -38,11 +38,24 @@ def _printed(name: str) -> str:
     return name if re.fullmatch(r"[a-z_][a-z0-9_$]*", name) else f'"{name}"'
 
 
+def relation(schema: str, table: str) -> str:
+    """A table's name as the log prints it."""
+    return f"{_printed(schema)}.{_printed(table)}"
+
+
+def by_relation(lines: DataFrame, relations: Sequence[str]) -> DataFrame:
+    """Row changes of the named tables with the table in ``relation``.
+
+    Writing the result with ``partitionBy("relation")`` reads a log once for all
+    of its tables, without a shuffle.
+    """
+    name = F.regexp_extract("data", rf"(?s)^table ({_NAME}\.{_NAME}): (?:INSERT|UPDATE|DELETE): ", 1)
+    return lines.withColumn("relation", name).filter(F.col("relation").isin(list(relations)))
+
+
 def filter_table(lines: DataFrame, schema: str, table: str) -> DataFrame:
     """Lines of exactly one table. A prefix test, so the parquet scan can use it."""
-    return lines.filter(
-        F.col("data").startswith(f"table {_printed(schema)}.{_printed(table)}: ")
-    )
+    return lines.filter(F.col("data").startswith(f"table {relation(schema, table)}: "))
 
 
 def parse_action(lines: DataFrame) -> DataFrame:

@@ -1,39 +1,27 @@
-"""Sync flows: what a scheduler calls for a table, a database, or everything.
+"""Sync flows of one table: full reload, merge by watermark, apply of a change log.
 
-Each flow moves one table with a handful of Spark jobs. The driver handles plan
-rows, counts and watermarks only. An extracted batch is written to the shared
-folder once; count, watermark, key check and merge all read that copy.
+Each flow is a handful of Spark jobs. The driver handles counts, watermarks and
+log positions only. An extracted batch is written to the shared folder once;
+count, watermark, key check and merge all read that copy, which goes afterwards.
 """
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict, dataclass, field, replace
+from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Any
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    DoubleType,
-    IntegerType,
-    LongType,
-    StringType,
-    StructField,
-    StructType,
-    TimestampNTZType,
-)
 
 from tidemark import schemas as s
 from tidemark.functions import any_null
-from tidemark.operators import evolution, wal
-from tidemark.operators.merge import LOADED_AT, add_load_timestamp
-from tidemark.plans import control
-from tidemark.plans.store import SnapshotTable, Warehouse, buckets_for
-from tidemark.sources.changelog import changelog_head, changelog_read, committed_position
+from tidemark.operators import wal
+from tidemark.plans.store import SnapshotTable, buckets_for
+from tidemark.sources.changelog import changelog_read
 from tidemark.sources.scans import Source, TableSpec, scan_auto, scan_incremental
 
 CONTROL = "_control"
@@ -116,15 +104,16 @@ def sync_cdc(
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> Outcome:
     """Merge the rows above the watermark. The new watermark is the batch's own maximum."""
-    staged = table.stage(prepare(scan_incremental(source, spec, watermark, lookback)))
-    if table.exists():
-        mode = "CDC (merge)"
-        rows, top = table.merge(staged, spec.cdc_column)
-    else:
-        mode = "CDC (initial)"
-        rows, top = staged.agg(F.count("*"), F.max(spec.cdc_column)).first()
-        if rows:
-            table.overwrite(staged, spec.keys, buckets_for(rows))
+    with table.staging() as stage:
+        staged = stage(prepare(scan_incremental(source, spec, watermark, lookback)))
+        if table.exists():
+            mode = "CDC (merge)"
+            rows, top = table.merge(staged, spec.cdc_column)
+        else:
+            mode = "CDC (initial)"
+            rows, top = staged.agg(F.count("*"), F.max(spec.cdc_column)).first()
+            if rows:
+                table.overwrite(staged, spec.keys, buckets_for(rows))
     if not rows:
         return Outcome(0, "CDC (no changes)", watermark, 0)
     newest = top if watermark is None else max(top or watermark, watermark)
@@ -173,25 +162,24 @@ def apply_lines(
     changes = wal.parse_changes(lines, source_schema, spec.name, {k: types[k] for k in keys})
     seen = Observation()
     watched = changes.observe(seen, F.count_if(any_null(keys)).alias("rejected"))
-    net = table.stage(wal.net_changes(watched, keys, policy))
+    with table.staging() as stage:
+        net = stage(wal.net_changes(watched, keys, policy))
+        fetched = stage(source.read_keys(spec, net.filter(F.col("op") != wal.DELETE)))
+        upserts, deletes = fetched.count(), 0
+        if table.exists():
+            deletes = net.filter(F.col("op") == wal.DELETE).count()
+            table.apply(fetched, net, policy)
+        elif upserts:
+            table.overwrite(fetched, keys, buckets_for(upserts))
     rejected = seen.get.get("rejected", 0)
-    fetched = table.stage(source.read_keys(spec, net.filter(F.col("op") != wal.DELETE)))
-    upserts, deletes = fetched.count(), 0
-    if table.exists():
-        deletes = net.filter(F.col("op") == wal.DELETE).count()
-        table.apply(fetched, net, policy)
-    elif upserts:
-        table.overwrite(fetched, keys, buckets_for(upserts))
     mode = f"WAL ({upserts} upserts, {deletes} deletes)" if upserts + deletes else "WAL (no changes)"
-    return Outcome(
-        upserts + deletes, mode, None, 1, upserts, deletes, rejected, position
-    )
+    return Outcome(upserts + deletes, mode, None, 1, upserts, deletes, rejected, position)
 
 
 # --- many tables ----------------------------------------------------------------------
 
 
-def _utc_now() -> datetime:
+def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
@@ -212,538 +200,3 @@ def in_parallel(
     with ThreadPoolExecutor(min(parallelism, len(jobs))) as pool:
         futures = [pool.submit(inheritable_thread_target(spark)(pooled), job) for job in jobs]
         return [f.result() for f in futures]
-
-
-RESULT = StructType(
-    [
-        StructField("log_id", LongType()),
-        StructField("table_id", StringType()),
-        StructField("method", StringType()),
-        StructField("error", StringType()),
-        StructField("row_count", LongType()),
-        StructField("seconds", DoubleType()),
-        StructField("new_watermark", TimestampNTZType()),
-        StructField("schema_fingerprint", StringType()),
-        StructField("schema_version", IntegerType()),
-        StructField("logged_at", TimestampNTZType()),
-    ]
-)
-
-
-@dataclass(frozen=True)
-class TableRun:
-    """Result of one registry run of one table."""
-
-    table_id: str
-    method: str = "full"
-    message: str = ""
-    error: str | None = None
-    row_count: int = 0
-    seconds: float = 0.0
-    new_watermark: datetime | None = None
-    schema_fingerprint: str | None = None
-    schema_version: int | None = None
-    position: int | None = None
-    slot: str | None = None
-
-    @property
-    def ok(self) -> bool:
-        return self.error is None
-
-
-@dataclass
-class _Probe:
-    """One table to sync: its registry rows, and what its source and target look like."""
-
-    database: Row
-    row: Row
-    source: Source | None = None
-    spec: TableSpec | None = None
-    target: SnapshotTable | None = None
-    columns: list[tuple[str, str]] = field(default_factory=list)
-    target_columns: list[str] = field(default_factory=list)
-    error: str | None = None
-
-    @property
-    def table_id(self) -> str:
-        return self.row["table_id"]
-
-
-class RegistrySync:
-    """Syncs the tables of the registries and logs each run.
-
-    ``source_of`` opens the source of a database registry row; ``changelog_of``
-    gives the log lines of a slot. The run log gets one append per call, and the
-    registry one rewrite: tables that run at once never write the same table.
-    """
-
-    def __init__(
-        self,
-        warehouse: Warehouse,
-        source_of: Callable[[Row], Source],
-        changelog_of: Callable[[Row, str], DataFrame] | None = None,
-        clock: Callable[[], datetime] = _utc_now,
-        parallelism: int = 8,
-        changelog_limit: int | None = s.CHANGELOG_LIMIT,
-        policy: str = "last_change",
-    ) -> None:
-        self.warehouse, self.spark = warehouse, warehouse.spark
-        self.source_of, self.changelog_of = source_of, changelog_of
-        self.clock, self.parallelism = clock, parallelism
-        self.changelog_limit, self.policy = changelog_limit, policy
-        self.databases = self._control("database_registry", s.DATABASE_REGISTRY)
-        self.tables = self._control("table_registry", s.TABLE_REGISTRY)
-        self.log = self._control("sync_log", s.SYNC_LOG)
-        self.commits = self._control("changelog_commits", s.CHANGELOG_COMMIT)
-        self.consolidated = self._control(
-            "consolidated", StructType([StructField("log_id", LongType())])
-        )
-
-    def _control(self, name: str, schema: StructType) -> SnapshotTable:
-        table = self.warehouse.table(CONTROL, name)
-        if not table.exists():
-            table.create(schema)
-        return table
-
-    # --- registration ---
-
-    def register_databases(self, entries: DataFrame) -> None:
-        self.databases.overwrite(
-            control.register_databases(self.databases.read(), entries, self.clock())
-        )
-
-    def register_tables(self, entries: DataFrame) -> None:
-        self.tables.overwrite(
-            control.register_tables(self.tables.read(), entries, self.clock())
-        )
-
-    def setup(self, documents: DataFrame) -> None:
-        """Register all databases and tables of configuration documents."""
-        databases, tables = control.expand_config(documents)
-        self.register_databases(databases)
-        self.register_tables(tables)
-
-    # --- runs ---
-
-    def sync_tables(self, database_id: str | None = None, table_id: str | None = None) -> list[TableRun]:
-        """Sync the chosen enabled tables of active databases; one failure stops no other."""
-        chosen = self.tables.read().filter("sync_enabled")
-        if database_id is not None:
-            chosen = chosen.filter(F.col("database_id") == database_id)
-        if table_id is not None:
-            chosen = chosen.filter(F.col("table_id") == table_id)
-        rows = chosen.orderBy("table_id").collect()  # plan rows: one per registered table
-        active = {r["database_id"]: r for r in self.databases.read().filter("is_active").collect()}
-        jobs = [(active[r["database_id"]], r) for r in rows if r["database_id"] in active]
-        probes = in_parallel(self.spark, jobs, self._probe, self.parallelism)
-        plans = self._plan(probes)
-        runs = in_parallel(
-            self.spark, probes, lambda p: self._run_one(p, plans.get(p.table_id)), self.parallelism
-        )
-        self._log_runs(runs)
-        return runs
-
-    def sync_single(self, database_id: str, table_id: str) -> str:
-        """Sync one table; the message of its run."""
-        known = self.databases.read().filter(
-            (F.col("database_id") == database_id) & F.col("is_active")
-        )
-        if known.isEmpty():
-            return f"Error: Database '{database_id}' not found or inactive"
-        runs = self.sync_tables(database_id, table_id)
-        return runs[0].message if runs else f"Error: Table '{table_id}' not found or disabled"
-
-    def sync_all(self) -> list[TableRun]:
-        runs = self.sync_tables()
-        self.consolidate()
-        return runs
-
-    def consolidate(self) -> int:
-        """Merge new log rows into the registry; the log itself is kept."""
-        done = self.consolidated.read().agg(F.max("log_id")).first()[0]
-        log = self.log.read()
-        top = log.agg(F.max("log_id")).first()[0]
-        if top is None or top == done:
-            return 0
-        fresh = log if done is None else log.filter(F.col("log_id") > done)
-        updated = fresh.agg(F.count_distinct("table_id")).first()[0]
-        self.tables.overwrite(
-            control.consolidate_log(self.tables.read(), log, self.clock(), done)
-        )
-        self.consolidated.append(self.spark.createDataFrame([(top,)], "log_id bigint"))
-        return updated
-
-    def _probe(self, job: tuple[Row, Row]) -> _Probe:
-        """What planning needs to know of one table's source and target."""
-        database, row = job
-        probe = _Probe(database, row)
-        try:
-            probe.source = self.source_of(database)
-            probe.spec = TableSpec.of(
-                row["source_table"], row["primary_key_column"], cdc_column=row["cdc_column"]
-            )
-            probe.target = self.warehouse.table(row["target_schema"], row["target_table"])
-            probe.columns = probe.source.columns(probe.spec)
-            probe.target_columns = probe.target.columns()
-        except Exception as error:  # reported as this table's run, the other tables go on
-            probe.error = str(error)
-        return probe
-
-    def _plan(self, probes: Sequence[_Probe]) -> dict[str, Row]:
-        """Method and schema decision of every table, as one query over the registry."""
-        reached = [p for p in probes if p.error is None]
-        if not reached:
-            return {}
-        catalog = "table_id string, ordinal int, column_name string, data_type string"
-        source = [
-            (p.table_id, i, name, kind) for p in reached for i, (name, kind) in enumerate(p.columns)
-        ]
-        target = [
-            (p.table_id, i, name, None) for p in reached for i, name in enumerate(p.target_columns)
-        ]
-        known = [(p.table_id, bool(p.target_columns)) for p in reached]
-        registry = self.tables.read().join(
-            self.spark.createDataFrame(known, "table_id string, target_exists boolean"), "table_id"
-        )
-        decision = evolution.schema_decision(
-            registry,
-            self.spark.createDataFrame(source, catalog),
-            self.spark.createDataFrame(target, catalog),
-        ).withColumnRenamed("force_full", "schema_changed")
-        planned = plan_method(registry.join(decision.select("table_id", "schema_changed"), "table_id"))
-        return {r["table_id"]: r for r in planned.join(decision, "table_id").collect()}
-
-    def _run_one(self, probe: _Probe, plan: Row | None) -> TableRun:
-        row, started = probe.row, time.monotonic()
-        declared = (row["sync_method"] or s.DEFAULT_METHOD).lower()
-        run = TableRun(probe.table_id, declared)
-        error = probe.error
-        if error is None:
-            try:
-                done = self._load(probe, plan)
-                seconds = time.monotonic() - started
-                rate = int(done.row_count / seconds) if seconds > 0 and done.row_count > 0 else 0
-                text = (
-                    f"SUCCESS [{done.mode}]: {row['source_table']} -> {row['target_table']}: "
-                    f"{done.row_count:,} rows in {seconds:.1f}s ({rate:,} rows/sec)"
-                )
-                note = plan["message"]
-                return replace(
-                    run,
-                    method=plan["method"],
-                    message=text if note == "Schema unchanged" else f"{text} | {note}",
-                    row_count=done.row_count,
-                    seconds=seconds,
-                    new_watermark=done.watermark,
-                    schema_fingerprint=plan["fingerprint"],
-                    schema_version=plan["schema_version"],
-                    position=done.position,
-                    slot=self._slot(row),
-                )
-            except Exception as failure:  # reported in the log, the other tables go on
-                error = str(failure)
-        return replace(
-            run,
-            error=error,
-            message=f"ERROR: {row['source_table']}: {error[:200]}",
-            seconds=time.monotonic() - started,
-        )
-
-    @staticmethod
-    def _slot(row: Row) -> str:
-        return row["wal_slot_name"] or "default"
-
-    def _load(self, probe: _Probe, plan: Row) -> Outcome:
-        row, source, spec, table = probe.row, probe.source, probe.spec, probe.target
-        declared = (row["sync_method"] or s.DEFAULT_METHOD).lower()
-        log = self.changelog_of if declared == "wal" else None
-        lines = log(probe.database, self._slot(row)) if log else None
-        if plan["method"] == "wal" and lines is not None:
-            done = sync_wal(
-                lines,
-                source,
-                spec,
-                table,
-                row["source_schema"] or s.DEFAULT_SOURCE_SCHEMA,
-                committed_lsn=committed_position(
-                    self.commits.read(), self._slot(row), row["table_id"]
-                ),
-                limit=self.changelog_limit,
-                policy=self.policy,
-            )
-        elif plan["method"] == "cdc":
-            done = sync_cdc(source, spec, table, row["last_watermark"])
-        else:
-            # The position is taken before the reload: later lines are applied again.
-            head = None if lines is None else changelog_head(lines)
-            done = sync_full(
-                source,
-                spec,
-                table,
-                row["batch_size"] or s.DEFAULT_BATCH_SIZE,
-                with_watermark=declared == "cdc",
-                mode=plan["mode"] if plan["method"] == "full" else "FULL",
-            )
-            done = replace(done, position=head)
-        table.prune()
-        return done
-
-    def _log_runs(self, runs: Sequence[TableRun]) -> None:
-        """One append for all runs, then the applied log positions."""
-        if not runs:
-            return
-        top = self.log.read().agg(F.max("log_id")).first()[0] or 0
-        now = self.clock()
-        rows = [
-            {**{k: v for k, v in asdict(r).items() if k in RESULT.names}, "log_id": i, "logged_at": now}
-            for i, r in enumerate(runs, top + 1)
-        ]
-        results = self.spark.createDataFrame(rows, RESULT)
-        ids = results.select("log_id", "table_id")
-        self.log.append(control.run_log_rows(results).join(ids, "table_id"))
-        positions = [(r.slot, r.table_id, r.position) for r in runs if r.ok and r.position is not None]
-        if positions:
-            self.commits.append(self.spark.createDataFrame(positions, s.CHANGELOG_COMMIT))
-
-
-# --- configuration path ---------------------------------------------------------------
-
-
-@dataclass(frozen=True)
-class SourceDatabase:
-    name: str
-    tables: tuple[TableSpec, ...]
-
-
-@dataclass(frozen=True)
-class SyncConfig:
-    databases: tuple[SourceDatabase, ...]
-    schema_pattern: str = "{source_db}"
-    driver: str = "psycopg2"
-    host: str | None = None
-    port: int = s.DEFAULT_PORT
-    large_table_rows: int = s.LARGE_TABLE_ROWS
-    parallelism: int = 4
-
-    @staticmethod
-    def of(raw: dict[str, Any]) -> SyncConfig:
-        """From a parsed configuration document."""
-        origin, reading = raw["source"], raw.get("extraction", {})
-
-        def spec(t: dict[str, Any]) -> TableSpec:
-            return TableSpec.of(
-                t["name"],
-                t["primary_key"],
-                cdc_column=t.get("cdc_column"),
-                partition_column=t.get("partition_column"),
-                num_partitions=t.get(
-                    "num_partitions", reading.get("num_partitions", s.DEFAULT_PARTITIONS)
-                ),
-                fetch_size=reading.get("fetch_size", s.DEFAULT_FETCH_SIZE),
-            )
-
-        return SyncConfig(
-            databases=tuple(
-                SourceDatabase(d["name"], tuple(spec(t) for t in d["tables"]))
-                for d in origin["databases"]
-            ),
-            schema_pattern=raw["target"]["schema_pattern"],
-            driver=origin.get("driver", "psycopg2"),
-            host=origin.get("host"),
-            port=origin.get("port", s.DEFAULT_PORT),
-            large_table_rows=reading.get("large_table_threshold", s.LARGE_TABLE_ROWS),
-            parallelism=raw.get("orchestration", {}).get("parallelism", 4),
-        )
-
-    @staticmethod
-    def load(path: str) -> SyncConfig:
-        """From a YAML or JSON file."""
-        import json
-
-        with open(path) as f:
-            text = f.read()
-        if path.endswith(".json"):
-            return SyncConfig.of(json.loads(text))
-        try:
-            import yaml
-        except ImportError as error:
-            raise RuntimeError("YAML configuration needs PyYAML; use JSON instead") from error
-        return SyncConfig.of(yaml.safe_load(text))
-
-    def target_schema(self, database: str) -> str:
-        return self.schema_pattern.format(source_db=database).upper()
-
-
-class ConfigSync:
-    """Syncs the tables of a configuration, with a state table and an event log.
-
-    State and events are written once per call, before and after the tables run.
-    """
-
-    def __init__(
-        self,
-        config: SyncConfig,
-        warehouse: Warehouse,
-        source_of: Callable[[str], Source],
-        clock: Callable[[], datetime] = _utc_now,
-    ) -> None:
-        self.config, self.warehouse, self.spark = config, warehouse, warehouse.spark
-        self.source_of, self.clock = source_of, clock
-        self.state = warehouse.table(CONTROL, "replication_state")
-        if not self.state.exists():
-            self.state.create(s.STATE)
-        self.events = warehouse.table(CONTROL, "sync_events")
-        if not self.events.exists():
-            self.events.create(s.EVENT_LOG)
-
-    def sync_table(self, database: str, table: str, full_refresh: bool = False) -> dict[str, Any]:
-        """Sync one table; never raises for a failed sync."""
-        jobs = [j for j in self._jobs(database) if j[1].name == table]
-        if not jobs:
-            raise LookupError(f"Table not found: {database}.{table}")
-        return self._run(jobs, full_refresh)[0]
-
-    def sync_database(self, database: str, full_refresh: bool = False) -> list[dict[str, Any]]:
-        jobs = self._jobs(database)
-        if not jobs:
-            raise LookupError(f"Database not found: {database}")
-        return self._run(jobs, full_refresh)
-
-    def sync_all(self, full_refresh: bool = False) -> list[dict[str, Any]]:
-        return self._run(self._jobs(), full_refresh)
-
-    def status(self) -> DataFrame:
-        return control.state_list(self.state.read())
-
-    def _jobs(self, database: str | None = None) -> list[tuple[str, TableSpec]]:
-        return [
-            (d.name, t)
-            for d in self.config.databases
-            if database is None or d.name == database
-            for t in d.tables
-        ]
-
-    def _run(self, jobs: list[tuple[str, TableSpec]], full_refresh: bool) -> list[dict[str, Any]]:
-        if not jobs:
-            return []
-        names = self.spark.createDataFrame(
-            [(d, t.name) for d, t in jobs], "source_db string, table_name string"
-        )
-        self.state.overwrite(
-            control.state_mark_running(self.state.read(), names, self.clock())
-        )
-        marks = {
-            (r["source_db"], r["table_name"]): r["last_sync_value"]
-            for r in self.state.read().join(names, list(control.STATE_KEY)).collect()
-        }
-        done = in_parallel(
-            self.spark,
-            jobs,
-            lambda job: self._sync(job[0], job[1], full_refresh, marks[job[0], job[1].name]),
-            self.config.parallelism,
-        )
-        results, events = [d[0] for d in done], [e for d in done for e in d[1]]
-        self._finish(results)
-        self._log_events(events)
-        return [{k: v for k, v in r.items() if k != "watermark"} for r in results]
-
-    def _sync(
-        self, database: str, spec: TableSpec, full_refresh: bool, watermark: datetime | None
-    ) -> tuple[dict[str, Any], list[dict[str, Any]]]:
-        started, events = time.monotonic(), []
-        schema = self.config.target_schema(database)
-        table = self.warehouse.table(schema, spec.name.upper())
-
-        def log(kind: str, message: str, rows: int | None = None, since: float | None = None) -> None:
-            spent = None if since is None else int((time.monotonic() - since) * 1000)
-            events.append(
-                {
-                    "source_db": database,
-                    "table_name": spec.name,
-                    "event_type": kind,
-                    "message": message,
-                    "rows_affected": rows,
-                    "duration_ms": spent,
-                    "metadata": None,
-                    "logged_at": self.clock(),
-                }
-            )
-
-        kind = "full refresh" if full_refresh else "incremental"
-        log("SYNC_START", f"Starting {kind} sync to {schema}.{spec.name}")
-        base = {"database": database, "table": spec.name}
-        try:
-            source = self.source_of(database)
-            if full_refresh or not spec.cdc_column:
-                watermark = None
-            load = "MERGE" if watermark else "FULL"
-            extract = time.monotonic()
-            df, count = scan_auto(source, spec, watermark, self.config.large_table_rows)
-            log("SOURCE_COUNT", f"Source has {count:,} rows", count)
-            large = count > self.config.large_table_rows and spec.range_column
-            how = f"partitioned extraction ({spec.num_partitions} partitions)" if large else "single read"
-            log("EXTRACT_START", f"Starting {how}")
-            df = add_load_timestamp(df, self.clock())
-            merging = bool(watermark) and table.exists()
-            if merging:
-                # The batch is on disk after this, so the time is that of the extract.
-                df = table.stage(df)
-            log("EXTRACT_COMPLETE", "Extraction completed", since=extract)
-            loading = time.monotonic()
-            log("LOAD_START", f"Starting {load} load")
-            if merging:
-                rows, newest = table.merge(df, spec.cdc_column)
-                newest = max(newest or watermark, watermark)
-            else:
-                table.overwrite(df, spec.keys, buckets_for(count))
-                top = F.max(spec.cdc_column) if spec.cdc_column else F.lit(None)
-                rows, newest = table.read().agg(F.count("*"), top).first()
-            table.prune()
-            log("LOAD_COMPLETE", f"{load} load completed with {rows:,} rows", rows, loading)
-            log("SYNC_COMPLETE", f"Sync completed successfully: {rows:,} rows", rows, started)
-            return base | {"status": "success", "rows": rows, "watermark": newest}, events
-        except Exception as error:  # reported in the result, the state and the event log
-            log("SYNC_FAILED", f"Sync failed: {error}", since=started)
-            return base | {"status": "failed", "error": str(error)}, events
-
-    def _finish(self, results: list[dict[str, Any]]) -> None:
-        schema = (
-            "source_db string, table_name string, watermark timestamp_ntz, "
-            "row_count bigint, error string"
-        )
-        rows = [
-            (r["database"], r["table"], r.get("watermark"), r.get("rows"), r.get("error"))
-            for r in results
-        ]
-        runs = self.spark.createDataFrame(rows, schema)
-        now = self.clock()
-        state = control.state_mark_completed(self.state.read(), runs.filter("error IS NULL"), now)
-        state = control.state_mark_failed(state, runs.filter("error IS NOT NULL"), now)
-        self.state.overwrite(state)
-
-    def _log_events(self, events: list[dict[str, Any]]) -> None:
-        """Append events; a failure to log never fails the run."""
-        try:
-            rows = self.spark.createDataFrame(events, s.EVENT_LOG)
-            self.events.append(control.event_rows(rows).select(*s.EVENT_LOG.names))
-        except Exception as error:
-            import warnings
-
-            warnings.warn(f"events not logged: {error}", stacklevel=2)
-
-
-__all__ = [
-    "LOADED_AT",
-    "ConfigSync",
-    "Outcome",
-    "RegistrySync",
-    "SourceDatabase",
-    "SyncConfig",
-    "TableRun",
-    "apply_lines",
-    "in_parallel",
-    "plan_method",
-    "sync_cdc",
-    "sync_full",
-    "sync_wal",
-]

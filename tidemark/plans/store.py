@@ -20,7 +20,8 @@ from __future__ import annotations
 
 import json
 import threading
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -82,6 +83,11 @@ class Folder:
         self._fs.delete(self._new_path(f"{self.path}/{child}" if child else self.path), True)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder this package has written."""
+    Folder(spark, path).remove()
+
+
 @dataclass
 class Version:
     """What a table is made of: for each bucket the write versions that hold its rows."""
@@ -259,11 +265,35 @@ class SnapshotTable:
             F.collect_set(bucket).alias("hit"),
         ).first()
 
-    def stage(self, df: DataFrame) -> DataFrame:
-        """The rows written to the shared folder once, so every later step sees the same."""
-        folder = fresh_folder(self.spark, "stage")
-        df.write.parquet(folder)
-        return self.spark.read.schema(df.schema).parquet(folder)
+    @contextmanager
+    def staging(self) -> Iterator[Callable[[DataFrame], DataFrame]]:
+        """A function that writes rows to the shared folder, for as long as the block runs.
+
+        Every later step then sees the same rows, whatever happens to executors or
+        to the source meanwhile.
+        """
+        folders: list[str] = []
+
+        def stage(df: DataFrame) -> DataFrame:
+            folders.append(fresh_folder(self.spark, "stage"))
+            df.write.parquet(folders[-1])
+            return self.spark.read.schema(df.schema).parquet(folders[-1])
+
+        try:
+            yield stage
+        finally:
+            for folder in folders:
+                remove_folder(self.spark, folder)
+
+    def merge_rows(self, rows: DataFrame, cdc_column: str | None = None) -> tuple[int, Any]:
+        """Stage rows and merge them."""
+        with self.staging() as stage:
+            return self.merge(stage(rows), cdc_column)
+
+    def delete_keys(self, doomed: DataFrame) -> None:
+        """Stage keys and delete their rows."""
+        with self.staging() as stage:
+            self.delete(stage(doomed))
 
     def merge(self, staged: DataFrame, cdc_column: str | None = None) -> tuple[int, Any]:
         """MERGE staged rows by the table's keys; their number and highest ``cdc_column``.

@@ -86,18 +86,19 @@ class Connection:
     """A DB-API connection, opened where it is used."""
 
     def __init__(self, options: Mapping[str, str]) -> None:
-        module, _, function = options["connect"].partition(":")
-        driver = importlib.import_module(module)
-        style = getattr(importlib.import_module(module.partition(".")[0]), "paramstyle", "pyformat")
+        self.module, _, function = options["connect"].partition(":")
+        self.function = function or "connect"
+        self.arguments = json.loads(options.get("connectargs", "{}"))
+        root = importlib.import_module(self.module.partition(".")[0])
+        style = getattr(root, "paramstyle", "pyformat")
         self.mark = "?" if style in ("qmark", "numeric") else "%s"
-        self._open = getattr(driver, function or "connect")
-        self._arguments = json.loads(options.get("connectargs", "{}"))
 
     def batches(
         self, sql: str, parameters: Sequence[Any], size: int
     ) -> Iterator[tuple[list[str], list[tuple]]]:
         """Column names with rows, ``size`` at a time."""
-        connection = self._open(**self._arguments)
+        connect = getattr(importlib.import_module(self.module), self.function)
+        connection = connect(**self.arguments)
         try:
             cursor = connection.cursor()
             cursor.execute(sql, list(parameters))

@@ -85,11 +85,12 @@ def stream_cdc(
     """Merge a stream of changed source rows into a target table."""
 
     def merge(batch: DataFrame, _: int) -> None:
-        staged = table.stage(newest_per_key(batch, keys, cdc_column))
-        if table.exists():
-            table.merge(staged)
-        elif count := staged.count():
-            table.overwrite(staged, keys, buckets_for(count))
+        with table.staging() as stage:
+            staged = stage(newest_per_key(batch, keys, cdc_column))
+            if table.exists():
+                table.merge(staged)
+            elif count := staged.count():
+                table.overwrite(staged, keys, buckets_for(count))
         table.prune()
 
     return (
