@@ -51,8 +51,12 @@ def key_list(text: str | Sequence[str] | None) -> list[str]:
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
-    """Bucket number of a key; NULL key parts are allowed."""
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    """Bucket number of a key; NULL key parts are allowed.
+
+    The hash is the one ``repartition`` uses. So when the number of partitions is
+    a multiple of ``buckets``, a partition by the same keys holds one bucket only.
+    """
+    return F.pmod(F.hash(*keys), F.lit(buckets)).cast("int")
 
 
 def lsn_bytes(lsn: Column | str) -> Column:

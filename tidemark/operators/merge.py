@@ -1,9 +1,11 @@
 """Upsert, delete and change apply as pure DataFrame operators.
 
 Each returns the whole new contents of a target, as anti-join plus union. Spark
-shuffles or broadcasts the key side by its measured size; the source rows
-themselves are never shuffled, and a broadcast key side leaves the target
-unshuffled too.
+shuffles or broadcasts the key side by its measured size. A broadcast key side
+leaves the target unshuffled, and source rows go through no join.
+
+``partitions`` asks for that many partitions by key instead, so that a write by
+bucket can follow without a second shuffle.
 """
 
 from __future__ import annotations
@@ -38,20 +40,40 @@ def has_duplicate_keys(df: DataFrame, keys: Sequence[str]) -> bool:
     return not duplicate_keys(df, keys).isEmpty()
 
 
-def _without(target: DataFrame, doomed: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _by_key(df: DataFrame, keys: Sequence[str], partitions: int | None) -> DataFrame:
+    return df.repartition(partitions, *keys) if partitions else df
+
+
+def _without(
+    target: DataFrame, doomed: DataFrame, keys: Sequence[str], partitions: int | None = None
+) -> DataFrame:
     """Target rows whose key is not in ``doomed``; rows with NULL key parts all stay.
 
     NULL keys match nothing but hash alike, so in the join they would meet in one
     partition. They go around it: the second read of the target skips every row
     group without NULL keys by its statistics.
     """
-    keyed = target.filter(~any_null(keys)).join(doomed.select(*keys), list(keys), "left_anti")
-    return keyed.select(*target.columns).unionByName(target.filter(any_null(keys)))
+    keyed = _by_key(target.filter(~any_null(keys)), keys, partitions)
+    gone = _by_key(doomed.select(*keys).filter(~any_null(keys)), keys, partitions)
+    kept = keyed.join(gone, list(keys), "left_anti").select(*target.columns)
+    return kept.unionByName(target.filter(any_null(keys)))
 
 
-def delete_by_keys(target: DataFrame, doomed: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _with(
+    kept: DataFrame, rows: DataFrame, keys: Sequence[str], partitions: int | None
+) -> DataFrame:
+    """``kept`` and ``rows``; only rows with a whole key are partitioned by it."""
+    if not partitions:
+        return kept.unionByName(rows)
+    keyed = _by_key(rows.filter(~any_null(keys)), keys, partitions)
+    return kept.unionByName(keyed).unionByName(rows.filter(any_null(keys)))
+
+
+def delete_by_keys(
+    target: DataFrame, doomed: DataFrame, keys: Sequence[str], partitions: int | None = None
+) -> DataFrame:
     """Target without the rows whose key is in ``doomed``."""
-    return _without(target, doomed, keys)
+    return _without(target, doomed, keys, partitions)
 
 
 def rows_by_keys(source: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -78,7 +100,9 @@ def _shaped(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFr
     )
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_upsert(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], partitions: int | None = None
+) -> DataFrame:
     """MERGE: matched rows take the source's values, others are inserted, the rest stays.
 
     Source keys must be unique (``has_duplicate_keys``). NULL keys match nothing
@@ -87,7 +111,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     if not keys:
         raise ValueError("merge needs at least one key column")
     rows = _shaped(source, target, keys)
-    return _without(target, source, keys).unionByName(rows)
+    return _with(_without(target, source, keys, partitions), rows, keys, partitions)
 
 
 def apply_changes(
@@ -96,6 +120,7 @@ def apply_changes(
     net: DataFrame,
     keys: Sequence[str],
     policy: str = "last_change",
+    partitions: int | None = None,
 ) -> DataFrame:
     """Apply net changes (``net_changes`` under the same policy) to a target.
 
@@ -111,4 +136,4 @@ def apply_changes(
     else:
         replaced = net.select(*keys)
     rows = _shaped(fetched, target, keys)
-    return _without(target, replaced, keys).unionByName(rows)
+    return _with(_without(target, replaced, keys, partitions), rows, keys, partitions)

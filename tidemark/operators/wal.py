@@ -116,8 +116,16 @@ def parse_changes(
     """Log lines to ``(lsn, op, key columns)`` for one table.
 
     A line whose key cannot be read keeps NULL key parts: see ``rejected_changes``.
+    The action stands right behind the table's name, whose length is known here.
     """
-    parsed = parse_keys(parse_action(filter_table(lines, schema, table)), keys)
+    head = len(f"table {relation(schema, table)}: ")
+    word = F.substring("data", head + 1, 8)
+    acted = (
+        filter_table(lines, schema, table)
+        .filter(word.isin("INSERT: ", "UPDATE: ", "DELETE: "))
+        .withColumn("op", F.substring("data", head + 1, 1))
+    )
+    parsed = parse_keys(acted, keys)
     return split_key_changes(parsed, list(keys)).select("lsn", "op", *keys)
 
 

@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas as s
@@ -229,12 +229,12 @@ def run_log_rows(results: DataFrame) -> DataFrame:
 def log_latest_per_table(log: DataFrame) -> DataFrame:
     """The newest log row of each table; ``log_id`` decides between equal times.
 
-    ``max_by`` combines on the map side, so a table with most of the log still
-    reaches the shuffle as one row per map task.
+    Spark applies the limit of one row before the shuffle too (WindowGroupLimit),
+    so a table with most of the log reaches it as one row per map task.
     """
-    rest = [c for c in log.columns if c != "table_id"]
-    newest = F.max_by(F.struct(*rest), F.struct("logged_at", "log_id"))
-    return log.groupBy("table_id").agg(newest.alias("_row")).select("table_id", "_row.*")
+    newest = Window.partitionBy("table_id").orderBy(F.desc("logged_at"), F.desc("log_id"))
+    numbered = log.withColumn("_rank", F.row_number().over(newest))
+    return numbered.filter(F.col("_rank") == 1).drop("_rank")
 
 
 def consolidate_log(

@@ -37,6 +37,7 @@ BUCKET = "_bucket"
 DEFAULT_BUCKETS = 16
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 8_192
+BROADCAST_KEY_BYTES = 8 << 20
 
 
 def buckets_for(rows: int) -> int:
@@ -174,16 +175,23 @@ class SnapshotTable:
         written = [int(n[2:]) for n in self._folder.names("data") if n.startswith("v=")]
         return max([version.number if version else 0, *written]) + 1
 
-    def _write(self, df: DataFrame, number: int, keys: Sequence[str], buckets: int) -> list[int]:
+    def _write(
+        self,
+        df: DataFrame,
+        number: int,
+        keys: Sequence[str],
+        buckets: int,
+        together: bool = False,
+    ) -> list[int]:
         """Write rows by bucket; the buckets that got rows.
 
         ``rebalance`` lets AQE merge small buckets' tasks and split a hot bucket
-        over several tasks and files. One bucket needs no shuffle at all.
+        over several tasks and files. It is left out where a bucket's rows are
+        ``together`` in few tasks already, and for a single bucket.
         """
-        if buckets > 1:
-            df = df.withColumn(BUCKET, bucket_of(keys, buckets)).hint("rebalance", BUCKET)
-        else:
-            df = df.withColumn(BUCKET, F.lit(0))
+        df = df.withColumn(BUCKET, bucket_of(keys, buckets) if buckets > 1 else F.lit(0))
+        if buckets > 1 and not together:
+            df = df.hint("rebalance", BUCKET)
         df.write.partitionBy(BUCKET).parquet(f"{self.path}/data/v={number}")
         names = self._folder.names(f"data/v={number}")
         return [int(n.split("=")[1]) for n in names if n.startswith(f"{BUCKET}=")]
@@ -237,20 +245,28 @@ class SnapshotTable:
                 parts.setdefault(b, []).append(number)
             self._commit(Version(number, old.schema, old.keys, old.buckets, parts))
 
-    def _rewrite(
-        self, old: Version, hit: Sequence[int], change: Callable[[DataFrame], DataFrame]
-    ) -> None:
-        """Replace the buckets ``hit`` by ``change`` of their rows."""
-        if not hit:
-            return
+    def _rewrite(self, old: Version, hit: Sequence[int], rows: DataFrame) -> None:
+        """Replace the buckets ``hit`` by ``rows``."""
         number = self._next(old)
-        written = self._write(change(self._read(old, hit)), number, old.keys, old.buckets)
+        written = self._write(rows, number, old.keys, old.buckets, together=True)
         parts = {b: vs for b, vs in old.parts.items() if b not in set(hit)}
         parts.update({b: [number] for b in written})
         self._commit(Version(number, old.schema, old.keys, old.buckets, parts))
 
+    def _partitions(self, version: Version) -> int | None:
+        """A multiple of the bucket count, near the session's shuffle partitions."""
+        usual = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return version.buckets * -(-usual // version.buckets)
+
+    def _gathered(self, version: Version, batch: DataFrame, hit: Sequence[int]) -> DataFrame:
+        """Rows of a small batch, those of a bucket in one task."""
+        if version.buckets == 1:
+            return batch.coalesce(1)
+        count = min(len(hit), int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        return batch.repartition(count, bucket_of(version.keys, version.buckets))
+
     def _facts(self, version: Version, batch: DataFrame, cdc_column: str | None = None) -> Row:
-        """Rows, highest watermark, most copies of one key, and buckets of a batch.
+        """Rows, highest watermark, most copies of one key, key size and buckets of a batch.
 
         One job. The buckets are the only list, and there are ``version.buckets`` at most.
         """
@@ -258,8 +274,10 @@ class SnapshotTable:
         bucket = bucket_of(keys, version.buckets) if version.buckets > 1 else F.lit(0)
         top = F.max(cdc_column) if cdc_column else F.max(F.lit(None))
         per_key = batch.groupBy(*keys).agg(F.count("*").alias("rows"), top.alias("top"))
+        size = sum((F.octet_length(F.col(k).cast("string")) for k in keys), F.lit(8 * len(keys)))
         return per_key.agg(
             F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+            F.sum(F.col("rows") * F.coalesce(size, F.lit(8))).alias("key_bytes"),
             F.max("top").alias("top"),
             F.max(F.when(~any_null(keys), F.col("rows"))).alias("copies"),
             F.collect_set(bucket).alias("hit"),
@@ -299,6 +317,10 @@ class SnapshotTable:
         """MERGE staged rows by the table's keys; their number and highest ``cdc_column``.
 
         A batch with repeated keys is refused. An empty one writes nothing.
+
+        The rewrite reads the touched buckets. A batch of few keys, by their
+        measured size, is broadcast and leaves those rows where they are; a larger
+        one costs one shuffle by key, whose partitions are written as they come.
         """
         with self._lock:
             old = self._require()
@@ -306,25 +328,38 @@ class SnapshotTable:
             facts = self._facts(old, batch, cdc_column)
             if (facts["copies"] or 0) > 1:
                 raise DuplicateKeyError(f"{self.path}: batch repeats a key of {old.keys}")
-            self._rewrite(old, facts["hit"], lambda r: merge.merge_upsert(r, batch, old.keys))
+            if hit := facts["hit"]:
+                rows, partitions = self._read(old, hit), self._partitions(old)
+                if facts["key_bytes"] <= BROADCAST_KEY_BYTES:
+                    batch, partitions = F.broadcast(self._gathered(old, batch, hit)), None
+                self._rewrite(old, hit, merge.merge_upsert(rows, batch, old.keys, partitions))
             return facts["rows"], facts["top"]
 
     def delete(self, doomed: DataFrame) -> None:
+        """Delete the rows of staged keys."""
         with self._lock:
             old = self._require()
             gone = self._typed_keys(old, doomed.select(*old.keys))
-            hit = self._facts(old, gone)["hit"]
-            self._rewrite(old, hit, lambda r: merge.delete_by_keys(r, gone, old.keys))
+            facts = self._facts(old, gone)
+            if hit := facts["hit"]:
+                rows, partitions = self._read(old, hit), self._partitions(old)
+                if facts["key_bytes"] <= BROADCAST_KEY_BYTES:
+                    gone, partitions = F.broadcast(gone), None
+                self._rewrite(old, hit, merge.delete_by_keys(rows, gone, old.keys, partitions))
 
     def apply(self, fetched: DataFrame, net: DataFrame, policy: str = "last_change") -> None:
         """Apply staged net changes with the staged current rows of their keys."""
         with self._lock:
             old = self._require()
             net, fetched = self._typed_keys(old, net), self._typed_keys(old, fetched)
-            hit = self._facts(old, net)["hit"]
-            self._rewrite(
-                old, hit, lambda r: merge.apply_changes(r, fetched, net, old.keys, policy)
-            )
+            facts = self._facts(old, net)
+            if hit := facts["hit"]:
+                rows, partitions = self._read(old, hit), self._partitions(old)
+                if facts["key_bytes"] <= BROADCAST_KEY_BYTES:
+                    net, partitions = F.broadcast(net), None
+                    fetched = self._gathered(old, fetched, hit)
+                changed = merge.apply_changes(rows, fetched, net, old.keys, policy, partitions)
+                self._rewrite(old, hit, changed)
 
     @staticmethod
     def _typed_keys(version: Version, df: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -63,14 +63,13 @@ def stream_wal(
 def newest_per_key(rows: DataFrame, keys: Sequence[str], cdc_column: str) -> DataFrame:
     """The newest version of each key in a batch; rows with NULL keys all stay.
 
-    ``max_by`` combines on the map side, so a key with many versions is cheap.
-    Equal times fall back to the row hash, so a re-run picks the same row.
+    Spark limits each key to one row before the shuffle too, so a key with many
+    versions is cheap. Equal times fall back to the row hash, so a re-run picks
+    the same row.
     """
-    rest = [c for c in rows.columns if c not in set(keys)]
-    keyed = rows.filter(~any_null(keys))
-    order = F.struct(F.col(cdc_column), F.xxhash64(*rest))
-    newest = keyed.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row"))
-    picked = newest.select(*keys, "_row.*").select(*rows.columns)
+    newest = Window.partitionBy(*keys).orderBy(F.desc(cdc_column), F.xxhash64(*rows.columns))
+    ranked = rows.filter(~any_null(keys)).withColumn("_rank", F.row_number().over(newest))
+    picked = ranked.filter(F.col("_rank") == 1).drop("_rank")
     return picked.unionByName(rows.filter(any_null(keys)))
 
 
