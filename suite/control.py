@@ -83,7 +83,11 @@ def state_reset(spark, sf):
 
 
 def state_reset_all(spark, sf):
-    return control.state_reset_all(table(spark, sf, "fx_state"))
+    """A stored state table cleared, and filled again by the next runs."""
+    store = SnapshotTable(spark, fresh_folder(spark, "state"))
+    store.overwrite(table(spark, sf, "fx_state"), control.STATE_KEY)
+    store.overwrite(control.state_reset_all(store.read()))
+    return control.state_mark_completed(store.read(), _runs(spark, sf), RUN)
 
 
 def _database_requests(spark, sf):
@@ -305,7 +309,11 @@ ORACLES = {
     "state_reset": oracle(
         f"SELECT {_STATE} FROM {{fx_state}} WHERE NOT (source_db = 'db1' AND table_name = 't13')"
     ),
-    "state_reset_all": oracle(f"SELECT {_STATE} FROM {{fx_state}} WHERE FALSE"),
+    "state_reset_all": oracle(
+        f"""SELECT source_db, table_name, watermark AS last_sync_value, TIMESTAMP '{RUN}' AS last_sync_ts,
+                   row_count AS rows_synced, 'completed' AS sync_status, CAST(NULL AS VARCHAR) AS error_message
+            FROM {{fx_state_runs}}"""
+    ),
     "register_database": oracle(
         f"""SELECT database_id,
                    CASE WHEN database_id <> 'db1' THEN 'new_' || source_db_name ELSE source_db_name END AS source_db_name,

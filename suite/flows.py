@@ -22,7 +22,7 @@ def _store(spark, name="target"):
     return SnapshotTable(spark, fresh_folder(spark, name))
 
 
-def _source(spark, sf):
+def source(spark, sf):
     return FrameSource(
         {
             "orders": table(spark, sf, "fx_source_orders"),
@@ -32,7 +32,7 @@ def _source(spark, sf):
     )
 
 
-def _target(spark, sf, name, keys, buckets=None):
+def target(spark, sf, name, keys, buckets=None):
     store = _store(spark)
     store.overwrite(table(spark, sf, name), keys, buckets)
     return store
@@ -43,46 +43,46 @@ def _target(spark, sf, name, keys, buckets=None):
 
 def sink_overwrite(spark, sf):
     """A table overwritten while its old rows are being read."""
-    store = _target(spark, sf, "fx_target_orders", "pkid")
+    store = target(spark, sf, "fx_target_orders", "pkid")
     store.overwrite(merge.merge_upsert(store.read(), table(spark, sf, "fx_source_orders"), ["pkid"]))
     return store.read()
 
 
 def sink_append(spark, sf):
-    store = _target(spark, sf, "fx_target_orders", "pkid")
+    store = target(spark, sf, "fx_target_orders", "pkid")
     store.append(table(spark, sf, "fx_source_orders"))
     return store.read()
 
 
 def sink_merge(spark, sf):
     """A merge that rewrites only the buckets its keys fall in."""
-    store = _target(spark, sf, "fx_target_orders", "pkid", buckets=32)
+    store = target(spark, sf, "fx_target_orders", "pkid", buckets=32)
     store.merge_rows(table(spark, sf, "fx_source_orders").filter("pkid % 1000 = 7"))
     return store.read()
 
 
 def sink_delete(spark, sf):
-    store = _target(spark, sf, "fx_target_orders", "pkid", buckets=8)
+    store = target(spark, sf, "fx_target_orders", "pkid", buckets=8)
     store.delete_keys(table(spark, sf, "fx_source_orders").filter("pkid % 2 = 0").select("pkid"))
     return store.read()
 
 
 def table_from_schema(spark, sf):
     """An empty table in the source's schema, then filled."""
-    source = table(spark, sf, "fx_source_orders")
+    rows = table(spark, sf, "fx_source_orders")
     store = _store(spark)
-    store.create(source.schema, "pkid")
+    store.create(rows.schema, "pkid")
     empty = store.count()
-    store.append(source)
+    store.append(rows)
     return store.read().withColumn("rows_at_first", F.lit(empty).cast("bigint"))
 
 
 def _names(spark, sf):
     """A warehouse with one table per order status, and one dropped again."""
     warehouse = Warehouse(spark, fresh_folder(spark, "warehouse"))
-    source = table(spark, sf, "fx_source_orders")
+    rows = table(spark, sf, "fx_source_orders")
     for status in ("F", "O", "P"):
-        warehouse.table("RAW", status).overwrite(source.filter(F.col("o_orderstatus") == status), "pkid")
+        warehouse.table("RAW", status).overwrite(rows.filter(F.col("o_orderstatus") == status), "pkid")
     warehouse.table("RAW", "P").drop()
     return warehouse
 
@@ -112,7 +112,7 @@ def target_max_watermark(spark, sf):
 
 def truncate_table(spark, sf):
     """A truncated table keeps its columns and takes rows again."""
-    store = _target(spark, sf, "fx_target_orders", "pkid")
+    store = target(spark, sf, "fx_target_orders", "pkid")
     store.truncate()
     left = store.count()
     store.append(table(spark, sf, "fx_source_orders").filter("pkid % 2 = 0"))
@@ -121,7 +121,7 @@ def truncate_table(spark, sf):
 
 def drop_table(spark, sf):
     """A dropped table can be made anew with other columns."""
-    store = _target(spark, sf, "fx_target_orders", "pkid")
+    store = target(spark, sf, "fx_target_orders", "pkid")
     store.drop()
     store.create(table(spark, sf, "fx_source_users").schema, "pkid")
     store.append(table(spark, sf, "fx_source_users"))
@@ -156,20 +156,20 @@ def _outcome(df, done):
 
 def sync_full(spark, sf):
     store = _store(spark)
-    done = flows.sync_full(_source(spark, sf), ORDERS, store, 1_000, with_watermark=True)
+    done = flows.sync_full(source(spark, sf), ORDERS, store, 1_000, with_watermark=True)
     return _outcome(store.read(), done).withColumn("batches", F.lit(done.batches).cast("bigint"))
 
 
 def sync_cdc(spark, sf):
-    store = _target(spark, sf, "fx_target_orders", "pkid", buckets=4)
-    done = flows.sync_cdc(_source(spark, sf), ORDERS, store, WATERMARK)
+    store = target(spark, sf, "fx_target_orders", "pkid", buckets=4)
+    done = flows.sync_cdc(source(spark, sf), ORDERS, store, WATERMARK)
     return _outcome(store.read(), done)
 
 
 def sync_wal(spark, sf):
-    store = _target(spark, sf, "fx_target_users", "pkid", buckets=4)
+    store = target(spark, sf, "fx_target_users", "pkid", buckets=4)
     lines = table(spark, sf, "fx_wal_lines")
-    done = flows.sync_wal(lines, _source(spark, sf), USERS, store, "data", limit=None)
+    done = flows.sync_wal(lines, source(spark, sf), USERS, store, "data", limit=None)
     return _outcome(store.read(), done).withColumns(
         {
             "rejected": F.lit(done.rejected).cast("bigint"),
@@ -195,7 +195,7 @@ def _config(*names):
 
 def _config_sync(spark, sf, *names):
     """First the rows up to the watermark are loaded, then the source grows to all rows."""
-    whole = _source(spark, sf).frames
+    whole = source(spark, sf).frames
     old = whole["orders"].filter(F.col("db_update_date") <= F.lit(W).cast("timestamp_ntz"))
     grown = {"now": False}
 
@@ -219,8 +219,8 @@ def sync_table(spark, sf):
     sync.sync_table("shop", "orders")
     grown["now"] = True
     result = sync.sync_table("shop", "orders")
-    target = sync.warehouse.table("SHOP_RAW", "ORDERS").read()
-    return target.withColumns(
+    loaded = sync.warehouse.table("SHOP_RAW", "ORDERS").read()
+    return loaded.withColumns(
         {"status": F.lit(result["status"]), "merged": F.lit(result["rows"]).cast("bigint")}
     )
 
@@ -250,11 +250,11 @@ def sync_registry(spark, sf):
     warehouse = Warehouse(spark, fresh_folder(spark, "warehouse"))
     lines = table(spark, sf, "fx_wal_lines")
     half = lines.agg(F.max("lsn")).first()[0] // 2
-    source = _source(spark, sf)
+    tables = source(spark, sf)
     seen = {"lines": lines.filter(F.col("lsn") <= half)}
     sync = registry_sync.RegistrySync(
         warehouse,
-        source_of=lambda database: source,
+        source_of=lambda database: tables,
         changelog_of=lambda database, slot: seen["lines"],
         clock=lambda: datetime.fromisoformat(RUN),
         changelog_limit=None,
@@ -311,19 +311,19 @@ def _polled(spark, df, column, start, polls=3):
 
 def stream_wal(spark, sf):
     """The log applied by several polls of a stream equals one batch apply."""
-    store = _target(spark, sf, "fx_target_users", "pkid", buckets=4)
-    source = _source(spark, sf)
+    store = target(spark, sf, "fx_target_users", "pkid", buckets=4)
+    tables = source(spark, sf)
     types = {"pkid": "bigint"}
 
     def start(lines, checkpoint):
-        return streams.stream_wal(lines, source, USERS, store, "data", checkpoint, types)
+        return streams.stream_wal(lines, tables, USERS, store, "data", checkpoint, types)
 
     _polled(spark, table(spark, sf, "fx_wal_lines"), "lsn", start)
     return store.read()
 
 
 def stream_cdc(spark, sf):
-    store = _target(spark, sf, "fx_target_orders", "pkid", buckets=4)
+    store = target(spark, sf, "fx_target_orders", "pkid", buckets=4)
     rows = table(spark, sf, "fx_source_orders").filter(F.col("db_update_date") > F.lit(W).cast("timestamp_ntz"))
 
     def start(changed, checkpoint):

@@ -190,7 +190,7 @@ ORACLES = {
                        WHEN driver IN ('pymysql', 'mysql')
                        THEN 'jdbc:mysql://' || host || ':' || port || '/' || source_db_name END AS url,
                   CASE WHEN driver IS NULL OR driver = 'oracledb'
-                       THEN 'Unsupported driver: ' || coalesce(driver, 'none') END AS error
+                       THEN 'unknown driver ' || coalesce(driver, 'none') END AS error
            FROM {fx_addresses}"""
     ),
     "changelog_read": oracle(

@@ -169,8 +169,8 @@ def by_id(df):
 
 def test_registry_runs(spark, world, sync, values):
     runs = {r.table_id: r for r in sync.sync_all()}
-    assert "[FULL (initial)]" in runs["d_c"].message and "initialized" in runs["d_c"].message
-    assert "[FULL]" in runs["d_w"].message
+    assert "FULL (initial):" in runs["d_c"].message and "initialized" in runs["d_c"].message
+    assert " FULL:" in runs["d_w"].message
     tables = by_id(sync.tables.read())
     assert tables["d_c"]["last_watermark"] == day(1) and tables["d_w"]["last_watermark"] is None
     assert len(tables["d_c"]["schema_fingerprint"]) == 16
@@ -186,9 +186,9 @@ def test_registry_runs(spark, world, sync, values):
     ]
     assert "WAL (1 upserts, 0 deletes)" in sync.sync_single("d", "d_x")
     runs = {r.table_id: r for r in sync.sync_all()}
-    assert "[CDC (merge)]" in runs["d_c"].message
-    assert "[WAL (1 upserts, 1 deletes)]" in runs["d_w"].message
-    assert "[WAL (no changes)]" in runs["d_x"].message
+    assert "CDC (merge):" in runs["d_c"].message
+    assert "WAL (1 upserts, 1 deletes):" in runs["d_w"].message
+    assert "WAL (no changes):" in runs["d_x"].message
     read = lambda name: values(sync.warehouse.table("RAW", name).read(), "id", "v")
     assert read("C") == [(1, "a"), (2, "b")] and read("W") == [(2, "b")] and read("X") == [(1, "z")]
     log = sync.log.read()
@@ -212,20 +212,20 @@ def test_registry_schema_change(spark, world, sync, values):
     sync.sync_all()
     world.put("c", [(1, "a", day(1), 7), (5, "late", day(0), 8)], ROWS + ", n int")
     runs = {r.table_id: r for r in sync.sync_all()}
-    assert "[FULL (schema change)]" in runs["d_c"].message
+    assert "FULL (schema change):" in runs["d_c"].message
     assert runs["d_c"].message.endswith("Schema evolved v1->v2: +[N]")
     assert values(sync.warehouse.table("RAW", "C").read(), "id", "n") == [(1, 7), (5, 8)]
     assert by_id(sync.tables.read())["d_c"]["schema_version"] == 2
     # A dropped column forces nothing: the target keeps it.
     world.put("c", [(1, "A", day(4))])
     runs = {r.table_id: r for r in sync.sync_all()}
-    assert "[CDC (merge)]" in runs["d_c"].message and "-[N]" in runs["d_c"].message
+    assert "CDC (merge):" in runs["d_c"].message and "-[N]" in runs["d_c"].message
     assert values(sync.warehouse.table("RAW", "C").read(), "id", "v", "n") == [(1, "A", 7), (5, "late", 8)]
 
 
 def test_registry_scope(spark, world, sync):
-    assert sync.sync_single("nope", "d_c") == "Error: Database 'nope' not found or inactive"
-    assert sync.sync_single("d", "nope") == "Error: Table 'nope' not found or disabled"
+    assert sync.sync_single("nope", "d_c").startswith("nope: no active database")
+    assert sync.sync_single("d", "nope").startswith("nope: no enabled table")
     sync.tables.overwrite(
         sync.tables.read().withColumn("sync_enabled", F.col("table_id") != "d_c")
     )
@@ -293,6 +293,11 @@ def test_config_runs(spark, values):
     with pytest.raises(LookupError):
         sync.sync_table("one", "nope")
 
+    # A target that went missing is filled with all rows, whatever the watermark.
+    sync.warehouse.table("ONE_RAW", "T").drop()
+    frames["now"] = source(spark, (1, "a", day(0)), (9, "z", day(1)))
+    assert sync.sync_table("one", "t")["rows"] == 2
+
 
 def test_config_duplicate_keys_fail_the_table(spark):
     frames = {"now": source(spark, (1, "a", day(1)))}

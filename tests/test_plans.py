@@ -10,7 +10,7 @@ QUERIES = entry.queries()
 WRITERS = {
     n for n in QUERIES
     if n.startswith(("sink_", "sync_", "stream_", "table_", "target_", "truncate_", "drop_"))
-} | {"scan_paged", "changelog_commit", "run_log_append", "event_log_append", "log_export_csv"}
+} | {"scan_paged", "changelog_commit", "run_log_append", "event_log_append", "log_export_csv", "state_reset_all"}
 
 
 @pytest.fixture(scope="module")

@@ -80,7 +80,7 @@ def test_dialects():
     assert dialects.dialect_of("psycopg2").jdbc_url("h", 5432, "d") == "jdbc:postgresql://h:5432/d?sslmode=require"
     assert dialects.dialect_of("mssql").quoted("a]b", "c") == "[a]]b].[c]"
     assert dialects.dialect_of("pymysql").quoted("a`b") == "`a``b`"
-    with pytest.raises(ValueError, match="Unsupported driver: oracledb"):
+    with pytest.raises(ValueError, match="unknown driver 'oracledb'"):
         dialects.dialect_of("oracledb")
 
 
@@ -95,6 +95,13 @@ def test_jdbc_options():
         jdbc.range_options(TableSpec.of("t"), 0, 1)
 
 
+def test_jdbc_probe():
+    postgres = dialects.dialect_of("psycopg2")
+    assert jdbc.probe_query(postgres, '"a"."b"', "id") == (
+        'SELECT COUNT(*) AS cnt, MIN("id") AS lo, MAX("id") AS hi FROM "a"."b"'
+    )
+
+
 def test_jdbc_key_predicates():
     postgres = dialects.dialect_of("psycopg2")
     assert jdbc.key_predicates(postgres, ["id"], [(i,) for i in range(3)], chunk=2) == [
@@ -121,6 +128,21 @@ def test_dbapi_ranges(driver, parquet):
     assert ranged.count() == parquet.read(SPEC).count()  # bounds drop nothing
 
 
+def test_dbapi_auto_scan(driver, parquet):
+    spec = TableSpec.of("orders", "o_orderkey", cdc_column="o_orderdate", num_partitions=3)
+    rows, count = scans.scan_auto(driver, spec, threshold=10)
+    assert (rows.rdd.getNumPartitions(), count) == (3, parquet.read(SPEC).count())
+    by_date = TableSpec.of("orders", "o_orderkey", partition_column="o_orderdate")
+    assert scans.scan_auto(driver, by_date, threshold=10)[0].count() == count
+    assert scans.scan_auto(driver, spec)[0].rdd.getNumPartitions() == 1
+
+
+def test_auto_scan_of_a_text_key(spark):
+    df = spark.range(100).selectExpr("concat('k', id) AS k")
+    rows, count = scans.scan_auto(FrameSource({"t": df}), TableSpec.of("t", "k"), threshold=10)
+    assert rows.count() == count == 100
+
+
 def test_dbapi_pushes_the_watermark(driver, parquet):
     mark = "1999-01-01 00:00:00"
     got = scans.scan_incremental(driver, SPEC, mark)

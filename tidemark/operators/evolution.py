@@ -14,6 +14,12 @@ from pyspark.sql import functions as F
 
 FINGERPRINT_LENGTH = 16
 
+# What a decision says.
+INITIALIZED = "Schema fingerprint initialized"
+UNCHANGED = "Schema unchanged"
+EVOLVED = "Schema evolved v%d->v%d: %s"
+RETYPED = "column type changes"
+
 
 def fingerprint_of(columns: Sequence[tuple[str, str]]) -> str:
     """Fingerprint of one ordered column list, on the driver."""
@@ -72,7 +78,7 @@ def _change_text() -> Column:
         F.size("removed") > 0, F.concat(F.lit("-["), F.concat_ws(",", "removed"), F.lit("]"))
     )
     text = F.concat_ws(" ", added, removed)
-    return F.when(text == "", "column type changes").otherwise(text)
+    return F.when(text == "", RETYPED).otherwise(text)
 
 
 def schema_diff(source: DataFrame, target: DataFrame) -> DataFrame:
@@ -103,14 +109,7 @@ def schema_decision(registry: DataFrame, source: DataFrame, target: DataFrame) -
     version = F.coalesce(F.col("schema_version"), F.lit(0))
     initial = old.isNull() | (old == "")
     equal = old == F.col("fingerprint")
-    evolved = F.concat(
-        F.lit("Schema evolved v"),
-        version.cast("string"),
-        F.lit("->v"),
-        (version + 1).cast("string"),
-        F.lit(": "),
-        _change_text(),
-    )
+    evolved = F.format_string(EVOLVED, version, version + 1, _change_text())
     return registry.select("table_id", "schema_fingerprint", "schema_version").join(
         sides, "table_id"
     ).select(
@@ -118,8 +117,8 @@ def schema_decision(registry: DataFrame, source: DataFrame, target: DataFrame) -
         "fingerprint",
         F.when(initial | equal, version).otherwise(version + 1).alias("schema_version"),
         (~initial & ~equal & (F.size("added") > 0)).alias("force_full"),
-        F.when(initial, "Schema fingerprint initialized")
-        .when(equal, "Schema unchanged")
+        F.when(initial, INITIALIZED)
+        .when(equal, UNCHANGED)
         .otherwise(evolved)
         .alias("message"),
     )

@@ -112,13 +112,13 @@ class ConfigSync:
         """Sync one table; never raises for a failed sync."""
         jobs = [j for j in self._jobs(database) if j[1].name == table]
         if not jobs:
-            raise LookupError(f"Table not found: {database}.{table}")
+            raise LookupError(f"the configuration has no table {database}.{table}")
         return self._run(jobs, full_refresh)[0]
 
     def sync_database(self, database: str, full_refresh: bool = False) -> list[dict[str, Any]]:
         jobs = self._jobs(database)
         if not jobs:
-            raise LookupError(f"Database not found: {database}")
+            raise LookupError(f"the configuration has no database {database}")
         return self._run(jobs, full_refresh)
 
     def sync_all(self, full_refresh: bool = False) -> list[dict[str, Any]]:
@@ -181,30 +181,27 @@ class ConfigSync:
                 }
             )
 
-        kind = "full refresh" if full_refresh else "incremental"
-        log("SYNC_START", f"Starting {kind} sync to {schema}.{spec.name}")
+        log("SYNC_START", f"to {table.path}, full refresh: {full_refresh}")
         base = {"database": database, "table": spec.name}
         try:
             source = self.source_of(database)
-            if full_refresh or not spec.cdc_column:
-                watermark = None
+            if full_refresh or not spec.cdc_column or not table.exists():
+                watermark = None  # a missing target gets all rows, not the newest only
             load = "MERGE" if watermark else "FULL"
             extract = time.monotonic()
             df, count = scan_auto(source, spec, watermark, self.config.large_table_rows)
-            log("SOURCE_COUNT", f"Source has {count:,} rows", count)
+            log("SOURCE_COUNT", "rows in the source", count)
             large = count > self.config.large_table_rows and spec.range_column
-            how = f"partitioned extraction ({spec.num_partitions} partitions)" if large else "single read"
-            log("EXTRACT_START", f"Starting {how}")
+            log("EXTRACT_START", f"{spec.num_partitions} range reads" if large else "one read")
             df = add_load_timestamp(df, self.clock())
             with table.staging() as stage:
-                merging = bool(watermark) and table.exists()
-                if merging:
+                if watermark:
                     # The batch is on disk after this, so the time is that of the extract.
                     df = stage(df)
-                log("EXTRACT_COMPLETE", "Extraction completed", since=extract)
+                log("EXTRACT_COMPLETE", "batch staged" if watermark else "read planned", since=extract)
                 loading = time.monotonic()
-                log("LOAD_START", f"Starting {load} load")
-                if merging:
+                log("LOAD_START", load)
+                if watermark:
                     rows, newest = table.merge(df, spec.cdc_column)
                     newest = max(newest or watermark, watermark)
                 else:
@@ -212,11 +209,11 @@ class ConfigSync:
                     top = F.max(spec.cdc_column) if spec.cdc_column else F.lit(None)
                     rows, newest = table.read().agg(F.count("*"), top).first()
             table.prune()
-            log("LOAD_COMPLETE", f"{load} load completed with {rows:,} rows", rows, loading)
-            log("SYNC_COMPLETE", f"Sync completed successfully: {rows:,} rows", rows, started)
+            log("LOAD_COMPLETE", load, rows, loading)
+            log("SYNC_COMPLETE", f"watermark {newest}", rows, started)
             return base | {"status": "success", "rows": rows, "watermark": newest}, events
         except Exception as error:  # reported in the result, the state and the event log
-            log("SYNC_FAILED", f"Sync failed: {error}", since=started)
+            log("SYNC_FAILED", str(error), since=started)
             return base | {"status": "failed", "error": str(error)}, events
 
     def _finish(self, results: list[dict[str, Any]]) -> None:

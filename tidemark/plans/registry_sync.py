@@ -190,9 +190,9 @@ class RegistrySync:
             (F.col("database_id") == database_id) & F.col("is_active")
         )
         if known.isEmpty():
-            return f"Error: Database '{database_id}' not found or inactive"
+            return f"{database_id}: no active database is registered under this id"
         runs = self.sync_tables(database_id, table_id)
-        return runs[0].message if runs else f"Error: Table '{table_id}' not found or disabled"
+        return runs[0].message if runs else f"{table_id}: no enabled table is registered under this id"
 
     def sync_all(self) -> list[TableRun]:
         runs = self.sync_tables()
@@ -316,15 +316,12 @@ class RegistrySync:
                 done = self._load(probe, plan, log)
                 seconds = time.monotonic() - started
                 rate = int(done.row_count / seconds) if seconds > 0 and done.row_count > 0 else 0
-                text = (
-                    f"SUCCESS [{done.mode}]: {row['source_table']} -> {row['target_table']}: "
-                    f"{done.row_count:,} rows in {seconds:.1f}s ({rate:,} rows/sec)"
-                )
+                text = f"{probe.table_id} {done.mode}: {done.row_count} rows, {rate} per second"
                 note = plan["message"]
                 return replace(
                     run,
                     method=plan["method"],
-                    message=text if note == "Schema unchanged" else f"{text} | {note}",
+                    message=text if note == evolution.UNCHANGED else f"{text}. {note}",
                     row_count=done.row_count,
                     seconds=seconds,
                     new_watermark=done.watermark,
@@ -338,7 +335,7 @@ class RegistrySync:
         return replace(
             run,
             error=error,
-            message=f"ERROR: {row['source_table']}: {error[:200]}",
+            message=f"{probe.table_id} failed: {error}",
             seconds=time.monotonic() - started,
         )
 

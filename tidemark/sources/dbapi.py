@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import importlib
 import json
+import math
 from collections.abc import Iterator, Mapping, Sequence
+from datetime import date
 from typing import Any
 
 import pyarrow as pa
@@ -326,7 +328,16 @@ class DbApiSource:
         reader = self.spark.read.format(FORMAT).options(**self._options(spec))
         return reader.schema(self.spark_schema(spec)).load()
 
+    def probe(self, spec: TableSpec) -> tuple[int, Any, Any]:
+        """Computed by the source: one row comes back."""
+        column = _quoted(spec.range_column, self.quotes) if spec.range_column else "NULL"
+        sql = f"SELECT COUNT(*), MIN({column}), MAX({column}) FROM {self._from(spec)}"
+        return tuple(Connection(self.base).rows(sql)[0])
+
     def read_ranges(self, spec: TableSpec, lower: Any, upper: Any) -> DataFrame:
+        if isinstance(lower, date):  # strides are whole numbers
+            return self.read(spec)
+        lower, upper = math.floor(lower), math.ceil(upper)
         options = self._options(spec) | {
             "partitioncolumn": spec.range_column,
             "lowerbound": str(lower),

@@ -54,7 +54,7 @@ def dialect_of(driver: str) -> Dialect:
     for dialect in DIALECTS:
         if driver in dialect.drivers:
             return dialect
-    raise ValueError(f"Unsupported driver: {driver}")
+    raise ValueError(f"unknown driver {driver!r}")
 
 
 def source_addresses(databases: DataFrame) -> DataFrame:
@@ -72,7 +72,7 @@ def source_addresses(databases: DataFrame) -> DataFrame:
 
     url = by_driver(lambda d: F.format_string(d.url, "host", "port", "source_db_name"))
     dialect = by_driver(lambda d: F.lit(d.name))
-    error = F.concat(F.lit("Unsupported driver: "), F.coalesce("driver", F.lit("none")))
+    error = F.concat(F.lit("unknown driver "), F.coalesce("driver", F.lit("none")))
     return databases.select(
         "database_id",
         dialect.alias("dialect"),

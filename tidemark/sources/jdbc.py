@@ -1,7 +1,7 @@
 """Source tables over JDBC.
 
-Spark pushes the watermark filter, the column choice, counts and maxima into the
-source's SQL. Range reads use Spark's own partitioned read.
+Spark pushes the watermark filter and the column choice into the source's SQL, and
+the source answers counts and bounds. Range reads use Spark's own partitioned read.
 """
 
 from __future__ import annotations
@@ -10,11 +10,10 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.operators.merge import rows_by_keys
 from tidemark.sources.dialects import Dialect, dialect_of
-from tidemark.sources.scans import TableSpec, columns_of
+from tidemark.sources.scans import TableSpec, columns_of, scan_auto
 
 LOOKUP_KEYS = 20_000
 LOOKUP_CHUNK = 500
@@ -32,10 +31,15 @@ def read_options(
         "fetchsize": str(spec.fetch_size),
         "preferTimestampNTZ": "true",
         "pushDownPredicate": "true",
-        "pushDownAggregate": "true",
     }
 
 
+def probe_query(dialect: Dialect, table: str, column: str | None) -> str:
+    """SQL for a table's row count and the bounds of one column."""
+    name = dialect.quoted(column) if column else "NULL"
+    return f"SELECT COUNT(*) AS cnt, MIN({name}) AS lo, MAX({name}) AS hi FROM {table}"
+
+
 def range_options(spec: TableSpec, lower: Any, upper: Any) -> dict[str, str]:
     """Further options of a range read."""
     if not spec.range_column:
@@ -116,9 +120,13 @@ class JdbcSource:
             return self.spark.read.jdbc(
                 self.url, options.pop("dbtable"), predicates=predicates, properties=options
             )
-        whole = self.read(spec)
-        bounds = whole.agg(F.min(spec.range_column), F.max(spec.range_column)).first()
-        return rows_by_keys(self.read_ranges(spec, *bounds), wanted, spec.keys)
+        return rows_by_keys(scan_auto(self, spec)[0], wanted, spec.keys)
+
+    def probe(self, spec: TableSpec) -> tuple[int, Any, Any]:
+        """Computed by the source: one row comes back."""
+        options = self._options(spec)
+        options["query"] = probe_query(self.dialect, options.pop("dbtable"), spec.range_column)
+        return tuple(self.spark.read.format("jdbc").options(**options).load().first())
 
     def columns(self, spec: TableSpec) -> list[tuple[str, str]]:
         return columns_of(self.read(spec))

@@ -10,7 +10,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
+from decimal import Decimal
 from typing import Any, Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,10 +54,19 @@ class Source(Protocol):
     def read_keys(self, spec: TableSpec, keys: DataFrame) -> DataFrame:
         """Rows whose key is in ``keys``."""
 
+    def probe(self, spec: TableSpec) -> tuple[int, Any, Any]:
+        """Row count, and lowest and highest value of ``spec.range_column``."""
+
     def columns(self, spec: TableSpec) -> list[tuple[str, str]]:
         """Ordered column names and type names."""
 
 
+def probe_rows(df: DataFrame, column: str | None) -> tuple[int, Any, Any]:
+    """Count, minimum and maximum in one pass."""
+    bounds = [F.min(column), F.max(column)] if column else [F.lit(None), F.lit(None)]
+    return tuple(df.agg(F.count("*"), *bounds).first())
+
+
 class ParquetSource:
     """Source tables kept as parquet, ``<root>/<name>.parquet``.
 
@@ -75,6 +85,9 @@ class ParquetSource:
     def read_keys(self, spec: TableSpec, keys: DataFrame) -> DataFrame:
         return rows_by_keys(self.read(spec), keys, spec.keys)
 
+    def probe(self, spec: TableSpec) -> tuple[int, Any, Any]:
+        return probe_rows(self.read(spec), spec.range_column)
+
     def columns(self, spec: TableSpec) -> list[tuple[str, str]]:
         return columns_of(self.read(spec))
 
@@ -96,6 +109,9 @@ class FrameSource:
     def read_keys(self, spec: TableSpec, keys: DataFrame) -> DataFrame:
         return rows_by_keys(self.read(spec), keys, spec.keys)
 
+    def probe(self, spec: TableSpec) -> tuple[int, Any, Any]:
+        return probe_rows(self.read(spec), spec.range_column)
+
     def columns(self, spec: TableSpec) -> list[tuple[str, str]]:
         return columns_of(self.read(spec))
 
@@ -174,16 +190,15 @@ def scan_auto(
 ) -> tuple[DataFrame, int]:
     """A single read, or range reads above ``threshold`` rows; with the source count.
 
-    One probe gives count, minimum and maximum. Ranges between the real bounds
-    stay even where keys start high or have gaps at the ends.
+    One probe, answered by the source itself, gives count, minimum and maximum.
+    Ranges between the real bounds stay even where keys start high. A text key
+    has no strides: its table is read at once, unless ``partition_column`` names
+    a numeric or date column.
     """
-    df = source.read(spec)
-    column = spec.range_column
-    bounds = [F.min(column).alias("lo"), F.max(column).alias("hi")] if column else []
-    probe = df.agg(F.count("*").alias("cnt"), *bounds).first()
-    if column and probe["cnt"] > threshold and probe["lo"] is not None:
-        return scan_partitioned(source, spec, probe["lo"], probe["hi"], watermark), probe["cnt"]
-    return scan_incremental(source, spec, watermark), probe["cnt"]
+    count, lower, upper = source.probe(spec)
+    if count > threshold and isinstance(lower, (int, float, Decimal, date)):
+        return scan_partitioned(source, spec, lower, upper, watermark), count
+    return scan_incremental(source, spec, watermark), count
 
 
 def range_number(column: str, lower: int, upper: int, count: int) -> Column:
