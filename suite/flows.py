@@ -55,15 +55,15 @@ def sink_append(spark, sf):
 
 
 def sink_merge(spark, sf):
-    """A merge that rewrites only the buckets its keys fall in."""
+    """A merge into a table of many buckets; only those its keys fall in are rewritten."""
     store = target(spark, sf, "fx_target_orders", "pkid", buckets=32)
-    store.merge_rows(table(spark, sf, "fx_source_orders").filter("pkid % 1000 = 7"))
+    store.merge_rows(table(spark, sf, "fx_source_orders").filter(F.col("db_update_date") > F.lit(W).cast("timestamp_ntz")))
     return store.read()
 
 
 def sink_delete(spark, sf):
     store = target(spark, sf, "fx_target_orders", "pkid", buckets=8)
-    store.delete_keys(table(spark, sf, "fx_source_orders").filter("pkid % 2 = 0").select("pkid"))
+    store.delete_keys(table(spark, sf, "fx_source_orders").filter("o_orderstatus = 'F'").select("pkid"))
     return store.read()
 
 
@@ -115,7 +115,7 @@ def truncate_table(spark, sf):
     store = target(spark, sf, "fx_target_orders", "pkid")
     store.truncate()
     left = store.count()
-    store.append(table(spark, sf, "fx_source_orders").filter("pkid % 2 = 0"))
+    store.append(table(spark, sf, "fx_source_orders"))
     return store.read().withColumn("left_over", F.lit(left).cast("bigint"))
 
 
@@ -384,10 +384,10 @@ ORACLES = {
     "sink_append": oracle(
         f"SELECT {_C} FROM {{fx_source_orders}} UNION ALL SELECT {_C} FROM {{fx_target_orders}}"
     ),
-    "sink_merge": oracle(_merged("pkid % 1000 = 7")),
+    "sink_merge": MERGED_ORDERS,
     "sink_delete": oracle(
         f"""SELECT {_C} FROM {{fx_target_orders}}
-            WHERE pkid NOT IN (SELECT pkid FROM {{fx_source_orders}} WHERE pkid % 2 = 0)"""
+            WHERE pkid NOT IN (SELECT pkid FROM {{fx_source_orders}} WHERE o_orderstatus = 'F')"""
     ),
     "table_from_schema": oracle(
         f"SELECT {_C}, CAST(0 AS BIGINT) AS rows_at_first FROM {{fx_source_orders}}"
@@ -404,7 +404,7 @@ ORACLES = {
            FROM {orders} GROUP BY o_orderstatus"""
     ),
     "truncate_table": oracle(
-        f"SELECT {_C}, CAST(0 AS BIGINT) AS left_over FROM {{fx_source_orders}} WHERE pkid % 2 = 0"
+        f"SELECT {_C}, CAST(0 AS BIGINT) AS left_over FROM {{fx_source_orders}}"
     ),
     "drop_table": oracle(f"SELECT {_U} FROM {{fx_source_users}}"),
     "plan_method": oracle(

@@ -283,16 +283,27 @@ def state_upsert(state: DataFrame, changes: DataFrame) -> DataFrame:
 def _state_change(
     state: DataFrame, runs: DataFrame, values: Mapping[str, Column], run_ts: datetime | str
 ) -> DataFrame:
-    """State after ``runs`` (one row per table) with ``values`` over old (``o``) and run."""
-    joined = runs.alias("r").join(state.alias("o"), list(STATE_KEY), "left")
+    """State after ``runs`` (one row per table) with ``values`` over old (``o``) and run.
+
+    One full outer join: each row is the old one, or a run's.
+    """
+    started = runs.withColumn("_ran", F.lit(True)).alias("r")
+    joined = state.alias("o").join(started, list(STATE_KEY), "full_outer")
     columns = {
         "last_sync_value": F.col("o.last_sync_value"),
         "last_sync_ts": ntz(run_ts),
         "rows_synced": F.lit(0).cast("bigint"),
         "error_message": F.lit(None).cast("string"),
     } | dict(values)
-    changes = joined.select(*STATE_KEY, *[c.alias(n) for n, c in columns.items()])
-    return state_upsert(state, changes.select(*state.columns))
+    columns["error_message"] = F.substring(columns["error_message"], 1, s.STATE_ERROR_LENGTH)
+    return joined.select(
+        *STATE_KEY,
+        *[
+            F.when(F.col("r._ran"), columns[c]).otherwise(F.col(f"o.{c}")).alias(c)
+            for c in state.columns
+            if c not in STATE_KEY
+        ],
+    )
 
 
 def state_mark_running(state: DataFrame, runs: DataFrame, run_ts: datetime | str) -> DataFrame:
