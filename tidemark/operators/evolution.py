@@ -28,17 +28,14 @@ def fingerprint_of(columns: Sequence[tuple[str, str]]) -> str:
 
 
 def _fingerprint(columns: Column) -> Column:
-    """Fingerprint of an array of ``(ordinal, column_name, data_type)`` structs."""
-    pairs = F.transform(
-        F.sort_array(columns),
-        lambda c: F.concat_ws(":", c["column_name"], c["data_type"]),
-    )
+    """Fingerprint of an array of column structs that is in ordinal order."""
+    pairs = F.transform(columns, lambda c: F.concat_ws(":", c["column_name"], c["data_type"]))
     return F.substring(F.md5(F.concat_ws("|", pairs)), 1, FINGERPRINT_LENGTH)
 
 
 def schema_fingerprint(columns: DataFrame, by: Sequence[str] = ("table_id",)) -> DataFrame:
     """Fingerprint per table, in ordinal order."""
-    listed = F.collect_list(F.struct("ordinal", "column_name", "data_type"))
+    listed = F.sort_array(F.collect_list(F.struct("ordinal", "column_name", "data_type")))
     return columns.groupBy(*by).agg(_fingerprint(listed).alias("fingerprint"))
 
 
@@ -49,26 +46,28 @@ def _sides(source: DataFrame, target: DataFrame) -> DataFrame:
         source.select(*names, F.lit(True).alias("_new"))
         .unionByName(target.select(*names, F.lit(False).alias("_new")))
     )
-    entry = F.struct("ordinal", "column_name", "data_type")
-    upper = F.upper("column_name")
-    grouped = both.groupBy("table_id").agg(
-        F.collect_list(F.when(F.col("_new"), entry)).alias("_source"),
-        F.collect_list(F.when(~F.col("_new"), entry)).alias("_target"),
-        F.collect_set(F.when(F.col("_new"), upper)).alias("_source_names"),
-        F.collect_set(F.when(~F.col("_new"), upper)).alias("_target_names"),
+    entry = F.struct("_new", "ordinal", "column_name", "data_type")
+    listed = both.groupBy("table_id").agg(F.sort_array(F.collect_list(entry)).alias("_columns"))
+    split = listed.select(
+        "table_id",
+        F.filter("_columns", lambda c: c["_new"]).alias("_source"),
+        F.filter("_columns", lambda c: ~c["_new"]).alias("_target"),
     )
-    known = F.size("_target_names") > 0
-    nothing = F.array().cast("array<string>")
+    known = F.size("_target") > 0
+
+    def names(side: str) -> Column:
+        return F.transform(side, lambda c: F.upper(c["column_name"]))
 
-    def difference(a: str, b: str) -> Column:
-        return F.when(known, F.sort_array(F.array_except(a, b))).otherwise(nothing)
+    def only(a: str, b: str) -> Column:
+        rest = F.sort_array(F.array_except(names(a), names(b)))
+        return F.when(known, rest).otherwise(F.array().cast("array<string>"))
 
-    return grouped.select(
+    return split.select(
         "table_id",
         _fingerprint(F.col("_source")).alias("fingerprint"),
         _fingerprint(F.col("_target")).alias("target_fingerprint"),
-        difference("_source_names", "_target_names").alias("added"),
-        difference("_target_names", "_source_names").alias("removed"),
+        only("_source", "_target").alias("added"),
+        only("_target", "_source").alias("removed"),
     )
 
 
