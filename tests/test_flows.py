@@ -96,6 +96,25 @@ def test_wal_replay_changes_nothing(spark, table, values):
     assert values(table.read()) == once and len(once) == 10
 
 
+def test_wal_over_a_text_key_and_a_driver(spark, table, values):
+    """Key types come from what the source is read as, not from its own type names."""
+    from tidemark.sources.dbapi import DbApiSource
+
+    rows = "(SELECT 'a' AS code, 1 AS n UNION ALL SELECT 'b', 2) AS t"
+    driver = DbApiSource(spark, "duckdb:connect", tables={"t": rows}, types={"t": "code string, n int"})
+    spec = TableSpec.of("t", "code")
+    table.overwrite(spark.createDataFrame([("a", 0), ("it's", 0)], "code string, n int"), "code")
+    log = lines(
+        spark,
+        "table public.t: UPDATE: code[character varying]:'a' n[integer]:1",
+        "table public.t: DELETE: code[character varying]:'it''s'",
+        "table public.t: INSERT: code[character varying]:'b' n[integer]:2",
+    )
+    done = flows.sync_wal(log, driver, spec, table, "public")
+    assert (done.upserts, done.deletes) == (2, 1)
+    assert values(table.read()) == [("a", 1), ("b", 2)]
+
+
 def test_wal_counts_rejected_lines(spark, table):
     table.overwrite(spark.createDataFrame([(1, "old", day(0))], ROWS), "id")
     log = lines(spark, "table public.t: DELETE: (no-tuple-data)", "table public.t: DELETE: id[bigint]:1")

@@ -17,6 +17,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from tidemark.functions import any_null, cut_text
 
@@ -73,14 +74,14 @@ def _raw_field(name: str, lead: str) -> Column:
     )
 
 
-def _typed(raw: Column, key_type: str) -> Column:
+def _typed(raw: Column, key_type: DataType | str) -> Column:
     """A printed value unquoted and cast; NULL when absent, null or not castable."""
     inside = F.replace(F.regexp_replace(raw, r"^B?'|'$", ""), F.lit("''"), F.lit("'"))
     text = F.when(raw.endswith("'"), inside).when((raw != "") & (raw != "null"), raw)
     return text.try_cast(key_type)
 
 
-def parse_keys(lines: DataFrame, keys: Mapping[str, str]) -> DataFrame:
+def parse_keys(lines: DataFrame, keys: Mapping[str, DataType | str]) -> DataFrame:
     """Add every key column (name to type) and ``old_key``, set when the key changed."""
     # A cheap test first: the pattern runs only on lines that may hold an old key.
     is_key_change = (F.col("op") == UPDATE) & F.col("data").contains(_OLD)
@@ -111,7 +112,7 @@ def split_key_changes(parsed: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def parse_changes(
-    lines: DataFrame, schema: str, table: str, keys: Mapping[str, str]
+    lines: DataFrame, schema: str, table: str, keys: Mapping[str, DataType | str]
 ) -> DataFrame:
     """Log lines to ``(lsn, op, key columns)`` for one table.
 

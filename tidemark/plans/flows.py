@@ -7,7 +7,7 @@ count, watermark, key check and merge all read that copy, which goes afterwards.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -16,6 +16,7 @@ from typing import Any
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from tidemark import schemas as s
 from tidemark.functions import any_null
@@ -126,7 +127,7 @@ def sync_wal(
     spec: TableSpec,
     table: SnapshotTable,
     source_schema: str,
-    key_types: dict[str, str] | None = None,
+    key_types: Mapping[str, DataType | str] | None = None,
     committed_lsn: int | None = None,
     limit: int | None = s.CHANGELOG_LIMIT,
     policy: str = "last_change",
@@ -150,16 +151,16 @@ def apply_lines(
     spec: TableSpec,
     table: SnapshotTable,
     source_schema: str,
-    key_types: dict[str, str] | None = None,
+    key_types: Mapping[str, DataType | str] | None = None,
     policy: str = "last_change",
     position: int | None = None,
 ) -> Outcome:
     """Apply one batch of log lines. Applying it again changes nothing."""
     keys = list(spec.keys)
-    types = key_types or {
-        k: t for k, t in source.columns(spec) if k.lower() in {x.lower() for x in keys}
-    }
-    changes = wal.parse_changes(lines, source_schema, spec.name, {k: types[k] for k in keys})
+    if key_types is None:
+        read = {f.name.lower(): f.dataType for f in source.read(spec).schema.fields}
+        key_types = {k: read[k.lower()] for k in keys}
+    changes = wal.parse_changes(lines, source_schema, spec.name, key_types)
     seen = Observation()
     watched = changes.observe(seen, F.count_if(any_null(keys)).alias("rejected"))
     with table.staging() as stage:

@@ -259,9 +259,9 @@ class SnapshotTable:
         return version.buckets * -(-usual // version.buckets)
 
     def _gathered(self, version: Version, batch: DataFrame, hit: Sequence[int]) -> DataFrame:
-        """Rows of a small batch, those of a bucket in one task."""
+        """Rows of a batch of few keys, those of a bucket in one task and file."""
         if version.buckets == 1:
-            return batch.coalesce(1)
+            return batch
         count = min(len(hit), int(self.spark.conf.get("spark.sql.shuffle.partitions")))
         return batch.repartition(count, bucket_of(version.keys, version.buckets))
 

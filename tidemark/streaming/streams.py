@@ -12,12 +12,13 @@ is its default; do not split a poll with ``maxFilesPerTrigger``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DataType
 
 from tidemark.functions import any_null
 from tidemark.plans.flows import apply_lines
@@ -39,7 +40,7 @@ def stream_wal(
     table: SnapshotTable,
     source_schema: str,
     checkpoint: str,
-    key_types: dict[str, str] | None = None,
+    key_types: Mapping[str, DataType | str] | None = None,
     policy: str = "last_change",
     interval: str | None = None,
 ) -> StreamingQuery:
