@@ -14,11 +14,14 @@ def connection():
     return duck(SF)
 
 
+OWN = sorted(name for module in entry.MODULES for name in module.QUERIES)
+
+
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(OWN) <= set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", OWN)
 def test_query(spark, connection, name):
     assert differences(QUERIES[name](spark, SF), connection, ORACLES[name]) == []
 
