@@ -72,7 +72,8 @@ def exact_dedup(
         F.min_by(F.struct("_chars", "_id", "_n"), order).alias("_best"),
         F.sum("_n").alias("group_size"),
     )
-    judged = full.join(best, ["_len", "_sha"]).withColumn(
+    # A table of its own, so that the join shuffles both sides, or none, and can be split.
+    judged = full.join(small(cut(best)), ["_len", "_sha"]).withColumn(
         "_won", (F.col("_chars") == F.col("_best._chars")) & F.col("_id").eqNullSafe(F.col("_best._id"))
     )
     tied = F.col("_won") & (F.col("_best._n") > 1)
