@@ -44,8 +44,7 @@ class ChunkTable:
         self.begin = np.array([self.library.bos_id()], "<u4").tobytes()
         self.end = np.array([self.library.eos_id()], "<u4").tobytes()
 
-    def learn(self, chunks: set[str]) -> None:
-        new = list(chunks)
+    def learn(self, new: list[str]) -> None:
         # The library puts one marker in front of what it is given.
         found = self.library.encode([c[1:] for c in new], num_threads=1)
         for chunk, ids in zip(new, found, strict=True):
@@ -56,11 +55,12 @@ class ChunkTable:
     def encode(self, text: str) -> tuple[bytes, str]:
         """Packed little-endian ids with begin and end id, and the decoded text."""
         chunks = self.chunk.findall(MARK + text.replace(" ", MARK)) if text else []
-        new = set(chunks) - self.ids.keys()
+        distinct = set(chunks)
+        new = [c for c in distinct if c not in self.ids]
         if new:
             if len(self.ids) + len(new) > self.size:
                 self.ids.clear(), self.texts.clear()
-                new = set(chunks)
+                new = list(distinct)
             self.learn(new)
         body = b"".join(map(self.ids.__getitem__, chunks))
         return self.begin + body + self.end, "".join(map(self.texts.__getitem__, chunks))[1:]
