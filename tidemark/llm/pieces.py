@@ -10,9 +10,10 @@ library once and its ids are put back by position; decoding works the same way.
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -22,9 +23,14 @@ from tidemark.llm.common import by_value, text_of
 
 by_value(__name__)
 
+if array("I").itemsize != 4 or sys.byteorder != "little":
+    raise ImportError("packing needs four-byte little-endian integers")
+
 MARK = "▁"
 #: Distinct chunks that a task's table holds before it starts anew.
-TABLE_SIZE = 1 << 18
+TABLE_SIZE = 1 << 19
+#: Characters whose new chunks are segmented in one call of the library.
+SHARE = 1 << 20
 
 
 class ChunkTable:
@@ -39,31 +45,55 @@ class ChunkTable:
             raise ValueError("this model does not mark spaces")
         # Of an empty text the library makes nothing, so a lone marker is taken from behind a letter.
         self.lone = self.library.encode(f"a{MARK}")[len(self.library.encode("a")) :]
-        self.size, self.ids, self.texts = size, {}, {}
+        self.size, self.known = size, {}
         self.chunk = re.compile(f"{MARK}+[^{MARK}]*")
-        self.begin = np.array([self.library.bos_id()], "<u4").tobytes()
-        self.end = np.array([self.library.eos_id()], "<u4").tobytes()
+        self.begin = array("I", [self.library.bos_id()]).tobytes()
+        self.end = array("I", [self.library.eos_id()]).tobytes()
+
+    def chunks(self, text: str) -> list[str]:
+        """The chunks in order, each without its first marker, which the library adds."""
+        if not text:
+            return []
+        if MARK in text or "  " in text or text[0] == " ":
+            return [c[1:] for c in self.chunk.findall(MARK + text.replace(" ", MARK))]
+        return text.split(" ")  # every run is one marker
 
     def learn(self, new: list[str]) -> None:
-        # The library puts one marker in front of what it is given.
-        found = self.library.encode([c[1:] for c in new], num_threads=1)
-        for chunk, ids in zip(new, found, strict=True):
-            ids = self.lone if chunk == MARK else ids
-            self.ids[chunk] = np.array(ids, "<u4").tobytes()
-            self.texts[chunk] = " " + self.library.decode(ids)
-
-    def encode(self, text: str) -> tuple[bytes, str]:
-        """Packed little-endian ids with begin and end id, and the decoded text."""
-        chunks = self.chunk.findall(MARK + text.replace(" ", MARK)) if text else []
-        distinct = set(chunks)
-        new = [c for c in distinct if c not in self.ids]
+        """Put chunks into the table."""
+        ids = self.library.encode(new, num_threads=1)
+        ids = [i if c else self.lone for c, i in zip(new, ids, strict=True)]
+        for chunk, own, text in zip(new, ids, self.library.decode(ids), strict=True):
+            self.known[chunk] = (array("I", own).tobytes(), " " + text)
+
+    def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
+        """Packed little-endian ids with begin and end id, and the decoded text, of each."""
+        rows = list(map(self.chunks, texts))
+        new = {c for chunks in rows for c in chunks if c not in self.known}
         if new:
-            if len(self.ids) + len(new) > self.size:
-                self.ids.clear(), self.texts.clear()
-                new = list(distinct)
-            self.learn(new)
-        body = b"".join(map(self.ids.__getitem__, chunks))
-        return self.begin + body + self.end, "".join(map(self.texts.__getitem__, chunks))[1:]
+            if len(self.known) + len(new) > self.size:
+                self.known.clear()
+                new = {c for chunks in rows for c in chunks}
+            self.learn(list(new))
+        packed = []
+        for chunks in rows:
+            found = [self.known[c] for c in chunks]
+            ids = b"".join([f[0] for f in found])
+            packed.append((self.begin + ids + self.end, "".join([f[1] for f in found])[1:]))
+        return packed
+
+
+def shares(texts: list[str]) -> Iterator[list[str]]:
+    """Texts by turns, some ``SHARE`` characters at a time; one at least."""
+    share: list[str] = []
+    size = 0
+    for text in texts:
+        share.append(text)
+        size += len(text)
+        if size >= SHARE:
+            yield share
+            share, size = [], 0
+    if share:
+        yield share
 
 
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -82,7 +112,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ChunkTable(model.value)
         for batch in batches:
-            pairs = [table.encode(t.as_py()) for t in batch.column(1)]
+            pairs = [p for texts in shares(batch.column(1).to_pylist()) for p in table.encode(texts)]
             ids = pa.array((p[0] for p in pairs), pa.binary(), size=len(pairs))
             texts = pa.array((p[1] for p in pairs), pa.string(), size=len(pairs))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids, texts], ["_id", "ids", "decoded"])
