@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import components
-from tidemark.llm.common import by_value, cut, small
+from tidemark.llm.common import by_value, cut, hash_sample, small
 
 by_value(__name__)
 
@@ -162,9 +162,8 @@ def near_vectors(
     )
     count = classes.count()
     wanted = int(min(MOST_PIVOTS, max(LEAST_PIVOTS, PIVOTS_PER_ROOT * count**0.5)))
-    chosen = classes.select("_vector").orderBy(F.xxhash64("_vector"), "_vector").limit(wanted).collect()
     by_size: dict[int, list] = {}
-    for (vector,) in chosen:
+    for vector in hash_sample(classes, "_vector", wanted, count):
         by_size.setdefault(len(vector), []).append(vector)
     pivots = {size: unit(rows_) for size, rows_ in by_size.items()}
     described = cut(

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import by_value, text_of
+from tidemark.llm.common import by_value, hash_sample, text_of
 
 by_value(__name__)
 
@@ -201,9 +201,7 @@ def train(pages: DataFrame, html_col: str = "html") -> Weights:
     """Weights from a bounded sample of the pages that mark their main part."""
     page = F.col(html_col)
     marked = page.rlike(r"(?i)<(article|main)\b") & (F.length(page) <= SAMPLE_CHARS)
-    sample = pages.where(marked).select(page.alias("_html"))
-    rows = sample.orderBy(F.xxhash64("_html"), "_html").limit(SAMPLE_PAGES)
-    return learn([r[0] for r in rows.collect()])
+    return learn(hash_sample(pages.where(marked), html_col, SAMPLE_PAGES, pages.count()))
 
 
 def extract(

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import by_value, cut, small, text_key, text_of
+from tidemark.llm.common import by_value, cut, hash_sample, small, text_key, text_of
 
 by_value(__name__)
 
@@ -237,12 +237,12 @@ def scan_column(text: Column) -> Column:
 
 def train(found: DataFrame, sample: int = SAMPLE) -> Model:
     """Automata from a bounded sample of the distinct values of ``found`` (kind, value)."""
-    size = sample + sample // 2
-    values = found.select("kind", "value").distinct()
-    picked: dict[str, list[str]] = {}
-    for kind in KINDS:
-        rows = values.where(F.col("kind") == kind).withColumn("value", F.substring("value", 1, 4 * STEPS))
-        picked[kind] = [r[0] for r in rows.select("value").orderBy(F.xxhash64("value"), "value").limit(size).collect()]
+    values = cut(found.select("kind", F.substring("value", 1, 4 * STEPS).alias("value")).distinct())
+    totals = dict(values.groupBy("kind").count().collect())
+    picked = {
+        kind: hash_sample(values.where(F.col("kind") == kind), "value", sample + sample // 2, totals.get(kind, 0))
+        for kind in KINDS
+    }
     return fit({k: picked[k] for k in KINDS[:3]}, picked["format"])
 
 

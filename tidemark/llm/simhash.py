@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import components
-from tidemark.llm.common import by_value, cut, drop_rows, text_key, text_of
+from tidemark.llm.common import by_value, cut, drop_rows, hash_sample, text_key, text_of
 
 by_value(__name__)
 
@@ -123,9 +123,9 @@ def links_between(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     if radius > RADIUS:
         raise ValueError(f"ring numbers leave room for a radius of {RADIUS} at most")
-    width = 8 if prints.count() <= DEEP else 4
-    sample = [r[0] for r in prints.orderBy(F.xxhash64("fp"), "fp").limit(VANTAGE_SAMPLE).collect()]
-    vantage = choose_vantage(sample, width)
+    count = prints.count()
+    width = 8 if count <= DEEP else 4
+    vantage = choose_vantage(hash_sample(prints, "fp", VANTAGE_SAMPLE, count), width)
     homes = prints.select(F.col("fp").alias("b"), shard(F.col("fp"), vantage, width).alias("shard"))
     steps = F.array(*(F.lit(s).cast("bigint") for s in neighbour_steps(width, radius)))
     askers = homes.select(F.col("b").alias("a"), F.col("shard").alias("home")).select(

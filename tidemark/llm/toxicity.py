@@ -22,12 +22,13 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import by_value, text_of
+from tidemark.llm.common import by_value, cut, hash_sample, text_of
 
 by_value(__name__)
 
-#: The model is fitted on at most so many labelled rows of each class, in the order of a
-#: hash of the id, among those of at most SAMPLE_CHARS characters. Scores read whole texts.
+#: The model is fitted on at most so many labelled rows of each class, the first in the
+#: order of a hash of the id, of texts of at most SAMPLE_CHARS characters. Scores read
+#: whole texts.
 SAMPLE_ROWS = 3_000
 SAMPLE_CHARS = 20_000
 WINDOW = 8
@@ -186,9 +187,11 @@ def fit(sample: list[tuple[str, int]], totals: dict[int, int]) -> Model:
     """
     rate = totals.get(1, 0) / max(1, sum(totals.values()))
     sample = distinct_texts(sample)
-    learn = [s for i, s in enumerate(sample) if i % 4 < 2]
-    confirm = [s for i, s in enumerate(sample) if i % 4 == 2]
-    check = [s for i, s in enumerate(sample) if i % 4 == 3]
+    parts: list[list[tuple[str, int]]] = [[], [], []]
+    for label in (0, 1):  # two of four, one and one of each class
+        for i, row in enumerate(r for r in sample if r[1] == label):
+            parts[(0, 0, 1, 2)[i % 4]].append(row)
+    learn, confirm, check = parts
     marks = typical_stems(learn, confirm)
     labels = np.array([y for _, y in check])
     if not marks or not 0 < labels.sum() < len(labels):
@@ -229,9 +232,10 @@ def train(
     """Fit on a bounded sample of the labelled rows that are not held out.
 
     Labels other than 0 and 1, NULLs and labels without a document are passed over; an id
-    with several labels counts as toxic if one says so. Without both classes every score
-    is the share of toxic rows. At most ``rows`` documents of each class, of at most
-    ``chars`` characters each, come to the driver.
+    with several labels counts as toxic if one says so, and of several texts the least is
+    taken. Without both classes every score is the share of toxic rows. At most twice
+    ``rows`` documents of each class, of at most ``chars`` characters each, come to the
+    driver, and ``rows`` of them are used.
     """
     known = (
         labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label"))
@@ -239,18 +243,18 @@ def train(
         .groupBy("_id")
         .agg(F.max("_label").alias("_label"))
     )
-    totals = {r[0]: r[1] for r in known.groupBy("_label").count().collect()}
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(
-        F.length("_text") <= chars
-    )
-    order = [F.xxhash64("_id"), F.col("_id")]
+    known, kind = cut(known), labels.schema[id_col].dataType.simpleString()
+    totals = dict(known.groupBy("_label").count().collect())
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    texts = texts.where(F.length("_text") <= chars)
     sample = []
-    for label in (0, 1):
+    for label, total in totals.items():
         # Twice as many ids as wanted, for those without a text or with a long one.
-        ids = known.where(F.col("_label") == label).orderBy(*order).limit(2 * rows)
-        found = texts.join(F.broadcast(ids), "_id").orderBy(*order, "_text").limit(rows)
-        sample += [(r["_text"], r["_label"], r["_h"]) for r in found.withColumn("_h", order[0]).collect()]
-    return fit([s[:2] for s in sorted(sample, key=lambda s: (s[2], s[0]))], totals)
+        ids = hash_sample(known.where(F.col("_label") == label), "_id", 2 * rows, total)
+        named = docs.sparkSession.createDataFrame([(i, n) for n, i in enumerate(ids)], f"_id {kind}, _n int")
+        found = texts.join(F.broadcast(named), "_id").groupBy("_n").agg(F.min("_text"))
+        sample += [(n, label, text) for n, text in sorted(found.collect())[:rows]]
+    return fit([(text, label) for _, label, text in sorted(sample)], totals)
 
 
 def score_column(text: Column, model: Model) -> Column:
