@@ -21,72 +21,66 @@ by_value(__name__)
 
 #: A run ends with the third sentence if it has 12 words by then, or with the second if it
 #: has 24; else it goes on. Shorter repeats are chance or formula, not copied passages.
-RUNS = ((3, 12), (2, 24))
-#: Ends of sentences: white space after a stop, or a line break.
-BREAK = re.compile(r"((?<=[.!?])\s+|\s*\n\s*)")
-#: Removals are broadcast up to so many sentences in all.
-BROADCAST_SENTENCES = 2_000_000
+SENTENCES, WORDS = 3, 12
+FEWER, LONG = 2, 24
+#: Ends of sentences: a stop with white space after it, or a line break.
+BREAK = re.compile(r"[.!?]\s+|\n\s*")
 
 
 def sentences(text: str) -> list[str]:
-    """Sentences and what separates them, by turns; joined they are the text."""
-    return BREAK.split(text)
-
-
-def run_ends(words: list[int]) -> list[int]:
-    """For each sentence the end of the run that starts there; 0 where the text ends first."""
-    ends = []
+    """The text in sentences, each with the white space after it."""
+    ends = [m.end() for m in BREAK.finditer(text)]
+    return [text[a:b] for a, b in zip([0, *ends], [*ends, len(text)], strict=True) if a < b]
+
+
+def run_end(words: list[int], start: int) -> int:
+    """End of the run that starts with this sentence; 0 if the text ends first."""
+    total = 0
+    for end in range(start, len(words)):
+        total += words[end]
+        count = end - start + 1
+        if count >= SENTENCES and total >= WORDS or count >= FEWER and total >= LONG:
+            return end + 1
+    return 0
+
+
+def run_hashes(text: str) -> list[int]:
+    """Hash of each run by the number of its first sentence, not counting empty ones."""
+    parts = [w for w in (s.lower().split() for s in sentences(text)) if w]
+    digests = [xxhash.xxh64_digest(" ".join(w)) for w in parts]
+    words, found = list(map(len, parts)), []
     for start in range(len(words)):
-        total, end = 0, start
-        while end < len(words):
-            total += words[end]
-            end += 1
-            if any(end - start >= n and total >= w for n, w in RUNS):
-                ends.append(end)
-                break
-        else:
-            ends.append(0)
-    return ends
-
-
-def runs_of(text: str) -> list[tuple[int, int, int]]:
-    """Start, end and hash of each run; numbers count the sentences that are not empty."""
-    parts = [" ".join(s.lower().split()) for s in sentences(text)[::2]]
-    parts = [s for s in parts if s]
-    ends = run_ends([s.count(" ") + 1 for s in parts])
-    return [
-        (i, end, xxhash.xxh64_intdigest("\n".join(parts[i:end])) - (1 << 63))
-        for i, end in enumerate(ends)
-        if end
-    ]
+        end = run_end(words, start)
+        if not end:
+            break  # nor does any later one
+        found.append(xxhash.xxh64_intdigest(b"".join(digests[start:end])) - (1 << 63))
+    return found
 
 
 def without(text: str, starts: list[int]) -> tuple[str, list[tuple[int, int]]]:
     """The text without the runs that start there, and the removed ranges of characters."""
-    gone = {i for start, end, _ in runs_of(text) if start in set(starts) for i in range(start, end)}
-    parts, kept, ranges, at, number = sentences(text), [], [], 0, 0
-    for i in range(0, len(parts), 2):
-        piece = "".join(parts[i : i + 2])
-        if parts[i].strip():
-            number += 1
-            if number - 1 in gone:
-                if ranges and ranges[-1][1] == at:
-                    ranges[-1] = (ranges[-1][0], at + len(piece))
-                else:
-                    ranges.append((at, at + len(piece)))
-                at += len(piece)
-                continue
-        kept.append(piece)
-        at += len(piece)
+    parts = sentences(text)
+    full = [i for i, s in enumerate(parts) if s.strip()]
+    words = [len(parts[i].split()) for i in full]
+    gone = {full[i] for start in starts for i in range(start, run_end(words, start))}
+    kept, ranges, at = [], [], 0
+    for i, part in enumerate(parts):
+        if i not in gone:
+            kept.append(part)
+        elif ranges and ranges[-1][1] == at:
+            ranges[-1] = (ranges[-1][0], at + len(part))
+        else:
+            ranges.append((at, at + len(part)))
+        at += len(part)
     return "".join(kept).rstrip() if gone else text, ranges
 
 
 def hashes_column(text: Column) -> Column:
-    """Hashes of the runs by start; NULL where none starts."""
+    """Hashes of the runs, by start."""
 
     def each(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pa.array([[h for _, _, h in runs_of(t)] for t in texts.to_pylist()], pa.list_(pa.int64()))
+            yield pa.array(map(run_hashes, texts.to_pylist()), pa.list_(pa.int64()), size=len(texts))
 
     return F.arrow_udf(each, "array<bigint>")(text_of(text))
 
@@ -130,15 +124,13 @@ def span_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .where(F.size("_hashes") > 0)
     )
     spread = runs.select("_id", "_key", F.posexplode("_hashes").alias("_start", "_h"))
-    often = spread.groupBy("_h").agg(F.count("*").alias("_n")).where("_n > 1").select("_h")
+    # Tables of their own, so that the joins shuffle both sides and can be split.
+    often = cut(spread.groupBy("_h").agg(F.count("*").alias("_n")).where("_n > 1").select("_h"))
     again = cut(spread.join(often, "_h"))
     place = F.struct("_id", "_key", "_start")
-    first = again.groupBy("_h").agg(F.min(place).alias("_first"))
+    first = cut(again.groupBy("_h").agg(F.min(place).alias("_first")))
     later = again.join(first, "_h").where(~place.eqNullSafe(F.col("_first")))
     gone = cut(later.groupBy("_id", "_key").agg(F.array_sort(F.collect_set("_start")).alias("_starts")))
-    total = gone.agg(F.sum(F.size("_starts"))).first()[0] or 0
-    if total <= BROADCAST_SENTENCES:
-        gone = F.broadcast(gone)
     same = docs[id_col].eqNullSafe(gone["_id"]) & (text_key(docs[text_col]) == gone["_key"])
     text, starts = docs[text_col], gone["_starts"]
     marked = docs.join(gone, same, "left").select(
