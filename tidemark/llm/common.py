@@ -22,6 +22,18 @@ def by_value(module: str) -> None:
 by_value(__name__)
 
 
+#: Bytes of texts that a Python worker gets at a time.
+BATCH_BYTES = 8 << 20
+
+
+def by_batches(spark: SparkSession) -> None:
+    """Bound what a Python worker holds, also of very long texts, unless the session is stricter."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    size = spark.conf.get(key).lower().rstrip("b")
+    if not size.lstrip("-").isdigit() or not 0 < int(size) < BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import by_value, hash_sample, text_of
+from tidemark.llm.common import by_batches, by_value, hash_sample, text_of
 
 by_value(__name__)
 
@@ -213,6 +213,7 @@ def extract(
     blocks are joined by one space in page order. NULL, empty and textless pages give an
     empty text. Whole pages are read, of any length. A page's tokens are looked at once.
     """
+    by_batches(pages.sparkSession)
     weights = train(pages, html_col)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

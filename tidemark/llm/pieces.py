@@ -19,7 +19,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import by_value, text_of
+from tidemark.llm.common import by_batches, by_value, text_of
 
 by_value(__name__)
 
@@ -106,6 +106,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     the tasks; a task's table is bounded, and a text's chunks are looked up in order, so
     memory is a batch of texts and their ids.
     """
+    by_batches(docs.sparkSession)
     with open(model_path, "rb") as file:
         model = docs.sparkSession.sparkContext.broadcast(file.read())
 

@@ -17,12 +17,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import islice, takewhile
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import by_value, cut, hash_sample, small, text_key, text_of
+from tidemark.llm.common import by_batches, by_value, cut, hash_sample, small, text_key, text_of
 
 by_value(__name__)
 
@@ -46,6 +45,8 @@ ALPHA = 0.05
 UNSEEN = 1e-4
 #: Share of known credentials that the threshold lets pass.
 ACCEPTED = 0.95
+#: Share of the ordinary tokens that may pass.
+MIXED = 0.1
 
 
 # --- base spans and candidates --------------------------------------------------------
@@ -208,8 +209,11 @@ def fit(values: dict[str, list[str]], ordinary: list[str]) -> Model:
         return Model([], None, math.inf)
     model = Model(automata, infer(rest), math.inf)
     known = sorted(model.score(v) for k, vs in check.items() if len(learn[k]) >= LEAST_SAMPLE for v in vs)
-    plain = [model.score(t) for i, t in enumerate(ordinary) if i % 3 == 0]
-    model.threshold = max([0.0, known[int((1 - ACCEPTED) * len(known))], *(p + 1e-9 for p in plain)])
+    threshold = max(0.0, known[int((1 - ACCEPTED) * len(known))])
+    plain = [model.score(t) >= threshold for i, t in enumerate(ordinary) if i % 3 == 0]
+    # The tokens may hold some credentials; where many pass, the formats cannot be told apart.
+    if sum(plain) <= MIXED * len(plain):
+        model.threshold = threshold
     return model
 
 
@@ -226,7 +230,7 @@ def scan_column(text: Column) -> Column:
         names = ("start", "end", "kind", "value")
         for texts in batches:
             rows = []
-            for text in texts.to_pylist():
+            for text in (t.as_py() for t in texts):
                 base = base_spans(text)
                 found = base + candidates(text, base)
                 rows.append([dict(zip(names, s, strict=True)) for s in found])
@@ -247,11 +251,11 @@ def train(found: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 def accepted_column(value: Column, model: Model) -> Column:
-    def each(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def each(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for values in batches:
-            yield pd.Series([model.score(v) >= model.threshold for v in values], dtype="bool")
+            yield pa.array([model.score(v) >= model.threshold for v in values.to_pylist()], pa.bool_())
 
-    return F.pandas_udf(each, "boolean")(value)
+    return F.arrow_udf(each, "boolean")(value)
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -263,6 +267,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     and text are one row here, as their spans are the same. Without enough labelled
     credentials or ordinary tokens nothing is added to the base spans.
     """
+    by_batches(docs.sparkSession)
     scanned = docs.select(
         F.col(id_col).alias("_id"),
         text_key(F.col(text_col)).alias("_key"),

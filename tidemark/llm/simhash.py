@@ -15,13 +15,13 @@ from collections.abc import Iterator
 from itertools import combinations_with_replacement, product, repeat
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import components
-from tidemark.llm.common import by_value, cut, drop_rows, hash_sample, text_key, text_of
+from tidemark.llm.common import by_batches, by_value, cut, drop_rows, hash_sample, text_key, text_of
 
 by_value(__name__)
 
@@ -64,12 +64,12 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 def fingerprint_column(text: Column, shingle: int = SHINGLE) -> Column:
     """The fingerprint as a bigint of the same bits."""
 
-    def each(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def each(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            prints = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts))
-            yield pd.Series(prints.view(np.int64))
+            prints = (fingerprint(t.as_py(), shingle) for t in texts)
+            yield pa.array(np.fromiter(prints, np.uint64, len(texts)).view(np.int64))
 
-    return F.pandas_udf(each, "bigint")(text_of(text))
+    return F.arrow_udf(each, "bigint")(text_of(text))
 
 
 # --- vantage-point tree ---------------------------------------------------------------
@@ -156,6 +156,7 @@ def simhash_groups(
 
     Equal fingerprints are one node, so copies cost one row each and never form pairs.
     """
+    by_batches(docs.sparkSession)
     rows = cut(
         docs.select(
             F.col(id_col).alias("_id"),

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import by_value, cut, text_key, text_of
+from tidemark.llm.common import by_batches, by_value, cut, text_key, text_of
 
 by_value(__name__)
 
@@ -118,6 +118,7 @@ def span_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     are looked at further, in joins with one row per hash on one side. What is gathered
     per document is bounded by its own sentences.
     """
+    by_batches(docs.sparkSession)
     key = text_key(F.col(text_col)).alias("_key")
     runs = cut(
         docs.select(F.col(id_col).alias("_id"), key, hashes_column(F.col(text_col)).alias("_hashes"))

@@ -13,16 +13,16 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import by_value, cut, hash_sample, text_of
+from tidemark.llm.common import by_batches, by_value, cut, hash_sample, text_of
 
 by_value(__name__)
 
@@ -127,26 +127,35 @@ def stems(text: str) -> set[bytes]:
     return {s for w in set(words_of(text)) for s in stems_of(bare(w))}
 
 
-def surprise(sample: list[tuple[str, int]]) -> dict[bytes, float]:
-    """Log-likelihood ratio of each stem that stands in a larger share of the toxic documents."""
-    counts, sizes = (Counter(), Counter()), [1, 1]
+def surprise(sample: list[tuple[str, int]], among: Container[bytes] | None = None) -> dict[bytes, float]:
+    """Log-likelihood ratio of each stem that stands in a larger share of the toxic documents.
+
+    Only stems of ``among``, if given, and of at least three toxic documents are counted.
+    """
+    sizes = [1 + sum(y == label for _, y in sample) for label in (0, 1)]
+    toxic: Counter = Counter()
+    for text, label in sample:
+        if label:
+            toxic.update(s for s in stems(text) if len(s) > 3 and (among is None or s in among))
+    toxic = Counter({s: n for s, n in toxic.items() if n >= 3})
+    plain: Counter = Counter()
     for text, label in sample:
-        counts[label].update(stems(text))
-        sizes[label] += 1
+        if not label:
+            plain.update(s for s in stems(text) if s in toxic)
     found = {}
-    for stem, n in counts[1].items():
-        both = n + counts[0][stem]
-        due = [both * size / sum(sizes) for size in sizes]
-        if n > due[1] and len(stem) > 3:
-            rest = both - n
+    for stem, n in toxic.items():
+        rest = plain[stem]
+        due = [(n + rest) * size / sum(sizes) for size in sizes]
+        if n > due[1]:
             found[stem] = 2 * (n * math.log(n / due[1]) + (rest * math.log(rest / due[0]) if rest else 0))
     return found
 
 
 def typical_stems(learn: list[tuple[str, int]], confirm: list[tuple[str, int]]) -> list[bytes]:
     """Stems that two separate parts of the sample show to be typical of toxic documents."""
-    first, second = surprise(learn), surprise(confirm)
-    kept = [w for w, s in first.items() if s >= SURPRISE and second.get(w, 0.0) >= CONFIRMED]
+    first = {w: s for w, s in surprise(learn).items() if s >= SURPRISE}
+    second = surprise(confirm, first)
+    kept = [w for w in first if second.get(w, 0.0) >= CONFIRMED]
     return sorted(kept, key=lambda w: (first[w], w))[-STEMS:]
 
 
@@ -237,6 +246,7 @@ def train(
     ``rows`` documents of each class, of at most ``chars`` characters each, come to the
     driver, and ``rows`` of them are used.
     """
+    by_batches(docs.sparkSession)
     known = (
         labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label"))
         .where(F.col("_label").isin(0, 1) & F.col("_id").isNotNull() & (remainder(F.col("_id")) != HELD_OUT))
@@ -260,12 +270,12 @@ def train(
 def score_column(text: Column, model: Model) -> Column:
     """Probability of label 1, from the whole text."""
 
-    def each(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def each(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         opened = model.open()
         for texts in batches:
-            yield pd.Series([model.score(t, opened) for t in texts], dtype="float64")
+            yield pa.array((model.score(t.as_py(), opened) for t in texts), pa.float64(), size=len(texts))
 
-    return F.pandas_udf(each, "double")(text_of(text))
+    return F.arrow_udf(each, "double")(text_of(text))
 
 
 def toxicity(
