@@ -46,7 +46,7 @@ UNSEEN = 1e-4
 #: Share of known credentials that the threshold lets pass.
 ACCEPTED = 0.95
 #: Share of the ordinary tokens that may pass.
-MIXED = 0.1
+MIXED = 0.2
 
 
 # --- base spans and candidates --------------------------------------------------------
