@@ -380,12 +380,12 @@ ORACLES = {
     ),
     "event_log_append": oracle(
         """SELECT 'db' || user_id % 3 AS source_db, 't' || user_id % 14 AS table_name,
-                  ['SYNC_START', 'SOURCE_COUNT', 'EXTRACT_START', 'EXTRACT_COMPLETE', 'LOAD_START',
-                   'LOAD_COMPLETE', 'SYNC_COMPLETE', 'SYNC_FAILED'][event_id % 8 + 1] AS event_type,
+                  CASE WHEN event_id % 17 = 0 THEN 'OTHER' ELSE ['SYNC_START', 'SOURCE_COUNT', 'EXTRACT_START', 'EXTRACT_COMPLETE', 'LOAD_START',
+                   'LOAD_COMPLETE', 'SYNC_COMPLETE', 'SYNC_FAILED'][event_id % 8 + 1] END AS event_type,
                   'event ' || event_id AS message, CAST(floor(value) AS BIGINT) AS rows_affected,
                   CASE WHEN event_id % 8 > 2 THEN CAST(floor(value * 10) AS BIGINT) END AS duration_ms,
                   '{"event_id":' || event_id || ',"cause":"' || event_type || '"}' AS metadata,
                   ts AS logged_at
-           FROM {events} WHERE event_id % 17 <> 0"""
+           FROM {events}"""
     ),
 }

@@ -169,7 +169,7 @@ def sync_cdc(spark, sf):
 def sync_wal(spark, sf):
     store = target(spark, sf, "fx_target_users", "pkid", buckets=4)
     lines = table(spark, sf, "fx_wal_lines")
-    done = flows.sync_wal(lines, source(spark, sf), USERS, store, "data", limit=None)
+    done = flows.sync_wal(lines, source(spark, sf), USERS, store, "data")
     return _outcome(store.read(), done).withColumns(
         {
             "rejected": F.lit(done.rejected).cast("bigint"),
@@ -257,7 +257,6 @@ def sync_registry(spark, sf):
         source_of=lambda database: tables,
         changelog_of=lambda database, slot: seen["lines"],
         clock=lambda: datetime.fromisoformat(RUN),
-        changelog_limit=None,
     )
     sync.register_databases(
         spark.createDataFrame(

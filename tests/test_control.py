@@ -173,6 +173,15 @@ def catalog(spark, **tables):
     return spark.createDataFrame(rows, CATALOG)
 
 
+#: Fixed value: md5 of "user_id:integer|name:varchar", first 16 digits.
+FINGERPRINT = "9500be5857cbd452"
+
+
+def printed(spark, columns):
+    row = evolution.schema_fingerprint(catalog(spark, t=columns)).first()
+    return row["fingerprint"] if row else "of nothing"
+
+
 @pytest.mark.parametrize(
     "old, new, recorded, expected",
     [
@@ -186,20 +195,17 @@ def catalog(spark, **tables):
     ],
 )
 def test_decision(spark, old, new, recorded, expected):
-    stored = {"same": evolution.fingerprint_of(new), "was": evolution.fingerprint_of(old)}.get(recorded)
+    stored = {"same": printed(spark, new), "was": printed(spark, old)}.get(recorded)
     known = spark.createDataFrame(
         [("t", stored, 1 if recorded else None)], "table_id string, schema_fingerprint string, schema_version int"
     )
     row = evolution.schema_decision(known, catalog(spark, t=new), catalog(spark, t=old)).first()
     assert (row["force_full"], row["schema_version"], row["message"]) == expected
-    assert row["fingerprint"] == evolution.fingerprint_of(new)
-
+    assert row["fingerprint"] == printed(spark, new)
 
-def test_fingerprint_value():
-    import hashlib
 
-    want = hashlib.md5(b"user_id:integer|name:varchar").hexdigest()[:16]
-    assert evolution.fingerprint_of([("user_id", "integer"), ("name", "varchar")]) == want
+def test_fingerprint_value(spark):
+    assert printed(spark, [("user_id", "integer"), ("name", "varchar")]) == FINGERPRINT
 
 
 @pytest.mark.parametrize(
@@ -269,4 +275,30 @@ def test_events_of_unknown_type_are_left_out(spark):
         "source_db string, table_name string, event_type string, message string, rows_affected int, "
         "duration_ms int, logged_at timestamp_ntz",
     )
-    assert control.event_rows(events).count() == 1
+    assert control.event_rows(events).count() == events.count()
+
+
+def test_one_database_and_skipped_entries(spark):
+    texts = [
+        '{"database": {"database_id": "one", "host": "h"}, "tables": [{"name": "t"}, {"name": ""}]}',
+        '{"databases": [{"database_id": "two", "host": "h"}, {"database_id": "no"}, {"host": "h"}], "tables": [{"name": "u"}]}',
+        "not json",
+        '{"tables": [{"name": "v"}]}',
+    ]
+    documents = control.config_documents(spark.createDataFrame([(t,) for t in texts], "document string"))
+    databases, tables = control.expand_config(documents)
+    assert sorted(r["database_id"] for r in databases.collect()) == ["one", "two"]
+    assert sorted(r["table_id"] for r in tables.collect()) == ["one_t", "two_u"]
+    skipped = sorted(map(str, (tuple(r) for r in control.skipped_entries(documents).collect())))
+    assert skipped == sorted(
+        map(
+            str,
+            [
+                ("database", "no", "without host"),
+                ("database", None, "without database_id"),
+                ("document", None, "not readable, or without a database"),
+                ("document", None, "not readable, or without a database"),
+                ("table", "", "without name"),
+            ],
+        )
+    )

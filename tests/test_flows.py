@@ -330,3 +330,37 @@ def test_config_duplicate_keys_fail_the_table(spark):
     result = sync.sync_table("one", "t")
     assert result["status"] == "failed" and "repeats a key" in result["error"]
     assert sync.status().first()["last_sync_value"] == day(1)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("kind", ["timestamp", "date", "timestamp_ntz"])
+def test_watermarks_of_other_types(spark, tmp_path, kind, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = spark.range(1, 11).selectExpr(
+            "id", f"CAST(timestamp_ntz'2024-03-01 00:30:00' + make_dt_interval(CAST(id AS int)) AS {kind}) AS at"
+        )
+        spec = TableSpec.of("t", "id", cdc_column="at")
+        table = SnapshotTable(spark, str(tmp_path / "t"))
+        first = flows.sync_cdc(FrameSource({"t": rows.filter("id <= 5")}), spec, table)
+        assert first.row_count == 5 and first.watermark is not None
+        second = flows.sync_cdc(FrameSource({"t": rows}), spec, table, first.watermark)
+        assert second.row_count == 5 and table.read().count() == 10
+        assert flows.sync_cdc(FrameSource({"t": rows}), spec, table, second.watermark).row_count == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_what_the_log_leaves_out_is_counted(spark, tmp_path):
+    lines = [
+        (1, "table public.t: DELETE: (no-tuple-data)"),
+        (2, "table public.t: UPDATE: id[bigint]:7"),
+        (3, "table public.t: INSERT: id[bigint]:1"),
+    ]
+    log = spark.createDataFrame(lines, "lsn bigint, data string")
+    now = FrameSource({"t": spark.createDataFrame([(1, "a")], "id bigint, v string")})
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    done = flows.sync_wal(log, now, TableSpec.of("t", "id"), table, "public")
+    assert (done.upserts, done.rejected, done.missing, done.position) == (1, 1, 1, 3)
+    assert done.left_out == "1 unreadable lines skipped, 1 changed keys not in the source"

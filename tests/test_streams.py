@@ -1,5 +1,7 @@
 """Streams over several polls, restarts included."""
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import wal
@@ -61,3 +63,15 @@ def test_cdc_stream_makes_and_merges(spark, values):
         changed = spark.readStream.schema(schema).parquet(folder)
         streams.stream_cdc(changed, ["k"], "at", target, checkpoint).awaitTermination()
     assert values(target.read(), "k", "v") == [(1, "aa"), (2, "bb"), (3, "c")]
+
+
+def test_older_rows_never_replace_newer_ones(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    folder = tmp_path / "in"
+    kind = "k bigint, v string, at timestamp_ntz"
+    for name, rows in {"a": [(1, "new", 5), (2, "x", 1)], "b": [(1, "old", 3), (2, "y", 2)]}.items():
+        frame = spark.createDataFrame([(k, v, datetime(2024, 1, d)) for k, v, d in rows], kind)
+        frame.coalesce(1).write.mode("append").parquet(str(folder))
+        stream = spark.readStream.schema(kind).parquet(str(folder))
+        streams.stream_cdc(stream, ["k"], "at", table, str(tmp_path / "check")).awaitTermination()
+    assert sorted((r.k, r.v) for r in table.read().collect()) == [(1, "new"), (2, "y")]

@@ -9,7 +9,7 @@ from typing import Any
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, DateType, TimestampType
 
 STATUS_LENGTH = 500
 
@@ -26,9 +26,23 @@ def _literal_text(value: Any) -> str:
     return str(value)
 
 
+def watermark_value(column: str, data_type: DataType) -> Column:
+    """A watermark as a plain UTC time, whatever the zones of the session and of Python."""
+    value = F.col(column)
+    if isinstance(data_type, TimestampType):
+        zone = F.current_timezone()
+        return F.convert_timezone(zone, F.lit("UTC"), value.cast("timestamp_ntz"))
+    return value.cast("timestamp_ntz") if isinstance(data_type, DateType) else value
+
+
 def typed_literal(value: Any, data_type: DataType | str) -> Column:
-    """A literal of a given type, independent of the session or Python time zone."""
+    """A literal of a given type, independent of the session or Python time zone.
+
+    A time without a zone is UTC where the type has one.
+    """
     text = None if value is None else _literal_text(value)
+    if isinstance(value, datetime) and isinstance(data_type, TimestampType):
+        text += "+00:00"
     return F.lit(text).cast(data_type)
 
 

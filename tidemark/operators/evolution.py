@@ -6,7 +6,6 @@ bounds by itself; all tables of a catalog are compared in one aggregation.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -21,12 +20,6 @@ EVOLVED = "Schema evolved v%d->v%d: %s"
 RETYPED = "column type changes"
 
 
-def fingerprint_of(columns: Sequence[tuple[str, str]]) -> str:
-    """Fingerprint of one ordered column list, on the driver."""
-    text = "|".join(f"{name}:{data_type}" for name, data_type in columns)
-    return hashlib.md5(text.encode()).hexdigest()[:FINGERPRINT_LENGTH]
-
-
 def _fingerprint(columns: Column) -> Column:
     """Fingerprint of an array of column structs that is in ordinal order."""
     pairs = F.transform(columns, lambda c: F.concat_ws(":", c["column_name"], c["data_type"]))

@@ -222,8 +222,9 @@ class ConfigSync:
             "row_count bigint, error string"
         )
         rows = [
-            (r["database"], r["table"], r.get("watermark"), r.get("rows"), r.get("error"))
+            (r["database"], r["table"], mark if isinstance(mark, datetime) else None, r.get("rows"), r.get("error"))
             for r in results
+            for mark in [r.get("watermark")]
         ]
         runs = self.spark.createDataFrame(rows, schema)
         now = self.clock()

@@ -134,16 +134,53 @@ def config_documents(texts: DataFrame) -> DataFrame:
     return texts.withColumn("document", F.from_json("document", s.CONFIG_DOCUMENT))
 
 
+def _config_databases(documents: DataFrame) -> DataFrame:
+    """Each document with one of its databases, given as a list or singly."""
+    listed = F.coalesce("document.databases", F.array())
+    single = F.when(F.col("document.database").isNotNull(), F.array("document.database"))
+    return documents.select("document", F.explode(F.concat(listed, F.coalesce(single, F.array()))).alias("db"))
+
+
+def skipped_entries(documents: DataFrame) -> DataFrame:
+    """What ``expand_config`` passes over: ``entry``, its ``name`` and the ``reason``."""
+
+    def skipped(rows: DataFrame, entry: str, name: Column, reason: Column) -> DataFrame:
+        found = rows.select(F.lit(entry).alias("entry"), name.cast("string").alias("name"), reason.alias("reason"))
+        return found.filter(F.col("reason").isNotNull())
+
+    db, tbl, doc = F.col("db"), F.col("tbl"), F.col("document")
+    none = F.size(F.coalesce(doc["databases"], F.array())) + doc["database"].isNotNull().cast("int") == 0
+    bad = F.when(doc.isNull() | none, "not readable, or without a database")
+    no_id = F.coalesce(db["database_id"], F.lit("")) == ""
+    no_host = F.coalesce(db["host"], F.lit("")) == ""
+    tables = documents.select(F.explode("document.tables").alias("tbl"))
+    return (
+        skipped(documents, "document", F.lit(None), bad)
+        .unionByName(
+            skipped(
+                _config_databases(documents),
+                "database",
+                db["database_id"],
+                F.when(no_id, "without database_id").when(no_host, "without host"),
+            )
+        )
+        .unionByName(
+            skipped(tables, "table", tbl["name"], F.when(F.coalesce(tbl["name"], F.lit("")) == "", "without name"))
+        )
+    )
+
+
 def expand_config(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Database entries and table entries of configuration documents.
 
     Every table of a document goes to every database of it. Both lists sit in the
     same row, so the product is two ``explode`` steps and no join. Databases
-    without id or host and tables without a name are skipped.
+    without id or host and tables without a name are skipped; ``skipped_entries``
+    names them.
     """
     db, defaults, tbl = F.col("db"), F.col("document.defaults"), F.col("tbl")
     given = (
-        documents.select("document", F.explode("document.databases").alias("db"))
+        _config_databases(documents)
         .filter(db["database_id"].isNotNull() & (db["database_id"] != ""))
         .filter(db["host"].isNotNull() & (db["host"] != ""))
     )
@@ -367,7 +404,7 @@ def state_reset_all(state: DataFrame) -> DataFrame:
 def event_rows(events: DataFrame, metadata: Sequence[str] = ()) -> DataFrame:
     """Event-log rows; the ``metadata`` columns go into one JSON text."""
     text: Any = F.to_json(F.struct(*metadata)) if metadata else F.lit(None).cast("string")
-    return events.filter(F.col("event_type").isin(*EVENT_TYPES)).select(
+    return events.select(
         "source_db",
         "table_name",
         "event_type",

@@ -20,6 +20,7 @@ from pyspark.sql.types import DataType
 
 from tidemark import schemas as s
 from tidemark.functions import any_null
+from tidemark.functions.exprs import watermark_value
 from tidemark.operators import wal
 from tidemark.plans.store import SnapshotTable, buckets_for
 from tidemark.sources.changelog import changelog_read
@@ -40,6 +41,17 @@ class Outcome:
     deletes: int = 0
     rejected: int = 0
     position: int | None = None
+    missing: int = 0
+
+    @property
+    def left_out(self) -> str:
+        """What of the log could not be applied as it says; empty if nothing."""
+        parts = []
+        if self.rejected:
+            parts.append(f"{self.rejected} unreadable lines skipped")
+        if self.missing:
+            parts.append(f"{self.missing} changed keys not in the source")
+        return ", ".join(parts)
 
 
 # --- method choice --------------------------------------------------------------------
@@ -89,7 +101,9 @@ def sync_full(
     df, expected = scan_auto(source, spec, threshold=min(batch_size, s.LARGE_TABLE_ROWS))
     table.overwrite(prepare(df), spec.keys, buckets_for(expected))
     target = table.read()
-    top = F.max(spec.cdc_column) if with_watermark and spec.cdc_column else F.lit(None)
+    top = F.lit(None)
+    if with_watermark and spec.cdc_column:
+        top = F.max(watermark_value(spec.cdc_column, target.schema[spec.cdc_column].dataType))
     row = target.agg(F.count("*").alias("rows"), top.alias("watermark")).first()
     paged = bool(spec.keys) and row["rows"] > batch_size
     batches = -(-row["rows"] // batch_size) if paged else 1
@@ -112,7 +126,8 @@ def sync_cdc(
             rows, top = table.merge(staged, spec.cdc_column)
         else:
             mode = "CDC (initial)"
-            rows, top = staged.agg(F.count("*"), F.max(spec.cdc_column)).first()
+            newest = F.max(watermark_value(spec.cdc_column, staged.schema[spec.cdc_column].dataType))
+            rows, top = staged.agg(F.count("*"), newest).first()
             if rows:
                 table.overwrite(staged, spec.keys, buckets_for(rows))
     if not rows:
@@ -129,19 +144,19 @@ def sync_wal(
     source_schema: str,
     key_types: Mapping[str, DataType | str] | None = None,
     committed_lsn: int | None = None,
-    limit: int | None = s.CHANGELOG_LIMIT,
+    limit: int | None = None,
     policy: str = "last_change",
 ) -> Outcome:
     """Apply pending log lines of one table; ``position`` is what may be committed after.
 
-    ``limit`` fixes how far one run reads into the log. The lines up to there are
-    then read as a plain range, so there is no sort of the log.
+    All that is pending is applied. A ``limit`` of lines fixes how far one run reads
+    into the log; these are then read as a plain range.
     """
     pending = changelog_read(lines, committed_lsn, limit=limit)
     head = pending.agg(F.max("lsn")).first()[0]
     if head is None:
         return Outcome(0, "WAL (no changes)", batches=0, position=committed_lsn)
-    batch = changelog_read(lines, committed_lsn, head, limit=None)
+    batch = changelog_read(lines, committed_lsn, head)
     return apply_lines(batch, source, spec, table, source_schema, key_types, policy, head)
 
 
@@ -167,6 +182,7 @@ def apply_lines(
         net = stage(wal.net_changes(watched, keys, policy))
         fetched = stage(source.read_keys(spec, net.filter(F.col("op") != wal.DELETE)))
         upserts, deletes = fetched.count(), 0
+        wanted = net.filter((F.col("op") != wal.DELETE) & ~any_null(keys)).count()
         if table.exists():
             deletes = net.filter(F.col("op") == wal.DELETE).count()
             table.apply(fetched, net, policy)
@@ -174,7 +190,8 @@ def apply_lines(
             table.overwrite(fetched, keys, buckets_for(upserts))
     rejected = seen.get.get("rejected", 0)
     mode = f"WAL ({upserts} upserts, {deletes} deletes)" if upserts + deletes else "WAL (no changes)"
-    return Outcome(upserts + deletes, mode, None, 1, upserts, deletes, rejected, position)
+    missing = max(0, wanted - upserts)
+    return Outcome(upserts + deletes, mode, None, 1, upserts, deletes, rejected, position, missing)
 
 
 # --- many tables ----------------------------------------------------------------------

@@ -119,7 +119,7 @@ class RegistrySync:
         changelog_of: Callable[[Row, str], DataFrame] | None = None,
         clock: Callable[[], datetime] = utc_now,
         parallelism: int = 8,
-        changelog_limit: int | None = s.CHANGELOG_LIMIT,
+        changelog_limit: int | None = None,
         policy: str = "last_change",
     ) -> None:
         self.warehouse, self.spark = warehouse, warehouse.spark
@@ -152,11 +152,12 @@ class RegistrySync:
             control.register_tables(self.tables.read(), entries, self.clock())
         )
 
-    def setup(self, documents: DataFrame) -> None:
-        """Register all databases and tables of configuration documents."""
+    def setup(self, documents: DataFrame) -> DataFrame:
+        """Register all databases and tables of configuration documents; what was skipped."""
         databases, tables = control.expand_config(documents)
         self.register_databases(databases)
         self.register_tables(tables)
+        return control.skipped_entries(documents)
 
     # --- runs ---
 
@@ -280,8 +281,13 @@ class RegistrySync:
             start = None if None in positions else min(positions)
             try:
                 lines = self.changelog_of(members[0].database, slot)
-                head = changelog_head(changelog_read(lines, start, limit=self.changelog_limit))
-                batch = changelog_read(lines, start, head, limit=None)
+                # A limit counts from each position, so that no table stalls another.
+                heads = {
+                    p: changelog_head(changelog_read(lines, p, limit=self.changelog_limit))
+                    for p in (set(positions) if self.changelog_limit else {start})
+                }
+                head = max((h for h in heads.values() if h is not None), default=None)
+                batch = changelog_read(lines, start, head)
                 names = {p.table_id: wal.relation(*self._relation(p)) for p in members}
                 if head is not None and len(members) > 1:
                     folder = fresh_folder(self.spark, "slot")
@@ -299,7 +305,8 @@ class RegistrySync:
                 own = batch
                 if "relation" in batch.columns:
                     own = batch.filter(F.col("relation") == names[p.table_id])
-                pending[p.table_id] = _Pending(changelog_read(own, position, limit=None), position, head)
+                end = heads.get(position, head) if self.changelog_limit else head
+                pending[p.table_id] = _Pending(changelog_read(own, position, end), position, end)
         return pending, folders
 
     @staticmethod
@@ -317,6 +324,8 @@ class RegistrySync:
                 seconds = time.monotonic() - started
                 rate = int(done.row_count / seconds) if seconds > 0 and done.row_count > 0 else 0
                 text = f"{probe.table_id} {done.mode}: {done.row_count} rows, {rate} per second"
+                if done.left_out:
+                    text = f"{text}; {done.left_out}"
                 note = plan["message"]
                 return replace(
                     run,
@@ -324,7 +333,8 @@ class RegistrySync:
                     message=text if note == evolution.UNCHANGED else f"{text}. {note}",
                     row_count=done.row_count,
                     seconds=seconds,
-                    new_watermark=done.watermark,
+                    # The log keeps times; a column of another kind is read whole each time.
+                    new_watermark=done.watermark if isinstance(done.watermark, datetime) else None,
                     schema_fingerprint=plan["fingerprint"],
                     schema_version=plan["schema_version"],
                     position=done.position,

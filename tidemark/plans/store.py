@@ -12,8 +12,6 @@ dies halfway leaves nothing but an unnamed folder.
 Rows are kept in buckets by key hash. A merge reads and rewrites the buckets its
 keys fall in, and names the other buckets' old folders again. One table has one
 writer at a time, as one task per table always gave.
-
-Where the catalog has row-level MERGE (Delta, Iceberg), use ``merge_into_catalog``.
 """
 
 from __future__ import annotations
@@ -30,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions import any_null, bucket_of, key_list
+from tidemark.functions.exprs import watermark_value
 from tidemark.operators import merge
 from tidemark.sources.scans import fresh_folder
 
@@ -227,20 +226,20 @@ class SnapshotTable:
     def append(self, df: DataFrame, compact_after: int = 64) -> None:
         """Add rows; the old folders stay as they are.
 
-        A bucket that has gathered ``compact_after`` folders is rewritten with them,
-        so a table of many small appends stays quick to list.
+        A bucket that has gathered ``compact_after`` folders is rewritten with them, the
+        others are left, so a table of many small appends stays quick to list.
         """
         with self._lock:
             old = self._require()
             rows = df.select(
                 *[F.col(f.name).cast(f.dataType).alias(f.name) for f in old.schema.fields]
             )
-            if max(map(len, old.parts.values()), default=0) >= compact_after:
-                self.overwrite(self._read(old).unionByName(rows), old.keys, old.buckets)
-                return
+            full = [b for b, vs in old.parts.items() if len(vs) >= compact_after]
+            if full:
+                rows = self._read(old, full).unionByName(rows)
             number = self._next(old)
             written = self._write(rows, number, old.keys, old.buckets)
-            parts = {b: list(vs) for b, vs in old.parts.items()}
+            parts = {b: list(vs) for b, vs in old.parts.items() if b not in full}
             for b in written:
                 parts.setdefault(b, []).append(number)
             self._commit(Version(number, old.schema, old.keys, old.buckets, parts))
@@ -272,7 +271,9 @@ class SnapshotTable:
         """
         keys = version.keys
         bucket = bucket_of(keys, version.buckets) if version.buckets > 1 else F.lit(0)
-        top = F.max(cdc_column) if cdc_column else F.max(F.lit(None))
+        top = F.max(F.lit(None))
+        if cdc_column:
+            top = F.max(watermark_value(cdc_column, batch.schema[cdc_column].dataType))
         per_key = batch.groupBy(*keys).agg(F.count("*").alias("rows"), top.alias("top"))
         size = sum((F.octet_length(F.col(k).cast("string")) for k in keys), F.lit(8 * len(keys)))
         return per_key.agg(
@@ -416,23 +417,3 @@ class Warehouse:
     def tables(self, schema: str) -> list[str]:
         names = Folder(self.spark, f"{self.root}/{schema}").names()
         return [n for n in names if self.table(schema, n).exists()]
-
-
-def merge_into_catalog(table: str, source: DataFrame, keys: Sequence[str]) -> None:
-    """MERGE into a catalog table that supports row-level operations."""
-    condition = None
-    for key in keys:
-        equal = F.col(f"{table}.{key}") == F.col(f"_source.{key}")
-        condition = equal if condition is None else condition & equal
-    values = {c: F.col(f"_source.{c}") for c in source.columns}
-    names = {k.upper() for k in keys}
-    updates = {c: v for c, v in values.items() if c.upper() not in names}
-    (
-        source.alias("_source")
-        .mergeInto(table, condition)
-        .whenMatched()
-        .update(updates)
-        .whenNotMatched()
-        .insert(values)
-        .merge()
-    )

@@ -24,7 +24,6 @@ DEFAULT_BATCH_SIZE = 100_000
 DEFAULT_FETCH_SIZE = 50_000
 DEFAULT_PARTITIONS = 4
 LARGE_TABLE_ROWS = 50_000
-CHANGELOG_LIMIT = 10_000
 STATE_ERROR_LENGTH = 4_000
 
 
@@ -113,23 +112,24 @@ EVENT_LOG = _fields(
 
 CHANGELOG_COMMIT = _fields(("slot", _S), ("table_id", _S), ("lsn", _L))
 
-# One replication document: databases, shared defaults, shared tables.
+_CONFIG_DATABASE = _fields(
+    ("database_id", _S),
+    ("source_db_name", _S),
+    ("host", _S),
+    ("port", _I),
+    ("source_schema", _S),
+    ("target_schema", _S),
+    ("wal_slot", _S),
+)
+
+# One replication document: one database or several, shared defaults, shared tables.
 CONFIG_DOCUMENT = StructType(
     [
         StructField(
             "databases",
-            ArrayType(
-                _fields(
-                    ("database_id", _S),
-                    ("source_db_name", _S),
-                    ("host", _S),
-                    ("port", _I),
-                    ("source_schema", _S),
-                    ("target_schema", _S),
-                    ("wal_slot", _S),
-                )
-            ),
+            ArrayType(_CONFIG_DATABASE),
         ),
+        StructField("database", _CONFIG_DATABASE),
         StructField(
             "defaults",
             _fields(

@@ -10,19 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark import schemas as s
-
 
 def changelog_read(
     lines: DataFrame,
     committed_lsn: int | None = None,
     head_lsn: int | None = None,
-    limit: int | None = s.CHANGELOG_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Pending lines in log order, above the committed position and up to ``head_lsn``.
+    """Pending lines above the committed position and up to ``head_lsn``.
 
-    ``limit`` is the peek size. ``limit=None`` leaves the range whole and unsorted,
-    which is what an apply wants: net changes do not depend on row order.
+    The range is whole and unsorted, as net changes do not depend on row order.
+    ``limit`` takes the first so many lines in log order, to look at the log.
     """
     if committed_lsn is not None:
         lines = lines.filter(F.col("lsn") > committed_lsn)

@@ -7,6 +7,8 @@ the source answers counts and bounds. Range reads use Spark's own partitioned re
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
+from math import ceil, floor
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +46,8 @@ def range_options(spec: TableSpec, lower: Any, upper: Any) -> dict[str, str]:
     """Further options of a range read."""
     if not spec.range_column:
         raise ValueError(f"{spec.name}: a range read needs a partition column or a key")
+    if isinstance(lower, (float, Decimal)) or isinstance(upper, (float, Decimal)):
+        lower, upper = floor(lower), ceil(upper)  # numeric bounds are read as whole numbers
     return {
         "partitionColumn": spec.range_column,
         "lowerBound": str(lower),
@@ -59,10 +63,13 @@ def key_predicates(
 
     def literal(value: Any) -> str:
         if isinstance(value, bool):
-            return "1" if value else "0"
+            return str(value).upper() if dialect.name in ("postgresql", "mysql") else str(int(value))
         if isinstance(value, (int, float)):
             return repr(value)
-        return "'" + str(value).replace("'", "''") + "'"
+        if isinstance(value, (bytes, bytearray)):
+            raise TypeError("binary keys cannot be looked up by SQL text")
+        text = str(value).replace("'", "''")
+        return "'" + (text.replace("\\", "\\\\") if dialect.name == "mysql" else text) + "'"
 
     names = [dialect.quoted(k) for k in keys]
 

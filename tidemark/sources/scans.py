@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 from decimal import Decimal
+from functools import reduce
 from typing import Any, Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,7 +81,10 @@ class ParquetSource:
         return self.spark.read.parquet(f"{self.root}/{spec.name}{self.suffix}")
 
     def read_ranges(self, spec: TableSpec, lower: Any, upper: Any) -> DataFrame:
-        return self.read(spec)
+        """One filtered read per range, put together."""
+        df = self.read(spec)
+        ranges = range_filters(spec.range_column, lower, upper, spec.num_partitions)
+        return reduce(DataFrame.unionByName, (df.filter(r) for r in ranges))
 
     def read_keys(self, spec: TableSpec, keys: DataFrame) -> DataFrame:
         return rows_by_keys(self.read(spec), keys, spec.keys)
@@ -92,6 +96,20 @@ class ParquetSource:
         return columns_of(self.read(spec))
 
 
+def range_filters(column: str, lower: Any, upper: Any, count: int) -> list[Column]:
+    """Conditions of even strides between the bounds, disjoint and complete.
+
+    The outer two are open, and the first takes the NULLs.
+    """
+    value, stride = F.col(column), max((upper - lower) // count, 1)
+    starts = [lower + i * stride for i in range(count)]
+    if count == 1:
+        return [F.lit(True)]
+    first = (value < starts[1]) | value.isNull()
+    inner = [(value >= a) & (value < b) for a, b in zip(starts[1:], starts[2:])]
+    return [first, *inner, value >= starts[-1]]
+
+
 class FrameSource:
     """Source tables given as DataFrames, for tests and derived inputs."""
 
@@ -104,7 +122,10 @@ class FrameSource:
         return self.frames[spec.name]
 
     def read_ranges(self, spec: TableSpec, lower: Any, upper: Any) -> DataFrame:
-        return self.read(spec)
+        """One filtered read per range, put together."""
+        df = self.read(spec)
+        ranges = range_filters(spec.range_column, lower, upper, spec.num_partitions)
+        return reduce(DataFrame.unionByName, (df.filter(r) for r in ranges))
 
     def read_keys(self, spec: TableSpec, keys: DataFrame) -> DataFrame:
         return rows_by_keys(self.read(spec), keys, spec.keys)
@@ -201,13 +222,6 @@ def scan_auto(
     return scan_incremental(source, spec, watermark), count
 
 
-def range_number(column: str, lower: int, upper: int, count: int) -> Column:
-    """Which of ``count`` even strides a value is read by; the outer two are open."""
-    stride = max((upper - lower) // count, 1)
-    number = F.floor((F.col(column) - lower) / stride).cast("int")
-    return F.coalesce(F.least(F.greatest(number, F.lit(0)), F.lit(count - 1)), F.lit(0))
-
-
 def scan_by_keys(source: Source, spec: TableSpec, keys: DataFrame) -> DataFrame:
     return source.read_keys(spec, keys)
 

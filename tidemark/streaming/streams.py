@@ -82,13 +82,19 @@ def stream_cdc(
     checkpoint: str,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Merge a stream of changed source rows into a target table."""
+    """Merge a stream of changed source rows into a target table.
+
+    A row that is older than the target's stays out, in whatever order batches come.
+    """
 
     def merge(batch: DataFrame, _: int) -> None:
         with table.staging() as stage:
             staged = stage(newest_per_key(batch, keys, cdc_column))
             if table.exists():
-                table.merge(staged)
+                same = [F.col(f"n.{k}") == F.col(f"o.{k}") for k in keys]
+                newer = F.col(f"o.{cdc_column}") > F.col(f"n.{cdc_column}")
+                held = table.read().select(*keys, cdc_column).alias("o")
+                table.merge(stage(staged.alias("n").join(held, [*same, newer], "left_anti")))
             elif count := staged.count():
                 table.overwrite(staged, keys, buckets_for(count))
         table.prune()
