@@ -63,6 +63,11 @@ NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]
 WORDS = re.compile(r"[a-z]+")
 
 
+#: Least cost of a tag and least value of a word; cost of crossing the mark of a main part.
+LEAST = 0.01
+BORDER = 50.0
+
+
 @dataclass
 class Block:
     """Words of one block, and the tags before them."""
@@ -81,11 +86,16 @@ class Weights:
     tags: dict[str, float] = field(default_factory=dict)
     words: dict[str, float] = field(default_factory=dict)
 
-    def tag(self, kind: str) -> float:
-        return self.tags.get(kind, 1.0)
+    def cost(self, block: Block) -> float:
+        """Of the tags before the block. Where the page marks its main part, tags in it cost least."""
+        if block.inside:
+            return LEAST * len(block.tags)
+        return sum(self.tags.get(t, 1.0) for t in block.tags)
 
-    def word(self, kind: str) -> float:
-        return self.words.get(kind, 0.5)
+    def value(self, block: Block) -> float:
+        """Of the block's words."""
+        each = self.words.get(block.parent, 0.5)
+        return block.words * (max(0.5, each) if block.inside else each)
 
 
 def is_boilerplate(name: str, attributes: str) -> bool:
@@ -123,7 +133,6 @@ def blocks_of(page: str, whole: bool = False) -> list[Block]:
         if not name:
             if m["raw"] and not skipped:
                 finish()
-                tags.append(m["raw"].lower())
             continue
         if skipped and name in LABELS and not m["close"] and not any(b.inside for b in blocks):
             skipped.clear()  # the main part does not lie inside an element left open
@@ -139,11 +148,13 @@ def blocks_of(page: str, whole: bool = False) -> list[Block]:
                 continue
         if name not in INLINE:
             finish()
-        tags.append(("/" if m["close"] else "") + name)
+        skip = not m["close"] and not whole and is_boilerplate(name, m["attributes"])
+        if not skip:
+            tags.append(("/" if m["close"] else "") + name)
         if m["close"]:
             if name in open_[1:]:
                 del open_[len(open_) - 1 - open_[::-1].index(name) :]
-        elif not whole and is_boilerplate(name, m["attributes"]):
+        elif skip:
             finish()
             if name not in EMPTY and not m["attributes"].rstrip().endswith("/"):
                 skipped.append(name)
@@ -164,10 +175,12 @@ def main_text(page: str, weights: Weights) -> str:
     best = score = 0.0
     first, chosen = 0, (0, 0)
     for i, block in enumerate(blocks):
-        score -= sum(map(weights.tag, block.tags))
+        score -= weights.cost(block)
+        if i and block.inside != blocks[i - 1].inside:
+            score -= BORDER
         if score <= 0:
             score, first = 0.0, i
-        score += block.words * weights.word(block.parent)
+        score += weights.value(block)
         if score > best:
             best, chosen = score, (first, i + 1)
     return " ".join(b.text for b in blocks[slice(*chosen)])
@@ -191,7 +204,7 @@ def learn(pages: list[str]) -> Weights:
     weights = Weights()
     for kind in counts[True][0] | counts[False][0]:
         # A tag of the main part costs next to nothing, one of the rest a few words.
-        weights.tags[kind] = min(3.0, max(0.01, -odds(0, kind)))
+        weights.tags[kind] = min(3.0, max(LEAST, -odds(0, kind)))
     for kind in counts[True][1] | counts[False][1]:
         weights.words[kind] = 0.05 + max(0.0, odds(1, kind)) / 4
     return weights
