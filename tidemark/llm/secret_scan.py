@@ -43,9 +43,9 @@ LEAST_SAMPLE = 20
 #: Significance of the merge test, and chance of a symbol that a state has not seen.
 ALPHA = 0.05
 UNSEEN = 1e-4
-#: Share of known credentials that the threshold lets pass.
+#: Share of known credentials that calibrates the threshold from above.
 ACCEPTED = 0.95
-#: Share of the ordinary tokens that may pass.
+#: Share of the ordinary tokens that may be credentials.
 MIXED = 0.2
 
 
@@ -200,21 +200,34 @@ class Model:
 
 
 def fit(values: dict[str, list[str]], ordinary: list[str]) -> Model:
-    """From labelled credentials by kind and ordinary tokens; two of three are learnt from."""
+    """From labelled credentials by kind and ordinary tokens; two of three are learnt from.
+
+    The threshold lies halfway between what nearly all known credentials reach and what
+    most tokens stay below. The tokens may hold some credentials: what a first model
+    accepts among them is left out of the second; where it is much, or the credentials
+    score no higher than the tokens, the formats cannot be told apart.
+    """
     learn = {k: [v for i, v in enumerate(vs) if i % 3] for k, vs in values.items()}
-    check = {k: [v for i, v in enumerate(vs) if i % 3 == 0] for k, vs in values.items()}
+    check = [v for k, vs in values.items() if len(learn[k]) >= LEAST_SAMPLE for v in vs[::3]]
     automata = [infer(vs) for k, vs in sorted(learn.items()) if len(vs) >= LEAST_SAMPLE]
-    rest = [t for i, t in enumerate(ordinary) if i % 3]
-    if not automata or len(rest) < LEAST_SAMPLE:
-        return Model([], None, math.inf)
-    model = Model(automata, infer(rest), math.inf)
-    known = sorted(model.score(v) for k, vs in check.items() if len(learn[k]) >= LEAST_SAMPLE for v in vs)
-    threshold = max(0.0, known[int((1 - ACCEPTED) * len(known))])
-    plain = [model.score(t) >= threshold for i, t in enumerate(ordinary) if i % 3 == 0]
-    # The tokens may hold some credentials; where many pass, the formats cannot be told apart.
-    if sum(plain) <= MIXED * len(plain):
-        model.threshold = threshold
-    return model
+    nothing = Model([], None, math.inf)
+
+    def against(tokens: list[str]) -> Model:
+        model = Model(automata, infer([t for i, t in enumerate(tokens) if i % 3]), math.inf)
+        known, plain = sorted(map(model.score, check)), sorted(map(model.score, tokens))
+        low, high = known[int((1 - ACCEPTED) * len(known))], plain[int((1 - MIXED) * (len(plain) - 1))]
+        model.threshold = max(0.0, (low + high) / 2)
+        return model
+
+    if not automata or len(ordinary) < 2 * LEAST_SAMPLE:
+        return nothing
+    first = against(ordinary)
+    plain = [t for t in ordinary if first.score(t) < first.threshold]
+    if len(ordinary) - len(plain) > MIXED * len(ordinary) or len(plain) < 2 * LEAST_SAMPLE:
+        return nothing
+    second = against(plain)
+    passed = sum(second.score(v) >= second.threshold for v in check)
+    return second if passed >= len(check) / 2 else nothing
 
 
 # --- on tables ------------------------------------------------------------------------
