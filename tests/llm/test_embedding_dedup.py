@@ -66,6 +66,21 @@ def test_long_lists_in_blocks(spark, monkeypatch):
     assert sum(found.values()) >= 0.9 * 2 * links
 
 
+def test_a_third_in_one_group_of_similar_vectors(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "CELL_BLOCK", 256)
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(2_400, 64))
+    v[:800] = rng.normal(size=64) + 0.23 * v[:800]
+    v[800:1_000] = rng.normal(size=64) + 0.23 * v[800:1_000]
+    v = rng.permutation(v).astype(np.float32)
+    units = v.astype(np.float64) / np.linalg.norm(v.astype(np.float64), axis=1, keepdims=True)
+    near = units @ units.T >= 0.93
+    rows = [(n, x.tolist(), 0) for n, x in enumerate(v)]
+    assert near.sum() > 500_000
+    found = {r[0]: r[1] for r in result(spark, rows)}
+    assert [found[n] for n in range(len(rows))] == (near.sum(axis=1) - 1).tolist()
+
+
 def test_table_is_exact(spark, whole):
     rows = [tuple(r) for r in whole("embeddings").select("vec_id", "embedding", "label").collect()]
     assert sorted(map(tuple, op7_embedding_dedup(spark, "/root/testdata/sf0.001").collect())) == sorted(brute(rows)[0])
