@@ -47,6 +47,20 @@ def test_without_examples_nothing_is_added():
     assert not model.credentials
 
 
+def test_any_share_of_credentials_among_the_tokens():
+    rng = random.Random(6)
+    key = lambda: "".join(rng.choices("0123456789ABCDEF", k=28))
+    word = lambda: "".join(rng.choices("aeinorst", k=9)) + "." + "".join(rng.choices("0123456789", k=8))
+    known = [key() for _ in range(200)]
+    for bare, plain in ((0, 400), (60, 240), (200, 200), (360, 40), (300, 0)):
+        tokens = [key() for _ in range(bare)] + [word() for _ in range(plain)]
+        rng.shuffle(tokens)
+        model = secret_scan.fit({"assign": known, "access": [], "hex": []}, tokens)
+        accepted = [t for t in tokens if model.score(t) >= model.threshold]
+        assert sum("." not in t for t in accepted) >= 0.85 * bare
+        assert sum("." in t for t in accepted) <= 0.02 * plain
+
+
 def test_new_credentials_of_a_known_format(documents):
     rng = random.Random(4)
     key = lambda: "".join(rng.choices("0123456789ABCDEF", k=28))

@@ -5,8 +5,8 @@ kind a prefix tree of them is turned into a probabilistic automaton by merging s
 whose outgoing frequencies a Hoeffding bound cannot tell apart, and one more automaton
 is inferred from ordinary tokens of the same alphabet. Every other token that could be a
 credential is scored by how much likelier its format is under a credential automaton
-than under the ordinary one; calibrated on credentials and tokens that were not learnt
-from, the likely ones are added to the spans.
+than under the ordinary one; calibrated on credentials that were not learnt from, the likely
+ones are added to the spans.
 """
 
 from __future__ import annotations
@@ -45,8 +45,14 @@ ALPHA = 0.05
 UNSEEN = 1e-4
 #: Share of known credentials that calibrates the threshold from above.
 ACCEPTED = 0.95
-#: Share of the ordinary tokens that may be credentials.
-MIXED = 0.2
+#: Tokens that are accepted are left out of learning until of those not learnt from at most
+#: this share is accepted.
+SETTLED = 0.02
+#: Share of known credentials that score no higher than equal chances where the tokens are
+#: mostly credentials.
+MIXED = 0.25
+#: Symbols of the candidates' alphabet.
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 
 
 # --- base spans and candidates --------------------------------------------------------
@@ -199,35 +205,50 @@ class Model:
         return max(likelihood(a, token) for a in self.credentials) - likelihood(self.ordinary, token)
 
 
+def chance() -> State:
+    """An automaton for which all symbols and the end are alike."""
+    state = State(len(ALPHABET) + 1, 1)
+    state.steps = {symbol: [1, state] for symbol in ALPHABET}
+    return state
+
+
 def fit(values: dict[str, list[str]], ordinary: list[str]) -> Model:
     """From labelled credentials by kind and ordinary tokens; two of three are learnt from.
 
-    The threshold lies halfway between what nearly all known credentials reach and what
-    most tokens stay below. The tokens may hold some credentials: what a first model
-    accepts among them is left out of the second; where it is much, or the credentials
-    score no higher than the tokens, the formats cannot be told apart.
+    The threshold comes from the credentials not learnt from: halfway between equal
+    chances and what nearly all of them reach. The tokens may hold any share of
+    credentials: those that the model accepts are left out and the ordinary automaton is
+    learnt again, until hardly any of the tokens not learnt from is accepted. If it
+    describes a quarter of the known credentials as well as their own automata do, it
+    starts from the tokens that are unlikely to come from these. Too few tokens that are
+    left are replaced by plain chance.
     """
     learn = {k: [v for i, v in enumerate(vs) if i % 3] for k, vs in values.items()}
     check = [v for k, vs in values.items() if len(learn[k]) >= LEAST_SAMPLE for v in vs[::3]]
     automata = [infer(vs) for k, vs in sorted(learn.items()) if len(vs) >= LEAST_SAMPLE]
-    nothing = Model([], None, math.inf)
+    if not automata:
+        return Model([], None, math.inf)
+
+    def least(scores: list[float], share: float) -> float:
+        return sorted(scores)[int(share * len(scores))]
 
     def against(tokens: list[str]) -> Model:
-        model = Model(automata, infer([t for i, t in enumerate(tokens) if i % 3]), math.inf)
-        known, plain = sorted(map(model.score, check)), sorted(map(model.score, tokens))
-        low, high = known[int((1 - ACCEPTED) * len(known))], plain[int((1 - MIXED) * (len(plain) - 1))]
-        model.threshold = max(0.0, (low + high) / 2)
+        some = len(tokens) >= 2 * LEAST_SAMPLE
+        model = Model(automata, infer([t for i, t in enumerate(tokens) if i % 3]) if some else chance(), math.inf)
+        model.threshold = max(0.0, least(list(map(model.score, check)), 1 - ACCEPTED) / 2)
         return model
 
-    if not automata or len(ordinary) < 2 * LEAST_SAMPLE:
-        return nothing
-    first = against(ordinary)
-    plain = [t for t in ordinary if first.score(t) < first.threshold]
-    if len(ordinary) - len(plain) > MIXED * len(ordinary) or len(plain) < 2 * LEAST_SAMPLE:
-        return nothing
-    second = against(plain)
-    passed = sum(second.score(v) >= second.threshold for v in check)
-    return second if passed >= len(check) / 2 else nothing
+    plain, model = ordinary, against(ordinary)
+    if least(list(map(model.score, check)), MIXED) <= 0:
+        floor = least([max(likelihood(a, v) for a in automata) for v in check], 1 - ACCEPTED)
+        plain = [t for t in plain if max(likelihood(a, t) for a in automata) < floor]
+        model = against(plain)
+    while True:
+        taken = [model.score(t) >= model.threshold for t in plain]
+        if sum(taken[::3]) <= SETTLED * len(plain[::3]):
+            return model
+        plain = [t for t, gone in zip(plain, taken, strict=True) if not gone]
+        model = against(plain)
 
 
 # --- on tables ------------------------------------------------------------------------
@@ -278,7 +299,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     by start and kind: the base spans, and as ``format`` what the automata add. Whole
     texts are scanned; a NULL text counts as empty and has no span. Rows that repeat id
     and text are one row here, as their spans are the same. Without enough labelled
-    credentials or ordinary tokens nothing is added to the base spans.
+    credentials of a kind nothing is added to the base spans.
     """
     by_batches(docs.sparkSession)
     scanned = docs.select(
