@@ -64,6 +64,50 @@ def test_passage_stays_once_wherever_it_stands(documents):
         assert all("ferryman" in whole[a:b] for a, b in ranges)
 
 
+def every_run(rows):
+    """Clean text of each row when every run of any number of sentences counts."""
+    split = {i: [s for s in re.findall(r".*?(?:[.!?]\s+|\n\s*|\Z)", t, re.S) if s] for i, t in rows}
+    seen, runs, gone = {}, [], {}
+    for i, parts in split.items():
+        full = [n for n, s in enumerate(parts) if s.strip()]
+        for k in range(len(full)):
+            for end in range(k + 1, len(full) + 1):
+                key = tuple(" ".join(parts[n].lower().split()) for n in full[k:end])
+                words = " ".join(key).split()
+                if len(words) >= 24 or end - k >= 3 and len(words) >= 12:
+                    seen[key] = min(seen.get(key, (i, k)), (i, k))
+                    runs.append((i, k, key, full[k:end]))
+    for i, k, key, places in runs:
+        if seen[key] != (i, k):
+            gone.setdefault(i, set()).update(places)
+    return {
+        i: "".join(s for n, s in enumerate(split[i]) if n not in gone[i]).rstrip() if i in gone else t for i, t in rows
+    }
+
+
+def test_runs_of_any_number_of_sentences(documents):
+    rng = random.Random(8)
+    sizes = [1, 1, 2, 3, 5, 11, 13, 15, 15, 23, 24, 30]
+    pool = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(n)) + ". " for n in sizes]
+    rows = []
+    for i in range(150):
+        own = " ".join(f"x{rng.randrange(10**9)}" for _ in range(10)) + ". "
+        at = rng.randrange(len(pool))
+        rows.append((i, own + "".join(pool[at : at + rng.randrange(1, 7)]) + own.upper() + rng.choice(pool)))
+    got = {r.doc_id: r.text for r in span_dedup.span_dedup(documents(rows)).collect()}
+    assert got == every_run(rows)
+
+
+def test_end_of_a_passage_and_long_sentences(documents):
+    rng = random.Random(9)
+    text = lambda *sizes: "".join(" ".join(f"v{rng.randrange(10**9)}" for _ in range(n)) + ". " for n in sizes)
+    passage, long_ = text(15, 15, 15, 15, 5), text(60)
+    rows = [(0, passage + text(9)), (1, text(9) + passage + text(9)), (2, long_), (3, text(9) + long_), (4, long_)]
+    got = {r.doc_id: r.text for r in span_dedup.span_dedup(documents(rows)).collect()}
+    assert got[0] == rows[0][1] and got[2] == rows[2][1] and got[4] == ""
+    assert len(got[1].split()) == 18 and len(got[3].split()) == 9
+
+
 def test_odd_rows(documents):
     rows = [(1, None), (1, PASSAGE), (1, PASSAGE), (2, PASSAGE), (None, PASSAGE), (None, None), (3, ""), (4, PASSAGE + " " + PASSAGE)]
     docs = documents(rows, removed=("int", 1), _starts=("int", 2))

@@ -1,14 +1,17 @@
 """Substring dedup by sliding sentence spans.
 
-Every run of several consecutive sentences is hashed, at every sentence of every text.
-Runs that occur again anywhere, in another text or later in the same one, are found by a
-global count, and the sentences of all but the first occurrence are removed.
+A run is any number of consecutive sentences that is long enough to be no chance. From
+every sentence of every text the shortest run is hashed, and up to every sentence, too:
+together these cover each longer run, and they occur again wherever it does. Runs that
+occur again anywhere, in another text or later in the same one, are found by a global
+count, and the sentences of all but the first occurrence are removed.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -19,10 +22,10 @@ from tidemark.llm.common import by_batches, by_value, cut, text_key, text_of
 
 by_value(__name__)
 
-#: A run ends with the third sentence if it has 12 words by then, or with the second if it
-#: has 24; else it goes on. Shorter repeats are chance or formula, not copied passages.
+#: A run has three sentences or more with 12 words, or fewer (also one) with 24. Shorter
+#: repeats are chance or formula, not copied passages.
 SENTENCES, WORDS = 3, 12
-FEWER, LONG = 2, 24
+LONG = 24
 #: Ends of sentences: a stop with white space after it, or a line break.
 BREAK = re.compile(r"[.!?]\s+|\n\s*")
 
@@ -33,36 +36,47 @@ def sentences(text: str) -> list[str]:
     return [text[a:b] for a, b in zip([0, *ends], [*ends, len(text)], strict=True) if a < b]
 
 
-def run_end(words: list[int], start: int) -> int:
-    """End of the run that starts with this sentence; 0 if the text ends first."""
-    total = 0
-    for end in range(start, len(words)):
-        total += words[end]
-        count = end - start + 1
-        if count >= SENTENCES and total >= WORDS or count >= FEWER and total >= LONG:
-            return end + 1
-    return 0
+def runs_of(words: list[int]) -> list[tuple[int, int]]:
+    """First sentence and end of the shortest runs from and up to each sentence, in order."""
+    at = [0, *accumulate(words)]
+
+    def enough(start: int, end: int) -> bool:
+        total = at[end] - at[start]
+        return total >= LONG or end - start >= SENTENCES and total >= WORDS
+
+    found, end = set(), 0
+    for start in range(len(words)):
+        end = max(end, start + 1)
+        while end <= len(words) and not enough(start, end):
+            end += 1
+        if end > len(words):
+            break  # nor does any later one have an end
+        found.add((start, end))
+    start = 0
+    for end in range(1, len(words) + 1):
+        while start + 1 < end and enough(start + 1, end):
+            start += 1
+        if enough(start, end):
+            found.add((start, end))
+    return sorted(found)
 
 
 def run_hashes(text: str) -> list[int]:
-    """Hash of each run by the number of its first sentence, not counting empty ones."""
+    """Hash of each run by its number, not counting empty sentences."""
     parts = [w for w in (s.lower().split() for s in sentences(text)) if w]
     digests = [xxhash.xxh64_digest(" ".join(w)) for w in parts]
-    words, found = list(map(len, parts)), []
-    for start in range(len(words)):
-        end = run_end(words, start)
-        if not end:
-            break  # nor does any later one
-        found.append(xxhash.xxh64_intdigest(b"".join(digests[start:end])) - (1 << 63))
-    return found
+    return [
+        xxhash.xxh64_intdigest(b"".join(digests[start:end])) - (1 << 63)
+        for start, end in runs_of(list(map(len, parts)))
+    ]
 
 
-def without(text: str, starts: list[int]) -> tuple[str, list[tuple[int, int]]]:
-    """The text without the runs that start there, and the removed ranges of characters."""
+def without(text: str, numbers: list[int]) -> tuple[str, list[tuple[int, int]]]:
+    """The text without the runs of these numbers, and the removed ranges of characters."""
     parts = sentences(text)
     full = [i for i, s in enumerate(parts) if s.strip()]
-    words = [len(parts[i].split()) for i in full]
-    gone = {full[i] for start in starts for i in range(start, run_end(words, start))}
+    runs = runs_of([len(parts[i].split()) for i in full])
+    gone = {full[i] for number in numbers for i in range(*runs[number])}
     kept, ranges, at = [], [], 0
     for i, part in enumerate(parts):
         if i not in gone:
@@ -76,7 +90,7 @@ def without(text: str, starts: list[int]) -> tuple[str, list[tuple[int, int]]]:
 
 
 def hashes_column(text: Column) -> Column:
-    """Hashes of the runs, by start."""
+    """Hashes of the runs, by their numbers."""
 
     def each(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
@@ -88,7 +102,7 @@ def hashes_column(text: Column) -> Column:
 CLEANED = "struct<text:string,removed:string>"
 
 
-def cleaned_column(text: Column, starts: Column) -> Column:
+def cleaned_column(text: Column, numbers: Column) -> Column:
     kind = pa.struct([("text", pa.string()), ("removed", pa.string())])
 
     def each(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -102,7 +116,7 @@ def cleaned_column(text: Column, starts: Column) -> Column:
                 rows.append({"text": clean, "removed": ",".join(f"{a}:{b}" for a, b in ranges)})
             yield pa.array(rows, kind)
 
-    return F.arrow_udf(each, CLEANED)(text, starts)
+    return F.arrow_udf(each, CLEANED)(text, numbers)
 
 
 def span_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -124,20 +138,20 @@ def span_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         docs.select(F.col(id_col).alias("_id"), key, hashes_column(F.col(text_col)).alias("_hashes"))
         .where(F.size("_hashes") > 0)
     )
-    spread = runs.select("_id", "_key", F.posexplode("_hashes").alias("_start", "_h"))
+    spread = runs.select("_id", "_key", F.posexplode("_hashes").alias("_run", "_h"))
     # Tables of their own, so that the joins shuffle both sides and can be split.
     often = cut(spread.groupBy("_h").agg(F.count("*").alias("_n")).where("_n > 1").select("_h"))
     again = cut(spread.join(often, "_h"))
-    place = F.struct("_id", "_key", "_start")
+    place = F.struct("_id", "_key", "_run")
     first = cut(again.groupBy("_h").agg(F.min(place).alias("_first")))
     later = again.join(first, "_h").where(~place.eqNullSafe(F.col("_first")))
-    gone = cut(later.groupBy("_id", "_key").agg(F.array_sort(F.collect_set("_start")).alias("_starts")))
+    gone = cut(later.groupBy("_id", "_key").agg(F.array_sort(F.collect_set("_run")).alias("_runs")))
     same = docs[id_col].eqNullSafe(gone["_id"]) & (text_key(docs[text_col]) == gone["_key"])
-    text, starts = docs[text_col], gone["_starts"]
+    text, numbers = docs[text_col], gone["_runs"]
     marked = docs.join(gone, same, "left").select(
         docs[id_col].alias("doc_id"),
         text.alias("_whole"),
-        cleaned_column(F.when(starts.isNotNull(), text), starts).alias("_clean"),
+        cleaned_column(F.when(numbers.isNotNull(), text), numbers).alias("_clean"),
     )
     return marked.select(
         "doc_id",
