@@ -42,6 +42,13 @@ def test_without_marks_the_best_run_is_found(weights, name):
     assert text in found and "entry" not in found
 
 
+def test_few_marked_pages_among_many_are_all_learnt_from(spark):
+    body = "concat('<body><nav>Menu</nav><article><p>Own text ', id, '</p></article></body>')"
+    marked = spark.range(8).selectExpr(f"{body} AS html")
+    rest = spark.range(50_000).selectExpr("concat('<body><p>Page ', id, '</p></body>') AS html")
+    assert html_extract.train(marked.unionByName(rest)) == html_extract.train(marked) != html_extract.Weights()
+
+
 def test_weights_have_their_signs(weights):
     assert min(weights.tags.values()) > 0 and min(weights.words.values()) > 0
     assert weights.tags["li"] > weights.tags["p"] and weights.words["p"] > weights.words["li"]

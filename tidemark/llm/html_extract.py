@@ -214,7 +214,8 @@ def train(pages: DataFrame, html_col: str = "html") -> Weights:
     """Weights from a bounded sample of the pages that mark their main part."""
     page = F.col(html_col)
     marked = page.rlike(r"(?i)<(article|main)\b") & (F.length(page) <= SAMPLE_CHARS)
-    return learn(hash_sample(pages.where(marked), html_col, SAMPLE_PAGES, pages.count()))
+    marked_pages = pages.where(marked)
+    return learn(hash_sample(marked_pages, html_col, SAMPLE_PAGES, marked_pages.count()))
 
 
 def extract(
