@@ -7,6 +7,7 @@ import sys
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructField, StructType
 
 from tidemark.sources.scans import work_folder
 
@@ -49,6 +50,24 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+#: A table of at most so many bytes of values may be broadcast, whatever its columns hold.
+BROADCAST_BYTES = 16 << 20
+
+
+def measured(df: DataFrame) -> DataFrame:
+    """A cut frame with a broadcast hint if its values take few bytes; else Spark shuffles."""
+
+    def width(field: StructField) -> Column:
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            return F.octet_length(field.name)
+        if isinstance(field.dataType, (ArrayType, MapType, StructType)):
+            return F.octet_length(F.to_json(F.struct(field.name)))
+        return F.lit(0)
+
+    row = sum((F.coalesce(width(f), F.lit(0)) for f in df.schema.fields), F.lit(8 * len(df.columns)))
+    return F.broadcast(df) if (df.agg(F.sum(row)).first()[0] or 0) <= BROADCAST_BYTES else df
+
+
 def hash_sample(df: DataFrame, column: str, rows: int, total: int) -> list:
     """At most ``rows`` distinct values of the column, in the order of a hash.
 

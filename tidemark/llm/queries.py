@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from tidemark.llm import (
     embedding_dedup,
     exact_dedup,
     html_extract,
+    merkle,
     packing,
     pieces,
     secret_scan,
@@ -98,6 +100,15 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("_carry.doc_id", "keep_id", "group_size", "kept", "_carry.text_sha256")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    fields = [lowered if f == "text" else F.col(f) for f in merkle.FIELDS]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    manifest = merkle.build(docs, found=F.when(tampered, merkle.leaf_of(fields)))
+    return manifest.audit().select("_carry.doc_id", "*").drop("_carry")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
@@ -111,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_span_dedup,
         op9_simhash_dedup,
         op10_exact_dedup,
+        op11_merkle_manifest,
     )
 }
 
@@ -173,6 +185,65 @@ SELECT page_id, host, path, rule,
 FROM parts JOIN urls USING (host, path) JOIN scored USING (host, path), least_
 """
 
+
+def _merkle_sql(rows: int = 6, groups: int = 4) -> str:
+    """SQL for trees of at most 16^rows rows a source and 16^groups sources."""
+
+    def field(name: str) -> str:
+        return f"coalesce(octet_length(encode({name}::VARCHAR)) || ':' || {name}, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(field(text if f == "text" else f) for f in merkle.FIELDS) + ")"
+
+    def tree(start: str, name: str, levels: int) -> list[str]:
+        found = [f"{name}0 AS ({start})"]
+        for n in range(levels):
+            found.append(f"""{name}{n + 1} AS (
+  SELECT g, idx // 16 AS idx, (n + 15) // 16 AS n,
+    CASE WHEN n = 1 THEN any_value(d) ELSE sha256(string_agg(d, '' ORDER BY idx)) END AS d
+  FROM {name}{n} GROUP BY g, idx // 16, n)""")
+        return found
+
+    def climb(start: str, name: str, nodes: str, levels: int) -> list[str]:
+        found = [f"{name}0 AS ({start})"]
+        for n in range(levels):
+            found.append(f"""{name}{n + 1} AS (
+  SELECT row, p.g, p.idx // 16 AS idx, proof || a || b AS proof,
+    CASE WHEN p.n > 1 THEN sha256(a || now || b) ELSE now END AS now, (p.n + 15) // 16 AS n
+  FROM (SELECT p.row, p.g, p.idx, p.n, any_value(p.proof) AS proof, any_value(p.now) AS now,
+      coalesce(string_agg(s.d, '' ORDER BY s.idx) FILTER (s.idx < p.idx), '') AS a,
+      coalesce(string_agg(s.d, '' ORDER BY s.idx) FILTER (s.idx > p.idx), '') AS b
+    FROM {name}{n} p JOIN {nodes}{n} s ON p.g = s.g AND p.idx // 16 = s.idx // 16 GROUP BY ALL) p)""")
+        return found
+
+    parts = [
+        f"""leaves AS (
+  SELECT *, row_number() OVER (ORDER BY g, doc_id NULLS FIRST, leaf) AS row,
+    row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY g) AS n,
+    CASE WHEN crc % 5 = 0 THEN tampered ELSE leaf END AS now
+  FROM (SELECT doc_id, coalesce('=' || source, '') AS g, {leaf("text")} AS leaf,
+      {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS tampered,
+      xor(list_reduce([ascii(x)::BIGINT FOR x IN string_split(doc_id::VARCHAR, '')], lambda c, x:
+        list_reduce(range(8), lambda r, i: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END,
+          xor(c, x)), 4294967295::BIGINT), 4294967295::BIGINT) AS crc
+    FROM documents))""",
+        *tree("SELECT g, idx, n, leaf AS d FROM leaves", "l", rows),
+        f"""subroots AS (SELECT g, d, row_number() OVER (ORDER BY g) - 1 AS idx, count(*) OVER () AS n FROM l{rows})""",
+        *tree("SELECT '' AS g, idx, n, d FROM subroots", "t", groups),
+        *climb("SELECT row, g, idx, n, '' AS proof, now FROM leaves", "p", "l", rows),
+        *climb(
+            f"SELECT row, '' AS g, s.idx, s.n, proof, now FROM p{rows} JOIN subroots s USING (g)", "q", "t", groups
+        ),
+    ]
+    return f"""
+WITH {",".join(parts)}
+SELECT doc_id, leaf, s.d AS subroot, t.d AS root, sha256(proof) AS proof_sha256, q.now AS folded_root,
+  q.now = t.d AS verified
+FROM leaves JOIN subroots s USING (g) JOIN q{groups} q USING (row), t{groups} t
+"""
+
+
 ORACLES: dict[str, str] = {
     "op4_url_filter": _URL_SQL,
     "op7_embedding_dedup": """
@@ -193,6 +264,7 @@ counts AS (SELECT a, count(*) AS n FROM links GROUP BY 1)
 SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM embeddings JOIN least ON node = vec_id LEFT JOIN counts ON a = vec_id
 """,
+    "op11_merkle_manifest": _merkle_sql(),
     "op10_exact_dedup": r"""
 WITH texts AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars,
