@@ -12,29 +12,29 @@ PASSAGE = (
 
 
 def brute(rows):
-    """Clean text of each row, from a plain reading of the rules; rows are unique."""
-    split = [re.findall(r".*?(?:[.!?]\s+|\n\s*|\Z)", t or "", re.S) for _, t in rows]
-    split = [[s for s in parts if s] for parts in split]
-    seen, runs = {}, []
-    for (i, _), parts in zip(rows, split, strict=True):
-        full = [n for n, s in enumerate(parts) if s.strip()]
-        for k in range(len(full)):
-            for end in range(k + 1, len(full) + 1):
-                words = " ".join(parts[n].lower() for n in full[k:end]).split()
-                if end - k >= 3 and len(words) >= 12 or end - k >= 2 and len(words) >= 24:
-                    key = tuple(" ".join(parts[n].lower().split()) for n in full[k:end])
-                    seen[key] = min(seen.get(key, (i, k)), (i, k))
-                    runs.append((i, k, key, full[k:end]))
-                    break
-    gone = {}
-    for i, k, key, places in runs:
-        if seen[key] != (i, k):
-            gone.setdefault(i, set()).update(places)
-    clean = {}
-    for (i, t), parts in zip(rows, split, strict=True):
-        kept = "".join(s for n, s in enumerate(parts) if n not in gone.get(i, ()))
-        clean[i] = kept.rstrip() if i in gone else t
-    return clean
+    """Clean text of each row when every run of any number of sentences counts; rows are unique."""
+    split = {i: [s for s in re.findall(r".*?(?:[.!?]\s+|\n\s*|\Z)", t or "", re.S) if s] for i, t in rows}
+    plain = {i: [" ".join(s.lower().split()) for s in parts] for i, parts in split.items()}
+    full = {i: [n for n, s in enumerate(parts) if s] for i, parts in plain.items()}
+
+    def runs():
+        for i, places in full.items():
+            for k in range(len(places)):
+                key, words = (), 0
+                for end, n in enumerate(places[k:], k + 1):
+                    key, words = hash((key, plain[i][n])), words + len(plain[i][n].split())
+                    if words >= 24 or end - k >= 3 and words >= 12:
+                        yield key, i, k, end
+
+    first, gone = {}, {}
+    for key, i, k, _ in runs():
+        first[key] = min(first.get(key, (i, k)), (i, k))
+    for key, i, k, end in runs():
+        if first[key] != (i, k):
+            gone.setdefault(i, set()).update(full[i][k:end])
+    return {
+        i: "".join(s for n, s in enumerate(split[i]) if n not in gone[i]).rstrip() if i in gone else t for i, t in rows
+    }
 
 
 def test_random_texts_against_brute_force(documents):
@@ -64,27 +64,6 @@ def test_passage_stays_once_wherever_it_stands(documents):
         assert all("ferryman" in whole[a:b] for a, b in ranges)
 
 
-def every_run(rows):
-    """Clean text of each row when every run of any number of sentences counts."""
-    split = {i: [s for s in re.findall(r".*?(?:[.!?]\s+|\n\s*|\Z)", t, re.S) if s] for i, t in rows}
-    seen, runs, gone = {}, [], {}
-    for i, parts in split.items():
-        full = [n for n, s in enumerate(parts) if s.strip()]
-        for k in range(len(full)):
-            for end in range(k + 1, len(full) + 1):
-                key = tuple(" ".join(parts[n].lower().split()) for n in full[k:end])
-                words = " ".join(key).split()
-                if len(words) >= 24 or end - k >= 3 and len(words) >= 12:
-                    seen[key] = min(seen.get(key, (i, k)), (i, k))
-                    runs.append((i, k, key, full[k:end]))
-    for i, k, key, places in runs:
-        if seen[key] != (i, k):
-            gone.setdefault(i, set()).update(places)
-    return {
-        i: "".join(s for n, s in enumerate(split[i]) if n not in gone[i]).rstrip() if i in gone else t for i, t in rows
-    }
-
-
 def test_runs_of_any_number_of_sentences(documents):
     rng = random.Random(8)
     sizes = [1, 1, 2, 3, 5, 11, 13, 15, 15, 23, 24, 30]
@@ -95,7 +74,7 @@ def test_runs_of_any_number_of_sentences(documents):
         at = rng.randrange(len(pool))
         rows.append((i, own + "".join(pool[at : at + rng.randrange(1, 7)]) + own.upper() + rng.choice(pool)))
     got = {r.doc_id: r.text for r in span_dedup.span_dedup(documents(rows)).collect()}
-    assert got == every_run(rows)
+    assert got == brute(rows)
 
 
 def test_end_of_a_passage_and_long_sentences(documents):
