@@ -73,6 +73,13 @@ def test_odd_rows(spark, documents):
     assert packing.pack(documents([])).collect() == []
 
 
+def test_ids_of_text_with_an_empty_and_a_null_one(spark):
+    rows = [(i, "w" * n, "s") for n, i in enumerate(["b", "", None, "a", "", None, "c"])]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    found = packing.pack(docs, capacity=10).collect()
+    assert sorted((r.doc_id is None, r.doc_id or "") for r in found) == sorted((i is None, i or "") for i, *_ in rows)
+
+
 def test_hot_source_and_many_groups(spark, documents):
     docs = documents([(i, "w" * (1 + i % 50) + str(i)) for i in range(600)])
     rows = packing.pack(docs, capacity=100, shard=64).collect()

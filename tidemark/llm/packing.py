@@ -112,7 +112,8 @@ def pack(
     def run(rows: pa.Table) -> pa.Table:
         columns = {n: rows.column(n).to_pylist() for n in names}
         size, doc, piece = columns["size"], columns["doc_id"], columns["piece"]
-        order = sorted(range(rows.num_rows), key=lambda i: (-size[i], doc[i] is None, doc[i] or 0, piece[i]))
+        ids = [(1,) if d is None else (0, d) for d in doc]
+        order = sorted(range(rows.num_rows), key=lambda i: (-size[i], ids[i], piece[i]))
         sorted_ = {n: [column[i] for i in order] for n, column in columns.items()}
         bins = best_fit(sorted_["size"], sorted_["source"], sorted_["cluster"], capacity)
         first = rows.column("_group")[0].as_py() << 24
