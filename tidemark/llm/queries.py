@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    divergence,
     embedding_dedup,
     exact_dedup,
     html_extract,
+    langid,
     merkle,
     packing,
     pieces,
@@ -109,6 +111,14 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.audit().select("_carry.doc_id", "*").drop("_carry")
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents")).withColumnRenamed("_id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
@@ -123,6 +133,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_simhash_dedup,
         op10_exact_dedup,
         op11_merkle_manifest,
+        op12_source_divergence,
+        op13_language_id,
     )
 }
 
@@ -244,6 +256,42 @@ FROM leaves JOIN subroots s USING (g) JOIN q{groups} q USING (row), t{groups} t
 """
 
 
+_DIVERGENCE_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+words AS (
+  SELECT d, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS item
+  FROM docs),
+kept AS (
+  SELECT lang, item, count(*) AS n FROM words GROUP BY 1, 2 HAVING count(DISTINCT d) >= 30),
+totals AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY 1),
+counts AS (SELECT lang, source, item, count(*) AS n FROM words GROUP BY 1, 2, 3),
+used AS (
+  SELECT g.lang, g.source, item, coalesce(c.n, 0) AS n,
+    sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total
+  FROM (SELECT DISTINCT lang, source FROM docs) g JOIN kept k USING (lang)
+    LEFT JOIN counts c USING (lang, source, item)),
+chances AS (
+  SELECT lang, source, item, u.n, 1 + (1000000000::HUGEINT * (u.n + 5)) // (total + 5 * v)::HUGEINT AS p,
+    1 + (1000000000::HUGEINT * (k.n + 5)) // (t.n + 5 * v)::HUGEINT AS q
+  FROM used u JOIN kept k USING (lang, item) JOIN totals t USING (lang)),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM chances a JOIN chances b USING (lang, item) GROUP BY 1, 2, 3),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+parts AS (
+  SELECT lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b USING (lang)
+    LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  WHERE a.source <> b.source
+  UNION ALL
+  SELECT lang, source, 'term', item, (p - q)::BIGINT FROM chances WHERE n > 0 AND p > q)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM parts QUALIFY part = 'pair' OR rank <= 50
+"""
+
 ORACLES: dict[str, str] = {
     "op4_url_filter": _URL_SQL,
     "op7_embedding_dedup": """
@@ -264,7 +312,6 @@ counts AS (SELECT a, count(*) AS n FROM links GROUP BY 1)
 SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM embeddings JOIN least ON node = vec_id LEFT JOIN counts ON a = vec_id
 """,
-    "op11_merkle_manifest": _merkle_sql(),
     "op10_exact_dedup": r"""
 WITH texts AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars,
@@ -273,4 +320,6 @@ SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITIO
   row_number() OVER best = 1 AS kept, sha256(norm) AS text_sha256
 FROM texts WINDOW best AS (PARTITION BY norm ORDER BY chars DESC, doc_id NULLS LAST)
 """,
+    "op11_merkle_manifest": _merkle_sql(),
+    "op12_source_divergence": _DIVERGENCE_SQL,
 }
