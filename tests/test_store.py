@@ -1,7 +1,11 @@
 """Snapshot tables: what is read, what is rewritten, what a crash leaves."""
 
+import random
+from datetime import date
+
 import pytest
 
+from tidemark.plans import store
 from tidemark.plans.store import DuplicateKeyError, SnapshotTable, Warehouse, buckets_for
 from tidemark.sources.scans import fresh_folder
 
@@ -53,6 +57,61 @@ def test_merge_rewrites_touched_buckets_only(spark, table):
     assert [r["v"] for r in table.read().filter("k = 5").collect()] == ["b"]
 
 
+def files(table):
+    """Names of all files of the table's newest version."""
+    return {(b, f) for b, ps in table.current().parts.items() for f in table._files(b, ps)}
+
+
+def test_few_keys_rewrite_few_files(spark, table, monkeypatch):
+    monkeypatch.setattr(store, "ROWS_PER_FILE", 100)
+    table.overwrite(rows(spark, 0, 20_000), "k", buckets=32)
+    before = files(table)
+    assert len(before) >= 200
+    keys = range(0, 20_000, 2_000)
+    table.merge_rows(spark.createDataFrame([(k, "b") for k in keys], COLUMNS))
+    left = files(table)
+    assert len(before - left) <= 10 and len(left - before) <= 20
+    assert table.count() == 20_000
+    assert sorted(r["k"] for r in table.read().filter("v = 'b'").collect()) == list(keys)
+    table.delete_keys(spark.createDataFrame([(k,) for k in [5, 6, 10**6]], "k bigint"))
+    assert len(left - files(table)) <= 2 and table.count() == 19_998
+
+
+def test_new_keys_rewrite_nothing(spark, table):
+    table.overwrite(rows(spark, 0, 1000), "k", buckets=4)
+    before = files(table)
+    table.merge_rows(rows(spark, 5000, 5010, "b"))
+    assert before < files(table) and table.count() == 1010
+    table.delete_keys(rows(spark, 9000, 9010).select("k"))
+    assert table.current().number == 2
+
+
+def test_same_rows_as_one_reading_after_many_small_changes(spark, table, monkeypatch):
+    monkeypatch.setattr(store, "ROWS_PER_FILE", 40)
+    monkeypatch.setattr(store, "COMPACT_AFTER", 4)
+    rng, want = random.Random(3), {k: "a" for k in range(600)}
+    table.overwrite(rows(spark, 0, 600), "k", buckets=3)
+    for step in range(8):
+        changed = {rng.randrange(700): f"s{step}" for _ in range(12)}
+        table.merge_rows(spark.createDataFrame(list(changed.items()), COLUMNS))
+        want |= changed
+        dead = [rng.randrange(700) for _ in range(5)]
+        table.delete_keys(spark.createDataFrame([(k,) for k in set(dead)], "k bigint"))
+        want = {k: v for k, v in want.items() if k not in dead}
+        table.prune()
+        assert {r["k"]: r["v"] for r in table.read().collect()} == want
+    assert max(store.writes(ps) for ps in table.current().parts.values()) <= 5
+
+
+def test_null_and_composite_keys_in_touched_files(spark, table):
+    kinds = "a string, b date, v int"
+    day = date(2024, 1, 1)
+    table.overwrite(spark.createDataFrame([("x", day, 1), ("x", None, 2), (None, day, 3), ("y", day, 4)], kinds), "a, b")
+    table.merge_rows(spark.createDataFrame([("x", day, 10), (None, day, 30), ("z", day, 50)], kinds))
+    found = sorted((r["a"] or "", r["b"] is None, r["v"]) for r in table.read().collect())
+    assert found == [("", False, 3), ("", False, 30), ("x", False, 10), ("x", True, 2), ("y", False, 4), ("z", False, 50)]
+
+
 def test_emptied_bucket_disappears(spark, table):
     table.overwrite(rows(spark, 0, 40), "k", buckets=8)
     table.delete_keys(rows(spark, 0, 40).select("k"))
@@ -127,7 +186,7 @@ def test_prune_keeps_what_is_named(spark, table):
     table.prune(keep=1)
     assert table.count() == 13
     assert len(table._versions.names()) == 1
-    named = {v for vs in folders(table).values() for v in vs}
+    named = {store.number_of(p) for ps in folders(table).values() for p in ps}
     left = {
         int(f[2:])
         for f in table._folder.names("data")

@@ -130,6 +130,18 @@ def apply_changes(
     repeats a merge followed by a delete, which leaves such a key alone.
     """
     fetched = rows_by_keys(source, net.filter(F.col("op") != DELETE), keys)
+    return apply_fetched(target, fetched, net, keys, policy, partitions)
+
+
+def apply_fetched(
+    target: DataFrame,
+    fetched: DataFrame,
+    net: DataFrame,
+    keys: Sequence[str],
+    policy: str = "last_change",
+    partitions: int | None = None,
+) -> DataFrame:
+    """``apply_changes`` with the source rows of the upserted keys read already."""
     if policy == "delete_wins":
         dead = net.filter(F.col("op") == DELETE).select(*keys)
         replaced = dead.unionByName(fetched.select(*keys))

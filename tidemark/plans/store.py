@@ -9,9 +9,10 @@ dies halfway leaves nothing but an unnamed folder.
     <root>/<schema>/<table>/data/v=<version>/_bucket=<n>/part-*.parquet
     <root>/<schema>/<table>/versions/<version>.json
 
-Rows are kept in buckets by key hash. A merge reads and rewrites the buckets its
-keys fall in, and names the other buckets' old folders again. One table has one
-writer at a time, as one task per table always gave.
+Rows are kept in buckets by key hash, and within a bucket in files sorted by key. A
+merge first looks for the files that hold its keys, by reading key columns of the
+buckets the keys fall in; it rewrites these files and names all others again. One
+table has one writer at a time, as one task per table always gave.
 """
 
 from __future__ import annotations
@@ -20,12 +21,12 @@ import json
 import threading
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, IntegralType, StringType, StructType
 
 from tidemark.functions import any_null, bucket_of, key_list
 from tidemark.functions.exprs import watermark_value
@@ -35,7 +36,10 @@ from tidemark.sources.scans import fresh_folder
 BUCKET = "_bucket"
 DEFAULT_BUCKETS = 16
 ROWS_PER_BUCKET = 2_000_000
+ROWS_PER_FILE = 250_000
 MAX_BUCKETS = 8_192
+#: A bucket that has gathered so many small writes is rewritten whole when it is next hit.
+COMPACT_AFTER = 64
 BROADCAST_KEY_BYTES = 8 << 20
 
 
@@ -88,15 +92,31 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     Folder(spark, path).remove()
 
 
+#: A write's whole folder of a bucket, by its number, or one of its files: ``number/name``.
+Part = int | str
+
+
+def number_of(part: Part) -> int:
+    return int(str(part).partition("/")[0])
+
+
+def writes(parts: Sequence[Part]) -> int:
+    return len({number_of(p) for p in parts})
+
+
 @dataclass
 class Version:
-    """What a table is made of: for each bucket the write versions that hold its rows."""
+    """What a table is made of: for each bucket the parts that hold its rows.
+
+    ``applied`` is what a stream has brought: its last batch and the highest log position.
+    """
 
     number: int
     schema: StructType
     keys: list[str]
     buckets: int
-    parts: dict[int, list[int]] = field(default_factory=dict)
+    parts: dict[int, list[Part]] = field(default_factory=dict)
+    applied: dict[str, int] = field(default_factory=dict)
 
     def to_json(self) -> str:
         return json.dumps(
@@ -106,6 +126,7 @@ class Version:
                 "keys": self.keys,
                 "buckets": self.buckets,
                 "parts": {str(b): v for b, v in sorted(self.parts.items())},
+                "applied": self.applied,
             }
         )
 
@@ -114,7 +135,8 @@ class Version:
         raw = json.loads(text)
         parts = {int(b): v for b, v in raw["parts"].items()}
         schema = StructType.fromJson(raw["schema"])
-        return Version(raw["number"], schema, raw["keys"], raw["buckets"], parts)
+        applied = raw.get("applied", {})
+        return Version(raw["number"], schema, raw["keys"], raw["buckets"], parts, applied)
 
 
 class DuplicateKeyError(ValueError):
@@ -145,11 +167,12 @@ class SnapshotTable:
             raise LookupError(f"table {self.path} does not exist")
         return version
 
-    def _read(self, version: Version, buckets: Sequence[int] | None = None) -> DataFrame:
-        chosen = version.parts if buckets is None else {b: version.parts.get(b, []) for b in buckets}
-        paths = [
-            f"{self.path}/data/v={v}/{BUCKET}={b}" for b, vs in sorted(chosen.items()) for v in vs
-        ]
+    def _read(self, version: Version, parts: dict[int, list[Part]] | None = None) -> DataFrame:
+        paths = []
+        for bucket, chosen in sorted((version.parts if parts is None else parts).items()):
+            for part in chosen:
+                name = "" if isinstance(part, int) else part.partition("/")[2]
+                paths.append(f"{self.path}/data/v={number_of(part)}/{BUCKET}={bucket}/{name}")
         if not paths:
             return self.spark.createDataFrame([], version.schema)
         return self.spark.read.schema(version.schema).parquet(*paths)
@@ -182,7 +205,7 @@ class SnapshotTable:
         buckets: int,
         together: bool = False,
     ) -> list[int]:
-        """Write rows by bucket; the buckets that got rows.
+        """Write rows by bucket, each file a range of a task's keys; the buckets that got rows.
 
         ``rebalance`` lets AQE merge small buckets' tasks and split a hot bucket
         over several tasks and files. It is left out where a bucket's rows are
@@ -191,7 +214,10 @@ class SnapshotTable:
         df = df.withColumn(BUCKET, bucket_of(keys, buckets) if buckets > 1 else F.lit(0))
         if buckets > 1 and not together:
             df = df.hint("rebalance", BUCKET)
-        df.write.partitionBy(BUCKET).parquet(f"{self.path}/data/v={number}")
+        if keys:
+            df = df.sortWithinPartitions(BUCKET, *keys)
+        writer = df.write.partitionBy(BUCKET).option("maxRecordsPerFile", ROWS_PER_FILE)
+        writer.parquet(f"{self.path}/data/v={number}")
         names = self._folder.names(f"data/v={number}")
         return [int(n.split("=")[1]) for n in names if n.startswith(f"{BUCKET}=")]
 
@@ -223,7 +249,7 @@ class SnapshotTable:
             parts = {b: [number] for b in written}
             self._commit(Version(number, df.schema, keys, buckets, parts))
 
-    def append(self, df: DataFrame, compact_after: int = 64) -> None:
+    def append(self, df: DataFrame, compact_after: int = COMPACT_AFTER) -> None:
         """Add rows; the old folders stay as they are.
 
         A bucket that has gathered ``compact_after`` folders is rewritten with them, the
@@ -234,23 +260,72 @@ class SnapshotTable:
             rows = df.select(
                 *[F.col(f.name).cast(f.dataType).alias(f.name) for f in old.schema.fields]
             )
-            full = [b for b, vs in old.parts.items() if len(vs) >= compact_after]
+            full = {b: ps for b, ps in old.parts.items() if writes(ps) >= compact_after}
             if full:
                 rows = self._read(old, full).unionByName(rows)
-            number = self._next(old)
-            written = self._write(rows, number, old.keys, old.buckets)
-            parts = {b: list(vs) for b, vs in old.parts.items() if b not in full}
-            for b in written:
-                parts.setdefault(b, []).append(number)
-            self._commit(Version(number, old.schema, old.keys, old.buckets, parts))
-
-    def _rewrite(self, old: Version, hit: Sequence[int], rows: DataFrame) -> None:
-        """Replace the buckets ``hit`` by ``rows``."""
+            self._replace(old, full, rows, together=False)
+
+    def _files(self, bucket: int, parts: Sequence[Part]) -> list[str]:
+        """Parts of a bucket as single files."""
+        files = []
+        for part in parts:
+            if isinstance(part, int):
+                names = self._folder.names(f"data/v={part}/{BUCKET}={bucket}")
+                files += [f"{part}/{n}" for n in names if n[0] not in "._"]
+            else:
+                files.append(part)
+        return files
+
+    def _touched(self, old: Version, facts: Row, keys: DataFrame) -> dict[int, list[Part]]:
+        """Of the buckets hit, the files that hold one of the keys; at most one row a file.
+
+        Only key columns are read, and of files sorted by key only row groups that reach into
+        the span of the first key. A bucket of many small writes counts as touched whole.
+        """
+        hit = {b: old.parts[b] for b in facts["hit"] if b in old.parts}
+        touched = {b: ps for b, ps in hit.items() if writes(ps) >= COMPACT_AFTER}
+        rest = {b: ps for b, ps in hit.items() if b not in touched}
+        if not rest:
+            return touched
+        held = self._read(old, rest)
+        first = old.keys[0]
+        if isinstance(held.schema[first].dataType, (IntegralType, StringType, DateType)):
+            held = held.where(F.col(first).between(F.lit(facts["low"]), F.lit(facts["high"])))
+        held = held.select(*old.keys, F.col("_metadata.file_path").alias("_file"))
+        found = held.join(keys.select(*old.keys), old.keys, "left_semi").select("_file").distinct()
+        for row in found.collect():
+            write, bucket, name = row["_file"].split("/")[-3:]
+            touched.setdefault(int(bucket.partition("=")[2]), []).append(f"{write[2:]}/{name}")
+        return touched
+
+    def _replace(
+        self,
+        old: Version,
+        gone: dict[int, list[Part]],
+        rows: DataFrame,
+        together: bool = True,
+        applied: dict[str, int] | None = None,
+    ) -> None:
+        """Write ``rows`` in place of the parts in ``gone``; all others are named again."""
         number = self._next(old)
-        written = self._write(rows, number, old.keys, old.buckets, together=True)
-        parts = {b: vs for b, vs in old.parts.items() if b not in set(hit)}
-        parts.update({b: [number] for b in written})
-        self._commit(Version(number, old.schema, old.keys, old.buckets, parts))
+        written = self._write(rows, number, old.keys, old.buckets, together)
+        parts = dict(old.parts)
+        for bucket, dropped in gone.items():
+            whole = {p for p in dropped if isinstance(p, int)}
+            split = {number_of(p) for p in dropped if isinstance(p, str)}
+            kept: list[Part] = []
+            for part in parts.pop(bucket):
+                if isinstance(part, int) and part in split:
+                    kept += [f for f in self._files(bucket, [part]) if f not in dropped]
+                elif part not in whole and part not in dropped:
+                    kept.append(part)
+            if kept:
+                parts[bucket] = kept
+        for bucket in written:
+            parts[bucket] = [*parts.get(bucket, []), number]
+        self._commit(
+            Version(number, old.schema, old.keys, old.buckets, parts, old.applied if applied is None else applied)
+        )
 
     def _partitions(self, version: Version) -> int | None:
         """A multiple of the bucket count, near the session's shuffle partitions."""
@@ -265,7 +340,7 @@ class SnapshotTable:
         return batch.repartition(count, bucket_of(version.keys, version.buckets))
 
     def _facts(self, version: Version, batch: DataFrame, cdc_column: str | None = None) -> Row:
-        """Rows, highest watermark, most copies of one key, key size and buckets of a batch.
+        """Rows, highest watermark, most copies of one key, key size, span and buckets of a batch.
 
         One job. The buckets are the only list, and there are ``version.buckets`` at most.
         """
@@ -281,6 +356,8 @@ class SnapshotTable:
             F.sum(F.col("rows") * F.coalesce(size, F.lit(8))).alias("key_bytes"),
             F.max("top").alias("top"),
             F.max(F.when(~any_null(keys), F.col("rows"))).alias("copies"),
+            F.min(keys[0]).alias("low"),
+            F.max(keys[0]).alias("high"),
             F.collect_set(bucket).alias("hit"),
         ).first()
 
@@ -319,9 +396,9 @@ class SnapshotTable:
 
         A batch with repeated keys is refused. An empty one writes nothing.
 
-        The rewrite reads the touched buckets. A batch of few keys, by their
-        measured size, is broadcast and leaves those rows where they are; a larger
-        one costs one shuffle by key, whose partitions are written as they come.
+        The rewrite reads the touched files. A batch of few keys, by their measured size,
+        is broadcast and leaves those rows where they are; a larger one costs one shuffle
+        by key, whose partitions are written as they come.
         """
         with self._lock:
             old = self._require()
@@ -330,37 +407,59 @@ class SnapshotTable:
             if (facts["copies"] or 0) > 1:
                 raise DuplicateKeyError(f"{self.path}: batch repeats a key of {old.keys}")
             if hit := facts["hit"]:
-                rows, partitions = self._read(old, hit), self._partitions(old)
+                touched, partitions = self._touched(old, facts, self._few(facts, batch)), self._partitions(old)
                 if facts["key_bytes"] <= BROADCAST_KEY_BYTES:
                     batch, partitions = F.broadcast(self._gathered(old, batch, hit)), None
-                self._rewrite(old, hit, merge.merge_upsert(rows, batch, old.keys, partitions))
+                rows = merge.merge_upsert(self._read(old, touched), batch, old.keys, partitions)
+                self._replace(old, touched, rows)
             return facts["rows"], facts["top"]
 
     def delete(self, doomed: DataFrame) -> None:
-        """Delete the rows of staged keys."""
+        """Delete the rows of staged keys; keys that no file holds change nothing."""
         with self._lock:
             old = self._require()
             gone = self._typed_keys(old, doomed.select(*old.keys))
             facts = self._facts(old, gone)
-            if hit := facts["hit"]:
-                rows, partitions = self._read(old, hit), self._partitions(old)
+            if not facts["hit"]:
+                return
+            gone, partitions = self._few(facts, gone), self._partitions(old)
+            if touched := self._touched(old, facts, gone):
                 if facts["key_bytes"] <= BROADCAST_KEY_BYTES:
-                    gone, partitions = F.broadcast(gone), None
-                self._rewrite(old, hit, merge.delete_by_keys(rows, gone, old.keys, partitions))
+                    partitions = None
+                rows = merge.delete_by_keys(self._read(old, touched), gone, old.keys, partitions)
+                self._replace(old, touched, rows)
+
+    def apply(
+        self,
+        fetched: DataFrame,
+        net: DataFrame,
+        policy: str = "last_change",
+        applied: dict[str, int] | None = None,
+    ) -> None:
+        """Apply staged net changes with the staged current rows of their upserted keys.
 
-    def apply(self, fetched: DataFrame, net: DataFrame, policy: str = "last_change") -> None:
-        """Apply staged net changes with the staged current rows of their keys."""
+        ``applied`` is committed together with the rows, also where nothing changes.
+        """
         with self._lock:
             old = self._require()
             net, fetched = self._typed_keys(old, net), self._typed_keys(old, fetched)
             facts = self._facts(old, net)
-            if hit := facts["hit"]:
-                rows, partitions = self._read(old, hit), self._partitions(old)
+            touched = self._touched(old, facts, self._few(facts, net)) if facts["hit"] else {}
+            if touched or not fetched.isEmpty():
+                partitions = self._partitions(old)
                 if facts["key_bytes"] <= BROADCAST_KEY_BYTES:
                     net, partitions = F.broadcast(net), None
-                    fetched = self._gathered(old, fetched, hit)
-                changed = merge.apply_changes(rows, fetched, net, old.keys, policy, partitions)
-                self._rewrite(old, hit, changed)
+                    fetched = self._gathered(old, fetched, facts["hit"])
+                rows = merge.apply_fetched(
+                    self._read(old, touched), fetched, net, old.keys, policy, partitions
+                )
+                self._replace(old, touched, rows, applied=applied)
+            elif applied is not None and applied != old.applied:
+                self._commit(replace(old, number=self._next(old), applied=applied))
+
+    @staticmethod
+    def _few(facts: Row, keys: DataFrame) -> DataFrame:
+        return F.broadcast(keys) if facts["key_bytes"] <= BROADCAST_KEY_BYTES else keys
 
     @staticmethod
     def _typed_keys(version: Version, df: DataFrame) -> DataFrame:
@@ -385,17 +484,22 @@ class SnapshotTable:
         with self._lock:
             names = [n for n in self._versions.names() if n.endswith(".json") and n[0] != "."]
             kept = [Version.from_json(self._versions.read_text(n)) for n in names[-keep:]]
-            named = {(b, v) for k in kept for b, vs in k.parts.items() for v in vs}
+            named: dict[tuple[int, int], set[Part]] = {}
+            for bucket, part in ((b, p) for k in kept for b, ps in k.parts.items() for p in ps):
+                named.setdefault((bucket, number_of(part)), set()).add(part)
             for n in names[:-keep]:
                 self._versions.remove(n)
             for folder in self._folder.names("data"):
-                for bucket in self._folder.names(f"data/{folder}"):
-                    number = int(folder[2:])
-                    if bucket.startswith(f"{BUCKET}=") and (
-                        int(bucket.split("=")[1]),
-                        number,
-                    ) not in named:
-                        self._folder.remove(f"data/{folder}/{bucket}")
+                for child in self._folder.names(f"data/{folder}"):
+                    if not child.startswith(f"{BUCKET}="):
+                        continue
+                    number, bucket = int(folder[2:]), int(child.partition("=")[2])
+                    parts = named.get((bucket, number), set())
+                    if not parts:
+                        self._folder.remove(f"data/{folder}/{child}")
+                    elif number not in parts:
+                        for file in set(self._files(bucket, [number])) - parts:
+                            self._folder.remove(f"data/{folder}/{child}/{file.partition('/')[2]}")
 
 
 class Warehouse:
