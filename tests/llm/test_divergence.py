@@ -84,6 +84,12 @@ def test_small_pieces_and_tables_change_nothing(spark, monkeypatch):
     assert result(spark.createDataFrame(rows, COLUMNS).repartition(7), least=5) == brute(rows, 5)
 
 
+def test_a_vocabulary_too_large_for_the_tasks(spark, monkeypatch):
+    rows = corpus(5, 300)
+    monkeypatch.setattr(divergence, "KEPT_IN_TASKS", 3)
+    assert result(spark.createDataFrame(rows, COLUMNS), least=5) == brute(rows, 5)
+
+
 def test_groups_without_kept_terms(spark):
     rows = [("en", "a", "one"), ("en", "b", None), (None, None, None), ("de", "c", "zwei")]
     assert result(spark.createDataFrame(rows, COLUMNS)) == brute(rows)
@@ -126,5 +132,5 @@ def test_documents_are_counted_once_a_term():
     found = Gathered()
     found.add(("en", "a"), "x x y")
     found.add(("en", "a"), "x")
-    rows = [row for batch in found.batches() for row in batch.to_pylist()]
-    assert [(r["term"], r["docs"], r["n"]) for r in rows] == [(None, 0, 0), ("x", 2, 3), ("y", 1, 1)]
+    documents, times = found.groups["en", "a"]
+    assert documents == {b"x": 2, b"y": 1} and times == {b"x": 3, b"y": 1} and found.size == 2

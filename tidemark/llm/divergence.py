@@ -1,20 +1,21 @@
 """Source divergence audit with late string materialization.
 
-Each task counts the terms of its documents and writes them once, with their texts, to the
-shared folder. From there on counting shuffles fixed-width digests only: the vocabulary, the
-totals and the probabilities are made of digests and numbers. Of the digests that are kept,
-the least and the greatest text are compared; where they differ, several terms share the
-digest, and these are counted again by their texts. Otherwise texts are joined back to the
-rows that are put out, and to nothing else.
+Terms are counted by fixed-width digests of language and term. A first reading of the texts
+shuffles digests with their numbers of documents, and nothing else; it says which are kept. A
+second one counts these by source, a task's counts written once with their texts. Sums,
+probabilities and ranks are made of digests and numbers. Of each kept digest the least and the
+greatest text are compared; where they differ, several terms share it, and these are counted
+again by their texts. Otherwise texts are joined back to the rows that are put out.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,8 +31,10 @@ SMOOTHING = 5
 SCALE = 1_000_000_000
 #: Terms reported for a source.
 TERM_RANKS = 50
-#: Terms that a task gathers before it writes them.
-GATHERED = 1 << 18
+#: Terms that a task gathers before it hands them on.
+GATHERED = 1 << 19
+#: So many kept digests, of 8 bytes, are sent to the tasks; more are joined by a shuffle.
+KEPT_IN_TASKS = 1_000_000
 #: Bytes of a text that are split into terms at a time.
 PIECE = 1 << 20
 #: Probabilities compared in one piece of work, terms times sources.
@@ -54,66 +57,98 @@ def pieces_of(text: str) -> Iterator[list[bytes]]:
         start = end
 
 
+def digests_of(lang: str, terms: Iterable[bytes], bits: int) -> np.ndarray:
+    """Digests of a language's terms; fewer bits than 64 are for tests of collisions."""
+    seed, mask = xxhash.xxh64_intdigest(lang.encode()), (1 << bits) - 1
+    return np.array([xxhash.xxh64_intdigest(t, seed) & mask for t in terms], np.uint64).view(np.int64)
+
+
 class Gathered:
     """Terms of some documents by group: in how many documents they are, and how often."""
 
     def __init__(self) -> None:
-        self.groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        self.groups: dict[tuple, tuple[Counter, Counter]] = {}
         self.size = 0
 
-    def add(self, group: tuple[str, str], text: str) -> None:
+    def add(self, group: tuple, text: str, often: bool = True) -> None:
         documents, times = self.groups.setdefault(group, (Counter(), Counter()))
-        before, seen = len(times), set()
+        before, seen = len(documents), set()
         for terms in pieces_of(text):
-            times.update(terms)
+            if often:
+                times.update(terms)
             seen.update(terms)
         documents.update(seen)
-        self.size += len(times) - before
-
-    def batches(self) -> Iterator[pa.RecordBatch]:
-        """One row for each group, then one for each of its terms."""
-        for (lang, source), (documents, times) in self.groups.items():
-            terms = list(times)
-            for at in range(0, max(1, len(terms)), 1 << 16):
-                part = terms[at : at + (1 << 16)]
-                texts = [t.decode() for t in part]
-                docs, counts = [documents[t] for t in part], [times[t] for t in part]
-                if not at:
-                    texts, docs, counts = [None, *texts], [0, *docs], [0, *counts]
-                columns = {
-                    "lang": pa.array([lang] * len(texts), pa.string()),
-                    "source": pa.array([source] * len(texts), pa.string()),
-                    "term": pa.array(texts, pa.string()),
-                    "docs": pa.array(docs, pa.int64()),
-                    "n": pa.array(counts, pa.int64()),
-                }
-                yield pa.RecordBatch.from_pydict(columns)
-
-
-def gathered_terms(docs: DataFrame, lang_col: str, source_col: str, text_col: str) -> DataFrame:
-    """Per task: each group once with a NULL term, and its terms with their counts. No shuffle."""
+        self.size += len(documents) - before
+
+
+def document_counts(rows: DataFrame, bits: int) -> DataFrame:
+    """Digests with the number of a task's documents that hold them. No text leaves the task."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Gathered()
         for batch in batches:
-            langs, sources, texts = batch.columns
-            for lang, source, text in zip(langs, sources, texts):
-                found.add((lang.as_py(), source.as_py()), text.as_py())
+            langs, _, texts = batch.columns
+            for lang, text in zip(langs, texts):
+                found.add((lang.as_py(),), text.as_py(), often=False)
                 if found.size >= GATHERED:
-                    yield from found.batches()
+                    yield from handed(found)
                     found = Gathered()
-        yield from found.batches()
+        yield from handed(found)
 
-    by_batches(docs.sparkSession)
-    rows = docs.select(*[text_of(F.col(c).cast("string")) for c in (lang_col, source_col, text_col)])
-    return rows.mapInArrow(each, "lang string, source string, term string, docs bigint, n bigint")
+    def handed(found: Gathered) -> Iterator[pa.RecordBatch]:
+        for (lang,), (documents, _) in found.groups.items():
+            counts = np.fromiter(documents.values(), np.int64, len(documents))
+            columns = [pa.array(digests_of(lang, documents, bits)), pa.array(counts)]
+            yield pa.RecordBatch.from_arrays(columns, ["digest", "docs"])
 
+    return rows.mapInArrow(each, "digest bigint, docs bigint")
 
-def kept_counts(terms: DataFrame, key: list[str], least: int) -> DataFrame:
-    """Occurrences by language, key and source of the terms in ``least`` documents of the language.
 
-    ``lang_n`` is the language's count. One shuffle by language and key serves both the sums and
-    the window, which sees one row per source.
+def term_counts(rows: DataFrame, bits: int, kept: np.ndarray | None) -> DataFrame:
+    """Per task: each group once with a NULL term, and its terms with their counts. No shuffle.
+
+    ``kept`` are the sorted digests that are wanted; without it all terms are handed on.
+    """
+    known = rows.sparkSession.sparkContext.broadcast(kept)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = Gathered()
+        for batch in batches:
+            langs, sources, texts = batch.columns
+            for lang, source, text in zip(langs, sources, texts):
+                found.add((lang.as_py(), source.as_py()), text.as_py())
+                if found.size >= GATHERED:
+                    yield from handed(found)
+                    found = Gathered()
+        yield from handed(found)
+
+    def handed(found: Gathered) -> Iterator[pa.RecordBatch]:
+        wanted = known.value
+        for (lang, source), (documents, times) in found.groups.items():
+            terms, digests = list(documents), digests_of(lang, documents, bits)
+            if wanted is not None:
+                at = np.minimum(np.searchsorted(wanted, digests), max(0, len(wanted) - 1))
+                chosen = np.flatnonzero(wanted[at] == digests) if len(wanted) else []
+                terms, digests = [terms[i] for i in chosen], digests[chosen] if len(wanted) else digests[:0]
+            columns = {
+                "lang": pa.array([lang] * (len(terms) + 1), pa.string()),
+                "source": pa.array([source] * (len(terms) + 1), pa.string()),
+                "digest": pa.array([None, *digests.tolist()], pa.int64()),
+                "term": pa.array([None, *[t.decode() for t in terms]], pa.string()),
+                "docs": pa.array([0, *[documents[t] for t in terms]], pa.int64()),
+                "n": pa.array([0, *[times[t] for t in terms]], pa.int64()),
+            }
+            yield pa.RecordBatch.from_pydict(columns)
+
+    schema = "lang string, source string, digest bigint, term string, docs bigint, n bigint"
+    return rows.mapInArrow(each, schema)
+
+
+def counts_of(terms: DataFrame, key: list[str]) -> DataFrame:
+    """Occurrences by language, key and source, and ``lang_docs`` and ``lang_n`` of the language.
+
+    One shuffle by language and key serves both the sums and the window, which sees one row per
+    source.
     """
     of_term = Window.partitionBy("lang", *key)
     return (
@@ -121,10 +156,9 @@ def kept_counts(terms: DataFrame, key: list[str], least: int) -> DataFrame:
         .repartition("lang", *key)
         .groupBy("lang", *key, "source")
         .agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
-        .withColumn("_docs", F.sum("docs").over(of_term))
+        .withColumn("lang_docs", F.sum("docs").over(of_term))
         .withColumn("lang_n", F.sum("n").over(of_term))
-        .where(F.col("_docs") >= least)
-        .drop("docs", "_docs")
+        .drop("docs")
     )
 
 
@@ -153,25 +187,36 @@ def divergence(
     like any other, a language without kept terms has values of 0, and an empty table no rows.
     Ties are ordered by the item's bytes. ``digest_bits`` is for tests of colliding digests.
     """
-    digest = F.xxhash64("term")
-    if digest_bits < 64:
-        digest = F.pmod(digest, F.lit(1 << digest_bits))
-    gathered = cut(gathered_terms(docs, lang_col, source_col, text_col).withColumn("digest", digest))
-    terms = gathered.where(F.col("term").isNotNull())
-
-    # Digests with their counts; texts of the kept ones, which tell collisions.
-    kept = cut(kept_counts(terms, ["digest"], least))
+    by_batches(docs.sparkSession)
+    rows = docs.select(*[text_of(F.col(c).cast("string")) for c in (lang_col, source_col, text_col)])
+
+    # Tasks have counted already, so what follows the shuffle does all that is left.
+    found = document_counts(rows, digest_bits).repartition("digest").groupBy("digest")
+    vocabulary = cut(found.agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least).select("digest"))
+    if vocabulary.count() <= KEPT_IN_TASKS:
+        digests = np.sort(vocabulary.toArrow().column("digest").to_numpy())
+        gathered = cut(term_counts(rows, digest_bits, digests))
+    else:
+        every = term_counts(rows, digest_bits, None)
+        chosen = every.join(vocabulary, "digest", "left_semi").select(every.columns)
+        gathered = cut(chosen.unionByName(every.where(F.col("digest").isNull())))
+    terms = gathered.where(F.col("digest").isNotNull())
+
+    # Of each digest the least and greatest text; where they differ it counts by texts.
     texts = cut(
-        terms.join(measured(cut(kept.select("digest").distinct())), "digest", "left_semi")
-        .groupBy("digest")
-        .agg(F.min("term").alias("low"), F.max("term").alias("high"))
+        terms.groupBy("digest").agg(
+            F.min("term").alias("low"),
+            (F.min("term") != F.max("term")).alias("_terms"),
+            (F.min("lang") != F.max("lang")).alias("_langs"),
+        )
     )
-    kept = kept.withColumn("term", F.lit(None).cast("string"))
-    shared = cut(texts.where(F.col("low") != F.col("high")).select("digest"))
+    shared = cut(texts.where(F.col("_terms") | F.col("_langs")).select("digest"))
+    kept = counts_of(terms, ["digest"]).withColumn("term", F.lit(None).cast("string"))
     if not shared.isEmpty():
         shared = measured(shared)
-        apart = kept_counts(terms.join(shared, "digest", "left_semi"), ["digest", "term"], least)
-        kept = cut(kept.join(shared, "digest", "left_anti").unionByName(apart))
+        apart = counts_of(terms.join(shared, "digest", "left_semi"), ["digest", "term"])
+        kept = kept.join(shared, "digest", "left_anti").unionByName(apart.where(F.col("lang_docs") >= least))
+    kept = cut(kept.drop("lang_docs"))
 
     # Numbers of each language and group.
     langs = (
