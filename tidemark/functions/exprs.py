@@ -40,6 +40,8 @@ def typed_literal(value: Any, data_type: DataType | str) -> Column:
 
     A time without a zone is UTC where the type has one.
     """
+    if isinstance(value, (bytes, bytearray)):
+        return F.lit(bytearray(value)).cast(data_type)
     text = None if value is None else _literal_text(value)
     if isinstance(value, datetime) and isinstance(data_type, TimestampType):
         text += "+00:00"

@@ -120,16 +120,38 @@ def parse_changes(
     The action stands right behind the table's name, whose length is known here.
     """
     head = len(f"table {relation(schema, table)}: ")
-    word = F.substring("data", head + 1, 8)
     acted = (
         filter_table(lines, schema, table)
-        .filter(word.isin("INSERT: ", "UPDATE: ", "DELETE: "))
+        .filter(known_action(schema, table))
         .withColumn("op", F.substring("data", head + 1, 1))
     )
     parsed = parse_keys(acted, keys)
     return split_key_changes(parsed, list(keys)).select("lsn", "op", *keys)
 
 
+def known_action(schema: str, table: str) -> Column:
+    """Whether a line of the table is a row change."""
+    head = len(f"table {relation(schema, table)}: ")
+    return F.substring("data", head + 1, 8).isin("INSERT: ", "UPDATE: ", "DELETE: ")
+
+
+def rejected_lines(
+    lines: DataFrame, schema: str, table: str, keys: Mapping[str, DataType | str]
+) -> DataFrame:
+    """``(lsn, data, reason)`` of a table's lines that cannot be applied as they are."""
+    acted = (
+        filter_table(lines, schema, table)
+        .withColumn("_known", known_action(schema, table))
+        .withColumn("op", F.substring("data", len(f"table {relation(schema, table)}: ") + 1, 1))
+    )
+    unread = F.concat_ws(", ", *[F.when(F.col(k).isNull(), k) for k in keys])
+    reason = F.when(~F.col("_known"), F.lit("not a row change")).otherwise(
+        F.concat(F.lit("no readable key: "), unread)
+    )
+    parsed = parse_keys(acted, keys).filter(~F.col("_known") | any_null(list(keys)))
+    return parsed.select("lsn", "data", reason.alias("reason"))
+
+
 def rejected_changes(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Changes without a readable key. Flows count them instead of losing them silently."""
     return changes.filter(any_null(keys))

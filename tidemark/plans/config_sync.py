@@ -17,9 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas as s
+from tidemark.functions.exprs import watermark_value
+from tidemark.functions.watermarks import stored, to_text, usable
 from tidemark.operators.merge import add_load_timestamp
 from tidemark.plans import control
-from tidemark.plans.flows import CONTROL, in_parallel, utc_now
+from tidemark.plans.flows import control_table, in_parallel, utc_now
 from tidemark.plans.store import Warehouse, buckets_for
 from tidemark.sources.scans import Source, TableSpec, scan_auto
 
@@ -101,12 +103,8 @@ class ConfigSync:
     ) -> None:
         self.config, self.warehouse, self.spark = config, warehouse, warehouse.spark
         self.source_of, self.clock = source_of, clock
-        self.state = warehouse.table(CONTROL, "replication_state")
-        if not self.state.exists():
-            self.state.create(s.STATE)
-        self.events = warehouse.table(CONTROL, "sync_events")
-        if not self.events.exists():
-            self.events.create(s.EVENT_LOG)
+        self.state = control_table(warehouse, "replication_state", s.with_watermark(s.STATE))
+        self.events = control_table(warehouse, "sync_events", s.EVENT_LOG)
 
     def sync_table(self, database: str, table: str, full_refresh: bool = False) -> dict[str, Any]:
         """Sync one table; never raises for a failed sync."""
@@ -145,7 +143,9 @@ class ConfigSync:
             control.state_mark_running(self.state.read(), names, self.clock())
         )
         marks = {
-            (r["source_db"], r["table_name"]): r["last_sync_value"]
+            (r["source_db"], r["table_name"]): stored(
+                r["watermark_text"], r["watermark_type"], r["last_sync_value"]
+            )
             for r in self.state.read().join(names, list(control.STATE_KEY)).collect()
         }
         done = in_parallel(
@@ -160,13 +160,15 @@ class ConfigSync:
         return [{k: v for k, v in r.items() if k != "watermark"} for r in results]
 
     def _sync(
-        self, database: str, spec: TableSpec, full_refresh: bool, watermark: datetime | None
+        self, database: str, spec: TableSpec, full_refresh: bool, watermark: Any
     ) -> tuple[dict[str, Any], list[dict[str, Any]]]:
         started, events = time.monotonic(), []
         schema = self.config.target_schema(database)
         table = self.warehouse.table(schema, spec.name.upper())
 
-        def log(kind: str, message: str, rows: int | None = None, since: float | None = None) -> None:
+        def log(
+            kind: str, message: str, rows: int | None = None, since: float | None = None, **details: Any
+        ) -> None:
             spent = None if since is None else int((time.monotonic() - since) * 1000)
             events.append(
                 {
@@ -176,56 +178,68 @@ class ConfigSync:
                     "message": message,
                     "rows_affected": rows,
                     "duration_ms": spent,
-                    "metadata": None,
+                    "metadata": json.dumps(details, default=str) if details else None,
                     "logged_at": self.clock(),
                 }
             )
 
-        log("SYNC_START", f"to {table.path}, full refresh: {full_refresh}")
+        log(
+            "SYNC_START",
+            f"to {table.path}, full refresh: {full_refresh}",
+            target=f"{schema}.{spec.name.upper()}",
+            full_refresh=full_refresh,
+            primary_key=list(spec.keys),
+            cdc_column=spec.cdc_column,
+        )
         base = {"database": database, "table": spec.name}
         try:
             source = self.source_of(database)
             if full_refresh or not spec.cdc_column or not table.exists():
                 watermark = None  # a missing target gets all rows, not the newest only
-            load = "MERGE" if watermark else "FULL"
+            if watermark is not None:
+                watermark = usable(watermark, source.read(spec).schema[spec.cdc_column].dataType)
+            merging = watermark is not None
+            load = "MERGE" if merging else "FULL"
             extract = time.monotonic()
             df, count = scan_auto(source, spec, watermark, self.config.large_table_rows)
-            log("SOURCE_COUNT", "rows in the source", count)
-            large = count > self.config.large_table_rows and spec.range_column
-            log("EXTRACT_START", f"{spec.num_partitions} range reads" if large else "one read")
+            log("SOURCE_COUNT", "rows in the source", count, large=bool(count > self.config.large_table_rows))
+            large = count > self.config.large_table_rows and spec.split_columns
+            log("EXTRACT_START", f"{spec.parts(count)} range reads" if large else "one read")
             df = add_load_timestamp(df, self.clock())
             with table.staging() as stage:
-                if watermark:
+                if merging:
                     # The batch is on disk after this, so the time is that of the extract.
                     df = stage(df)
-                log("EXTRACT_COMPLETE", "batch staged" if watermark else "read planned", since=extract)
+                log("EXTRACT_COMPLETE", "batch staged" if merging else "read planned", since=extract)
                 loading = time.monotonic()
                 log("LOAD_START", load)
-                if watermark:
+                if merging:
                     rows, newest = table.merge(df, spec.cdc_column)
-                    newest = max(newest or watermark, watermark)
+                    newest = watermark if newest is None else max(newest, watermark)
                 else:
                     table.overwrite(df, spec.keys, buckets_for(count))
-                    top = F.max(spec.cdc_column) if spec.cdc_column else F.lit(None)
-                    rows, newest = table.read().agg(F.count("*"), top).first()
+                    target, top = table.read(), F.lit(None)
+                    if spec.cdc_column:
+                        top = F.max(watermark_value(spec.cdc_column, target.schema[spec.cdc_column].dataType))
+                    rows, newest = target.agg(F.count("*"), top).first()
             table.prune()
             log("LOAD_COMPLETE", load, rows, loading)
-            log("SYNC_COMPLETE", f"watermark {newest}", rows, started)
+            log("SYNC_COMPLETE", f"watermark {newest}", rows, started, load=load, watermark=newest)
             return base | {"status": "success", "rows": rows, "watermark": newest}, events
         except Exception as error:  # reported in the result, the state and the event log
-            log("SYNC_FAILED", str(error), since=started)
+            log("SYNC_FAILED", str(error), since=started, error=type(error).__name__)
             return base | {"status": "failed", "error": str(error)}, events
 
     def _finish(self, results: list[dict[str, Any]]) -> None:
         schema = (
             "source_db string, table_name string, watermark timestamp_ntz, "
-            "row_count bigint, error string"
+            "row_count bigint, error string, watermark_text string, watermark_type string"
         )
-        rows = [
-            (r["database"], r["table"], mark if isinstance(mark, datetime) else None, r.get("rows"), r.get("error"))
-            for r in results
-            for mark in [r.get("watermark")]
-        ]
+        rows = []
+        for r in results:
+            mark = r.get("watermark")
+            time_mark = mark if isinstance(mark, datetime) else None
+            rows.append((r["database"], r["table"], time_mark, r.get("rows"), r.get("error"), *to_text(mark)))
         runs = self.spark.createDataFrame(rows, schema)
         now = self.clock()
         state = control.state_mark_completed(self.state.read(), runs.filter("error IS NULL"), now)
@@ -236,6 +250,6 @@ class ConfigSync:
         """Append events; a failure to log never fails the run."""
         try:
             rows = self.spark.createDataFrame(events, s.EVENT_LOG)
-            self.events.append(control.event_rows(rows).select(*s.EVENT_LOG.names))
+            self.events.append(rows.select(*s.EVENT_LOG.names))
         except Exception as error:
             warnings.warn(f"events not logged: {error}", stacklevel=2)

@@ -241,16 +241,21 @@ def list_tables(tables: DataFrame, database_id: str | None = None) -> DataFrame:
 # --- run log --------------------------------------------------------------------------
 
 
+#: Columns of a run that its log row has where they are known.
+RUN_DETAILS = ("schema_fingerprint", "schema_version", "rejected", "missing")
+
+
 def run_log_rows(results: DataFrame) -> DataFrame:
     """Run results as log rows.
 
     ``results`` holds ``table_id, method, error, row_count, seconds,
-    new_watermark, logged_at`` and, where known, ``schema_fingerprint`` and
-    ``schema_version``. Failed runs log no rows, watermark or cdc rows.
+    new_watermark, logged_at`` and, where known, ``schema_fingerprint``,
+    ``schema_version``, the typed watermark and the lines left out. Failed runs
+    log no rows, watermark or cdc rows.
     """
     ok = F.col("error").isNull()
     incremental = F.lower("method").isin("cdc", "wal")
-    carried = [c for c in ("schema_fingerprint", "schema_version") if c in results.columns]
+    carried = [c for c in (*RUN_DETAILS, *s.WATERMARK.names) if c in results.columns]
     return results.select(
         "table_id",
         run_status("error").alias("sync_status"),
@@ -300,6 +305,10 @@ def consolidate_log(
     for name in ("schema_fingerprint", "schema_version"):
         if name in log.columns and name in tables.columns:
             replaced[name] = F.coalesce(f"_{name}", name)
+    for name in s.WATERMARK.names:  # text and type change together
+        if name in log.columns and name in tables.columns:
+            newer = F.col("_watermark_text").isNotNull()
+            replaced[name] = F.when(newer, F.col(f"_{name}")).otherwise(F.col(name))
     if "updated_at" in tables.columns:
         replaced["updated_at"] = F.when(ran, ntz(run_ts)).otherwise(F.col("updated_at"))
     joined = tables.join(new, F.col("table_id") == F.col("_table_id"), "left")
@@ -331,7 +340,8 @@ def _state_change(
         "last_sync_ts": ntz(run_ts),
         "rows_synced": F.lit(0).cast("bigint"),
         "error_message": F.lit(None).cast("string"),
-    } | dict(values)
+    } | {c: F.col(f"o.{c}") for c in s.WATERMARK.names if c in state.columns}
+    columns |= dict(values)
     columns["error_message"] = F.substring(columns["error_message"], 1, s.STATE_ERROR_LENGTH)
     return joined.select(
         *STATE_KEY,
@@ -360,6 +370,10 @@ def state_mark_completed(state: DataFrame, runs: DataFrame, run_ts: datetime | s
         "rows_synced": F.col("r.row_count").cast("bigint"),
         "sync_status": F.lit("completed"),
     }
+    for name in s.WATERMARK.names:  # text and type change together
+        if name in state.columns and name in runs.columns:
+            newer = F.col("r.watermark_text").isNotNull()
+            values[name] = F.when(newer, F.col(f"r.{name}")).otherwise(F.col(f"o.{name}"))
     return _state_change(state, runs, values, run_ts)
 
 

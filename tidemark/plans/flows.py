@@ -9,22 +9,24 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, StructType
 
 from tidemark import schemas as s
 from tidemark.functions import any_null
 from tidemark.functions.exprs import watermark_value
+from tidemark.functions.watermarks import usable
 from tidemark.operators import wal
-from tidemark.plans.store import SnapshotTable, buckets_for
+from tidemark.plans.rejects import DeadLetters
+from tidemark.plans.store import SnapshotTable, Warehouse, buckets_for
 from tidemark.sources.changelog import changelog_read
-from tidemark.sources.scans import Source, TableSpec, scan_auto, scan_incremental
+from tidemark.sources.scans import Source, TableSpec, newer_than, scan_auto
 
 CONTROL = "_control"
 
@@ -35,7 +37,7 @@ class Outcome:
 
     row_count: int
     mode: str
-    watermark: datetime | None = None
+    watermark: Any = None
     batches: int = 1
     upserts: int = 0
     deletes: int = 0
@@ -118,9 +120,15 @@ def sync_cdc(
     lookback: str = "",
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> Outcome:
-    """Merge the rows above the watermark. The new watermark is the batch's own maximum."""
+    """Merge the rows above the watermark. The new watermark is the batch's own maximum.
+
+    The watermark may be a time, date, number, text or bytes; one that the column's
+    type cannot be compared with is passed over, and all rows are read.
+    """
+    rows = source.read(spec)
+    watermark = usable(watermark, rows.schema[spec.cdc_column].dataType)
     with table.staging() as stage:
-        staged = stage(prepare(scan_incremental(source, spec, watermark, lookback)))
+        staged = stage(prepare(newer_than(rows, spec.cdc_column, watermark, lookback)))
         if table.exists():
             mode = "CDC (merge)"
             rows, top = table.merge(staged, spec.cdc_column)
@@ -146,6 +154,7 @@ def sync_wal(
     committed_lsn: int | None = None,
     limit: int | None = None,
     policy: str = "last_change",
+    dead_letters: DeadLetters | None = None,
 ) -> Outcome:
     """Apply pending log lines of one table; ``position`` is what may be committed after.
 
@@ -157,7 +166,9 @@ def sync_wal(
     if head is None:
         return Outcome(0, "WAL (no changes)", batches=0, position=committed_lsn)
     batch = changelog_read(lines, committed_lsn, head)
-    return apply_lines(batch, source, spec, table, source_schema, key_types, policy, head)
+    return apply_lines(
+        batch, source, spec, table, source_schema, key_types, policy, head, dead_letters
+    )
 
 
 def apply_lines(
@@ -169,31 +180,138 @@ def apply_lines(
     key_types: Mapping[str, DataType | str] | None = None,
     policy: str = "last_change",
     position: int | None = None,
+    dead_letters: DeadLetters | None = None,
+    settle: bool = False,
+    order: BatchOrder | None = None,
 ) -> Outcome:
-    """Apply one batch of log lines. Applying it again changes nothing."""
+    """Apply one batch of log lines. Applying it again changes nothing.
+
+    Lines that cannot be applied go to ``dead_letters`` before the target changes;
+    without it they are only counted. ``settle`` makes every key of the batch equal
+    the source, for lines that are older than others applied before. ``order`` lets
+    batches come in any order and more than once.
+    """
     keys = list(spec.keys)
     if key_types is None:
         read = {f.name.lower(): f.dataType for f in source.read(spec).schema.fields}
         key_types = {k: read[k.lower()] for k in keys}
-    changes = wal.parse_changes(lines, source_schema, spec.name, key_types)
-    seen = Observation()
-    watched = changes.observe(seen, F.count_if(any_null(keys)).alias("rejected"))
+    own, unread = Observation(), Observation()
+    known = wal.known_action(source_schema, spec.name)
+    mine = wal.filter_table(lines, source_schema, spec.name)
+    mine = mine.observe(own, F.count_if(~known).alias("others"))
+    changes = wal.parse_changes(mine, source_schema, spec.name, key_types)
+    watched = changes.observe(unread, F.count_if(any_null(keys)).alias("rejected"))
     with table.staging() as stage:
         net = stage(wal.net_changes(watched, keys, policy))
+        if settle:
+            net = net.withColumn("op", F.lit(wal.UPDATE))
+        if order:
+            net = stage(order.newer(net, keys)) if order.behind(net) else net
+        rejected = unread.get.get("rejected", 0)
+        if dead_letters and (rejected or own.get.get("others", 0)):
+            found = wal.rejected_lines(lines, source_schema, spec.name, key_types)
+            if dead_letters.policy == "reload":
+                done = sync_full(source, spec, table)
+                return replace(done, mode="FULL (unreadable lines)", rejected=rejected, position=position)
+            dead_letters.put(found)
         fetched = stage(source.read_keys(spec, net.filter(F.col("op") != wal.DELETE)))
-        upserts, deletes = fetched.count(), 0
-        wanted = net.filter((F.col("op") != wal.DELETE) & ~any_null(keys)).count()
+        upserts, deletes, missing = _counts(net, fetched, keys)
+        applied = order.applied() if order else None
         if table.exists():
-            deletes = net.filter(F.col("op") == wal.DELETE).count()
-            table.apply(fetched, net, policy)
-        elif upserts:
-            table.overwrite(fetched, keys, buckets_for(upserts))
-    rejected = seen.get.get("rejected", 0)
+            table.apply(fetched, net, policy, applied)
+        else:
+            deletes = 0
+            if upserts:
+                table.overwrite(fetched, keys, buckets_for(upserts), applied)
+        if order:
+            order.remember(net, keys)
     mode = f"WAL ({upserts} upserts, {deletes} deletes)" if upserts + deletes else "WAL (no changes)"
-    missing = max(0, wanted - upserts)
     return Outcome(upserts + deletes, mode, None, 1, upserts, deletes, rejected, position, missing)
 
 
+class BatchOrder:
+    """What a target has seen of a log, so that batches may come twice or in another order.
+
+    The newest applied position and each stream's last batch are committed with the
+    target's rows. The position of each key's last change is kept in a table beside
+    the target, one narrow row per key that ever changed; it is asked only for batches
+    that reach below the applied position. It is written after the target: if a run
+    dies in between, the batch is applied again, which changes nothing.
+    """
+
+    def __init__(self, table: SnapshotTable, stream: str, batch: int) -> None:
+        self.table, self.stream, self.batch = table, stream, batch
+        version = table.current()
+        self.before = dict(version.applied) if version else {}
+        self.head = self.before.get("lsn")
+        self.positions = SnapshotTable(table.spark, f"{table.path}/positions")
+
+    @property
+    def done(self) -> bool:
+        """Whether the stream's batch, and its positions, have been committed."""
+        known = self.positions.current()
+        return known is not None and known.applied.get(self.stream, -1) >= self.batch
+
+    def behind(self, net: DataFrame) -> bool:
+        """Whether some change is not above all that has been applied."""
+        low, high = net.agg(F.min("lsn"), F.max("lsn")).first()
+        late = self.head is not None and low is not None and low <= self.head
+        if high is not None:
+            self.head = high if self.head is None else max(high, self.head)
+        return late
+
+    def newer(self, net: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """Changes above their key's last one; at the same position an upsert decides."""
+        if not self.positions.exists():
+            return net
+        last = self.positions.read().select(*keys, F.col("lsn").alias("_last"))
+        same = (F.col("lsn") == F.col("_last")) & (F.col("op") != wal.DELETE)
+        above = F.col("_last").isNull() | (F.col("lsn") > F.col("_last")) | same
+        return net.join(last, list(keys), "left").filter(above).drop("_last")
+
+    def applied(self) -> dict[str, int]:
+        marks = self.before | {self.stream: self.batch}
+        return marks if self.head is None else marks | {"lsn": self.head}
+
+    def remember(self, net: DataFrame, keys: Sequence[str]) -> None:
+        rows = net.select(*keys, "lsn")
+        marks = {self.stream: self.batch}
+        if not self.positions.exists():
+            self.positions.overwrite(rows, list(keys), buckets_for(rows.count()), marks)
+        else:
+            self.positions.merge(rows, applied=marks)
+        self.positions.prune()
+
+
+def _counts(net: DataFrame, fetched: DataFrame, keys: Sequence[str]) -> tuple[int, int, int]:
+    """Fetched rows, deleted keys, and upserted keys that the source no longer has."""
+    held = fetched.groupBy(*keys).agg(F.count("*").alias("copies"))
+    deleted = F.col("op") == wal.DELETE
+    row = (
+        net.join(held, list(keys), "left")
+        .agg(
+            F.coalesce(F.sum("copies"), F.lit(0)).alias("upserts"),
+            F.count_if(deleted).alias("deletes"),
+            F.count_if(~deleted & F.col("copies").isNull()).alias("missing"),
+        )
+        .first()
+    )
+    return row["upserts"], row["deletes"], row["missing"]
+
+
+# --- control tables -------------------------------------------------------------------
+
+
+def control_table(warehouse: Warehouse, name: str, schema: StructType) -> SnapshotTable:
+    """A control table; one from before a column was added gets it, with NULLs."""
+    table = warehouse.table(CONTROL, name)
+    if not table.exists():
+        table.create(schema)
+    elif missing := [f for f in schema.fields if f.name not in table.columns()]:
+        table.overwrite(table.read().withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}))
+    return table
+
+
 # --- many tables ----------------------------------------------------------------------
 
 

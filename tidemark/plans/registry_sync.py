@@ -10,6 +10,7 @@ import time
 from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field, replace
 from datetime import datetime
+from typing import Any
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -24,18 +25,21 @@ from pyspark.sql.types import (
 )
 
 from tidemark import schemas as s
+from tidemark.functions.watermarks import stored, to_text
 from tidemark.operators import evolution, wal
 from tidemark.plans import control
 from tidemark.plans.flows import (
     CONTROL,
     Outcome,
     apply_lines,
+    control_table,
     in_parallel,
     plan_method,
     sync_cdc,
     sync_full,
     utc_now,
 )
+from tidemark.plans.rejects import DeadLetters, rejects_table
 from tidemark.plans.store import SnapshotTable, Warehouse, remove_folder
 from tidemark.sources.changelog import changelog_head, changelog_read, committed_positions
 from tidemark.sources.scans import Source, TableSpec, fresh_folder
@@ -51,6 +55,9 @@ RESULT = StructType(
         StructField("new_watermark", TimestampNTZType()),
         StructField("schema_fingerprint", StringType()),
         StructField("schema_version", IntegerType()),
+        StructField("rejected", LongType()),
+        StructField("missing", LongType()),
+        *s.WATERMARK.fields,
         StructField("logged_at", TimestampNTZType()),
     ]
 )
@@ -66,7 +73,9 @@ class TableRun:
     error: str | None = None
     row_count: int = 0
     seconds: float = 0.0
-    new_watermark: datetime | None = None
+    new_watermark: Any = None
+    rejected: int = 0
+    missing: int = 0
     schema_fingerprint: str | None = None
     schema_version: int | None = None
     position: int | None = None
@@ -121,24 +130,23 @@ class RegistrySync:
         parallelism: int = 8,
         changelog_limit: int | None = None,
         policy: str = "last_change",
+        rejects: str = "store",
     ) -> None:
         self.warehouse, self.spark = warehouse, warehouse.spark
         self.source_of, self.changelog_of = source_of, changelog_of
         self.clock, self.parallelism = clock, parallelism
         self.changelog_limit, self.policy = changelog_limit, policy
+        self.rejects, self.rejected = rejects, rejects_table(warehouse, CONTROL)
         self.databases = self._control("database_registry", s.DATABASE_REGISTRY)
-        self.tables = self._control("table_registry", s.TABLE_REGISTRY)
-        self.log = self._control("sync_log", s.SYNC_LOG)
+        self.tables = self._control("table_registry", s.with_watermark(s.TABLE_REGISTRY))
+        self.log = self._control("sync_log", s.with_watermark(s.RUN_LOG))
         self.commits = self._control("changelog_commits", s.CHANGELOG_COMMIT)
         self.consolidated = self._control(
             "consolidated", StructType([StructField("log_id", LongType())])
         )
 
     def _control(self, name: str, schema: StructType) -> SnapshotTable:
-        table = self.warehouse.table(CONTROL, name)
-        if not table.exists():
-            table.create(schema)
-        return table
+        return control_table(self.warehouse, name, schema)
 
     # --- registration ---
 
@@ -333,8 +341,9 @@ class RegistrySync:
                     message=text if note == evolution.UNCHANGED else f"{text}. {note}",
                     row_count=done.row_count,
                     seconds=seconds,
-                    # The log keeps times; a column of another kind is read whole each time.
-                    new_watermark=done.watermark if isinstance(done.watermark, datetime) else None,
+                    new_watermark=done.watermark,
+                    rejected=done.rejected,
+                    missing=done.missing,
                     schema_fingerprint=plan["fingerprint"],
                     schema_version=plan["schema_version"],
                     position=done.position,
@@ -349,6 +358,34 @@ class RegistrySync:
             seconds=time.monotonic() - started,
         )
 
+    def _dead_letters(self, row: Row) -> DeadLetters:
+        return DeadLetters(self.rejected, self._slot(row), row["table_id"], self.rejects)
+
+    def replay_rejects(self, table_id: str, repaired: DataFrame | None = None) -> Outcome:
+        """Apply rejected lines again, as ``repaired`` (lsn, data) or, after another fix, as stored.
+
+        Later lines of the same keys may have been applied since, so the keys are made equal
+        to the source. Lines that are readable now leave the rejected ones.
+        """
+        row = self.tables.read().filter(F.col("table_id") == table_id).first()
+        known = self.databases.read()
+        database = known.filter(F.col("database_id") == row["database_id"]).first() if row else None
+        if database is None:
+            raise LookupError(f"{table_id}: no table is registered under this id")
+        probe, letters = self._probe((database, row)), self._dead_letters(row)
+        if probe.error:
+            raise RuntimeError(probe.error)
+        schema, name = self._relation(probe)
+        types = {f.name.lower(): f.dataType for f in probe.source.read(probe.spec).schema.fields}
+        types = {k: types[k.lower()] for k in probe.spec.keys}
+        with probe.target.staging() as stage:
+            lines = letters.pending().select("lsn", "data") if repaired is None else repaired
+            lines = stage(lines.select("lsn", "data"))
+            done = apply_lines(lines, probe.source, probe.spec, probe.target, schema, types, settle=True)
+            left = wal.rejected_lines(lines, schema, name, types)
+            letters.settle(lines.join(left, "lsn", "left_anti"))
+        return done
+
     @staticmethod
     def _slot(row: Row) -> str:
         return row["wal_slot_name"] or "default"
@@ -367,9 +404,11 @@ class RegistrySync:
                 self._relation(probe)[0],
                 policy=self.policy,
                 position=log.head,
+                dead_letters=self._dead_letters(row),
             )
         elif plan["method"] == "cdc":
-            done = sync_cdc(source, spec, table, row["last_watermark"])
+            mark = stored(row["watermark_text"], row["watermark_type"], row["last_watermark"])
+            done = sync_cdc(source, spec, table, mark)
         else:
             # The position is taken before the reload: later lines are applied again.
             head = None
@@ -393,10 +432,12 @@ class RegistrySync:
             return
         top = self.log.read().agg(F.max("log_id")).first()[0] or 0
         now = self.clock()
-        rows = [
-            {**{k: v for k, v in asdict(r).items() if k in RESULT.names}, "log_id": i, "logged_at": now}
-            for i, r in enumerate(runs, top + 1)
-        ]
+        rows = []
+        for i, run in enumerate(runs, top + 1):
+            row = {k: v for k, v in asdict(run).items() if k in RESULT.names}
+            row |= dict(zip(s.WATERMARK.names, to_text(run.new_watermark)))
+            row["new_watermark"] = run.new_watermark if isinstance(run.new_watermark, datetime) else None
+            rows.append(row | {"log_id": i, "logged_at": now})
         results = self.spark.createDataFrame(rows, RESULT)
         ids = results.select("log_id", "table_id")
         self.log.append(control.run_log_rows(results).join(ids, "table_id"))

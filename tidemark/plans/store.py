@@ -236,9 +236,13 @@ class SnapshotTable:
             self._commit(Version(self._next(None), schema, keys, buckets))
 
     def overwrite(
-        self, df: DataFrame, keys: str | Sequence[str] = (), buckets: int | None = None
+        self,
+        df: DataFrame,
+        keys: str | Sequence[str] = (),
+        buckets: int | None = None,
+        applied: dict[str, int] | None = None,
     ) -> None:
-        """Replace all rows, and the schema with them."""
+        """Replace all rows, and the schema with them; what streams have applied is kept."""
         with self._lock:
             old = self.current()
             number = self._next(old)
@@ -247,7 +251,8 @@ class SnapshotTable:
             buckets = (buckets or DEFAULT_BUCKETS) if keys else 1
             written = self._write(df, number, keys, buckets)
             parts = {b: [number] for b in written}
-            self._commit(Version(number, df.schema, keys, buckets, parts))
+            marks = (old.applied if old else {}) | (applied or {})
+            self._commit(Version(number, df.schema, keys, buckets, parts, marks))
 
     def append(self, df: DataFrame, compact_after: int = COMPACT_AFTER) -> None:
         """Add rows; the old folders stay as they are.
@@ -323,9 +328,8 @@ class SnapshotTable:
                 parts[bucket] = kept
         for bucket in written:
             parts[bucket] = [*parts.get(bucket, []), number]
-        self._commit(
-            Version(number, old.schema, old.keys, old.buckets, parts, old.applied if applied is None else applied)
-        )
+        marks = old.applied | (applied or {})
+        self._commit(Version(number, old.schema, old.keys, old.buckets, parts, marks))
 
     def _partitions(self, version: Version) -> int | None:
         """A multiple of the bucket count, near the session's shuffle partitions."""
@@ -391,10 +395,18 @@ class SnapshotTable:
         with self.staging() as stage:
             self.delete(stage(doomed))
 
-    def merge(self, staged: DataFrame, cdc_column: str | None = None) -> tuple[int, Any]:
+    def merge(
+        self,
+        staged: DataFrame,
+        cdc_column: str | None = None,
+        applied: dict[str, int] | None = None,
+        newest_by: str | None = None,
+    ) -> tuple[int, Any]:
         """MERGE staged rows by the table's keys; their number and highest ``cdc_column``.
 
-        A batch with repeated keys is refused. An empty one writes nothing.
+        A batch with repeated keys is refused. An empty one writes no rows. ``applied``
+        is added to what streams have brought, in the same commit. Rows with a lower
+        ``newest_by`` than the target's row of their key stay out.
 
         The rewrite reads the touched files. A batch of few keys, by their measured size,
         is broadcast and leaves those rows where they are; a larger one costs one shuffle
@@ -408,10 +420,17 @@ class SnapshotTable:
                 raise DuplicateKeyError(f"{self.path}: batch repeats a key of {old.keys}")
             if hit := facts["hit"]:
                 touched, partitions = self._touched(old, facts, self._few(facts, batch)), self._partitions(old)
+                if newest_by:
+                    same = [F.col(f"n.{k}") == F.col(f"o.{k}") for k in old.keys]
+                    newer = F.col(f"o.{newest_by}") > F.col(f"n.{newest_by}")
+                    held = self._read(old, touched).select(*old.keys, newest_by).alias("o")
+                    batch = batch.alias("n").join(held, [*same, newer], "left_anti")
                 if facts["key_bytes"] <= BROADCAST_KEY_BYTES:
                     batch, partitions = F.broadcast(self._gathered(old, batch, hit)), None
                 rows = merge.merge_upsert(self._read(old, touched), batch, old.keys, partitions)
-                self._replace(old, touched, rows)
+                self._replace(old, touched, rows, applied=applied)
+            elif applied:
+                self._commit(replace(old, number=self._next(old), applied=old.applied | applied))
             return facts["rows"], facts["top"]
 
     def delete(self, doomed: DataFrame) -> None:
@@ -438,7 +457,8 @@ class SnapshotTable:
     ) -> None:
         """Apply staged net changes with the staged current rows of their upserted keys.
 
-        ``applied`` is committed together with the rows, also where nothing changes.
+        ``applied`` is added to what streams have brought, in the same commit, also where
+        no row changes.
         """
         with self._lock:
             old = self._require()
@@ -454,8 +474,8 @@ class SnapshotTable:
                     self._read(old, touched), fetched, net, old.keys, policy, partitions
                 )
                 self._replace(old, touched, rows, applied=applied)
-            elif applied is not None and applied != old.applied:
-                self._commit(replace(old, number=self._next(old), applied=applied))
+            elif applied:
+                self._commit(replace(old, number=self._next(old), applied=old.applied | applied))
 
     @staticmethod
     def _few(facts: Row, keys: DataFrame) -> DataFrame:

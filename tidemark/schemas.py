@@ -89,6 +89,9 @@ SYNC_LOG = _fields(
     ("logged_at", _T),
 )
 
+# The run log with what a run of a change log had to leave out.
+RUN_LOG = StructType([*SYNC_LOG.fields, StructField("rejected", _L), StructField("missing", _L)])
+
 STATE = _fields(
     ("source_db", _S),
     ("table_name", _S),
@@ -110,6 +113,18 @@ EVENT_LOG = _fields(
     ("logged_at", _T),
 )
 
+# A watermark of any type beside the time column of a control table.
+WATERMARK = _fields(("watermark_text", _S), ("watermark_type", _S))
+
+
+def with_watermark(schema: StructType) -> StructType:
+    return StructType([*schema.fields, *WATERMARK.fields])
+
+
+REJECTED_LINES = _fields(
+    ("slot", _S), ("table_id", _S), ("lsn", _L), ("line_key", _S), ("data", _S), ("reason", _S)
+)
+
 CHANGELOG_COMMIT = _fields(("slot", _S), ("table_id", _S), ("lsn", _L))
 
 _CONFIG_DATABASE = _fields(

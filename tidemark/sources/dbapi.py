@@ -37,6 +37,7 @@ from pyspark.sql.types import StructType
 
 from tidemark import schemas as s
 from tidemark.sources.scans import TableSpec
+from tidemark.sources.splits import conditions, ends_sql
 
 FORMAT = "tidemark_dbapi"
 LOOKUP_CHUNK = 500
@@ -190,6 +191,8 @@ class DbApiReader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         options = self.table.options
+        if "splitcolumns" in options:
+            return self._split([self.table.name(c) for c in json.loads(options["splitcolumns"])])
         column = options.get("partitioncolumn")
         if not column:
             return [_Range("", [])]
@@ -202,6 +205,13 @@ class DbApiReader(DataSourceReader):
         )
         return [_Range(*r) for r in ranges]
 
+    def _split(self, columns: list[str]) -> list[InputPartition]:
+        """Parts of equal size of the whole table; their ends come from the source."""
+        options = self.table.options
+        sql = ends_sql(columns, self.table.table, int(options["rows"]), int(options["numpartitions"]))
+        ends = Connection(options).rows(sql) if sql else []
+        return [_Range(*c) for c in conditions(columns, ends, lambda v: (self.mark, [v]))]
+
     def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
         yield from self.table.arrow(
             [*self.conditions, partition.condition], [*self.parameters, *partition.parameters]
@@ -342,7 +352,16 @@ class DbApiSource:
             "partitioncolumn": spec.range_column,
             "lowerbound": str(lower),
             "upperbound": str(upper),
-            "numpartitions": str(spec.num_partitions),
+            "numpartitions": str(spec.num_partitions or s.DEFAULT_PARTITIONS),
+        }
+        reader = self.spark.read.format(FORMAT).options(**options)
+        return reader.schema(self.spark_schema(spec)).load()
+
+    def read_split(self, spec: TableSpec, rows: int) -> DataFrame:
+        options = self._options(spec) | {
+            "splitcolumns": json.dumps(spec.split_columns),
+            "rows": str(rows),
+            "numpartitions": str(spec.parts(rows)),
         }
         reader = self.spark.read.format(FORMAT).options(**options)
         return reader.schema(self.spark_schema(spec)).load()

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +17,10 @@ class Dialect:
     jdbc_driver: str
     url: str  # with %s for host, port and database
     quote: tuple[str, str]
+    schema: str | None  # where tables are that no schema is named for
+    binary: str  # a binary literal, with %s for its hexadecimal digits
+    booleans: tuple[str, str] = ("0", "1")
+    escapes: bool = False  # whether a backslash in a text literal needs one before it
 
     def jdbc_url(self, host: str, port: int, database: str) -> str:
         return self.url % (host, port, database)
@@ -23,6 +29,19 @@ class Dialect:
         left, right = self.quote
         return ".".join(left + n.replace(right, right * 2) + right for n in names)
 
+    def literal(self, value: Any) -> str:
+        """A value as SQL text; the source casts texts to what they are compared with."""
+        if value is None:
+            return "NULL"
+        if isinstance(value, bool):
+            return self.booleans[value]
+        if isinstance(value, (int, float, Decimal)):
+            return str(value)
+        if isinstance(value, (bytes, bytearray)):
+            return self.binary % bytes(value).hex()
+        text = str(value).replace("'", "''")
+        return "'" + (text.replace("\\", "\\\\") if self.escapes else text) + "'"
+
 
 # The DB-API drivers a source may name, by dialect.
 DIALECTS = (
@@ -32,6 +51,9 @@ DIALECTS = (
         "org.postgresql.Driver",
         "jdbc:postgresql://%s:%d/%s?sslmode=require",
         ('"', '"'),
+        "public",
+        "'\\x%s'::bytea",
+        ("FALSE", "TRUE"),
     ),
     Dialect(
         "sqlserver",
@@ -39,6 +61,8 @@ DIALECTS = (
         "com.microsoft.sqlserver.jdbc.SQLServerDriver",
         "jdbc:sqlserver://%s:%d;databaseName=%s",
         ("[", "]"),
+        "dbo",
+        "0x%s",
     ),
     Dialect(
         "mysql",
@@ -46,6 +70,10 @@ DIALECTS = (
         "com.mysql.cj.jdbc.Driver",
         "jdbc:mysql://%s:%d/%s",
         ("`", "`"),
+        None,
+        "x'%s'",
+        ("FALSE", "TRUE"),
+        escapes=True,
     ),
 )
 

@@ -13,9 +13,11 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark import schemas as s
 from tidemark.operators.merge import rows_by_keys
 from tidemark.sources.dialects import Dialect, dialect_of
 from tidemark.sources.scans import TableSpec, columns_of, scan_auto
+from tidemark.sources.splits import conditions, ends_sql
 
 LOOKUP_KEYS = 20_000
 LOOKUP_CHUNK = 500
@@ -52,7 +54,7 @@ def range_options(spec: TableSpec, lower: Any, upper: Any) -> dict[str, str]:
         "partitionColumn": spec.range_column,
         "lowerBound": str(lower),
         "upperBound": str(upper),
-        "numPartitions": str(spec.num_partitions),
+        "numPartitions": str(spec.num_partitions or s.DEFAULT_PARTITIONS),
     }
 
 
@@ -61,26 +63,16 @@ def key_predicates(
 ) -> list[str]:
     """SQL predicates, one per ``chunk`` keys, that together select the given keys."""
 
-    def literal(value: Any) -> str:
-        if isinstance(value, bool):
-            return str(value).upper() if dialect.name in ("postgresql", "mysql") else str(int(value))
-        if isinstance(value, (int, float)):
-            return repr(value)
-        if isinstance(value, (bytes, bytearray)):
-            raise TypeError("binary keys cannot be looked up by SQL text")
-        text = str(value).replace("'", "''")
-        return "'" + (text.replace("\\", "\\\\") if dialect.name == "mysql" else text) + "'"
-
     names = [dialect.quoted(k) for k in keys]
 
     def one(row: Sequence[Any]) -> str:
-        return "(" + " AND ".join(f"{n} = {literal(v)}" for n, v in zip(names, row)) + ")"
+        return "(" + " AND ".join(f"{n} = {dialect.literal(v)}" for n, v in zip(names, row)) + ")"
 
     predicates = []
     for start in range(0, len(rows), chunk):
         part = rows[start : start + chunk]
         if len(keys) == 1:
-            predicates.append(f"{names[0]} IN ({', '.join(literal(r[0]) for r in part)})")
+            predicates.append(f"{names[0]} IN ({', '.join(dialect.literal(r[0]) for r in part)})")
         else:
             predicates.append(" OR ".join(one(r) for r in part))
     return predicates
@@ -112,6 +104,20 @@ class JdbcSource:
         options = self._options(spec) | range_options(spec, lower, upper)
         return self.spark.read.format("jdbc").options(**options).load()
 
+    def read_split(self, spec: TableSpec, rows: int) -> DataFrame:
+        """Parts of equal size; the source says where they end, one row a part."""
+        options = self._options(spec)
+        table = options.pop("dbtable")
+        columns = [self.dialect.quoted(c) for c in spec.split_columns]
+        query = ends_sql(columns, table, rows, spec.parts(rows))
+        if not query:
+            return self.read(spec)
+        ends = self.spark.read.format("jdbc").options(**options, query=query).load().collect()
+        predicates = [text for text, _ in conditions(columns, ends, lambda v: (self.dialect.literal(v), []))]
+        return self.spark.read.jdbc(
+            options.pop("url"), table, predicates=predicates, properties=options
+        )
+
     def read_keys(self, spec: TableSpec, keys: DataFrame) -> DataFrame:
         """Few keys are looked up in the source; more are joined to a range read.
 

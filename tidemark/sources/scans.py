@@ -10,9 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import date, datetime
-from decimal import Decimal
-from functools import reduce
+from datetime import date, datetime, timedelta
 from typing import Any, Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +19,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas as s
 from tidemark.functions import key_list, typed_literal
 from tidemark.operators.merge import rows_by_keys
+from tidemark.sources.splits import parts_for
 
 
 @dataclass(frozen=True)
@@ -31,7 +30,7 @@ class TableSpec:
     keys: tuple[str, ...] = ()
     cdc_column: str | None = None
     partition_column: str | None = None
-    num_partitions: int = s.DEFAULT_PARTITIONS
+    num_partitions: int | None = None  # None: by the table's size
     fetch_size: int = s.DEFAULT_FETCH_SIZE
 
     @staticmethod
@@ -42,6 +41,13 @@ class TableSpec:
     def range_column(self) -> str | None:
         return self.partition_column or (self.keys[0] if self.keys else None)
 
+    @property
+    def split_columns(self) -> tuple[str, ...]:
+        return (self.partition_column,) if self.partition_column else self.keys
+
+    def parts(self, rows: int) -> int:
+        return self.num_partitions or parts_for(rows, s.DEFAULT_PARTITIONS)
+
 
 class Source(Protocol):
     """Where source tables come from."""
@@ -50,7 +56,10 @@ class Source(Protocol):
         """All rows, lazily."""
 
     def read_ranges(self, spec: TableSpec, lower: Any, upper: Any) -> DataFrame:
-        """All rows, read as ``spec.num_partitions`` ranges of ``spec.range_column``."""
+        """All rows, in strides of ``spec.range_column`` where the source reads by query."""
+
+    def read_split(self, spec: TableSpec, rows: int) -> DataFrame:
+        """All rows, of which there are about ``rows``, in parts of equal size by key."""
 
     def read_keys(self, spec: TableSpec, keys: DataFrame) -> DataFrame:
         """Rows whose key is in ``keys``."""
@@ -71,7 +80,7 @@ def probe_rows(df: DataFrame, column: str | None) -> tuple[int, Any, Any]:
 class ParquetSource:
     """Source tables kept as parquet, ``<root>/<name>.parquet``.
 
-    File splits already read in parallel, so ranges need no extra work.
+    Spark splits files by itself, so parts by key need no work: a table is read once.
     """
 
     def __init__(self, spark: SparkSession, root: str, suffix: str = ".parquet") -> None:
@@ -81,10 +90,10 @@ class ParquetSource:
         return self.spark.read.parquet(f"{self.root}/{spec.name}{self.suffix}")
 
     def read_ranges(self, spec: TableSpec, lower: Any, upper: Any) -> DataFrame:
-        """One filtered read per range, put together."""
-        df = self.read(spec)
-        ranges = range_filters(spec.range_column, lower, upper, spec.num_partitions)
-        return reduce(DataFrame.unionByName, (df.filter(r) for r in ranges))
+        return self.read(spec)
+
+    def read_split(self, spec: TableSpec, rows: int) -> DataFrame:
+        return self.read(spec)
 
     def read_keys(self, spec: TableSpec, keys: DataFrame) -> DataFrame:
         return rows_by_keys(self.read(spec), keys, spec.keys)
@@ -101,8 +110,8 @@ def range_filters(column: str, lower: Any, upper: Any, count: int) -> list[Colum
 
     The outer two are open, and the first takes the NULLs.
     """
-    value, stride = F.col(column), max((upper - lower) // count, 1)
-    starts = [lower + i * stride for i in range(count)]
+    value, stride = F.col(column), _stride(lower, upper, count)
+    starts = [_bound(lower + i * stride) for i in range(count)]
     if count == 1:
         return [F.lit(True)]
     first = (value < starts[1]) | value.isNull()
@@ -110,6 +119,18 @@ def range_filters(column: str, lower: Any, upper: Any, count: int) -> list[Colum
     return [first, *inner, value >= starts[-1]]
 
 
+def _stride(lower: Any, upper: Any, count: int) -> Any:
+    """An even step of the bounds' own type, whole days for dates, never zero."""
+    step = (upper - lower) // count
+    if isinstance(lower, datetime):
+        return max(step, timedelta(microseconds=1))
+    return timedelta(days=max(step.days, 1)) if isinstance(lower, date) else max(step, 1)
+
+
+def _bound(value: Any) -> Any:
+    return typed_literal(value, "timestamp_ntz") if isinstance(value, datetime) else value
+
+
 class FrameSource:
     """Source tables given as DataFrames, for tests and derived inputs."""
 
@@ -122,10 +143,10 @@ class FrameSource:
         return self.frames[spec.name]
 
     def read_ranges(self, spec: TableSpec, lower: Any, upper: Any) -> DataFrame:
-        """One filtered read per range, put together."""
-        df = self.read(spec)
-        ranges = range_filters(spec.range_column, lower, upper, spec.num_partitions)
-        return reduce(DataFrame.unionByName, (df.filter(r) for r in ranges))
+        return self.read(spec)
+
+    def read_split(self, spec: TableSpec, rows: int) -> DataFrame:
+        return self.read(spec)
 
     def read_keys(self, spec: TableSpec, keys: DataFrame) -> DataFrame:
         return rows_by_keys(self.read(spec), keys, spec.keys)
@@ -209,16 +230,15 @@ def scan_auto(
     watermark: Any = None,
     threshold: int = s.LARGE_TABLE_ROWS,
 ) -> tuple[DataFrame, int]:
-    """A single read, or range reads above ``threshold`` rows; with the source count.
+    """A single read, or reads of equal parts above ``threshold`` rows; with the source count.
 
-    One probe, answered by the source itself, gives count, minimum and maximum.
-    Ranges between the real bounds stay even where keys start high. A text key
-    has no strides: its table is read at once, unless ``partition_column`` names
-    a numeric or date column.
+    The probe, answered by the source itself, gives the count; the source then splits
+    by what its key's order says, so a key may have any type and any number of columns.
+    A table without a key or partition column is read at once.
     """
-    count, lower, upper = source.probe(spec)
-    if count > threshold and isinstance(lower, (int, float, Decimal, date)):
-        return scan_partitioned(source, spec, lower, upper, watermark), count
+    count = source.probe(spec)[0]
+    if count > threshold and spec.split_columns:
+        return newer_than(source.read_split(spec, count), spec.cdc_column, watermark), count
     return scan_incremental(source, spec, watermark), count
 
 

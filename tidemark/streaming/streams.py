@@ -1,13 +1,10 @@
 """The sync flows as streams.
 
 Each micro-batch runs the batch operators, so a stream ends with the same target
-as one batch over the same input. The checkpoint holds the log position. A batch
-that is run again after a failure changes nothing, as applies are idempotent.
-
-Inside a micro-batch the order of lines does not matter. Between micro-batches it
-does: a source must hand out log ranges in order. ``DbApiSource.changelog`` does
-so by offset. A file stream does when each poll takes all that has landed, which
-is its default; do not split a poll with ``maxFilesPerTrigger``.
+as one batch over the same input. The checkpoint holds the log position. The target
+commits each batch's number with its rows, and the position of each key's last change
+is kept beside it: a batch that comes again, or after batches of later lines, changes
+no key that has seen a later change.
 """
 
 from __future__ import annotations
@@ -21,7 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DataType
 
 from tidemark.functions import any_null
-from tidemark.plans.flows import apply_lines
+from tidemark.plans.flows import BatchOrder, apply_lines
+from tidemark.plans.rejects import DeadLetters
 from tidemark.plans.store import SnapshotTable, buckets_for
 from tidemark.sources.scans import Source, TableSpec
 
@@ -43,15 +41,22 @@ def stream_wal(
     key_types: Mapping[str, DataType | str] | None = None,
     policy: str = "last_change",
     interval: str | None = None,
+    dead_letters: DeadLetters | None = None,
 ) -> StreamingQuery:
     """Apply a stream of log lines ``(lsn, data)`` to a target table.
 
-    ``delete_wins`` works per micro-batch, as it does per run in batch form.
+    Batches may come in any order and more than once. Lines that cannot be applied go
+    to ``dead_letters``. ``delete_wins`` works per micro-batch, as it does per run in
+    batch form.
     """
 
-    def apply(batch: DataFrame, _: int) -> None:
-        apply_lines(batch, source, spec, table, source_schema, key_types, policy)
-        table.prune()
+    def apply(batch: DataFrame, number: int) -> None:
+        order = BatchOrder(table, checkpoint, number)
+        if not order.done:
+            apply_lines(
+                batch, source, spec, table, source_schema, key_types, policy, None, dead_letters, order=order
+            )
+            table.prune()
 
     return (
         lines.writeStream.foreachBatch(apply)
@@ -91,10 +96,7 @@ def stream_cdc(
         with table.staging() as stage:
             staged = stage(newest_per_key(batch, keys, cdc_column))
             if table.exists():
-                same = [F.col(f"n.{k}") == F.col(f"o.{k}") for k in keys]
-                newer = F.col(f"o.{cdc_column}") > F.col(f"n.{cdc_column}")
-                held = table.read().select(*keys, cdc_column).alias("o")
-                table.merge(stage(staged.alias("n").join(held, [*same, newer], "left_anti")))
+                table.merge(staged, newest_by=cdc_column)
             elif count := staged.count():
                 table.overwrite(staged, keys, buckets_for(count))
         table.prune()
