@@ -4,8 +4,8 @@ Terms are counted by fixed-width digests of language and term. A first reading o
 shuffles digests with their numbers of documents, and nothing else; it says which are kept. A
 second one counts these by source, a task's counts written once with their texts. Sums,
 probabilities and ranks are made of digests and numbers. Of each kept digest the least and the
-greatest text are compared; where they differ, several terms share it, and these are counted
-again by their texts. Otherwise texts are joined back to the rows that are put out.
+greatest text are compared; where they differ, several terms share it, and a third reading
+counts these by their texts. Otherwise texts are joined back to the rows that are put out.
 """
 
 from __future__ import annotations
@@ -104,18 +104,19 @@ def document_counts(rows: DataFrame, bits: int) -> DataFrame:
     return rows.mapInArrow(each, "digest bigint, docs bigint")
 
 
-def term_counts(rows: DataFrame, bits: int, kept: np.ndarray | None) -> DataFrame:
-    """Per task: each group once with a NULL term, and its terms with their counts. No shuffle.
+def term_counts(rows: DataFrame, bits: int, kept: np.ndarray | None, texts: str = "once") -> DataFrame:
+    """Per task: each group once without a digest, and the counts of its terms. No shuffle.
 
-    ``kept`` are the sorted digests that are wanted; without it all terms are handed on.
+    ``kept`` are the sorted digests that are wanted; without it all terms are handed on. Texts
+    come once for a digest and language of a task, or with every row (``all``).
     """
     known = rows.sparkSession.sparkContext.broadcast(kept)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Gathered()
         for batch in batches:
-            langs, sources, texts = batch.columns
-            for lang, source, text in zip(langs, sources, texts):
+            langs, sources, texts_ = batch.columns
+            for lang, source, text in zip(langs, sources, texts_):
                 found.add((lang.as_py(), source.as_py()), text.as_py())
                 if found.size >= GATHERED:
                     yield from handed(found)
@@ -123,42 +124,55 @@ def term_counts(rows: DataFrame, bits: int, kept: np.ndarray | None) -> DataFram
         yield from handed(found)
 
     def handed(found: Gathered) -> Iterator[pa.RecordBatch]:
-        wanted = known.value
+        wanted, told = known.value, set()
         for (lang, source), (documents, times) in found.groups.items():
             terms, digests = list(documents), digests_of(lang, documents, bits)
             if wanted is not None:
                 at = np.minimum(np.searchsorted(wanted, digests), max(0, len(wanted) - 1))
-                chosen = np.flatnonzero(wanted[at] == digests) if len(wanted) else []
-                terms, digests = [terms[i] for i in chosen], digests[chosen] if len(wanted) else digests[:0]
+                chosen = np.flatnonzero(wanted[at] == digests) if len(wanted) else np.zeros(0, int)
+                terms, digests = [terms[i] for i in chosen], digests[chosen]
+            new = [texts == "all" or (lang, t) not in told for t in terms]
+            if texts == "once":
+                told.update((lang, t) for t in terms)
             columns = {
                 "lang": pa.array([lang] * (len(terms) + 1), pa.string()),
                 "source": pa.array([source] * (len(terms) + 1), pa.string()),
                 "digest": pa.array([None, *digests.tolist()], pa.int64()),
-                "term": pa.array([None, *[t.decode() for t in terms]], pa.string()),
+                "term": pa.array([None, *[t.decode() if n else None for t, n in zip(terms, new)]], pa.string()),
                 "docs": pa.array([0, *[documents[t] for t in terms]], pa.int64()),
                 "n": pa.array([0, *[times[t] for t in terms]], pa.int64()),
             }
             yield pa.RecordBatch.from_pydict(columns)
 
     schema = "lang string, source string, digest bigint, term string, docs bigint, n bigint"
-    return rows.mapInArrow(each, schema)
+    found = rows.mapInArrow(each, schema)
+    return found if texts == "all" else found.drop("docs")
+
+
+def kept_terms(rows: DataFrame, bits: int, vocabulary: DataFrame, texts: str = "once") -> DataFrame:
+    """Cut ``term_counts`` of the digests in ``vocabulary``, a cut frame, and the groups' rows."""
+    if vocabulary.count() <= KEPT_IN_TASKS:
+        digests = np.sort(vocabulary.toArrow().column("digest").to_numpy())
+        return cut(term_counts(rows, bits, digests, texts))
+    every = term_counts(rows, bits, None, texts)
+    chosen = every.join(vocabulary, "digest", "left_semi").select(every.columns)
+    return cut(chosen.unionByName(every.where(F.col("digest").isNull())))
 
 
 def counts_of(terms: DataFrame, key: list[str]) -> DataFrame:
-    """Occurrences by language, key and source, and ``lang_docs`` and ``lang_n`` of the language.
+    """Sums by language, key and source, with ``lang_n`` of the language.
 
     One shuffle by language and key serves both the sums and the window, which sees one row per
     source.
     """
+    sums = [c for c in ("docs", "n") if c in terms.columns]
     of_term = Window.partitionBy("lang", *key)
     return (
-        terms.select("lang", "source", *key, "docs", "n")
+        terms.select("lang", "source", *key, *sums)
         .repartition("lang", *key)
         .groupBy("lang", *key, "source")
-        .agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
-        .withColumn("lang_docs", F.sum("docs").over(of_term))
-        .withColumn("lang_n", F.sum("n").over(of_term))
-        .drop("docs")
+        .agg(*[F.sum(c).alias(c) for c in sums])
+        .withColumns({f"lang_{c}": F.sum(c).over(of_term) for c in sums})
     )
 
 
@@ -193,18 +207,14 @@ def divergence(
     # Tasks have counted already, so what follows the shuffle does all that is left.
     found = document_counts(rows, digest_bits).repartition("digest").groupBy("digest")
     vocabulary = cut(found.agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least).select("digest"))
-    if vocabulary.count() <= KEPT_IN_TASKS:
-        digests = np.sort(vocabulary.toArrow().column("digest").to_numpy())
-        gathered = cut(term_counts(rows, digest_bits, digests))
-    else:
-        every = term_counts(rows, digest_bits, None)
-        chosen = every.join(vocabulary, "digest", "left_semi").select(every.columns)
-        gathered = cut(chosen.unionByName(every.where(F.col("digest").isNull())))
+    gathered = kept_terms(rows, digest_bits, vocabulary)
     terms = gathered.where(F.col("digest").isNotNull())
 
     # Of each digest the least and greatest text; where they differ it counts by texts.
     texts = cut(
-        terms.groupBy("digest").agg(
+        terms.where(F.col("term").isNotNull())
+        .groupBy("digest")
+        .agg(
             F.min("term").alias("low"),
             (F.min("term") != F.max("term")).alias("_terms"),
             (F.min("lang") != F.max("lang")).alias("_langs"),
@@ -213,10 +223,10 @@ def divergence(
     shared = cut(texts.where(F.col("_terms") | F.col("_langs")).select("digest"))
     kept = counts_of(terms, ["digest"]).withColumn("term", F.lit(None).cast("string"))
     if not shared.isEmpty():
-        shared = measured(shared)
-        apart = counts_of(terms.join(shared, "digest", "left_semi"), ["digest", "term"])
-        kept = kept.join(shared, "digest", "left_anti").unionByName(apart.where(F.col("lang_docs") >= least))
-    kept = cut(kept.drop("lang_docs"))
+        again = kept_terms(rows, digest_bits, shared, "all").where(F.col("digest").isNotNull())
+        apart = counts_of(again, ["digest", "term"]).where(F.col("lang_docs") >= least)
+        kept = kept.join(measured(shared), "digest", "left_anti").unionByName(apart.select(kept.columns))
+    kept = cut(kept)
 
     # Numbers of each language and group.
     langs = (
