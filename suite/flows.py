@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from suite.fixtures import RUN, W, oracle, table
 from suite.merging import MERGED_ORDERS, applied
 from tidemark.operators import merge
-from tidemark.plans import config_sync, flows, registry_sync
+from tidemark.plans import config_sync, flows, registry_sync, rejects
 from tidemark.plans.store import SnapshotTable, Warehouse
 from tidemark.sources.scans import FrameSource, TableSpec, fresh_folder
 from tidemark.streaming import streams
@@ -290,22 +290,208 @@ def sync_registry(spark, sf):
     )
 
 
+# --- watermarks of other types --------------------------------------------------------
+
+_DAYS = "datediff(db_update_date, DATE '1990-01-01')"
+#: A column that grows with the time of change, by its type.
+VERSIONS = {
+    "bigint": f"CAST({_DAYS} AS BIGINT) * 10 + pkid % 10",
+    "decimal": f"CAST({_DAYS} * 10 + pkid % 10 AS DECIMAL(18,0)) / 4",
+    "date": "CAST(db_update_date AS DATE)",
+    "text": f"concat('v', lpad(CAST({_DAYS} AS STRING), 8, '0'))",
+    "zoned": "CAST(concat(CAST(db_update_date AS STRING), '+00:00') AS TIMESTAMP)",
+}
+
+
+def _typed_cdc(spark, sf, kind):
+    """Two registry runs by a column of one type: the second may read newer rows only.
+
+    The result is the target with the rows each run read and the stored watermark.
+    """
+    rows = table(spark, sf, "fx_source_orders").withColumn("version", F.expr(VERSIONS[kind]))
+    old = rows.filter(F.col("db_update_date") <= F.lit(W).cast("timestamp_ntz"))
+    seen = {"orders": old}
+    sync = registry_sync.RegistrySync(
+        Warehouse(spark, fresh_folder(spark, "warehouse")),
+        source_of=lambda database: FrameSource(seen),
+        clock=lambda: datetime.fromisoformat(RUN),
+    )
+    sync.register_databases(
+        spark.createDataFrame([("shop", "RAW", "data")], "database_id string, target_schema string, source_schema string")
+    )
+    sync.register_tables(
+        spark.createDataFrame(
+            [("shop_orders", "shop", "data", "orders", "RAW", "ORDERS", "pkid", "cdc", "version")],
+            "table_id string, database_id string, source_schema string, source_table string, "
+            "target_schema string, target_table string, primary_key_column string, "
+            "sync_method string, cdc_column string",
+        )
+    )
+    first = sync.sync_all()[0].row_count
+    seen["orders"] = rows
+    second = sync.sync_all()[0]
+    row = sync.tables.read().first()
+    return sync.warehouse.table("RAW", "ORDERS").read().drop("version").withColumns(
+        {
+            "first_rows": F.lit(first).cast("bigint"),
+            "second_rows": F.lit(second.row_count).cast("bigint"),
+            "second_method": F.lit(second.method),
+            "watermark": F.lit(row["watermark_text"]),
+        }
+    )
+
+
+def sync_cdc_bigint(spark, sf):
+    return _typed_cdc(spark, sf, "bigint")
+
+
+def sync_cdc_decimal(spark, sf):
+    return _typed_cdc(spark, sf, "decimal")
+
+
+def sync_cdc_date(spark, sf):
+    return _typed_cdc(spark, sf, "date")
+
+
+def sync_cdc_text(spark, sf):
+    return _typed_cdc(spark, sf, "text")
+
+
+def sync_cdc_zoned(spark, sf):
+    return _typed_cdc(spark, sf, "zoned")
+
+
+# --- whole targets after two runs -----------------------------------------------------
+
+
+def _rows_of(warehouse, places):
+    """Key and amount of every row of some targets."""
+    found = None
+    for schema, name, key, amount in places:
+        rows = warehouse.table(schema, name).read().select(
+            F.lit(f"{schema}.{name}").alias("table_name"),
+            F.col(key).cast("bigint").alias("key"),
+            F.col(amount).cast("bigint").alias("amount"),
+        )
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def _shop_rows(sync, *databases):
+    names = (("ORDERS", "total_cents"), ("USERS", "balance_cents"))
+    return _rows_of(
+        sync.warehouse, [(f"{d.upper()}_RAW", n, "pkid", a) for d in databases for n, a in names]
+    )
+
+
+def sync_database_rows(spark, sf):
+    """Both tables of one database after a load and a run over the grown source."""
+    sync, grown = _config_sync(spark, sf, "shop", "lost")
+    sync.sync_database("shop")
+    grown["now"] = True
+    sync.sync_database("shop")
+    return _shop_rows(sync, "shop")
+
+
+def sync_all_rows(spark, sf):
+    sync, grown = _config_sync(spark, sf, "shop", "lost", "mart")
+    sync.sync_all()
+    grown["now"] = True
+    sync.sync_all()
+    return _shop_rows(sync, "shop", "mart")
+
+
+def sync_events(spark, sf):
+    """The event log of one table's merge, with what its metadata says."""
+    sync, grown = _config_sync(spark, sf, "shop", "lost")
+    sync.sync_table("shop", "orders")
+    grown["now"] = True
+    sync.sync_table("shop", "orders")
+    sync.sync_table("lost", "users")
+    told = F.from_json("metadata", "target string, full_refresh boolean, large boolean, load string, error string")
+    return sync.events.read().select(
+        "source_db", "table_name", "event_type", "rows_affected", told.alias("told")
+    ).select("source_db", "table_name", "event_type", "rows_affected", "told.*")
+
+
+# --- rejected log lines ---------------------------------------------------------------
+
+
+def sync_wal_rejects(spark, sf):
+    """What a run of the log could not apply, stored once although the run is repeated."""
+    warehouse = Warehouse(spark, fresh_folder(spark, "warehouse"))
+    letters = rejects.DeadLetters(rejects.rejects_table(warehouse, "CONTROL"), "slot_0", "shop_users")
+    store = target(spark, sf, "fx_target_users", "pkid", buckets=4)
+    for _ in range(2):
+        flows.sync_wal(
+            table(spark, sf, "fx_wal_lines"), source(spark, sf), USERS, store, "data", dead_letters=letters
+        )
+    return letters.pending().select("slot", "table_id", "lsn", "data", "reason")
+
+
+def replay_rejects(spark, sf):
+    """Rejected lines of a registry run, repaired and applied: the users target."""
+    sync, seen, lines = _users_registry(spark, sf)
+    sync.sync_all()
+    seen["lines"] = lines
+    sync.sync_all()
+    stored = sync.rejected.read()
+    before = stored.count()
+    users = table(spark, sf, "events").select(F.col("event_id").alias("lsn"), "user_id")
+    repaired = stored.join(users, "lsn").select(
+        "lsn", F.format_string("table data.users: DELETE: pkid[integer]:%d", "user_id").alias("data")
+    )
+    sync.replay_rejects("shop_users", repaired)
+    return sync.warehouse.table("RAW", "USERS").read().withColumns(
+        {
+            "stored": F.lit(before).cast("bigint"),
+            "left_over": F.lit(sync.rejected.count()).cast("bigint"),
+        }
+    )
+
+
+def _users_registry(spark, sf):
+    """A registry with the users table on a log of which the first half has landed."""
+    lines = table(spark, sf, "fx_wal_lines")
+    half = lines.agg(F.max("lsn")).first()[0] // 2
+    tables, seen = source(spark, sf), {"lines": lines.filter(F.col("lsn") <= half)}
+    sync = registry_sync.RegistrySync(
+        Warehouse(spark, fresh_folder(spark, "warehouse")),
+        source_of=lambda database: tables,
+        changelog_of=lambda database, slot: seen["lines"],
+        clock=lambda: datetime.fromisoformat(RUN),
+    )
+    sync.register_databases(
+        spark.createDataFrame([("shop", "RAW", "data")], "database_id string, target_schema string, source_schema string")
+    )
+    sync.register_tables(
+        spark.createDataFrame(
+            [("shop_users", "shop", "data", "users", "RAW", "USERS", "pkid", "wal", "slot_0")],
+            "table_id string, database_id string, source_schema string, source_table string, "
+            "target_schema string, target_table string, primary_key_column string, "
+            "sync_method string, wal_slot_name string",
+        )
+    )
+    return sync, seen, lines
+
+
 # --- streams --------------------------------------------------------------------------
 
 
-def _polled(spark, df, column, start, polls=3):
+def _polled(spark, df, column, start, polls=3, backwards=False):
     """Rows landed by range of ``column``; after each range the stream polls once.
 
-    What has landed by a poll is one micro-batch, so ranges are taken in order.
+    What has landed by a poll is one micro-batch. The folder is returned.
     """
     path, checkpoint = fresh_folder(spark, "landing"), fresh_folder(spark, "stream")
     low, high = df.agg(F.min(column), F.max(column)).first()
     width = (high - low) // polls + 1
-    for poll in range(polls):
+    for poll in reversed(range(polls)) if backwards else range(polls):
         first = low + poll * width
         landed = df.filter((F.col(column) >= first) & (F.col(column) < first + width))
         landed.write.mode("append").parquet(path)
         start(spark.readStream.schema(df.schema).parquet(path), checkpoint).awaitTermination()
+    return path
 
 
 def stream_wal(spark, sf):
@@ -321,6 +507,22 @@ def stream_wal(spark, sf):
     return store.read()
 
 
+def stream_wal_reverse(spark, sf):
+    """The newest part of the log first, then the others, then all of it once more."""
+    store = target(spark, sf, "fx_target_users", "pkid", buckets=4)
+    tables = source(spark, sf)
+    types = {"pkid": "bigint"}
+
+    def start(lines, checkpoint):
+        return streams.stream_wal(lines, tables, USERS, store, "data", checkpoint, types)
+
+    lines = table(spark, sf, "fx_wal_lines")
+    path = _polled(spark, lines, "lsn", start, backwards=True)
+    again = spark.readStream.schema(lines.schema).parquet(path)
+    start(again, fresh_folder(spark, "stream")).awaitTermination()
+    return store.read()
+
+
 def stream_cdc(spark, sf):
     store = target(spark, sf, "fx_target_orders", "pkid", buckets=4)
     rows = table(spark, sf, "fx_source_orders").filter(F.col("db_update_date") > F.lit(W).cast("timestamp_ntz"))
@@ -353,7 +555,18 @@ QUERIES = {
         sync_database,
         sync_all,
         sync_registry,
+        sync_cdc_bigint,
+        sync_cdc_decimal,
+        sync_cdc_date,
+        sync_cdc_text,
+        sync_cdc_zoned,
+        sync_database_rows,
+        sync_all_rows,
+        sync_events,
+        sync_wal_rejects,
+        replay_rejects,
         stream_wal,
+        stream_wal_reverse,
         stream_cdc,
     )
 }
@@ -375,7 +588,92 @@ _RESULTS = """
            (SELECT count(*) FROM {{fx_source_orders}} WHERE {0}) AS row_count, CAST(NULL AS VARCHAR) AS error
     UNION ALL SELECT 'shop', 'users', 'success', (SELECT count(*) FROM {{fx_source_users}}), NULL"""
 
+_DUCK_DAYS = "date_diff('day', DATE '1990-01-01', CAST(db_update_date AS DATE))"
+_DUCK_VERSIONS = {
+    "bigint": (f"{_DUCK_DAYS} * 10 + pkid % 10", "CAST(top AS VARCHAR)"),
+    "decimal": (f"CAST(({_DUCK_DAYS} * 10 + pkid % 10) * 25 AS BIGINT)", "rtrim_zeros"),
+    "date": ("CAST(db_update_date AS DATE)", "strftime(top, '%Y-%m-%dT00:00:00')"),
+    "text": (f"'v' || lpad(CAST({_DUCK_DAYS} AS VARCHAR), 8, '0')", "top"),
+    "zoned": ("db_update_date", "strftime(top, '%Y-%m-%dT%H:%M:%S')"),
+}
+
+
+def _typed_sql(kind: str) -> str:
+    """Orders after a load up to the time and a merge of what lies above its highest version.
+
+    The decimal's hundredfold is compared, and printed with as many places as Spark has.
+    """
+    version, text = _DUCK_VERSIONS[kind]
+    if text == "rtrim_zeros":
+        text = "printf('%d.%02d0000', top // 100, top % 100)"
+    return oracle(
+        f"""SELECT * FROM (
+            WITH versions AS (SELECT {_C}, {version} AS version FROM {{fx_source_orders}}),
+                 first AS (SELECT * FROM versions WHERE NOT {_NEWER}),
+                 later AS (SELECT * FROM versions WHERE version > (SELECT max(version) FROM first))
+            SELECT r.*, (SELECT count(*) FROM first) AS first_rows, (SELECT count(*) FROM later) AS second_rows,
+                   'cdc' AS second_method, {text} AS watermark
+            FROM (SELECT {_C} FROM first WHERE pkid NOT IN (SELECT pkid FROM later)
+                  UNION ALL SELECT {_C} FROM later) AS r,
+                 (SELECT max(version) AS top FROM versions) AS t) AS runs"""
+    )
+
+
+def _shop_sql(*databases: str) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{d.upper()}_RAW.ORDERS' AS table_name, pkid AS key, total_cents AS amount FROM {{fx_source_orders}}
+            UNION ALL SELECT '{d.upper()}_RAW.USERS', pkid, balance_cents FROM {{fx_source_users}}"""
+        for d in databases
+    )
+
+
+_HALF = "lsn > (SELECT max(lsn) // 2 FROM {fx_wal_lines})"
+_EVENT = "'shop' AS source_db, 'orders' AS table_name"
+_TOLD = "CAST(NULL AS VARCHAR) AS error"
+
 ORACLES = {
+    **{f"sync_cdc_{kind}": _typed_sql(kind) for kind in _DUCK_VERSIONS},
+    "sync_database_rows": oracle(_shop_sql("shop")),
+    "sync_all_rows": oracle(_shop_sql("shop", "mart")),
+    "sync_events": oracle(
+        f"""SELECT {_EVENT}, event_type, rows_affected, target, full_refresh, large, load, error
+            FROM (SELECT count(*) AS n, count(*) FILTER (NOT {_NEWER}) AS o,
+                         count(*) FILTER ({_NEWER} AND db_update_date > (
+                             SELECT max(db_update_date) FROM {{fx_source_orders}} WHERE NOT {_NEWER})) AS w
+                  FROM {{fx_source_orders}}) AS c,
+                 LATERAL (VALUES
+                    ('SYNC_START', NULL, 'SHOP_RAW.ORDERS', false, NULL, NULL, NULL),
+                    ('SOURCE_COUNT', o, NULL, NULL, o > 1000, NULL, NULL),
+                    ('EXTRACT_START', NULL, NULL, NULL, NULL, NULL, NULL),
+                    ('EXTRACT_COMPLETE', NULL, NULL, NULL, NULL, NULL, NULL),
+                    ('LOAD_START', NULL, NULL, NULL, NULL, NULL, NULL),
+                    ('LOAD_COMPLETE', o, NULL, NULL, NULL, NULL, NULL),
+                    ('SYNC_COMPLETE', o, NULL, NULL, NULL, 'FULL', NULL),
+                    ('SYNC_START', NULL, 'SHOP_RAW.ORDERS', false, NULL, NULL, NULL),
+                    ('SOURCE_COUNT', n, NULL, NULL, n > 1000, NULL, NULL),
+                    ('EXTRACT_START', NULL, NULL, NULL, NULL, NULL, NULL),
+                    ('EXTRACT_COMPLETE', NULL, NULL, NULL, NULL, NULL, NULL),
+                    ('LOAD_START', NULL, NULL, NULL, NULL, NULL, NULL),
+                    ('LOAD_COMPLETE', w, NULL, NULL, NULL, NULL, NULL),
+                    ('SYNC_COMPLETE', w, NULL, NULL, NULL, 'MERGE', NULL)
+                 ) AS e(event_type, rows_affected, target, full_refresh, large, load, error)
+            UNION ALL SELECT 'lost', 'users', 'SYNC_START', NULL, 'LOST_RAW.USERS', false, NULL, NULL, NULL
+            UNION ALL SELECT 'lost', 'users', 'SYNC_FAILED', NULL, NULL, NULL, NULL, NULL, 'ConnectionError'"""
+    ),
+    "sync_wal_rejects": oracle(
+        """SELECT 'slot_0' AS slot, 'shop_users' AS table_id, lsn, data, 'no readable key: pkid' AS reason
+           FROM {fx_wal_lines} WHERE lsn IN (SELECT lsn FROM {fx_wal_changes} WHERE pkid IS NULL)"""
+    ),
+    "replay_rejects": oracle(
+        f"""SELECT {_U}, stored, CAST(0 AS BIGINT) AS left_over
+            FROM {{fx_source_users}},
+                 (SELECT count(*) AS stored FROM {{fx_wal_changes}} WHERE pkid IS NULL AND {_HALF}) AS s
+            WHERE pkid NOT IN (SELECT pkid FROM {{fx_wal_changes}} WHERE pkid IS NOT NULL AND {_HALF}
+                               GROUP BY pkid HAVING arg_max(op, lsn) = 'D')
+               OR pkid IN (SELECT user_id FROM {{events}} JOIN {{fx_wal_changes}} ON event_id = lsn
+                           WHERE pkid IS NULL AND {_HALF})"""
+    ),
+    "stream_wal_reverse": oracle(applied("{fx_wal_changes}")),
     "sink_overwrite": oracle(
         f"""SELECT {_C} FROM {{fx_source_orders}} UNION ALL
             SELECT {_C} FROM {{fx_target_orders}} WHERE pkid >= 10000000"""

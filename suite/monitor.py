@@ -81,7 +81,8 @@ def log_export_csv(spark, sf):
     monitor.write_log_csv(monitor.log_search(_log(spark, sf), "error", limit=None), path)
     schema = ", ".join(f"{c} string" for c in monitor.EXPORT_COLUMNS)
     rows = spark.read.option("header", True).option("escape", '"').schema(schema).csv(path)
-    return rows.select("log_id", "table_id", "sync_status", "sync_records")
+    number, time = F.col("sync_duration_sec").cast("double"), F.to_timestamp_ntz("logged_at")
+    return rows.withColumns({"sync_duration_sec": number, "logged_at": time})
 
 
 def throughput(spark, sf):
@@ -197,7 +198,7 @@ ORACLES = {
     ),
     "log_export_csv": oracle(
         """SELECT CAST(log_id AS VARCHAR) AS log_id, table_id, sync_status,
-                  CAST(sync_records AS VARCHAR) AS sync_records
+                  CAST(sync_records AS VARCHAR) AS sync_records, round(sync_duration_sec, 2) AS sync_duration_sec, logged_at
            FROM {fx_sync_log} WHERE sync_status LIKE 'error%'"""
     ),
     "throughput": oracle(

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from suite.fixtures import W, oracle, table
 from tidemark.plans import control
 from tidemark.plans.store import SnapshotTable
-from tidemark.sources import changelog, dialects, scans
+from tidemark.sources import changelog, dbapi, dialects, scans
 from tidemark.sources.scans import FrameSource, TableSpec
 
 ORDERS = TableSpec.of("orders", "pkid", cdc_column="db_update_date", num_partitions=8)
@@ -57,6 +57,57 @@ def scan_auto(spark, sf):
     return rows.withColumn("source_rows", F.lit(count).cast("bigint"))
 
 
+def scan_auto_date(spark, sf):
+    """A table above the threshold whose rows are dealt out by a time column."""
+    spec = TableSpec.of("orders", "pkid", partition_column="db_update_date", num_partitions=8)
+    return scans.scan_auto(_orders(spark, sf), spec, threshold=5)[0]
+
+
+PARTS = 8
+
+
+def _split(spark, sf, name, types, *keys):
+    """Rows and outer keys of each part that a source read by query falls into."""
+    files = {name: f"read_parquet('{sf}/{name}.parquet')"}
+    source = dbapi.DbApiSource(spark, "duckdb:connect", tables=files, types={name: types})
+    spec = TableSpec.of(name, list(keys), num_partitions=PARTS)
+    rows, count = scans.scan_auto(source, spec, threshold=1)
+    key = F.struct(*keys)
+    parts = rows.groupBy(F.spark_partition_id().alias("part")).agg(
+        F.count("*").alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi")
+    )
+    return parts.select(
+        "part",
+        "n",
+        F.concat_ws("/", *[F.col(f"lo.{k}").cast("string") for k in keys]).alias("first_key"),
+        F.concat_ws("/", *[F.col(f"hi.{k}").cast("string") for k in keys]).alias("last_key"),
+        F.lit(count).cast("bigint").alias("source_rows"),
+    )
+
+
+def scan_split_text(spark, sf):
+    return _split(spark, sf, "customer", "c_name string", "c_name")
+
+
+def scan_split_composite(spark, sf):
+    """A key of two columns, the first of them shared by many rows."""
+    return _split(spark, sf, "orders", "o_custkey bigint, o_orderkey bigint", "o_custkey", "o_orderkey")
+
+
+def scan_split_date(spark, sf):
+    """Parts by a time that many rows share: equal values stay together."""
+    files = {"orders": f"read_parquet('{sf}/orders.parquet')"}
+    types = {"orders": "o_orderkey bigint, o_orderdate timestamp_ntz"}
+    source = dbapi.DbApiSource(spark, "duckdb:connect", tables=files, types=types)
+    spec = TableSpec.of("orders", "o_orderkey", partition_column="o_orderdate", num_partitions=PARTS)
+    rows = scans.scan_auto(source, spec, threshold=1)[0]
+    return (
+        rows.withColumn("part", F.spark_partition_id())
+        .groupBy("o_orderdate")
+        .agg(F.count("*").alias("n"), F.count_distinct("part").alias("parts"))
+    )
+
+
 def scan_paged(spark, sf):
     scans.work_folder(spark)
     paged = scans.scan_paged(table(spark, sf, "fx_source_items"), ["l_orderkey", "l_linenumber"], 1000)
@@ -128,6 +179,10 @@ QUERIES = {
         scan_partitioned,
         scan_partitioned_incremental,
         scan_auto,
+        scan_auto_date,
+        scan_split_text,
+        scan_split_composite,
+        scan_split_date,
         scan_paged,
         scan_by_keys,
         source_count,
@@ -149,7 +204,26 @@ _RANGES = """
     FROM {fx_source_orders}, (SELECT min(pkid) AS lo, max(pkid) AS hi FROM {fx_source_orders}) AS b
 """
 
+def _parts(name: str, *keys: str) -> str:
+    """SQL for the parts of ``PARTS`` that end at equal numbers of rows in key order."""
+    order = ", ".join(keys)
+    text = " || '/' || ".join(f"{k}::VARCHAR" for k in keys)
+    return f"""
+        SELECT part, count(*) AS n, arg_min(name, r) AS first_key, arg_max(name, r) AS last_key, source_rows
+        FROM (SELECT r, name, total AS source_rows,
+                     len(list_filter(range(1, {PARTS}), lambda i: total * i // {PARTS} < r))::INTEGER AS part
+              FROM (SELECT row_number() OVER (ORDER BY {order}) AS r, {text} AS name,
+                           count(*) OVER () AS total FROM {{{name}}}) AS numbered) AS dealt
+        GROUP BY part, source_rows"""
+
+
 ORACLES = {
+    "scan_auto_date": oracle(f"SELECT {COLUMNS} FROM {{fx_source_orders}}"),
+    "scan_split_text": oracle(_parts("customer", "c_name")),
+    "scan_split_composite": oracle(_parts("orders", "o_custkey", "o_orderkey")),
+    "scan_split_date": oracle(
+        "SELECT o_orderdate, count(*) AS n, CAST(1 AS BIGINT) AS parts FROM {orders} GROUP BY o_orderdate"
+    ),
     "scan_full": oracle(f"SELECT {COLUMNS} FROM {{fx_source_orders}}"),
     "scan_incremental": oracle(
         f"SELECT {COLUMNS} FROM {{fx_source_orders}} WHERE db_update_date > TIMESTAMP '{W}'"

@@ -118,6 +118,10 @@ def log_search(
     )
 
 
+#: Times as they are stored, to the microsecond.
+TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
 def log_export(log: DataFrame) -> DataFrame:
     """The six exported log columns."""
     return log.select(*EXPORT_COLUMNS)
@@ -125,9 +129,8 @@ def log_export(log: DataFrame) -> DataFrame:
 
 def write_log_csv(log: DataFrame, path: str) -> None:
     """Export a log selection as CSV with header; text values quoted."""
-    log_export(log).write.mode("overwrite").option("header", True).option("quoteAll", True).option(
-        "escape", '"'
-    ).csv(path)
+    options = {"header": True, "quoteAll": True, "escape": '"', "timestampNTZFormat": TIME_FORMAT}
+    log_export(log).write.mode("overwrite").options(**options).csv(path)
 
 
 def table_catalog(tables: DataFrame, databases: DataFrame) -> DataFrame:
