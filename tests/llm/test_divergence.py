@@ -128,8 +128,15 @@ def test_a_text_in_pieces_has_the_same_terms(monkeypatch):
         assert [t.decode() for part in pieces_of(text) for t in part] == whole
 
 
+def test_digests_of_groups(spark):
+    rows = spark.createDataFrame([("en", "a"), ("", ""), ("日", "é"), ("en", "b"), ("en", "a")], "lang string, source string")
+    groups, seed = divergence.numbered_groups(rows)
+    got = {(r["lang"], r["source"]): r["group"] for r in groups.collect()}
+    assert got == {g: divergence.group_digest(seed, *g) for g in [("en", "a"), ("", ""), ("日", "é"), ("en", "b")]}
+
+
 def test_documents_are_counted_once_a_term():
-    found = Gathered()
+    found = Gathered(True, True)
     found.add(("en", "a"), "x x y")
     found.add(("en", "a"), "x")
     documents, times = found.groups["en", "a"]

@@ -14,6 +14,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -64,35 +65,37 @@ def digests_of(lang: str, terms: Iterable[bytes], bits: int) -> np.ndarray:
 
 
 class Gathered:
-    """Terms of some documents by group: in how many documents they are, and how often."""
+    """Terms of some documents by group: in how many documents they are, how often, or both."""
 
-    def __init__(self) -> None:
+    def __init__(self, docs: bool, times: bool) -> None:
+        self.docs, self.times = docs, times
         self.groups: dict[tuple, tuple[Counter, Counter]] = {}
         self.size = 0
 
-    def add(self, group: tuple, text: str, often: bool = True) -> None:
+    def add(self, group: tuple, text: str) -> None:
         documents, times = self.groups.setdefault(group, (Counter(), Counter()))
-        before, seen = len(documents), set()
+        before, seen = len(documents) or len(times), set()
         for terms in pieces_of(text):
-            if often:
+            if self.times:
                 times.update(terms)
-            seen.update(terms)
+            if self.docs:
+                seen.update(terms)
         documents.update(seen)
-        self.size += len(documents) - before
+        self.size += (len(documents) or len(times)) - before
 
 
 def document_counts(rows: DataFrame, bits: int) -> DataFrame:
     """Digests with the number of a task's documents that hold them. No text leaves the task."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = Gathered()
+        found = Gathered(True, False)
         for batch in batches:
             langs, _, texts = batch.columns
             for lang, text in zip(langs, texts):
-                found.add((lang.as_py(),), text.as_py(), often=False)
+                found.add((lang.as_py(),), text.as_py())
                 if found.size >= GATHERED:
                     yield from handed(found)
-                    found = Gathered()
+                    found = Gathered(True, False)
         yield from handed(found)
 
     def handed(found: Gathered) -> Iterator[pa.RecordBatch]:
@@ -104,73 +107,102 @@ def document_counts(rows: DataFrame, bits: int) -> DataFrame:
     return rows.mapInArrow(each, "digest bigint, docs bigint")
 
 
-def term_counts(rows: DataFrame, bits: int, kept: np.ndarray | None, texts: str = "once") -> DataFrame:
-    """Per task: each group once without a digest, and the counts of its terms. No shuffle.
+def group_digest(seed: int, lang: str, source: str) -> int:
+    """What ``numbered_groups`` computes of a language and source."""
+    first = xxhash.xxh64_intdigest(f"{seed}:{lang}".encode(), 42)
+    found = xxhash.xxh64_intdigest(source.encode(), first)
+    return found - (1 << 64) if found >> 63 else found
+
+
+def numbered_groups(rows: DataFrame) -> tuple[DataFrame, int]:
+    """Every language and source with a digest that no other one has, and its seed."""
+    groups = cut(rows.select("lang", "source").distinct())
+    total, seed = groups.count(), 0
+    while True:
+        digest = F.xxhash64(F.concat(F.lit(f"{seed}:"), F.col("lang")), "source")
+        found = groups.withColumn("group", digest)
+        if found.agg(F.count_distinct("group")).first()[0] == total:
+            return found, seed
+        seed += 1
+
+
+def term_counts(rows: DataFrame, bits: int, seed: int, kept: np.ndarray | None, texts: str) -> DataFrame:
+    """Per task: digests of terms and of their groups, with their counts. No shuffle.
 
     ``kept`` are the sorted digests that are wanted; without it all terms are handed on. Texts
-    come once for a digest and language of a task, or with every row (``all``).
+    come ``once`` for a term of a task, or with ``all`` rows, which then count documents too.
     """
     known = rows.sparkSession.sparkContext.broadcast(kept)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = Gathered()
+        found = Gathered(texts == "all", True)
         for batch in batches:
-            langs, sources, texts_ = batch.columns
-            for lang, source, text in zip(langs, sources, texts_):
+            for lang, source, text in zip(*batch.columns):
                 found.add((lang.as_py(), source.as_py()), text.as_py())
                 if found.size >= GATHERED:
                     yield from handed(found)
-                    found = Gathered()
+                    found = Gathered(texts == "all", True)
         yield from handed(found)
 
+    def chosen_of(found: Gathered) -> dict[str, dict[bytes, int]]:
+        """The wanted terms of each language with their digests; each term is hashed once."""
+        every: dict[str, set[bytes]] = {}
+        for (lang, _), (_, times) in found.groups.items():
+            every.setdefault(lang, set()).update(times)
+        chosen, wanted = {}, known.value
+        for lang, terms in every.items():
+            terms = list(terms)
+            digests = digests_of(lang, terms, bits)
+            if wanted is None:
+                chosen[lang] = dict(zip(terms, digests.tolist()))
+                continue
+            at = np.minimum(np.searchsorted(wanted, digests), max(0, len(wanted) - 1))
+            hits = np.flatnonzero(wanted[at] == digests) if len(wanted) else []
+            chosen[lang] = {terms[i]: int(digests[i]) for i in hits}
+        return chosen
+
     def handed(found: Gathered) -> Iterator[pa.RecordBatch]:
-        wanted, told = known.value, set()
+        chosen, told = chosen_of(found), {}
         for (lang, source), (documents, times) in found.groups.items():
-            terms, digests = list(documents), digests_of(lang, documents, bits)
-            if wanted is not None:
-                at = np.minimum(np.searchsorted(wanted, digests), max(0, len(wanted) - 1))
-                chosen = np.flatnonzero(wanted[at] == digests) if len(wanted) else np.zeros(0, int)
-                terms, digests = [terms[i] for i in chosen], digests[chosen]
-            new = [texts == "all" or (lang, t) not in told for t in terms]
-            if texts == "once":
-                told.update((lang, t) for t in terms)
+            digests, before = chosen[lang], told.setdefault(lang, set())
+            terms = [t for t in times if t in digests]
+            new = [None if texts == "once" and t in before else t.decode() for t in terms]
+            before.update(terms)
             columns = {
-                "lang": pa.array([lang] * (len(terms) + 1), pa.string()),
-                "source": pa.array([source] * (len(terms) + 1), pa.string()),
-                "digest": pa.array([None, *digests.tolist()], pa.int64()),
-                "term": pa.array([None, *[t.decode() if n else None for t, n in zip(terms, new)]], pa.string()),
-                "docs": pa.array([0, *[documents[t] for t in terms]], pa.int64()),
-                "n": pa.array([0, *[times[t] for t in terms]], pa.int64()),
+                "digest": pa.array(np.fromiter((digests[t] for t in terms), np.int64, len(terms))),
+                "group": pa.repeat(group_digest(seed, lang, source), len(terms)),
+                "term": pa.array(new, pa.string()),
+                "docs": pa.array(np.fromiter((documents[t] for t in terms), np.int64, len(terms))),
+                "n": pa.array(np.fromiter((times[t] for t in terms), np.int64, len(terms))),
             }
+            if texts == "once":
+                del columns["docs"]
             yield pa.RecordBatch.from_pydict(columns)
 
-    schema = "lang string, source string, digest bigint, term string, docs bigint, n bigint"
-    found = rows.mapInArrow(each, schema)
-    return found if texts == "all" else found.drop("docs")
+    docs = "" if texts == "once" else "docs bigint, "
+    return rows.mapInArrow(each, f"digest bigint, group bigint, term string, {docs}n bigint")
 
 
-def kept_terms(rows: DataFrame, bits: int, vocabulary: DataFrame, texts: str = "once") -> DataFrame:
-    """Cut ``term_counts`` of the digests in ``vocabulary``, a cut frame, and the groups' rows."""
+def kept_terms(rows: DataFrame, bits: int, seed: int, vocabulary: DataFrame, texts: str = "once") -> DataFrame:
+    """Cut ``term_counts`` of the digests in ``vocabulary``, a cut frame."""
     if vocabulary.count() <= KEPT_IN_TASKS:
         digests = np.sort(vocabulary.toArrow().column("digest").to_numpy())
-        return cut(term_counts(rows, bits, digests, texts))
-    every = term_counts(rows, bits, None, texts)
-    chosen = every.join(vocabulary, "digest", "left_semi").select(every.columns)
-    return cut(chosen.unionByName(every.where(F.col("digest").isNull())))
+        return cut(term_counts(rows, bits, seed, digests, texts))
+    every = term_counts(rows, bits, seed, None, texts)
+    return cut(every.join(vocabulary, "digest", "left_semi").select(every.columns))
 
 
 def counts_of(terms: DataFrame, key: list[str]) -> DataFrame:
-    """Sums by language, key and source, with ``lang_n`` of the language.
+    """Sums by key and group, with ``lang_n`` (and ``lang_docs``) of the key in all groups.
 
-    One shuffle by language and key serves both the sums and the window, which sees one row per
-    source.
+    One shuffle by key serves both the sums and the window, which sees one row per group.
     """
     sums = [c for c in ("docs", "n") if c in terms.columns]
-    of_term = Window.partitionBy("lang", *key)
+    of_term = Window.partitionBy(*key)
     return (
-        terms.select("lang", "source", *key, *sums)
-        .repartition("lang", *key)
-        .groupBy("lang", *key, "source")
+        terms.select("group", *key, *sums)
+        .repartition(*key)
+        .groupBy(*key, "group")
         .agg(*[F.sum(c).alias(c) for c in sums])
         .withColumns({f"lang_{c}": F.sum(c).over(of_term) for c in sums})
     )
@@ -202,19 +234,20 @@ def divergence(
     Ties are ordered by the item's bytes. ``digest_bits`` is for tests of colliding digests.
     """
     by_batches(docs.sparkSession)
-    rows = docs.select(*[text_of(F.col(c).cast("string")) for c in (lang_col, source_col, text_col)])
+    names = {"lang": lang_col, "source": source_col, "text": text_col}
+    rows = docs.select(*[text_of(F.col(c).cast("string")).alias(n) for n, c in names.items()])
 
     # Tasks have counted already, so what follows the shuffle does all that is left.
     found = document_counts(rows, digest_bits).repartition("digest").groupBy("digest")
     vocabulary = cut(found.agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least).select("digest"))
-    gathered = kept_terms(rows, digest_bits, vocabulary)
-    terms = gathered.where(F.col("digest").isNotNull())
+    known, seed = numbered_groups(rows)
+    terms = kept_terms(rows, digest_bits, seed, vocabulary)
 
     # Of each digest the least and greatest text; where they differ it counts by texts.
+    of_group = measured(known)
+    told = terms.where(F.col("term").isNotNull()).join(of_group, "group")
     texts = cut(
-        terms.where(F.col("term").isNotNull())
-        .groupBy("digest")
-        .agg(
+        told.groupBy("digest").agg(
             F.min("term").alias("low"),
             (F.min("term") != F.max("term")).alias("_terms"),
             (F.min("lang") != F.max("lang")).alias("_langs"),
@@ -223,25 +256,23 @@ def divergence(
     shared = cut(texts.where(F.col("_terms") | F.col("_langs")).select("digest"))
     kept = counts_of(terms, ["digest"]).withColumn("term", F.lit(None).cast("string"))
     if not shared.isEmpty():
-        again = kept_terms(rows, digest_bits, shared, "all").where(F.col("digest").isNotNull())
-        apart = counts_of(again, ["digest", "term"]).where(F.col("lang_docs") >= least)
+        again = kept_terms(rows, digest_bits, seed, shared, "all").join(of_group, "group")
+        apart = counts_of(again, ["lang", "digest", "term"]).where(F.col("lang_docs") >= least)
         kept = kept.join(measured(shared), "digest", "left_anti").unionByName(apart.select(kept.columns))
     kept = cut(kept)
 
     # Numbers of each language and group.
     langs = (
-        kept.groupBy("lang", "digest", "term")
+        kept.join(of_group, "group")
+        .groupBy("lang", "digest", "term")
         .agg(F.first("lang_n").alias("lang_n"))
         .groupBy("lang")
         .agg(F.count("*").alias("kinds"), F.sum("lang_n").alias("lang_total"))
     )
-    totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    totals = kept.groupBy("group").agg(F.sum("n").alias("total"))
     of_lang = Window.partitionBy("lang")
     groups = (
-        gathered.where(F.col("term").isNull())
-        .select("lang", "source")
-        .distinct()
-        .join(totals, ["lang", "source"], "left")
+        known.join(totals, "group", "left")
         .join(langs, "lang", "left")
         .fillna(0, ["total", "kinds", "lang_total"])
         .withColumn("none", probability(F.lit(0), F.col("total"), F.col("kinds")))
@@ -249,7 +280,7 @@ def divergence(
         .withColumn("sources", F.count("*").over(of_lang))
     )
     groups = cut(groups)
-    used = kept.join(measured(groups), ["lang", "source"]).withColumn(
+    used = kept.join(measured(groups), "group").withColumn(
         "p", probability(F.col("n"), F.col("total"), F.col("kinds"))
     )
     return typical_terms(used, texts, ranks).unionByName(source_pairs(used, groups))
@@ -282,18 +313,23 @@ def source_pairs(used: DataFrame, groups: DataFrame) -> DataFrame:
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                numbers: dict[tuple, int] = {}
-                at = [numbers.setdefault((c["digest"], c["term"]), len(numbers)) for c in row["cells"]]
-                table = np.tile(np.array(row["nones"], np.int64), (len(numbers), 1))
-                table[at, [c["number"] for c in row["cells"]]] = [c["p"] for c in row["cells"]]
+            for lang, cells, nones in zip(*batch.columns):
+                fields = cells.values
+                digest, number, p = (fields.field(n).to_numpy() for n in ("digest", "number", "p"))
+                _, at = np.unique(digest, return_inverse=True)
+                if fields.field("term").null_count < len(fields):
+                    # Terms that share a digest are rows of their own.
+                    key = pd.MultiIndex.from_arrays([digest, fields.field("term").to_pandas()])
+                    at = pd.factorize(key)[0]
+                table = np.tile(nones.values.to_numpy(), (int(at.max()) + 1, 1))
+                table[at, number] = p
                 for a in range(table.shape[1] - 1):
                     sums = np.abs(table[:, a + 1 :] - table[:, a : a + 1]).sum(axis=0)
                     columns = {
-                        "lang": pa.array([row["lang"]] * len(sums), pa.string()),
-                        "a": pa.array([a] * len(sums), pa.int32()),
-                        "b": pa.array(range(a + 1, table.shape[1]), pa.int32()),
-                        "value": pa.array(sums, pa.int64()),
+                        "lang": pa.repeat(lang, len(sums)),
+                        "a": pa.repeat(pa.scalar(a, pa.int32()), len(sums)),
+                        "b": pa.array(np.arange(a + 1, table.shape[1], dtype=np.int32)),
+                        "value": pa.array(sums),
                     }
                     yield pa.RecordBatch.from_pydict(columns)
 
@@ -305,7 +341,7 @@ def source_pairs(used: DataFrame, groups: DataFrame) -> DataFrame:
     ordered = F.array_sort(F.collect_list(F.struct("number", "none", "source")))
     langs = cut(groups.groupBy("lang").agg(ordered.alias("_all")))
     nones = langs.select("lang", F.col("_all.none").alias("nones"))
-    compared = blocks.select("lang", "cells").join(measured(nones), "lang")
+    compared = blocks.join(measured(nones), "lang").select("lang", "cells", "nones")
     sums = compared.mapInArrow(each, "lang string, a int, b int, value bigint")
     # Every two sources, also of a language without terms.
     every = (
