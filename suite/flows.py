@@ -160,6 +160,40 @@ def sync_full(spark, sf):
     return _outcome(store.read(), done).withColumn("batches", F.lit(done.batches).cast("bigint"))
 
 
+class ChangingSource(FrameSource):
+    """A source that changes while it is read in parts: the first part is of before.
+
+    ``frames`` hold the rows of before until the read, and those of after from then on.
+    """
+
+    one_snapshot = False
+
+    def __init__(self, before, after):
+        super().__init__(before)
+        self.after = after
+
+    def read_split(self, spec, rows):
+        first = F.pmod(F.xxhash64(*spec.keys), F.lit(2)) == 0
+        before, self.frames = self.read(spec), self.after
+        return before.filter(first).unionByName(self.read(spec).filter(~first))
+
+
+def sync_full_changing(spark, sf):
+    """Rows inserted, changed and deleted between the parts of a reload."""
+    after = table(spark, sf, "fx_source_orders")
+    kept = after.filter(F.col("db_update_date") <= F.lit(W).cast("timestamp_ntz"))
+    lost = table(spark, sf, "fx_target_orders").filter("pkid >= 10000000")
+    changed = after.filter(F.col("db_update_date") > F.lit(W).cast("timestamp_ntz")).filter("pkid % 3 = 0")
+    stale = changed.withColumns(
+        {"total_cents": F.col("total_cents") - 7, "db_update_date": F.lit("1990-01-01").cast("timestamp_ntz")}
+    )
+    lost = lost.withColumn("db_update_date", F.lit("1990-01-01").cast("timestamp_ntz"))
+    before = kept.unionByName(lost).unionByName(stale)
+    store = _store(spark)
+    done = flows.sync_full(ChangingSource({"orders": before}, {"orders": after}), ORDERS, store, 10)
+    return store.read().withColumn("reported_rows", F.lit(done.row_count).cast("bigint"))
+
+
 def sync_cdc(spark, sf):
     store = target(spark, sf, "fx_target_orders", "pkid", buckets=4)
     done = flows.sync_cdc(source(spark, sf), ORDERS, store, WATERMARK)
@@ -549,6 +583,7 @@ QUERIES = {
         drop_table,
         plan_method,
         sync_full,
+        sync_full_changing,
         sync_cdc,
         sync_wal,
         sync_table,
@@ -633,6 +668,9 @@ _TOLD = "CAST(NULL AS VARCHAR) AS error"
 
 ORACLES = {
     **{f"sync_cdc_{kind}": _typed_sql(kind) for kind in _DUCK_VERSIONS},
+    "sync_full_changing": oracle(
+        f"SELECT {_C}, (SELECT count(*) FROM {{fx_source_orders}}) AS reported_rows FROM {{fx_source_orders}}"
+    ),
     "sync_database_rows": oracle(_shop_sql("shop")),
     "sync_all_rows": oracle(_shop_sql("shop", "mart")),
     "sync_events": oracle(

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans import config_sync, flows, registry_sync
+from tidemark.plans import config_sync, flows, registry_sync, rejects
 from tidemark.plans.store import SnapshotTable, Warehouse
 from tidemark.sources import changelog
 from tidemark.sources.scans import FrameSource, TableSpec, fresh_folder
@@ -364,3 +364,82 @@ def test_what_the_log_leaves_out_is_counted(spark, tmp_path):
     done = flows.sync_wal(log, now, TableSpec.of("t", "id"), table, "public")
     assert (done.upserts, done.rejected, done.missing, done.position) == (1, 1, 1, 3)
     assert done.left_out == "1 unreadable lines skipped, 1 changed keys not in the source"
+
+
+# --- rejected lines, and parts read at different times --------------------------------
+
+
+def wal_line(lsn, text):
+    return (lsn, f"table public.t: {text}")
+
+
+LINES = [
+    wal_line(1, "INSERT: id[bigint]:1 v[text]:'a'"),
+    wal_line(2, "DELETE: (no-tuple-data)"),
+    wal_line(3, "UPDATE: id[bigint]:2 v[text]:'b'"),
+    wal_line(4, "TRUNCATE: (no-flags)"),
+    (5, "table public.other: TRUNCATE: (no-flags)"),
+]
+
+
+def wal_run(spark, table, policy):
+    warehouse = Warehouse(spark, fresh_folder(spark, "warehouse"))
+    letters = rejects.DeadLetters(rejects.rejects_table(warehouse, "CONTROL"), "s", "t", policy)
+    tables = source(spark, (1, "a", day(1)), (2, "b", day(2)), (9, "z", day(3)))
+    lines = spark.createDataFrame(LINES, "lsn bigint, data string")
+    table.overwrite(spark.createDataFrame([(2, "old", day(0))], ROWS), "id")
+    return letters, lambda: flows.sync_wal(lines, tables, SPEC, table, "public", dead_letters=letters)
+
+
+def test_rejected_lines_are_stored_once(spark, table, values):
+    letters, run = wal_run(spark, table, "store")
+    done = run()
+    assert (done.rejected, done.position) == (1, 5)
+    assert run().rejected == 1
+    assert values(letters.pending(), "lsn", "reason") == [(2, "no readable key: id"), (4, "not a row change")]
+    assert values(table.read(), "id", "v") == [(1, "a"), (2, "b")]
+    letters.settle(spark.createDataFrame([(4,)], "lsn bigint"))
+    assert values(letters.pending(), "lsn") == [(2,)]
+
+
+def test_rejected_lines_can_stop_a_run(spark, table, values):
+    letters, run = wal_run(spark, table, "fail")
+    with pytest.raises(rejects.RejectedLines, match="line at 2: no readable key: id"):
+        run()
+    assert values(table.read(), "id", "v") == [(2, "old")] and letters.pending().isEmpty()
+
+
+def test_rejected_lines_can_reload_the_table(spark, table, values):
+    letters, run = wal_run(spark, table, "reload")
+    done = run()
+    assert done.mode.startswith("FULL") and done.position == 5
+    assert values(table.read(), "id", "v") == [(1, "a"), (2, "b"), (9, "z")]
+    with pytest.raises(ValueError, match="unknown policy"):
+        rejects.DeadLetters(letters.table, "s", "t", "drop")
+
+
+class TornSource(FrameSource):
+    """Parts of a split read see the table before and after a change."""
+
+    one_snapshot = False
+
+    def __init__(self, before, after):
+        super().__init__({"t": before})
+        self.after = after
+
+    def read_split(self, spec, rows):
+        torn = self.frames["t"].filter("id % 2 = 0").unionByName(self.after.filter("id % 2 = 1"))
+        self.frames = {"t": self.after}
+        return torn
+
+
+@pytest.mark.parametrize("cdc_column", ["at", None])
+def test_load_in_parts_equals_one_read(spark, table, values, cdc_column):
+    before = [(i, "old", day(0)) for i in range(20)]
+    after = [(i, "new" if i == 4 and cdc_column else "old", day(5 if i == 4 else 0)) for i in range(30) if i not in (6, 7)]
+    frames = [spark.createDataFrame(rows, ROWS) for rows in (before, after)]
+    spec = TableSpec.of("t", "id", cdc_column=cdc_column)
+    if not cdc_column:  # changes within a row need a watermark column
+        frames = [f.drop("at") for f in frames]
+    done = flows.sync_full(TornSource(*frames), spec, table, batch_size=5)
+    assert values(table.read()) == values(frames[1]) and done.row_count == 28

@@ -1,11 +1,14 @@
 """Scans, JDBC options, and the DB-API source over a driver that reads the given files."""
 
+from datetime import date, datetime
+from decimal import Decimal
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.sources import dialects, jdbc, scans
+from tidemark.sources import dbapi, dialects, jdbc, scans, splits
 from tidemark.sources.dbapi import DbApiSource, range_conditions
 from tidemark.sources.scans import FrameSource, ParquetSource, TableSpec
 
@@ -106,13 +109,125 @@ def test_jdbc_probe():
     )
 
 
-def test_jdbc_key_predicates():
+def test_jdbc_span_predicates():
     postgres = dialects.dialect_of("psycopg2")
-    assert jdbc.key_predicates(postgres, ["id"], [(i,) for i in range(3)], chunk=2) == [
-        '"id" IN (0, 1)',
-        '"id" IN (2)',
+    one = ((1,), (1,))
+    assert jdbc.span_predicates(postgres, ["id"], [one, ((5,), (9,)), ((12,), (12,))], [False], 2) == [
+        '("id" = 1) OR ("id" = 12)',
+        '((("id" >= 5)) AND (("id" <= 9)))',
     ]
-    assert jdbc.key_predicates(postgres, ["a", "b"], [("it's", 1)]) == ["(\"a\" = 'it''s' AND \"b\" = 1)"]
+    pair = (("it's", 1), ("it's", 1))
+    assert jdbc.span_predicates(postgres, ["a", "b"], [pair], [True, False], 4) == ["(\"a\" = 'it''s' AND \"b\" = 1)"]
+    text = jdbc.span_predicates(postgres, ["a"], [(("a",), ("b",))], [True], 4)[0]
+    assert text == '(((CAST("a" AS text) COLLATE "C" >= \'a\')) AND ((CAST("a" AS text) COLLATE "C" <= \'b\')))'
+    sql_server, mysql = dialects.dialect_of("mssql"), dialects.dialect_of("mysql")
+    for dialect, literal in ((postgres, "'\\x00ff'::bytea"), (sql_server, "0x00ff"), (mysql, "x'00ff'")):
+        assert literal in jdbc.span_predicates(dialect, ["k"], [((b"\x00\xff",), (b"\x00\xff",))], [False], 1)[0]
+    assert mysql.literal("a\\'b") == "'a\\\\''b'" and sql_server.literal(True) == "1"
+
+
+@pytest.mark.parametrize(
+    "kind, value",
+    [
+        ("bigint", "id * 37 % 5003"),
+        ("string", "concat('k', id * 37 % 5003)"),
+        ("binary", "CAST(concat('k', id * 37 % 5003) AS BINARY)"),
+        ("date", "date_add(DATE '2000-01-01', CAST(id * 37 % 5003 AS INT))"),
+    ],
+)
+@pytest.mark.parametrize("wanted", [7, 900])
+def test_spans_hold_the_wanted_keys_and_skip_most_others(spark, kind, value, wanted):
+    """The same way for few and many keys of any type; checked by a database reading the conditions."""
+    import duckdb
+
+    keys = spark.range(wanted).select(F.expr(value).alias("k"))
+    spans = splits.key_spans(keys, ["k"], 64)
+    assert len(spans) <= 64 and all(len(s) == 2 for s in spans)
+    params = []
+    text = " OR ".join(
+        t for low, high in spans for t, p in [splits.span_condition(["k"], ["k"], low, high, lambda v: ("?", [v]))] if params.extend(p) is None
+    )
+    connection = duckdb.connect()
+    duck = {"bigint": "BIGINT", "string": "VARCHAR", "binary": "BLOB", "date": "DATE"}[kind]
+    connection.execute(f"CREATE TABLE t (k {duck})")
+    rows = [[bytes(r[0]) if kind == "binary" else r[0]] for r in spark.range(5003).select(F.expr(value)).collect()]
+    connection.executemany("INSERT INTO t VALUES (?)", rows[:3000])
+    params = [bytes(p) if kind == "binary" else p for p in params]
+    got = {r[0] for r in connection.execute(f"SELECT k FROM t WHERE {text}", params).fetchall()}
+    want = {bytes(r[0]) if kind == "binary" else r[0] for r in keys.collect()}
+    assert want <= got
+    if wanted == 7:
+        assert got == want
+
+
+def test_composite_spans(spark):
+    import duckdb
+
+    keys = spark.range(300).selectExpr("id % 7 AS a", "concat('b', id) AS b")
+    spans = splits.key_spans(keys, ["a", "b"], 16)
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE t AS SELECT i % 7 AS a, 'b' || i AS b FROM range(900) r(i)")
+    found = set()
+    for low, high in spans:
+        text, params = splits.span_condition(["a", "b"], ["a", "b"], low, high, lambda v: ("?", [v]))
+        found |= set(connection.execute(f"SELECT a, b FROM t WHERE {text}", params).fetchall())
+    assert {tuple(r) for r in keys.collect()} <= found and len(found) < 900
+
+
+# --- parts of equal size --------------------------------------------------------------
+
+
+@pytest.mark.parametrize("parts", [1, 2, 5, 16])
+@pytest.mark.parametrize(
+    "columns, types, rows",
+    [
+        (["k"], "k BIGINT", "i * i * i"),  # values lie ever further apart
+        (["k"], "k VARCHAR", "'key ' || (i * 7919 % 1000)"),
+        (["k"], "k UUID", "md5(i::VARCHAR)::UUID"),
+        (["k"], "k DATE", "DATE '2020-01-01' + i::INT"),
+        (["k"], "k TIMESTAMP", "TIMESTAMP '2020-01-01' + INTERVAL (i * i) SECOND"),
+        (["k"], "k DECIMAL(20,4)", "i * 1.25"),
+        (["a", "b"], "a INT, b VARCHAR", "CASE WHEN i % 3 = 0 THEN 1 ELSE i % 50 END, 'v' || i"),
+        (["k"], "k BIGINT", "CASE WHEN i % 50 = 0 THEN NULL ELSE i END"),
+    ],
+)
+def test_parts_are_disjoint_complete_and_even(parts, columns, types, rows):
+    import duckdb
+
+    connection = duckdb.connect()
+    connection.execute(f"CREATE TABLE t ({types})")
+    connection.execute(f"INSERT INTO t SELECT {rows} FROM range(1000) r(i)")
+    sql = splits.ends_sql(columns, "t", 1000, parts)
+    ends = connection.execute(sql).fetchall() if sql else []
+    sizes = []
+    for text, values in splits.conditions(columns, ends, lambda v: ("?", [v])):
+        where = f" WHERE {text}" if text else ""
+        sizes.append(connection.execute(f"SELECT count(*) FROM t{where}", values).fetchone()[0])
+    assert sum(sizes) == 1000 and len(sizes) <= parts
+    assert max(sizes) <= 2 * 1000 / parts
+
+
+def test_ends_are_taken_once_and_counted_from_the_rows():
+    assert splits.ends_sql(["k"], "t", 0, 4) is None and splits.ends_sql(["k"], "t", 100, 1) is None
+    assert "row_no IN (25, 50, 75)" in splits.ends_sql(["k"], "t", 100, 4)
+    assert len(splits.conditions(["k"], [(5,), (5,), (9,)], lambda v: ("?", [v]))) == 3
+    assert [splits.parts_for(n, 4) for n in (0, 10**6, 10**7, 10**12)] == [4, 4, 40, 512]
+
+
+@pytest.mark.parametrize(
+    "kind, lower, upper",
+    [
+        ("DATE", date(2020, 1, 1), date(2020, 1, 3)),
+        ("DATE", date(2020, 1, 1), date(2022, 1, 1)),
+        ("TIMESTAMP_NTZ", datetime(2020, 1, 1), datetime(2021, 6, 1)),
+        ("DECIMAL(10,2)", Decimal("0.50"), Decimal("900.25")),
+    ],
+)
+def test_ranges_of_other_types(spark, kind, lower, upper):
+    value = "id + 0.5" if kind.startswith("DEC") else "date_add(DATE '2019-12-01', CAST(id AS INT))"
+    df = spark.range(900).selectExpr(f"CAST(CASE WHEN id <> 5 THEN {value} END AS {kind}) AS k")
+    counts = [df.filter(r).count() for r in scans.range_filters("k", lower, upper, 4)]
+    assert sum(counts) == 900 and len(counts) == 4
 
 
 # --- DB-API ---------------------------------------------------------------------------
@@ -180,6 +295,55 @@ def test_dbapi_columns_from_the_catalog(spark, monkeypatch):
         source.columns(TableSpec.of("nothing"))
 
 
+def test_one_catalog_read_for_many_tables(spark, monkeypatch):
+    monkeypatch.syspath_prepend(str(Path(__file__).parent))
+    import catalog_driver
+
+    source = DbApiSource(spark, "catalog_driver:connect")
+    catalog_driver.ASKED.clear()
+    specs = [TableSpec.of(n, "id") for n in ("orders", "people", "gone")]
+    found = scans.columns_by_table(source, specs)
+    assert len(catalog_driver.ASKED) == 1
+    assert found["people"] == [("id", "uuid"), ("born", "date")] and len(found["orders"]) == 4
+    assert isinstance(found["gone"], LookupError)
+    assert source.spark_schema(specs[1]) == "`id` string, `born` date"
+    own = scans.columns_by_table(FrameSource({"people": spark.range(1)}), specs)
+    assert own["people"] == [("id", "bigint")] and isinstance(own["orders"], LookupError)
+
+
+@pytest.mark.parametrize(
+    "driver, quotes, schema, name",
+    [
+        ("psycopg2:connect", '""', "public", '"public"."t"'),
+        ("pymssql:connect", "[]", "dbo", "[dbo].[t]"),
+        ("pymysql:connect", "``", None, "`t`"),
+        ("duckdb:connect", '""', "public", '"public"."t"'),
+    ],
+)
+def test_dbapi_dialects(spark, driver, quotes, schema, name):
+    source = DbApiSource(spark, driver)
+    assert (source.quotes, source.schema, source._from(TableSpec.of("t"))) == (quotes, schema, name)
+    assert DbApiSource(spark, driver, schema="own", quotes='""').schema == "own"
+
+
+def test_dbapi_values_of_other_types(spark, tmp_path):
+    """uuid, json, time, interval, bit and high-scale numbers, through Spark."""
+    import duckdb
+
+    path = tmp_path / "odd.parquet"
+    duckdb.connect().execute(
+        "COPY (SELECT 1 AS id, '0b6f3a52-7f39-4c1c-9a4c-0123456789ab'::UUID AS u, "
+        "TIME '01:02:03' AS t, 1.5::DOUBLE AS d, true AS b, 'ab'::BLOB AS x) TO '" + str(path) + "' (FORMAT parquet)"
+    )
+    types = "id int, u string, t string, d decimal(38,10), b boolean, x binary"
+    source = DbApiSource(spark, "duckdb:connect", tables={"odd": f"read_parquet('{path}')"}, types={"odd": types})
+    row = source.read(TableSpec.of("odd", "id")).first()
+    assert (row["u"], row["t"]) == ("0b6f3a52-7f39-4c1c-9a4c-0123456789ab", "01:02:03")
+    assert (row["d"], row["b"], bytes(row["x"])) == (Decimal("1.5"), True, b"ab")
+    assert dbapi._converted([{"a": [1]}, [1, 2], None, "x"], pa.string()) == ['{"a": [1]}', "[1, 2]", None, "x"]
+    assert dbapi._converted([b"\x01", b"\x00", None, 1], pa.bool_()) == [True, False, None, True]
+
+
 def test_missing_frame():
     with pytest.raises(LookupError):
         FrameSource({}).read(SPEC)

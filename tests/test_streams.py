@@ -5,6 +5,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tidemark.operators import wal
+from tidemark.plans import flows
 from tidemark.plans.store import SnapshotTable
 from tidemark.sources.dbapi import DbApiSource
 from tidemark.sources.scans import FrameSource, TableSpec, fresh_folder
@@ -75,3 +76,41 @@ def test_older_rows_never_replace_newer_ones(spark, tmp_path):
         stream = spark.readStream.schema(kind).parquet(str(folder))
         streams.stream_cdc(stream, ["k"], "at", table, str(tmp_path / "check")).awaitTermination()
     assert sorted((r.k, r.v) for r in table.read().collect()) == [(1, "new"), (2, "y")]
+
+
+def test_batches_in_any_order_and_again(spark, values):
+    """Each order of three batches, and a second stream over all of them, give one target."""
+    lines = log(spark, 120)
+    users = spark.range(60).selectExpr("id AS k", "'new' AS v")
+    net = wal.net_changes(wal.parse_changes(lines, "public", "users", {"k": "bigint"}), ["k"])
+    live = [(r["k"], "new") for r in net.filter("op <> 'D'").collect()]
+    dead = {r["k"] for r in net.filter("op = 'D'").collect()}
+    want = sorted(live + [(k, "old") for k in range(0, 60, 2) if k not in dead | {k for k, _ in live}])
+    for parts in ((2, 0, 1), (1, 2, 0)):
+        target = SnapshotTable(spark, fresh_folder(spark, "users"))
+        target.overwrite(spark.range(0, 60, 2).selectExpr("id AS k", "'old' AS v"), "k")
+        folder, checkpoint = fresh_folder(spark, "lines"), fresh_folder(spark, "stream")
+
+        def poll(checkpoint):
+            read = spark.readStream.schema("lsn bigint, data string").parquet(folder)
+            source = FrameSource({"users": users})
+            streams.stream_wal(read, source, USERS, target, "public", checkpoint, {"k": "bigint"}).awaitTermination()
+
+        for part in parts:
+            lines.filter(f"lsn >= {part * 40} AND lsn < {part * 40 + 40}").write.mode("append").parquet(folder)
+            poll(checkpoint)
+        assert sorted(map(tuple, target.read().collect())) == want
+        assert target.current().applied["lsn"] == 119
+        poll(fresh_folder(spark, "stream"))
+        assert sorted(map(tuple, target.read().collect())) == want
+
+
+def test_a_batch_that_was_committed_is_not_applied_again(spark, monkeypatch):
+    target = SnapshotTable(spark, fresh_folder(spark, "users"))
+    target.overwrite(spark.range(5).selectExpr("id AS k", "'old' AS v"), "k")
+    net = spark.createDataFrame([(1, 7, "U")], "k bigint, lsn bigint, op string")
+    order = flows.BatchOrder(target, "stream", 3)
+    assert not order.done and not order.behind(net)
+    order.remember(net, ["k"])
+    assert flows.BatchOrder(target, "stream", 3).done and flows.BatchOrder(target, "stream", 2).done
+    assert not flows.BatchOrder(target, "stream", 4).done and not flows.BatchOrder(target, "other", 0).done

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
 from tidemark import schemas as s
-from tidemark.functions import any_null
+from tidemark.functions import any_null, typed_literal
 from tidemark.functions.exprs import watermark_value
 from tidemark.functions.watermarks import usable
 from tidemark.operators import wal
@@ -95,13 +95,21 @@ def sync_full(
     mode: str = "FULL",
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> Outcome:
-    """Reload a table. One snapshot, read in ranges when the source is large.
+    """Reload a table, in parts when the source is large.
 
-    Partitions and the fetch size bound memory; ``batches`` reports how many pages
-    of ``batch_size`` the load amounts to.
+    Parts that the source answers one by one see it at different times; what changed
+    meanwhile is repaired before this returns (``repair``). Partitions and the fetch
+    size bound memory; ``batches`` reports how many pages of ``batch_size`` the load
+    amounts to.
     """
-    df, expected = scan_auto(source, spec, threshold=min(batch_size, s.LARGE_TABLE_ROWS))
+    threshold, newest = min(batch_size, s.LARGE_TABLE_ROWS), None
+    apart = bool(spec.split_columns) and not source.one_snapshot
+    if apart and spec.cdc_column:
+        newest = source.probe(replace(spec, partition_column=spec.cdc_column))[2]
+    df, expected = scan_auto(source, spec, threshold=threshold)
     table.overwrite(prepare(df), spec.keys, buckets_for(expected))
+    if apart and expected > threshold and spec.keys:
+        repair(source, spec, table, newest, prepare)
     target = table.read()
     top = F.lit(None)
     if with_watermark and spec.cdc_column:
@@ -112,6 +120,36 @@ def sync_full(
     return Outcome(row["rows"], mode, row["watermark"], batches)
 
 
+def repair(
+    source: Source,
+    spec: TableSpec,
+    table: SnapshotTable,
+    newest: Any = None,
+    prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> None:
+    """Make a target that was loaded in parts what one read would have given.
+
+    ``newest`` is the source's highest watermark from before the load: rows from it on
+    are merged. If source and target then hold different numbers of rows, their keys are
+    compared: keys the source has lost are deleted, keys the load has missed are fetched.
+    Without a watermark column, changes of rows within the load's time stay unseen until
+    the next one.
+    """
+    rows = source.read(spec)
+    if newest is not None:
+        table.merge_rows(prepare(rows.filter(F.col(spec.cdc_column) >= typed_literal(newest, rows.schema[spec.cdc_column].dataType))))
+    if source.probe(spec)[0] == table.count():
+        return
+    keys = list(spec.keys)
+    with table.staging() as stage:
+        there = stage(rows.select(*keys).filter(~any_null(keys)))
+        held = table.read().select(*keys).filter(~any_null(keys))
+        table.delete_keys(held.join(there, keys, "left_anti"))
+        missed = stage(there.join(table.read().select(*keys), keys, "left_anti"))
+        if not missed.isEmpty():
+            table.merge_rows(prepare(source.read_keys(spec, missed)))
+
+
 def sync_cdc(
     source: Source,
     spec: TableSpec,

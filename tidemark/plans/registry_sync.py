@@ -42,7 +42,7 @@ from tidemark.plans.flows import (
 from tidemark.plans.rejects import DeadLetters, rejects_table
 from tidemark.plans.store import SnapshotTable, Warehouse, remove_folder
 from tidemark.sources.changelog import changelog_head, changelog_read, committed_positions
-from tidemark.sources.scans import Source, TableSpec, fresh_folder
+from tidemark.sources.scans import Source, TableSpec, columns_by_table, fresh_folder
 
 RESULT = StructType(
     [
@@ -179,7 +179,7 @@ class RegistrySync:
         rows = chosen.orderBy("table_id").collect()  # plan rows: one per registered table
         active = {r["database_id"]: r for r in self.databases.read().filter("is_active").collect()}
         jobs = [(active[r["database_id"]], r) for r in rows if r["database_id"] in active]
-        probes = in_parallel(self.spark, jobs, self._probe, self.parallelism)
+        probes = self._probes(jobs)
         plans = self._plan(probes)
         logs, folders = self._pending(probes, plans)
         runs = in_parallel(
@@ -223,21 +223,42 @@ class RegistrySync:
         self.consolidated.append(self.spark.createDataFrame([(top,)], "log_id bigint"))
         return updated
 
-    def _probe(self, job: tuple[Row, Row]) -> _Probe:
-        """What planning needs to know of one table's source and target."""
-        database, row = job
-        probe = _Probe(database, row)
+    def _probes(self, jobs: Sequence[tuple[Row, Row]]) -> list[_Probe]:
+        """What planning needs to know of the tables; a database's catalog is read once."""
+        databases: dict[str, list[tuple[Row, Row]]] = {}
+        for database, row in jobs:
+            databases.setdefault(database["database_id"], []).append((database, row))
+        found = in_parallel(self.spark, list(databases.values()), self._probe, self.parallelism)
+        by_table = {p.table_id: p for probes in found for p in probes}
+        return [by_table[row["table_id"]] for _, row in jobs]
+
+    def _probe(self, jobs: Sequence[tuple[Row, Row]]) -> list[_Probe]:
+        """The tables of one database."""
+        probes = [_Probe(database, row) for database, row in jobs]
         try:
-            probe.source = self.source_of(database)
-            probe.spec = TableSpec.of(
-                row["source_table"], row["primary_key_column"], cdc_column=row["cdc_column"]
-            )
-            probe.target = self.warehouse.table(row["target_schema"], row["target_table"])
-            probe.columns = probe.source.columns(probe.spec)
-            probe.target_columns = probe.target.columns()
-        except Exception as error:  # reported as this table's run, the other tables go on
-            probe.error = str(error)
-        return probe
+            source = self.source_of(jobs[0][0])
+            for p in probes:
+                p.source = source
+                p.spec = TableSpec.of(
+                    p.row["source_table"], p.row["primary_key_column"], cdc_column=p.row["cdc_column"]
+                )
+            columns = columns_by_table(source, [p.spec for p in probes])
+        except Exception as error:  # reported as the run of each of its tables, the others go on
+            for p in probes:
+                p.error = str(error)
+            return probes
+        for p in probes:
+            known = columns[p.spec.name]
+            if isinstance(known, Exception):
+                p.error = str(known)
+                continue
+            try:
+                p.columns = known
+                p.target = self.warehouse.table(p.row["target_schema"], p.row["target_table"])
+                p.target_columns = p.target.columns()
+            except Exception as error:  # reported as this table's run, the other tables go on
+                p.error = str(error)
+        return probes
 
     def _plan(self, probes: Sequence[_Probe]) -> dict[str, Row]:
         """Method and schema decision of every table, as one query over the registry."""
@@ -372,7 +393,7 @@ class RegistrySync:
         database = known.filter(F.col("database_id") == row["database_id"]).first() if row else None
         if database is None:
             raise LookupError(f"{table_id}: no table is registered under this id")
-        probe, letters = self._probe((database, row)), self._dead_letters(row)
+        (probe,), letters = self._probe([(database, row)]), self._dead_letters(row)
         if probe.error:
             raise RuntimeError(probe.error)
         schema, name = self._relation(probe)

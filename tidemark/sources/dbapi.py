@@ -14,6 +14,7 @@ import json
 import math
 from collections.abc import Iterator, Mapping, Sequence
 from datetime import date
+from decimal import Decimal
 from typing import Any
 
 import pyarrow as pa
@@ -36,6 +37,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from tidemark import schemas as s
+from tidemark.sources.dialects import dialect_of_module
 from tidemark.sources.scans import TableSpec
 from tidemark.sources.splits import conditions, ends_sql
 
@@ -115,9 +117,32 @@ class Connection:
         return [row for _, rows in self.batches(sql, parameters, 1000) for row in rows]
 
 
+def _as_text(value: Any) -> str:
+    """A value of a type that Spark has none for: structures as JSON, all else as printed."""
+    if isinstance(value, (dict, list, tuple)):
+        return json.dumps(value, default=str)
+    if isinstance(value, (bytes, bytearray, memoryview)):
+        return bytes(value).hex()
+    return value.isoformat() if hasattr(value, "isoformat") else str(value)
+
+
+def _converted(values: Sequence[Any], kind: pa.DataType) -> list[Any]:
+    """A driver's values as Arrow takes them for a column of this type."""
+    if pa.types.is_string(kind):
+        return [v if v is None or isinstance(v, str) else _as_text(v) for v in values]
+    if pa.types.is_binary(kind):
+        return [v if v is None else bytes(v) for v in values]
+    if pa.types.is_boolean(kind):
+        return [any(v) if isinstance(v, (bytes, bytearray)) else None if v is None else bool(v) for v in values]
+    if pa.types.is_decimal(kind):
+        places = Decimal(1).scaleb(-kind.scale)
+        return [v if v is None else Decimal(str(v)).quantize(places) for v in values]
+    return list(values)
+
+
 def _to_arrow(rows: Sequence[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows))
-    arrays = [pa.array(c, f.type) for c, f in zip(columns, schema)]
+    arrays = [pa.array(_converted(c, f.type), f.type) for c, f in zip(columns, schema)]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
@@ -283,27 +308,34 @@ class DbApiSource:
     """Source tables over a DB-API driver.
 
     ``connect`` names the driver's connect function, ``arguments`` its keyword
-    arguments. ``table_name`` turns a table's name into what stands in FROM; by
-    default the quoted ``schema.table``.
+    arguments. Quotes and the schema follow the driver's dialect where they are not
+    given. ``tables`` says what stands in FROM for a table; by default the quoted
+    ``schema.table``, or ``table`` alone where neither names a schema. Values of
+    types that Spark has none for (uuid, json, time) come as texts.
     """
 
+    one_snapshot = False  # every part is a query of its own
+
     def __init__(
         self,
         spark: SparkSession,
         connect: str,
         arguments: Mapping[str, Any] | None = None,
-        schema: str = s.DEFAULT_SOURCE_SCHEMA,
-        quotes: str = '""',
+        schema: str | None = None,
+        quotes: str | None = None,
         tables: Mapping[str, str] | None = None,
         types: Mapping[str, str] | None = None,
     ) -> None:
         register(spark)
-        self.spark, self.schema, self.quotes = spark, schema, quotes
+        dialect = dialect_of_module(connect)
+        default = dialect.schema if dialect else s.DEFAULT_SOURCE_SCHEMA
+        self.spark, self.schema = spark, schema or default
+        self.quotes = quotes or ("".join(dialect.quote) if dialect else '""')
         self.tables, self.types = dict(tables or {}), dict(types or {})
         self.base = {"connect": connect, "connectargs": json.dumps(dict(arguments or {}))}
 
     def _from(self, spec: TableSpec) -> str:
-        quoted = ".".join(_quoted(n, self.quotes) for n in (self.schema, spec.name))
+        quoted = ".".join(_quoted(n, self.quotes) for n in (self.schema, spec.name) if n)
         return self.tables.get(spec.name, quoted)
 
     def _options(self, spec: TableSpec) -> dict[str, str]:
@@ -315,17 +347,27 @@ class DbApiSource:
 
     def columns(self, spec: TableSpec) -> list[tuple[str, str]]:
         """Ordered columns with the source's own type names."""
-        connection = Connection(self.base)
-        sql = (
-            "SELECT column_name, data_type FROM information_schema.columns "
-            f"WHERE table_schema = {connection.mark} AND table_name = {connection.mark} "
-            "ORDER BY ordinal_position"
-        )
-        found = [(n, t) for n, t in connection.rows(sql, [self.schema, spec.name])]
+        found = [(r["column_name"], r["data_type"]) for r in self._listed() if r["table_id"] == spec.name]
         if not found:
             raise LookupError(f"source table {self.schema}.{spec.name} not found")
         return found
 
+    def _listed(self) -> list[dict[str, Any]]:
+        """The schema's columns, one row each; the connection's own database where none is named."""
+        connection = Connection(self.base)
+        place = f"table_schema = {connection.mark}" if self.schema else "table_schema = DATABASE()"
+        sql = (
+            "SELECT table_name, ordinal_position, column_name, data_type "
+            f"FROM information_schema.columns WHERE {place} ORDER BY table_name, ordinal_position"
+        )
+        names = ("table_id", "ordinal", "column_name", "data_type")
+        return [dict(zip(names, row)) for row in connection.rows(sql, [self.schema] if self.schema else [])]
+
+    def catalog(self) -> DataFrame:
+        """Columns of all tables of the schema with the source's own types, in one query."""
+        kinds = "table_id string, ordinal int, column_name string, data_type string"
+        return self.spark.createDataFrame([tuple(r.values()) for r in self._listed()], kinds)
+
     def spark_schema(self, spec: TableSpec) -> str:
         if spec.name in self.types:
             return self.types[spec.name]

@@ -19,6 +19,7 @@ class Dialect:
     quote: tuple[str, str]
     schema: str | None  # where tables are that no schema is named for
     binary: str  # a binary literal, with %s for its hexadecimal digits
+    bytewise: str  # a text column, for %s, in the order of its bytes
     booleans: tuple[str, str] = ("0", "1")
     escapes: bool = False  # whether a backslash in a text literal needs one before it
 
@@ -53,6 +54,7 @@ DIALECTS = (
         ('"', '"'),
         "public",
         "'\\x%s'::bytea",
+        'CAST(%s AS text) COLLATE "C"',
         ("FALSE", "TRUE"),
     ),
     Dialect(
@@ -63,6 +65,7 @@ DIALECTS = (
         ("[", "]"),
         "dbo",
         "0x%s",
+        "CAST(%s AS nvarchar(4000)) COLLATE Latin1_General_100_BIN2_UTF8",
     ),
     Dialect(
         "mysql",
@@ -72,6 +75,7 @@ DIALECTS = (
         ("`", "`"),
         None,
         "x'%s'",
+        "CAST(%s AS BINARY)",
         ("FALSE", "TRUE"),
         escapes=True,
     ),
@@ -85,6 +89,12 @@ def dialect_of(driver: str) -> Dialect:
     raise ValueError(f"unknown driver {driver!r}")
 
 
+def dialect_of_module(module: str) -> Dialect | None:
+    """Dialect of a DB-API driver's module; None where it is of no known one."""
+    root = module.partition(":")[0].partition(".")[0]
+    return next((d for d in DIALECTS if root in d.drivers), None)
+
+
 def source_addresses(databases: DataFrame) -> DataFrame:
     """Dialect and JDBC address of every ``(database_id, driver, host, port, source_db_name)``.
 

@@ -12,15 +12,18 @@ from math import ceil, floor
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tidemark import schemas as s
+from tidemark.functions import any_null
 from tidemark.operators.merge import rows_by_keys
 from tidemark.sources.dialects import Dialect, dialect_of
-from tidemark.sources.scans import TableSpec, columns_of, scan_auto
-from tidemark.sources.splits import conditions, ends_sql
+from tidemark.sources.scans import TableSpec, source_columns
+from tidemark.sources.splits import conditions, ends_sql, key_spans, span_condition
 
-LOOKUP_KEYS = 20_000
-LOOKUP_CHUNK = 500
+#: Runs of keys that a lookup asks the source for.
+SPANS = 256
 
 
 def read_options(
@@ -58,27 +61,25 @@ def range_options(spec: TableSpec, lower: Any, upper: Any) -> dict[str, str]:
     }
 
 
-def key_predicates(
-    dialect: Dialect, keys: Sequence[str], rows: Sequence[Sequence[Any]], chunk: int = LOOKUP_CHUNK
+def span_predicates(
+    dialect: Dialect, keys: Sequence[str], spans: Sequence[tuple], texts: Sequence[bool], parts: int
 ) -> list[str]:
-    """SQL predicates, one per ``chunk`` keys, that together select the given keys."""
+    """Predicates that hold the spans of keys, dealt out to at most ``parts`` queries.
 
-    names = [dialect.quoted(k) for k in keys]
-
-    def one(row: Sequence[Any]) -> str:
-        return "(" + " AND ".join(f"{n} = {dialect.literal(v)}" for n, v in zip(names, row)) + ")"
-
-    predicates = []
-    for start in range(0, len(rows), chunk):
-        part = rows[start : start + chunk]
-        if len(keys) == 1:
-            predicates.append(f"{names[0]} IN ({', '.join(dialect.literal(r[0]) for r in part)})")
-        else:
-            predicates.append(" OR ".join(one(r) for r in part))
-    return predicates
+    ``texts`` says which keys are texts: their spans follow the bytes, as Spark's order does.
+    """
+    columns = [dialect.quoted(k) for k in keys]
+    ordered = [dialect.bytewise % c if text else c for c, text in zip(columns, texts)]
+    found = [
+        span_condition(columns, ordered, low, high, lambda v: (dialect.literal(v), []))[0]
+        for low, high in spans
+    ]
+    return [" OR ".join(found[i::parts]) for i in range(min(parts, len(found)))]
 
 
 class JdbcSource:
+    one_snapshot = False  # every part is a query of its own
+
     def __init__(
         self,
         spark: SparkSession,
@@ -89,8 +90,8 @@ class JdbcSource:
         schema: str | None = None,
         options: Mapping[str, str] | None = None,
     ) -> None:
-        self.spark, self.schema = spark, schema
         self.dialect = dialect_of(driver)
+        self.spark, self.schema = spark, schema or self.dialect.schema or database
         self.url = self.dialect.jdbc_url(host, port, database)
         self.options = dict(options or {})
 
@@ -119,21 +120,23 @@ class JdbcSource:
         )
 
     def read_keys(self, spec: TableSpec, keys: DataFrame) -> DataFrame:
-        """Few keys are looked up in the source; more are joined to a range read.
+        """The source returns the runs the keys lie in; a semi-join leaves the keys themselves.
 
-        The driver holds at most ``LOOKUP_KEYS`` keys, checked by the limit.
+        One way at every number of keys: the driver sees ``SPANS`` runs at most.
         """
-        wanted = keys.select(*spec.keys).distinct()
-        rows = wanted.limit(LOOKUP_KEYS + 1).collect()
-        if not rows:
+        wanted = keys.select(*spec.keys).filter(~any_null(spec.keys)).distinct()
+        spans = key_spans(wanted, spec.keys, SPANS)
+        if not spans:
             return self.read(spec).limit(0)
-        if len(rows) <= LOOKUP_KEYS:
-            options = self._options(spec)
-            predicates = key_predicates(self.dialect, spec.keys, rows)
-            return self.spark.read.jdbc(
-                self.url, options.pop("dbtable"), predicates=predicates, properties=options
-            )
-        return rows_by_keys(scan_auto(self, spec)[0], wanted, spec.keys)
+        texts = [isinstance(wanted.schema[k].dataType, StringType) for k in spec.keys]
+        options = self._options(spec)
+        read = self.spark.read.jdbc(
+            options.pop("url"),
+            options.pop("dbtable"),
+            predicates=span_predicates(self.dialect, spec.keys, spans, texts, spec.parts(0)),
+            properties=options,
+        )
+        return rows_by_keys(read, wanted, spec.keys)
 
     def probe(self, spec: TableSpec) -> tuple[int, Any, Any]:
         """Computed by the source: one row comes back."""
@@ -141,5 +144,20 @@ class JdbcSource:
         options["query"] = probe_query(self.dialect, options.pop("dbtable"), spec.range_column)
         return tuple(self.spark.read.format("jdbc").options(**options).load().first())
 
+    def catalog(self) -> DataFrame:
+        """Columns of all tables of the schema with the source's own types, in one query."""
+        options = {k: v for k, v in self._options(TableSpec.of("")).items() if k != "dbtable"}
+        options["query"] = (
+            "SELECT table_schema, table_name, ordinal_position, column_name, data_type "
+            "FROM information_schema.columns"
+        )
+        found = self.spark.read.format("jdbc").options(**options).load()
+        return source_columns(found.toDF(*[c.lower() for c in found.columns]), self.schema)
+
     def columns(self, spec: TableSpec) -> list[tuple[str, str]]:
-        return columns_of(self.read(spec))
+        """Ordered columns with the source's own type names."""
+        mine = self.catalog().filter(F.col("table_id") == spec.name)
+        found = [(r["column_name"], r["data_type"]) for r in mine.orderBy("ordinal").collect()]
+        if not found:
+            raise LookupError(f"source table {self.schema}.{spec.name} not found")
+        return found

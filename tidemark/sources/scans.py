@@ -50,7 +50,12 @@ class TableSpec:
 
 
 class Source(Protocol):
-    """Where source tables come from."""
+    """Where source tables come from.
+
+    ``one_snapshot`` says that all parts of a split read see the same rows.
+    """
+
+    one_snapshot: bool
 
     def read(self, spec: TableSpec) -> DataFrame:
         """All rows, lazily."""
@@ -70,6 +75,12 @@ class Source(Protocol):
     def columns(self, spec: TableSpec) -> list[tuple[str, str]]:
         """Ordered column names and type names."""
 
+    def catalog(self) -> DataFrame:
+        """``(table_id, ordinal, column_name, data_type)`` of all tables, in one read.
+
+        A source that has no catalog of its own leaves the method out.
+        """
+
 
 def probe_rows(df: DataFrame, column: str | None) -> tuple[int, Any, Any]:
     """Count, minimum and maximum in one pass."""
@@ -83,6 +94,8 @@ class ParquetSource:
     Spark splits files by itself, so parts by key need no work: a table is read once.
     """
 
+    one_snapshot = True
+
     def __init__(self, spark: SparkSession, root: str, suffix: str = ".parquet") -> None:
         self.spark, self.root, self.suffix = spark, root.rstrip("/"), suffix
 
@@ -131,9 +144,34 @@ def _bound(value: Any) -> Any:
     return typed_literal(value, "timestamp_ntz") if isinstance(value, datetime) else value
 
 
+def columns_by_table(
+    source: Source, specs: Sequence[TableSpec]
+) -> dict[str, list[tuple[str, str]] | Exception]:
+    """Columns of many tables of one source, read from its catalog at once where it has one.
+
+    A table that is not found, or cannot be read, gets the error in place of its columns.
+    """
+    if not hasattr(source, "catalog"):
+        found: dict[str, list[tuple[str, str]] | Exception] = {}
+        for spec in specs:
+            try:
+                found[spec.name] = source.columns(spec)
+            except Exception as error:  # belongs to this table; the others go on
+                found[spec.name] = error
+        return found
+    names = [spec.name for spec in specs]
+    listed: dict[str, list[tuple[str, str]]] = {}
+    rows = source.catalog().filter(F.col("table_id").isin(names)).orderBy("table_id", "ordinal")
+    for row in rows.collect():  # one row per column of a registered table
+        listed.setdefault(row["table_id"], []).append((row["column_name"], row["data_type"]))
+    return {n: listed.get(n) or LookupError(f"source table {n!r} not found") for n in names}
+
+
 class FrameSource:
     """Source tables given as DataFrames, for tests and derived inputs."""
 
+    one_snapshot = True
+
     def __init__(self, frames: dict[str, DataFrame]) -> None:
         self.frames = frames
 

@@ -12,6 +12,9 @@ from collections.abc import Callable, Sequence
 from math import ceil
 from typing import Any
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 ROWS_PER_PART = 250_000
 #: Each part is a query of its own in the source.
 MOST_PARTS = 512
@@ -40,7 +43,7 @@ def ends_sql(columns: Sequence[str], table: str, rows: int, parts: int) -> str |
 
 
 def _compared(columns: Sequence[str], end: Sequence[Any], sign: str, bind: Bind) -> Condition:
-    """The key as a whole above (``>``) or not above (``<=``) an end."""
+    """The key as a whole above (``>``), from (``>=``) or up to (``<=``) an end."""
     strict = sign[0]
     options, parameters = [], []
     for i, column in enumerate(columns):
@@ -56,6 +59,37 @@ def _compared(columns: Sequence[str], end: Sequence[Any], sign: str, bind: Bind)
     return "(" + " OR ".join(f"({o})" for o in options) + ")", parameters
 
 
+def key_spans(keys: DataFrame, columns: Sequence[str], spans: int) -> list[tuple[tuple, tuple]]:
+    """Least and greatest key of at most ``spans`` runs of the sorted keys, one row a run.
+
+    Few keys are spans of one key each, many are runs between which keys are missing. A
+    range shuffle makes the runs, so the keys themselves never come to the driver.
+    """
+    key = F.struct(*columns)
+    runs = (
+        keys.repartitionByRange(spans, *columns)
+        .groupBy(F.spark_partition_id().alias("_run"))
+        .agg(F.min(key).alias("low"), F.max(key).alias("high"))
+    )
+    return [(tuple(r["low"]), tuple(r["high"])) for r in runs.collect()]
+
+
+def span_condition(
+    columns: Sequence[str], ordered: Sequence[str], low: Sequence[Any], high: Sequence[Any], bind: Bind
+) -> Condition:
+    """Keys from ``low`` to ``high``; ``ordered`` are the columns in the order of the keys' bytes."""
+    if low == high:
+        texts, parameters = [], []
+        for column, value in zip(columns, low):
+            text, values = bind(value)
+            texts.append(f"{column} = {text}")
+            parameters += values
+        return "(" + " AND ".join(texts) + ")", parameters
+    below, b = _compared(ordered, high, "<=", bind)
+    above, a = _compared(ordered, low, ">=", bind)
+    return f"({above} AND {below})", [*a, *b]
+
+
 def conditions(columns: Sequence[str], ends: Sequence[Sequence[Any]], bind: Bind) -> list[Condition]:
     """One condition for each part; rows with a NULL in the key are in the first."""
     ends = [tuple(e) for e in ends]
