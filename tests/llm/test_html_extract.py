@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from tidemark.llm import html_extract
@@ -42,6 +44,58 @@ def test_without_marks_the_best_run_is_found(weights, name):
     assert text in found and "entry" not in found
 
 
+@pytest.mark.parametrize(
+    "name, gone",
+    [
+        ("share-price", False), ("search-results-story", False), ("adventure", False), ("social-history", False),
+        ("ad", True), ("lead ad-slot", True), ("comment-list", True), ("readerComments", True), ("cookie_notice", True),
+        ("ad2", True), ("newsletter-signup box", True), ("site-header", True), ("share-buttons", True),
+    ],
+)
+def test_names_that_only_contain_a_mark_stay(weights, name, gone):
+    page = f"<body><article><p>First words.</p><div class='{name}'><p>Middle words.</p></div><p>Last words.</p></article></body>"
+    assert ("Middle" in html_extract.main_text(page, weights)) is not gone
+
+
+def run_score(blocks, weights):
+    """Words less the tags and marks between the first and the last block."""
+    score = sum(map(weights.value, blocks)) - sum(map(weights.cost, blocks[1:]))
+    return score - html_extract.BORDER * sum(a.inside != b.inside for a, b in zip(blocks, blocks[1:]))
+
+
+def test_scan_finds_the_best_of_all_runs(weights):
+    rng = random.Random(12)
+    for _ in range(150):
+        parts = []
+        for n in range(rng.randrange(1, 14)):
+            tag = rng.choice(["p", "div", "li", "h2", "td", "section"])
+            words = " ".join(f"w{n}x{i}" for i in range(rng.randrange(0, 25)))
+            parts.append(rng.choice(["", "<hr>", "<ul>", "</ul>", "<table>"]) + f"<{tag}>{words}</{tag}>")
+        if rng.random() < 0.5:
+            parts.insert(rng.randrange(len(parts) + 1), "<article>" + parts.pop() + "</article>")
+        page = "".join(parts)
+        blocks = html_extract.blocks_of(page)
+        for weighing in (weights, html_extract.Weights()):
+            runs = {
+                " ".join(b.text for b in blocks[i:j]): run_score(blocks[i:j], weighing)
+                for i in range(len(blocks))
+                for j in range(i + 1, len(blocks) + 1)
+            }
+            text = html_extract.main_text(page, weighing)
+            assert not blocks or runs[text] == pytest.approx(max(runs.values()))
+
+
+def test_learnt_weights_change_the_cut(spark):
+    """Where side boxes are tables and text stands in list items, learnt weights say so."""
+    side = "<table><tr><td>" + "stock item price list " * 4 + "</td></tr></table>"
+    text = "<ul>" + "".join(f"<li>{'story words go on ' * 5}{i}</li>" for i in range(4)) + "</ul>"
+    pages = [f"<body>{side * 2}<article>{text}</article>{side}</body>" for _ in range(30)]
+    learnt, page = html_extract.learn(pages), f"<body>{side * 3}<div>{text}</div>{side * 3}</body>"
+    with_, without = (html_extract.main_text(page, w) for w in (learnt, html_extract.Weights()))
+    assert "stock" not in with_ and with_.count("story") == 20
+    assert "stock" in without
+
+
 def test_few_marked_pages_among_many_are_all_learnt_from(spark):
     body = "concat('<body><nav>Menu</nav><article><p>Own text ', id, '</p></article></body>')"
     marked = spark.range(8).selectExpr(f"{body} AS html")

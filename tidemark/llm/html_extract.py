@@ -51,6 +51,15 @@ MARKS = {
     "complementary", "contentinfo", "respond", "replies", "disqus", "toolbar", "widget",
 }
 
+#: Words that say where or what kind of box, and nothing of what is in it.
+BOXES = {
+    "area", "bar", "block", "body", "bottom", "box", "button", "buttons", "center", "column", "container",
+    "content", "form", "full", "global", "group", "icons", "inline", "inner", "item", "items", "label",
+    "large", "left", "link", "links", "list", "main", "message", "middle", "mobile", "outer", "page", "panel",
+    "policy", "posts", "primary", "reader", "right", "secondary", "section", "signup", "site", "slot", "small",
+    "text", "title", "top", "unit", "user", "wrap", "wrapper",
+}
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|--!>|\Z)"
     r"|<(?P<raw>script|style|textarea|title|noscript|template|iframe|xmp|noembed|noframes)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>"
@@ -61,6 +70,7 @@ TOKEN = re.compile(
 )
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 WORDS = re.compile(r"[a-z]+")
+JOINTS = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 #: Least cost of a tag and least value of a word; cost of crossing the mark of a main part.
@@ -103,8 +113,17 @@ def is_boilerplate(name: str, attributes: str) -> bool:
         return True
     if name in LABELS or name in ("html", "body") or "=" not in attributes:
         return False
-    named = " ".join(a or b or c for a, b, c in NAMED.findall(attributes)).lower()
-    return not MARKS.isdisjoint(WORDS.findall(named))
+    named = " ".join(a or b or c for a, b, c in NAMED.findall(attributes))
+    return any(map(is_mark, named.split()))
+
+
+def is_mark(name: str) -> bool:
+    """Whether a class, id or role says that this is not the article.
+
+    All words of the name must: ``comment-list`` does, ``share-price`` speaks of prices.
+    """
+    words = set(WORDS.findall(JOINTS.sub("-", name).lower()))
+    return not MARKS.isdisjoint(words) and words <= MARKS | BOXES
 
 
 def blocks_of(page: str, whole: bool = False) -> list[Block]:
