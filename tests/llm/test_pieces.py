@@ -49,6 +49,18 @@ def test_random_texts(table, library):
         same(table, library, *("".join(rng.choices(symbols, k=rng.randrange(40))) for _ in range(5)))
 
 
+def test_long_chunks_are_not_kept_and_the_table_is_bounded_by_bytes(library):
+    with open(PATH, "rb") as file:
+        table = pieces.ChunkTable(file.read(), size=20_000)
+    long_ = "日本" * 2_000
+    same(table, library, f"a {long_} b", long_)
+    assert set(table.known) == {"a", "b"}
+    rng = random.Random(6)
+    for _ in range(60):
+        same(table, library, " ".join(f"w{rng.randrange(10**6)}" for _ in range(20)))
+        assert table.held <= 20_000 + 20 * (pieces.OVERHEAD + 50)
+
+
 def test_table_and_query(spark, library, whole):
     from tidemark.llm.queries import op6_sentencepiece
 

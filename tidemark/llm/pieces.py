@@ -27,8 +27,12 @@ if array("I").itemsize != 4 or sys.byteorder != "little":
     raise ImportError("packing needs four-byte little-endian integers")
 
 MARK = "▁"
-#: Distinct chunks that a task's table holds before it starts anew.
-TABLE_SIZE = 1 << 19
+#: Bytes of chunks, ids and texts that a task's table holds before it starts anew.
+TABLE_BYTES = 128 << 20
+#: Bytes of the objects that hold a chunk, beside its characters.
+OVERHEAD = 300
+#: Longer chunks are segmented where they occur; whole texts without a space are such.
+LONGEST = 256
 #: Characters whose new chunks are segmented in one call of the library.
 SHARE = 1 << 20
 
@@ -36,7 +40,7 @@ SHARE = 1 << 20
 class ChunkTable:
     """Ids and text of each chunk seen, by a SentencePiece model."""
 
-    def __init__(self, model: bytes, size: int = TABLE_SIZE):
+    def __init__(self, model: bytes, size: int = TABLE_BYTES):
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
         pieces = map(self.library.id_to_piece, range(self.library.vocab_size()))
         if any(MARK in p.lstrip(MARK) for p in pieces):
@@ -45,7 +49,7 @@ class ChunkTable:
             raise ValueError("this model does not mark spaces")
         # Of an empty text the library makes nothing, so a lone marker is taken from behind a letter.
         self.lone = self.library.encode(f"a{MARK}")[len(self.library.encode("a")) :]
-        self.size, self.known = size, {}
+        self.size, self.held, self.known = size, 0, {}
         self.chunk = re.compile(f"{MARK}+[^{MARK}]*")
         self.begin = array("I", [self.library.bos_id()]).tobytes()
         self.end = array("I", [self.library.eos_id()]).tobytes()
@@ -58,27 +62,32 @@ class ChunkTable:
             return [c[1:] for c in self.chunk.findall(MARK + text.replace(" ", MARK))]
         return text.split(" ")  # every run is one marker
 
-    def learn(self, new: list[str]) -> None:
-        """Put chunks into the table."""
+    def segmented(self, new: list[str]) -> dict[str, tuple[bytes, str]]:
+        """Packed ids and decoded text of each chunk."""
         ids = self.library.encode(new, num_threads=1)
         ids = [i if c else self.lone for c, i in zip(new, ids, strict=True)]
-        for chunk, own, text in zip(new, ids, self.library.decode(ids), strict=True):
-            self.known[chunk] = (array("I", own).tobytes(), " " + text)
+        texts = self.library.decode(ids)
+        return {c: (array("I", own).tobytes(), " " + t) for c, own, t in zip(new, ids, texts, strict=True)}
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """Packed little-endian ids with begin and end id, and the decoded text, of each."""
         rows = list(map(self.chunks, texts))
-        new = {c for chunks in rows for c in chunks if c not in self.known}
+        if self.held > self.size:
+            self.known, self.held = {}, 0
+        known, long_ = self.known, {}
+        new = {c for chunks in rows for c in chunks if c not in known}
         if new:
-            if len(self.known) + len(new) > self.size:
-                self.known.clear()
-                new = {c for chunks in rows for c in chunks}
-            self.learn(list(new))
+            for chunk, found in self.segmented(list(new)).items():
+                if len(chunk) > LONGEST:
+                    long_[chunk] = found
+                else:
+                    known[chunk] = found
+                    self.held += OVERHEAD + 2 * len(chunk) + len(found[0])
         packed = []
         for chunks in rows:
-            found = [self.known[c] for c in chunks]
-            ids = b"".join([f[0] for f in found])
-            packed.append((self.begin + ids + self.end, "".join([f[1] for f in found])[1:]))
+            parts = [known.get(c) or long_[c] for c in chunks]
+            ids = b"".join([p[0] for p in parts])
+            packed.append((self.begin + ids + self.end, "".join([p[1] for p in parts])[1:]))
         return packed
 
 
