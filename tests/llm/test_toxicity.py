@@ -58,6 +58,14 @@ def test_odd_rows(spark, documents):
     assert toxicity.toxicity(documents([]), none).collect() == []
 
 
+@pytest.mark.parametrize("marks", [[1] * 40, [0] * 40, [1, 0] * 20])
+def test_labels_without_evidence_drop_nothing(spark, documents, marks):
+    """One class only, or classes whose texts do not differ: no document is dropped."""
+    docs = documents([(i, f"plain words {i} of no kind") for i in range(40)] + [(99, None)])
+    labels = spark.createDataFrame(list(enumerate(marks)), "doc_id bigint, toxic int")
+    assert toxicity.toxicity_stage(docs, labels).count() == 41
+
+
 def test_isotonic_curve():
     x, y = np.array([0.0, 1, 1, 2, 3, 4]), np.array([0.0, 1, 0, 0, 1, 1])
     at, value = toxicity.isotonic(x, y, np.ones(6))

@@ -63,6 +63,11 @@ class Model:
     savings: list[float]
     chances: list[float]
 
+    @property
+    def knows(self) -> bool:
+        """Whether anything tells the classes apart; if not, every text has the same score."""
+        return len(self.savings) > 1
+
     def open(self) -> tuple:
         return compressor(self.toxic), compressor(self.ordinary)
 
@@ -298,8 +303,14 @@ def toxicity(
 def toxicity_stage(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The documents that are not predicted toxic, with the columns of ``docs``."""
+    """The documents that are not predicted toxic, with the columns of ``docs``.
+
+    Where the labels show no difference between the classes (one class only, or no typical
+    stem) there is no evidence against any document, and all are kept.
+    """
     model, name = train(docs, labels, id_col, text_col), "_score"
+    if not model.knows:
+        return docs
     while name in {c.lower() for c in docs.columns}:
         name += "_"
     scored = docs.withColumn(name, score_column(F.col(text_col), model))
