@@ -104,6 +104,6 @@ def drop_rows(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> D
     Few rows to drop are broadcast, so that the texts stay where they are; many are
     joined by a shuffle.
     """
-    gone = small(gone.select("_id", "_key").distinct())
+    gone = measured(gone.select("_id", "_key").distinct())
     same = docs[id_col].eqNullSafe(gone["_id"]) & (text_key(docs[text_col]) == gone["_key"])
     return docs.join(gone, same, "left_anti")

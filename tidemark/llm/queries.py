@@ -23,7 +23,7 @@ from tidemark.llm import (
     toxicity,
     url_filter,
 )
-from tidemark.llm.common import cut, small, table, text_key
+from tidemark.llm.common import cut, measured, table, text_key
 
 #: File name of the tokenizer's model; its place comes from the installed package.
 TOKENIZER = "piece_bpe_32k.model"
@@ -35,7 +35,7 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = small(cut(secret_scan.find_secrets(docs)))
+    found = measured(cut(secret_scan.find_secrets(docs)))
     keys = docs.select("doc_id", text_key(F.col("text")).alias("key"))
     same = keys["doc_id"].eqNullSafe(found["_id"]) & (keys["key"] == found["_key"])
     spans = F.coalesce("spans", F.array().cast(found.schema["spans"].dataType))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import by_batches, by_value, cut, hash_sample, small, text_key, text_of
+from tidemark.llm.common import by_batches, by_value, cut, hash_sample, measured, text_key, text_of
 
 by_value(__name__)
 
@@ -351,7 +351,7 @@ def secrets_stage(
 
     Documents stay, and texts without a secret are left as they are, NULLs included.
     """
-    found = small(cut(find_secrets(docs, id_col, text_col)))
+    found = measured(cut(find_secrets(docs, id_col, text_col)))
     same = docs[id_col].eqNullSafe(found["_id"]) & (text_key(docs[text_col]) == found["_key"])
     joined, spans = docs.join(found, same, "left"), found["spans"]
     clean = F.when(spans.isNull(), docs[text_col]).otherwise(redacted(docs[text_col], spans))
