@@ -198,7 +198,8 @@ ORACLES = {
     ),
     "log_export_csv": oracle(
         """SELECT CAST(log_id AS VARCHAR) AS log_id, table_id, sync_status,
-                  CAST(sync_records AS VARCHAR) AS sync_records, round(sync_duration_sec, 2) AS sync_duration_sec, logged_at
+                  CAST(sync_records AS VARCHAR) AS sync_records, 
+                  CAST(CAST(CAST(sync_duration_sec AS VARCHAR) AS DECIMAL(18,2)) AS DOUBLE) AS sync_duration_sec, logged_at
            FROM {fx_sync_log} WHERE sync_status LIKE 'error%'"""
     ),
     "throughput": oracle(
