@@ -19,7 +19,7 @@ def test_sql(spark, connection, name):
     assert differences(QUERIES[name](spark, SF), connection, ORACLES[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op3_best_fit_packing"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op3_best_fit_packing", "op12_source_divergence"}))
 def test_a_row_for_each_input_row(spark, name):
     table = TABLES.get(name.split("_")[0], "documents")
     key = {"pages": "page_id", "embeddings": "vec_id", "documents": "doc_id"}[table]
