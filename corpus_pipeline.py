@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import exact_dedup, packing, secret_scan, simhash, toxicity
 from tidemark.llm.common import table
+from tidemark.plans.store import remove_folder
 from tidemark.sources.scans import fresh_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -46,10 +47,16 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``; each result is written as Parquet and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """The stages over ``documents``; each result is written as Parquet and read again.
+
+    A stage's folder goes once the next stage is written; the last one stays for the reader.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         folder = fresh_folder(spark, name)
         stage(spark, docs, sf_dir).write.parquet(folder)
         docs = spark.read.parquet(folder)
+        if before:
+            remove_folder(spark, before)
+        before = folder
     return docs
