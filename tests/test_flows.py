@@ -402,6 +402,14 @@ def test_rejected_lines_are_stored_once(spark, table, values):
     assert values(letters.pending(), "lsn") == [(2,)]
 
 
+def test_a_batch_of_nothing_but_rejected_lines(spark, table, values):
+    table.overwrite(spark.createDataFrame([(2, "old", day(0))], ROWS), "id")
+    only = spark.createDataFrame([LINES[1], LINES[3]], "lsn bigint, data string")
+    done = flows.sync_wal(only, source(spark, (2, "b", day(2))), SPEC, table, "public")
+    assert (done.rejected, done.row_count, done.position) == (1, 0, 4)
+    assert values(table.read(), "id", "v") == [(2, "old")]
+
+
 def test_rejected_lines_can_stop_a_run(spark, table, values):
     letters, run = wal_run(spark, table, "fail")
     with pytest.raises(rejects.RejectedLines, match="line at 2: no readable key: id"):
@@ -443,3 +451,44 @@ def test_load_in_parts_equals_one_read(spark, table, values, cdc_column):
         frames = [f.drop("at") for f in frames]
     done = flows.sync_full(TornSource(*frames), spec, table, batch_size=5)
     assert values(table.read()) == values(frames[1]) and done.row_count == 28
+
+
+def test_registry_logs_and_replays_what_was_left_out(spark, world, sync, values):
+    """The run log counts rejected lines and missing keys; repaired lines follow the source."""
+    sync.sync_all()
+    world.put("w", [(1, "a", day(1)), (3, "c", day(3))])
+    world.log = [
+        "table public.w: UPDATE: id[bigint]:7 v[text]:'gone'",
+        "table public.w: INSERT: (no-tuple-data)",
+        "table public.x: TRUNCATE: (no-flags)",
+    ]
+    runs = {r.table_id: r for r in sync.sync_all()}
+    assert (runs["d_w"].rejected, runs["d_w"].missing, runs["d_x"].rejected) == (1, 1, 0)
+    logged = sync.log.read().filter("rejected > 0").select("table_id", "rejected", "missing").collect()
+    assert [tuple(r) for r in logged] == [("d_w", 1, 1)]
+    assert values(sync.rejected.read(), "table_id", "lsn") == [("d_w", 1), ("d_x", 2)]
+
+    repaired = spark.createDataFrame([(1, "table public.w: INSERT: id[bigint]:3 v[text]:'old'")], "lsn bigint, data string")
+    done = sync.replay_rejects("d_w", repaired)
+    assert (done.upserts, done.deletes) == (1, 0) and values(sync.rejected.read(), "table_id") == [("d_x",)]
+    target = sync.warehouse.table("RAW", "W")
+    assert values(target.read(), "id", "v") == [(1, "a"), (3, "c")]
+    with pytest.raises(LookupError, match="d_nothing"):
+        sync.replay_rejects("d_nothing")
+
+
+def test_one_catalog_read_per_database(spark, world, sync):
+    """Tables of a database share one look at its columns; one missing table stops no other."""
+    asked = []
+
+    class Listed(FrameSource):
+        def catalog(self):
+            asked.append(1)
+            rows = [(n, i, f.name, f.dataType.simpleString()) for n, df in self.frames.items() for i, f in enumerate(df.schema.fields)]
+            return spark.createDataFrame(rows, "table_id string, ordinal int, column_name string, data_type string")
+
+    del world.frames["x"]
+    sync.source_of = lambda database: Listed(world.frames)
+    runs = {r.table_id: r for r in sync.sync_all()}
+    assert len(asked) == 1 and runs["d_c"].ok and runs["d_w"].ok
+    assert not runs["d_x"].ok and "'x' not found" in runs["d_x"].error

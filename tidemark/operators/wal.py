@@ -22,6 +22,7 @@ from pyspark.sql.types import DataType
 from tidemark.functions import any_null, cut_text
 
 INSERT, UPDATE, DELETE = "I", "U", "D"
+OTHER = "?"  # a line of the table that is no row change
 POLICIES = ("last_change", "delete_wins")
 
 _NAME = r'(?:"[^"]*+"|[^ .:"\[]++)'
@@ -45,12 +46,12 @@ def relation(schema: str, table: str) -> str:
 
 
 def by_relation(lines: DataFrame, relations: Sequence[str]) -> DataFrame:
-    """Row changes of the named tables with the table in ``relation``.
+    """Lines of the named tables with the table in ``relation``, also such as are no row change.
 
     Writing the result with ``partitionBy("relation")`` reads a log once for all
     of its tables, without a shuffle.
     """
-    name = F.regexp_extract("data", rf"(?s)^table ({_NAME}\.{_NAME}): (?:INSERT|UPDATE|DELETE): ", 1)
+    name = F.regexp_extract("data", rf"(?s)^table ({_NAME}\.{_NAME}): ", 1)
     return lines.withColumn("relation", name).filter(F.col("relation").isin(list(relations)))
 
 
@@ -112,19 +113,21 @@ def split_key_changes(parsed: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def parse_changes(
-    lines: DataFrame, schema: str, table: str, keys: Mapping[str, DataType | str]
+    lines: DataFrame, schema: str, table: str, keys: Mapping[str, DataType | str], others: bool = False
 ) -> DataFrame:
     """Log lines to ``(lsn, op, key columns)`` for one table.
 
     A line whose key cannot be read keeps NULL key parts: see ``rejected_changes``.
     The action stands right behind the table's name, whose length is known here.
+    With ``others``, lines that are no row change stay as well, as ``OTHER``.
     """
     head = len(f"table {relation(schema, table)}: ")
-    acted = (
-        filter_table(lines, schema, table)
-        .filter(known_action(schema, table))
-        .withColumn("op", F.substring("data", head + 1, 1))
-    )
+    known, action = known_action(schema, table), F.substring("data", head + 1, 1)
+    mine = filter_table(lines, schema, table)
+    if others:
+        acted = mine.withColumn("op", F.when(known, action).otherwise(OTHER))
+    else:
+        acted = mine.filter(known).withColumn("op", action)
     parsed = parse_keys(acted, keys)
     return split_key_changes(parsed, list(keys)).select("lsn", "op", *keys)
 
@@ -164,7 +167,7 @@ def split_changes(changes: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, D
 
 
 def net_changes(
-    changes: DataFrame, keys: Sequence[str], policy: str = "last_change"
+    changes: DataFrame, keys: Sequence[str], policy: str = "last_change", with_rejects: bool = False
 ) -> DataFrame:
     """One row per key: ``op`` that decides, and ``lsn`` of its last change.
 
@@ -174,7 +177,9 @@ def net_changes(
 
     Three maxima over a long are all the state there is, so Spark uses a hash
     aggregate with a map-side partial step: a key with a third of the log
-    reaches the shuffle as one row per map task.
+    reaches the shuffle as one row per map task. ``with_rejects`` keeps changes
+    without a whole key, as one row for each such key with the numbers of its
+    ``lines`` and of its ``others``; see ``reject_counts``.
     """
     if policy not in POLICIES:
         raise ValueError(f"unknown policy {policy!r}, expected one of {POLICIES}")
@@ -182,10 +187,13 @@ def net_changes(
     def last(op: str) -> Column:
         return F.max(F.when(F.col("op") == op, F.col("lsn")))
 
-    grouped = (
-        changes.filter(~any_null(keys))
-        .groupBy(*keys)
-        .agg(last(INSERT).alias("_i"), last(UPDATE).alias("_u"), last(DELETE).alias("_d"))
+    counts = []
+    if with_rejects:
+        counts = [F.count("*").alias("lines"), F.count_if(F.col("op") == OTHER).alias("others")]
+    else:
+        changes = changes.filter(~any_null(keys))
+    grouped = changes.groupBy(*keys).agg(
+        last(INSERT).alias("_i"), last(UPDATE).alias("_u"), last(DELETE).alias("_d"), *counts
     )
     i, u, d = F.col("_i"), F.col("_u"), F.col("_d")
     upserted = F.coalesce(F.greatest(i, u), u, i)
@@ -195,7 +203,17 @@ def net_changes(
         deleted = d.isNotNull() & (upserted.isNull() | (d > upserted))
     updated = u.isNotNull() & (i.isNull() | (u >= i))
     op = F.when(deleted, DELETE).when(updated, UPDATE).otherwise(INSERT)
-    return grouped.select(*keys, F.greatest(i, u, d).alias("lsn"), op.alias("op"))
+    counted = ["lines", "others"] if with_rejects else []
+    return grouped.select(*keys, F.greatest(i, u, d).alias("lsn"), op.alias("op"), *counted)
+
+
+def reject_counts(net: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Of net changes with rejects: changes without a readable key, and lines of another kind."""
+    row = net.filter(any_null(keys)).agg(
+        F.coalesce(F.sum(F.col("lines") - F.col("others")), F.lit(0)).alias("rejected"),
+        F.coalesce(F.sum("others"), F.lit(0)).alias("others"),
+    ).first()
+    return row["rejected"], row["others"]
 
 
 def change_counts(net: DataFrame) -> DataFrame:

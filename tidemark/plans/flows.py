@@ -14,7 +14,7 @@ from datetime import datetime, timezone
 from typing import Any
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
@@ -233,20 +233,16 @@ def apply_lines(
     if key_types is None:
         read = {f.name.lower(): f.dataType for f in source.read(spec).schema.fields}
         key_types = {k: read[k.lower()] for k in keys}
-    own, unread = Observation(), Observation()
-    known = wal.known_action(source_schema, spec.name)
-    mine = wal.filter_table(lines, source_schema, spec.name)
-    mine = mine.observe(own, F.count_if(~known).alias("others"))
-    changes = wal.parse_changes(mine, source_schema, spec.name, key_types)
-    watched = changes.observe(unread, F.count_if(any_null(keys)).alias("rejected"))
+    changes = wal.parse_changes(lines, source_schema, spec.name, key_types, others=True)
     with table.staging() as stage:
-        net = stage(wal.net_changes(watched, keys, policy))
+        staged = stage(wal.net_changes(changes, keys, policy, with_rejects=True))
+        rejected, others = wal.reject_counts(staged, keys)
+        net = staged.filter(~any_null(keys)).drop("lines", "others")
         if settle:
             net = net.withColumn("op", F.lit(wal.UPDATE))
         if order:
             net = stage(order.newer(net, keys)) if order.behind(net) else net
-        rejected = unread.get.get("rejected", 0)
-        if dead_letters and (rejected or own.get.get("others", 0)):
+        if dead_letters and (rejected or others):
             found = wal.rejected_lines(lines, source_schema, spec.name, key_types)
             if dead_letters.policy == "reload":
                 done = sync_full(source, spec, table)
